@@ -1,0 +1,14 @@
+"""Deterministic per-row pseudo-random numbers."""
+
+from __future__ import annotations
+
+from pyspark.sql import Column
+from pyspark.sql import functions as F
+
+_M = 1 << 30
+
+
+def hash_unit(c: Column, seed: int, kind: int) -> Column:
+    """A number in [0, 1) from xxhash64(c, seed, kind): the same row, seed
+    and kind always give the same number, on any partitioning or retry."""
+    return F.pmod(F.xxhash64(c, F.lit(int(seed)), F.lit(int(kind))), F.lit(_M)).cast("double") / _M

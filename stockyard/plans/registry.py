@@ -237,3 +237,166 @@ FROM ({SQL_SILVER['orders']}) GROUP BY order_status""")
 def q_count_by_status(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Silver orders per status."""
     return gold.order_status_counts(silver_table(spark, sf_dir, "orders"))
+
+
+# ---------------------------------------------------------------------------
+# Inventory line (sales events / stock acquisitions stand-ins from `events`)
+# ---------------------------------------------------------------------------
+
+from ..operators import calendar as CAL  # noqa: E402
+from ..operators import events as EV  # noqa: E402
+from ..operators import forecast as FC  # noqa: E402
+from ..operators import inventory as INV  # noqa: E402
+
+ZONE = C.DEFAULT_ZONE
+PARAMS = C.DemandParams.notebook()
+
+
+def sales(spark, sf_dir):
+    return S.sales_events(read_table(spark, sf_dir, "events"))
+
+
+def acquisitions(spark, sf_dir):
+    return S.stock_acquisitions(read_table(spark, sf_dir, "events"))
+
+
+def daily(spark, sf_dir):
+    return INV.inventory_daily(sales(spark, sf_dir), acquisitions(spark, sf_dir),
+                               initial_stock=PARAMS.initial_stock, zone=ZONE)
+
+
+def ranges(spark, sf_dir):
+    """Per-SKU [first, last] local day of its movements."""
+    d = INV._daily_movements(sales(spark, sf_dir), acquisitions(spark, sf_dir), ZONE)
+    return INV.sku_ranges(d)
+
+
+SQL_SALES = """SELECT user_id AS sku_id, event_id AS sales_id, ts AS event_ts,
+  CAST(ceil(value) AS INTEGER) AS quantity,
+  CASE event_type WHEN 'purchase' THEN 'approved' WHEN 'error' THEN 'canceled'
+       ELSE 'placed' END AS status
+FROM events WHERE event_type IN ('purchase', 'error', 'view', 'click')"""
+
+SQL_ACQ = """SELECT user_id AS sku_id, event_id AS acquisition_id, ts AS event_ts,
+  'planned' AS reason, CAST(ceil(value) AS INTEGER) AS quantity_received
+FROM events WHERE event_type = 'signup'"""
+
+
+def _ld(ts: str) -> str:
+    return f"CAST(timezone('{ZONE}', timezone('UTC', {ts})) AS DATE)"
+
+
+SQL_MOVES = f"""SELECT sku_id, event_date, CAST(sum(r) AS BIGINT) AS received_qty,
+  CAST(sum(a) AS BIGINT) AS approved_qty FROM (
+  SELECT sku_id, {_ld('event_ts')} AS event_date, 0 AS r, quantity AS a
+  FROM ({SQL_SALES}) WHERE status = 'approved'
+  UNION ALL
+  SELECT sku_id, {_ld('event_ts')} AS event_date, quantity_received AS r, 0 AS a
+  FROM ({SQL_ACQ})) GROUP BY sku_id, event_date"""
+
+SQL_RANGES = f"""SELECT sku_id, min(event_date) AS "start", max(event_date) AS "end"
+FROM ({SQL_MOVES}) GROUP BY sku_id"""
+
+SQL_DAILY = f"""WITH mv AS ({SQL_MOVES}), rg AS ({SQL_RANGES}),
+spine AS (SELECT sku_id, CAST(unnest(generate_series("start", "end", INTERVAL 1 DAY)) AS DATE)
+          AS event_date FROM rg),
+d AS (SELECT s.sku_id, s.event_date, CAST(COALESCE(m.received_qty, 0) AS BIGINT) AS received_qty,
+             CAST(COALESCE(m.approved_qty, 0) AS BIGINT) AS approved_qty
+      FROM spine s LEFT JOIN mv m ON m.sku_id = s.sku_id AND m.event_date = s.event_date)
+SELECT sku_id, event_date, received_qty, approved_qty,
+  CAST({PARAMS.initial_stock} + sum(received_qty) OVER w - sum(approved_qty) OVER w AS BIGINT)
+    AS inventory_eod
+FROM d WINDOW w AS (PARTITION BY sku_id ORDER BY event_date
+                    ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)"""
+
+
+@register("daily_received", f"""SELECT sku_id, {_ld('event_ts')} AS event_date,
+  CAST(sum(quantity_received) AS BIGINT) AS received_qty FROM ({SQL_ACQ}) GROUP BY ALL""")
+def q_daily_received(spark, sf_dir):
+    """Units received per SKU and local day."""
+    return INV.daily_received(acquisitions(spark, sf_dir), ZONE)
+
+
+@register("daily_approved", f"""SELECT sku_id, {_ld('event_ts')} AS event_date,
+  CAST(sum(quantity) AS BIGINT) AS approved_qty FROM ({SQL_SALES})
+WHERE status = 'approved' GROUP BY ALL""")
+def q_daily_approved(spark, sf_dir):
+    """Approved units per SKU and local day."""
+    return INV.daily_approved(sales(spark, sf_dir), ZONE)
+
+
+@register("daily_approved_utc", f"""SELECT sku_id, CAST(event_ts AS DATE) AS event_date,
+  CAST(sum(quantity) AS BIGINT) AS approved_qty FROM ({SQL_SALES}) s
+WHERE status = 'approved'
+  AND sales_id NOT IN (SELECT sales_id FROM ({SQL_SALES}) WHERE status = 'canceled')
+GROUP BY ALL""")
+def q_daily_approved_utc(spark, sf_dir):
+    """Approved units per SKU and UTC date minus ids also canceled."""
+    return INV.daily_approved_utc(sales(spark, sf_dir))
+
+
+@register("inventory_daily", SQL_DAILY)
+def q_inventory_daily(spark, sf_dir):
+    """Per-SKU daily spine, received / approved and end-of-day stock."""
+    return daily(spark, sf_dir)
+
+
+@register("eod_negatives", f"SELECT * FROM ({SQL_DAILY}) WHERE inventory_eod < 0")
+def q_eod_negatives(spark, sf_dir):
+    """Days that end with negative stock."""
+    return INV.eod_negatives(daily(spark, sf_dir))
+
+
+SQL_LEDGER = f"""WITH m AS (
+  SELECT sku_id, event_ts, 0 AS kind, CAST(acquisition_id AS VARCHAR) AS movement_id,
+         reason, CAST(quantity_received AS BIGINT) AS delta FROM ({SQL_ACQ})
+  UNION ALL
+  SELECT sku_id, event_ts, 1 AS kind, CAST(sales_id AS VARCHAR) AS movement_id,
+         'sale' AS reason, -CAST(quantity AS BIGINT) AS delta
+  FROM ({SQL_SALES}) WHERE status = 'approved')
+SELECT sku_id, event_ts, kind, movement_id, reason, delta,
+  CAST({PARAMS.initial_stock} + sum(delta) OVER (PARTITION BY sku_id
+       ORDER BY event_ts NULLS LAST, kind, movement_id
+       ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS BIGINT) AS balance
+FROM m"""
+
+
+def ledger(spark, sf_dir):
+    return INV.stock_ledger(sales(spark, sf_dir), acquisitions(spark, sf_dir),
+                            initial_stock=PARAMS.initial_stock, bucket="hour")
+
+
+@register("stock_ledger", SQL_LEDGER)
+def q_stock_ledger(spark, sf_dir):
+    """Running stock balance after every movement (two-level prefix sum)."""
+    return ledger(spark, sf_dir)
+
+
+@register("negative_stock_audit", f"SELECT * FROM ({SQL_LEDGER}) WHERE balance < 0")
+def q_negative_stock_audit(spark, sf_dir):
+    """Ledger rows with a negative balance."""
+    return INV.negative_stock_audit(ledger(spark, sf_dir))
+
+
+@register("stock_conservation", f"""WITH mv AS ({SQL_MOVES}),
+t AS (SELECT sku_id, CAST(sum(received_qty) AS BIGINT) AS total_received,
+             CAST(sum(approved_qty) AS BIGINT) AS total_approved FROM mv GROUP BY sku_id),
+l AS (SELECT sku_id, arg_max(inventory_eod, event_date) AS final_stock
+      FROM ({SQL_DAILY}) GROUP BY sku_id)
+SELECT COALESCE(t.sku_id, l.sku_id) AS sku_id, total_received, total_approved, final_stock,
+  {PARAMS.initial_stock} + COALESCE(total_received, 0) - COALESCE(total_approved, 0) = final_stock
+    AS conserved,
+  final_stock >= 0 AS non_negative
+FROM t FULL JOIN l ON t.sku_id = l.sku_id""")
+def q_stock_conservation(spark, sf_dir):
+    """Per-SKU conservation check of the daily stock."""
+    return INV.stock_conservation(sales(spark, sf_dir), acquisitions(spark, sf_dir),
+                                  daily(spark, sf_dir), PARAMS.initial_stock, ZONE)
+
+
+@register("allocate_stock")
+def q_allocate_stock(spark, sf_dir):
+    """Order-dependent replay approving requests while stock lasts (no SQL
+    oracle; tested against a brute-force replay on fixtures)."""
+    return INV.allocate_stock(sales(spark, sf_dir), acquisitions(spark, sf_dir),
+                              initial_stock=PARAMS.initial_stock)

@@ -150,3 +150,15 @@ def stock_acquisitions(df: DataFrame) -> DataFrame:
         F.lit("planned").alias("reason"),
         F.ceil("value").cast("int").alias("quantity_received"),
     )
+
+
+def lineitem_sales(df: DataFrame) -> DataFrame:
+    """Order lines as approved sales of a part (SKU) at the ship date; used
+    where a long multi-year history per SKU is wanted."""
+    return df.select(
+        F.col("l_partkey").alias("sku_id"),
+        F.format_string("%d-%d", F.col("l_orderkey"), F.col("l_linenumber")).alias("sales_id"),
+        F.col("l_shipdate").alias("event_ts"),
+        F.col("l_quantity").cast("int").alias("quantity"),
+        F.lit("approved").alias("status"),
+    )
