@@ -32,15 +32,18 @@ def dedupe_events(sales: DataFrame, key: str = "sales_id") -> DataFrame:
     return best.select(key, *[F.col(f"__best.{c}").alias(c) for c in others])
 
 
-def event_quality(sales: DataFrame, outlier_threshold: int = 50, order_key: str = "sales_id",
+def event_quality(sales: DataFrame, outlier_threshold: int = 50, order=None,
                   bucket: Column | None = None) -> DataFrame:
     """Flag per sales event (first match wins in ``event_quality_flag``):
     null_status, null_event_ts, out_of_order (time below the latest time of
     the SKU's earlier events in id order), quantity_outlier (quantity above
     ``outlier_threshold``), else valid. A +-1 h zone slip looks like a real
-    time and is not flagged. ``bucket`` (non-decreasing in ``order_key``)
-    makes the running max two-level, see ``windows.running``."""
-    r = running(sales, [K], [F.col(order_key)], "event_ts", "__prev_max", "max",
+    time and is not flagged. ``bucket`` (non-decreasing along ``order``)
+    makes the running max two-level, see ``windows.running``. ``order``
+    (default: sales_id) is the arrival order; add tie-breakers when ids
+    repeat."""
+    order = order or [F.col("sales_id")]
+    r = running(sales, [K], order, "event_ts", "__prev_max", "max",
                 bucket=bucket, include_current=False)
     ooo = F.coalesce(F.col("event_ts") < F.col("__prev_max"), F.lit(False))
     out = r.select(*sales.columns,
