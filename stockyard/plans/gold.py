@@ -10,7 +10,7 @@ from ..operators.aggregates import count_by, product_demand
 # Column types of the typed product-demand feature table.
 PRODUCT_DEMAND_DDL = (
     ("order_id", "string", "Order id"),
-    ("order_approved_at", "timestamp", "Order approval time"),
+    ("order_approved_at", "timestamp_ntz", "Order approval time (wall clock of the source)"),
     ("product_id", "string", "Product id"),
     ("product_category_name", "string", "Product category"),
     ("product_name_lenght", "int", "Product name length"),
