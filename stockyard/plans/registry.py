@@ -271,13 +271,13 @@ def ranges(spark, sf_dir):
     return INV.sku_ranges(d)
 
 
-SQL_SALES = """SELECT user_id AS sku_id, event_id AS sales_id, ts AS event_ts,
+SQL_SALES = """SELECT user_id AS sku_id, printf('S%08d', event_id) AS sales_id, ts AS event_ts,
   CAST(ceil(value) AS INTEGER) AS quantity,
   CASE event_type WHEN 'purchase' THEN 'approved' WHEN 'error' THEN 'canceled'
        ELSE 'placed' END AS status
 FROM events WHERE event_type IN ('purchase', 'error', 'view', 'click')"""
 
-SQL_ACQ = """SELECT user_id AS sku_id, event_id AS acquisition_id, ts AS event_ts,
+SQL_ACQ = """SELECT user_id AS sku_id, printf('A%08d', event_id) AS acquisition_id, ts AS event_ts,
   'planned' AS reason, CAST(ceil(value) AS INTEGER) AS quantity_received
 FROM events WHERE event_type = 'signup'"""
 

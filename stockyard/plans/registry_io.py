@@ -79,3 +79,40 @@ def q_stream_silver_customers(spark, sf_dir):
     q = refresh_silver(spark, raw, "customers", out, scratch_path(spark, "ckpt-customers"))
     q.awaitTermination()
     return spark.read.parquet(out).drop(*LINEAGE)
+
+
+# ---------------------------------------------------------------------------
+# Spark SQL flavour of the SQL jobs (same oracles as the DataFrame versions)
+# ---------------------------------------------------------------------------
+
+from . import sql_jobs  # noqa: E402
+from .registry import (ORACLE as _O, PARAMS, ZONE, acquisitions, daily,  # noqa: E402
+                       sales)
+from .registry_ext import forecast  # noqa: E402
+
+
+@register("product_demand_sql", _O["product_demand"])
+def q_product_demand_sql(spark, sf_dir):
+    """Product demand as Spark SQL with GROUP BY ALL."""
+    return sql_jobs.product_demand_sql(spark, silver_table(spark, sf_dir, "orders"),
+                                       silver_table(spark, sf_dir, "order_items"),
+                                       silver_table(spark, sf_dir, "products"))
+
+
+@register("inventory_daily_sql", _O["inventory_daily"])
+def q_inventory_daily_sql(spark, sf_dir):
+    """Daily stock report as Spark SQL (spine, ordinal GROUP BY, windows)."""
+    return sql_jobs.inventory_daily_sql(spark, sales(spark, sf_dir), acquisitions(spark, sf_dir),
+                                        PARAMS.initial_stock, ZONE)
+
+
+@register("daily_approved_utc_sql", _O["daily_approved_utc"])
+def q_daily_approved_utc_sql(spark, sf_dir):
+    """Approved per UTC date minus canceled ids, NOT EXISTS in Spark SQL."""
+    return sql_jobs.daily_approved_utc_sql(spark, sales(spark, sf_dir))
+
+
+@register("inventory_forecast_sql", _O["inventory_forecast"])
+def q_inventory_forecast_sql(spark, sf_dir):
+    """Weekly depletion view as Spark SQL over daily stock and forecast."""
+    return sql_jobs.inventory_forecast_sql(spark, daily(spark, sf_dir), forecast(spark, sf_dir))

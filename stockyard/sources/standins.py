@@ -12,6 +12,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.ids import format_id
+
 
 def _null(t: str) -> Column:
     return F.lit(None).cast(t)
@@ -135,7 +137,7 @@ def sales_events(df: DataFrame) -> DataFrame:
         .otherwise("placed")
     return df.filter(et.isin(*SALES_EVENT_TYPES)).select(
         F.col("user_id").alias("sku_id"),
-        F.col("event_id").alias("sales_id"),
+        format_id("S", "event_id").alias("sales_id"),
         F.col("ts").alias("event_ts"),
         F.ceil("value").cast("int").alias("quantity"),
         status.alias("status"),
@@ -145,7 +147,7 @@ def sales_events(df: DataFrame) -> DataFrame:
 def stock_acquisitions(df: DataFrame) -> DataFrame:
     return df.filter(F.col("event_type") == "signup").select(
         F.col("user_id").alias("sku_id"),
-        F.col("event_id").alias("acquisition_id"),
+        format_id("A", "event_id").alias("acquisition_id"),
         F.col("ts").alias("event_ts"),
         F.lit("planned").alias("reason"),
         F.ceil("value").cast("int").alias("quantity_received"),
