@@ -59,38 +59,43 @@ def linear_weekday_model(t: np.ndarray, y: np.ndarray, weekday: np.ndarray,
                          t_new: np.ndarray, weekday_new: np.ndarray) -> np.ndarray:
     """numpy twin of the native model (least-squares trend + mean residual
     per weekday); the default model of ``forecast_demand_grouped``."""
+    t = t.astype(float)
     if len(t) > 1 and np.var(t) > 0:
-        b, a = np.polyfit(t.astype(float), y, 1)
+        b, a = np.polyfit(t, y, 1)
     else:
         b, a = 0.0, float(np.mean(y))
     r = y - (a + b * t)
-    eff = pd.Series(r).groupby(weekday).mean()
-    w = pd.Series(weekday_new).map(eff).fillna(0.0).to_numpy()
-    return np.maximum(0.0, a + b * t_new + w)
+    cnt = np.bincount(weekday, minlength=7)
+    eff = np.divide(np.bincount(weekday, weights=r, minlength=7), cnt,
+                    out=np.zeros(7), where=cnt > 0)
+    return np.maximum(0.0, a + b * t_new + eff[weekday_new])
 
 
 def forecast_demand_grouped(daily: DataFrame, horizon: int = 28, value: str = "approved_qty",
                             model: Callable = linear_weekday_model, digits: int = 4) -> DataFrame:
     """Same output as :func:`forecast_demand` with a pluggable per-SKU model
     ``model(t, y, weekday, t_new, weekday_new) -> y_new`` run in
-    ``groupBy(sku_id).applyInPandas`` (Arrow batches, no driver hop)."""
+    ``groupBy(sku_id).applyInPandas`` (Arrow batches, no driver hop). Days
+    are passed as integers (days since 1970-01-01) and turned back into
+    dates on the JVM side, so a group costs only numpy work."""
     key_t = daily.schema[K].dataType.simpleString()
-    h = daily.select(K, "event_date", F.col(value).cast("double").alias("y"))
+    epoch = F.lit("1970-01-01").cast("date")
+    h = daily.select(K, F.datediff("event_date", epoch).alias("day"),
+                     F.col(value).cast("double").alias("y"))
 
     def per_sku(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("event_date")
-        d = pd.to_datetime(pdf["event_date"])
-        t = (d - d.min()).dt.days.to_numpy()
-        wd = d.dt.weekday.to_numpy()
-        last = d.max()
-        fut = pd.date_range(last + pd.Timedelta(days=1), periods=horizon, freq="D")
-        t_new = (fut - d.min()).days.to_numpy()
-        y_new = model(t, pdf["y"].to_numpy(), wd, t_new, fut.weekday.to_numpy())
-        return pd.DataFrame({K: pdf[K].iloc[0], "event_date": fut.date,
+        day = pdf["day"].to_numpy()
+        order = np.argsort(day, kind="stable")
+        day, y = day[order], pdf["y"].to_numpy()[order]
+        t = day - day[0]
+        new_day = day[-1] + np.arange(1, horizon + 1)
+        wd = (day + 3) % 7  # 1970-01-01 was a Thursday (Monday = 0)
+        y_new = model(t, y, wd, new_day - day[0], (new_day + 3) % 7)
+        return pd.DataFrame({K: np.repeat(pdf[K].iloc[0], horizon), "day": new_day,
                              "demand_prediction": np.round(np.asarray(y_new, dtype=float), digits)})
 
-    return h.groupBy(K).applyInPandas(
-        per_sku, f"{K} {key_t}, event_date date, demand_prediction double")
+    out = h.groupBy(K).applyInPandas(per_sku, f"{K} {key_t}, day int, demand_prediction double")
+    return out.select(K, F.date_add(epoch, F.col("day")).alias("event_date"), "demand_prediction")
 
 
 def weekly_demand(pred: DataFrame) -> DataFrame:

@@ -9,6 +9,7 @@ from stockyard import sinks
 from stockyard.plans import bronze, medallion
 from stockyard.session import scratch_path
 from stockyard.sources.files import batch_load, csv_scan, csv_scan_permissive, lineage_columns
+from stockyard.sources.tables import list_tables, session_namespace
 from stockyard.streaming.ingest import refresh_silver
 
 RAW = {
@@ -81,7 +82,7 @@ def test_medallion_end_to_end(spark, raw_dir):
     assert len(rows) == 1 and rows[0]["quantity"] == 2 and rows[0]["total_price"] == 21.0
     medallion.run_gold(spark, sdb, gdb)  # idempotent: same content after a second run
     assert spark.table(t).count() == 1
-    assert {r["tableName"] for r in spark.sql(f"SHOW TABLES IN {sdb}").collect()} >= {"orders", "sellers"}
+    assert {r["tableName"] for r in list_tables(spark, sdb).collect()} >= {"orders", "sellers"}
 
 
 def test_sinks_modes(spark, raw_dir):
@@ -131,3 +132,13 @@ def test_lineage_columns_on_parquet(spark):
     df = lineage_columns(spark.read.parquet("/root/testdata/sf0.001/region.parquet"))
     r = df.first()
     assert r["_source_file"].endswith("region.parquet")
+
+
+def test_session_namespace(spark):
+    cur = spark.catalog.currentDatabase()
+    session_namespace(spark, "ns_test_db", "UTC")
+    try:
+        assert spark.catalog.currentDatabase() == "ns_test_db"
+        assert spark.conf.get("spark.sql.session.timeZone") == "UTC"
+    finally:
+        spark.catalog.setCurrentDatabase(cur)
