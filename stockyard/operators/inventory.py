@@ -69,7 +69,7 @@ def _daily_movements(sales: DataFrame, acq: DataFrame, zone: str) -> DataFrame:
 
 def sku_ranges(daily: DataFrame, start=None, end=None) -> DataFrame:
     """(sku_id, start, end): explicit dates, or each SKU's first and last
-    day with a movement."""
+    day in ``daily`` (daily movements or the daily stock table)."""
     if start is not None and end is not None:
         return daily.select(K).distinct().select(
             K, F.lit(start).cast("date").alias("start"), F.lit(end).cast("date").alias("end"))
@@ -84,15 +84,33 @@ def inventory_daily(sales: DataFrame, acq: DataFrame, initial_stock: int = 0,
     inventory_eod = initial_stock + running sum(received) - running sum(approved)
 
     Columns: sku_id, event_date, received_qty, approved_qty, inventory_eod.
-    Both running sums share one window (one sort) over a per-SKU daily
-    series, whose length is the number of days, not of events."""
-    daily = _daily_movements(sales, acq, zone)
-    ranges = sku_ranges(daily, start, end)
-    spine = ranges.select(K, F.explode(F.sequence("start", "end")).alias("event_date"))
-    d = spine.join(daily, [K, "event_date"], "left").select(
-        K, "event_date",
-        F.coalesce("received_qty", F.lit(0)).cast("bigint").alias("received_qty"),
-        F.coalesce("approved_qty", F.lit(0)).cast("bigint").alias("approved_qty"))
+
+    The range is each SKU's first to last day with a movement, or the
+    explicit [start, end] for every SKU with a movement inside it. Days
+    without movement are filled in from the movement days themselves: each
+    movement day expands to itself plus the empty days up to the next one
+    (``lead`` + ``explode(sequence)``), so the raw events are scanned and
+    shuffled once and no spine join is needed. Both running sums share one
+    window over a per-SKU daily series (length = number of days)."""
+    mv = _daily_movements(sales, acq, zone)
+    explicit = start is not None and end is not None
+    first = last = None
+    if explicit:
+        first, last = F.lit(start).cast("date"), F.lit(end).cast("date")
+        mv = mv.filter((F.col("event_date") >= first) & (F.col("event_date") <= last))
+    wm = Window.partitionBy(K).orderBy("event_date")
+    gap_end = F.coalesce(F.date_sub(F.lead("event_date").over(wm), 1),
+                         last if explicit else F.col("event_date"))
+    gap_start = F.when(F.lag("event_date").over(wm).isNull(), first).otherwise(F.col("event_date")) \
+        if explicit else F.col("event_date")
+    g = mv.select(K, F.col("event_date").alias("__mv_date"), "received_qty", "approved_qty",
+                  gap_start.alias("__g0"), gap_end.alias("__g1"))
+    x = g.select(K, "__mv_date", "received_qty", "approved_qty",
+                 F.explode(F.sequence("__g0", "__g1")).alias("event_date"))
+    hit = F.col("event_date") == F.col("__mv_date")
+    d = x.select(K, "event_date",
+                 F.when(hit, F.col("received_qty")).otherwise(F.lit(0)).cast("bigint").alias("received_qty"),
+                 F.when(hit, F.col("approved_qty")).otherwise(F.lit(0)).cast("bigint").alias("approved_qty"))
     w = Window.partitionBy(K).orderBy("event_date").rowsBetween(Window.unboundedPreceding, 0)
     eod = F.lit(int(initial_stock)) + F.sum("received_qty").over(w) - F.sum("approved_qty").over(w)
     return d.withColumn("inventory_eod", eod.cast("bigint"))
@@ -164,7 +182,7 @@ def stock_conservation(sales: DataFrame, acq: DataFrame, daily: DataFrame,
 # Restock rules
 # ---------------------------------------------------------------------------
 
-def planned_restock(daily: DataFrame, ranges: DataFrame,
+def planned_restock(daily: DataFrame, ranges: DataFrame | None = None,
                     params: C.DemandParams = C.DemandParams()) -> DataFrame:
     """Sunday restock recommendation per SKU, evaluated on observed stock.
 
@@ -174,8 +192,14 @@ def planned_restock(daily: DataFrame, ranges: DataFrame,
     max(0, need(Sunday, 7 * weeks) - stock at the start of Sunday). Fewer
     than two recorded Saturdays: always may buy. Rows with quantity > 0.
 
+    ``daily`` is the gap-free daily stock series, so the last Saturday and
+    the one before are ``lag`` 1 and 8 of a Sunday in one window (no joins);
+    ``ranges`` defaults to the series' own per-SKU first / last day.
+
     Columns: sku_id, event_date, stock_before, need, increased,
     holiday_ahead, quantity."""
+    if ranges is None:
+        ranges = sku_ranges(daily)
     days = max(1, int(params.planned_weeks) * 7)
     cal = coverage_need(demand_calendar(ranges, params, lookahead_days=days - 1), days, params)
     # holiday-window dates only exist inside [start, end] (the map is clipped)
@@ -184,17 +208,14 @@ def planned_restock(daily: DataFrame, ranges: DataFrame,
     cal = cal.withColumn("holiday_ahead", F.max("__hol").over(w7) == 1) \
         .filter(F.col("event_date") <= F.col("end"))
 
-    d = daily.select(K, "event_date", "inventory_eod")
-    sat = d.filter(weekday_index("event_date") == 5)
     ws = Window.partitionBy(K).orderBy("event_date")
-    sat = sat.select(K, F.date_add("event_date", 1).alias("event_date"),
-                     F.col("inventory_eod").alias("last_sat"),
-                     F.lag("inventory_eod").over(ws).alias("prev_sat"))
-    prev_day = d.select(K, F.date_add("event_date", 1).alias("event_date"),
-                        F.col("inventory_eod").alias("stock_before"))
+    d = daily.select(K, "event_date",
+                     F.lag("inventory_eod", 1).over(ws).alias("stock_before"),
+                     F.lag("inventory_eod", 8).over(ws).alias("prev_sat")) \
+        .filter(weekday_index("event_date") == 6)
     sun = cal.filter(F.col("weekday") == 6).select(K, "event_date", "need", "holiday_ahead")
-    j = sun.join(sat, [K, "event_date"], "left").join(prev_day, [K, "event_date"], "left")
-    increased = F.coalesce(F.col("last_sat") > F.col("prev_sat"), F.lit(False))
+    j = sun.join(d, [K, "event_date"], "left")
+    increased = F.coalesce(F.col("stock_before") > F.col("prev_sat"), F.lit(False))
     stock = F.coalesce(F.col("stock_before"), F.lit(int(params.initial_stock)))
     qty = F.greatest(F.lit(0), F.col("need") - stock)
     out = j.select(K, "event_date", stock.alias("stock_before"), "need",

@@ -6,7 +6,7 @@ the prefix is computed in two levels instead:
 
 1. every row gets an order-compatible ``bucket`` (e.g. the hour of its
    timestamp, or an id range); per (key, bucket) totals are a partial +
-   final aggregate, so the shuffle carries one row per bucket and task;
+   final aggregate, so that shuffle carries one row per bucket and task;
 2. a window over those totals (one row per bucket, small) gives each
    bucket the total of all earlier buckets;
 3. the running value inside each (key, bucket) is a window partitioned by
@@ -50,6 +50,9 @@ def running(df: DataFrame, keys: Sequence[str], order: Sequence, value: str, out
         return df.withColumn(out, agg(value).over(w))
 
     b = "__bucket"
+    # Two passes over the input (as any distributed prefix scan): the bucket
+    # totals are a partial + final aggregate, so their shuffle carries one
+    # row per (key, bucket) and task; only the in-bucket window shuffles rows.
     d = df.withColumn(b, bucket)
     totals = d.groupBy(*keys, b).agg(agg(value).alias("__tot"))
     w_prev = Window.partitionBy(*keys).orderBy(b).rowsBetween(Window.unboundedPreceding, -1)

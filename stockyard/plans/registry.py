@@ -265,10 +265,18 @@ def daily(spark, sf_dir):
                                initial_stock=PARAMS.initial_stock, zone=ZONE)
 
 
+def daily_table(spark, sf_dir):
+    """The daily stock series materialised once (reliable checkpoint in the
+    shared checkpoint folder), as the pipeline does with its daily table:
+    downstream jobs that read it in several branches then scan the events
+    once instead of once per branch."""
+    return daily(spark, sf_dir).checkpoint(eager=True)
+
+
 def ranges(spark, sf_dir):
-    """Per-SKU [first, last] local day of its movements."""
-    d = INV._daily_movements(sales(spark, sf_dir), acquisitions(spark, sf_dir), ZONE)
-    return INV.sku_ranges(d)
+    """Per-SKU [first, last] local day of its movements (from the daily
+    stock series)."""
+    return INV.sku_ranges(daily_table(spark, sf_dir))
 
 
 SQL_SALES = """SELECT user_id AS sku_id, printf('S%08d', event_id) AS sales_id, ts AS event_ts,
@@ -391,7 +399,7 @@ FROM t FULL JOIN l ON t.sku_id = l.sku_id""")
 def q_stock_conservation(spark, sf_dir):
     """Per-SKU conservation check of the daily stock."""
     return INV.stock_conservation(sales(spark, sf_dir), acquisitions(spark, sf_dir),
-                                  daily(spark, sf_dir), PARAMS.initial_stock, ZONE)
+                                  daily_table(spark, sf_dir), PARAMS.initial_stock, ZONE)
 
 
 @register("allocate_stock")

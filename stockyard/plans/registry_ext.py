@@ -12,8 +12,8 @@ from ..operators import forecast as FC
 from ..operators import inventory as INV
 from ..sources import standins as S
 from ..sources.tables import read_table
-from .registry import (ORACLE, QUERIES, PARAMS, SQL_DAILY, SQL_LEDGER, SQL_RANGES, SQL_SALES, _ld, daily,
-                       ledger, ranges, register, sales)
+from .registry import (ORACLE, QUERIES, PARAMS, SQL_DAILY, SQL_LEDGER, SQL_RANGES, SQL_SALES, _ld,
+                       daily_table, ledger, ranges, register, sales)
 
 K = "sku_id"
 
@@ -158,7 +158,7 @@ FROM j WHERE (NOT increased OR holiday_ahead) AND greatest(0, need - stock_befor
 @register("planned_restock", SQL_PLANNED)
 def q_planned_restock(spark, sf_dir):
     """Sunday restock recommendations per SKU on observed daily stock."""
-    return INV.planned_restock(daily(spark, sf_dir), ranges(spark, sf_dir), PARAMS)
+    return INV.planned_restock(daily_table(spark, sf_dir), None, PARAMS)
 
 
 _ED = PARAMS.emergency_days
@@ -200,8 +200,8 @@ SELECT f.sku_id, f.event_date,
 FROM fut f LEFT JOIN r ON r.sku_id = f.sku_id AND r.weekday = isodow(f.event_date) - 1"""
 
 
-def forecast(spark, sf_dir):
-    return FC.forecast_demand(daily(spark, sf_dir), horizon=H)
+def forecast(spark, sf_dir, d=None):
+    return FC.forecast_demand(d if d is not None else daily_table(spark, sf_dir), horizon=H)
 
 
 @register("forecast_demand", SQL_FORECAST)
@@ -213,7 +213,7 @@ def q_forecast_demand(spark, sf_dir):
 @register("forecast_demand_grouped", SQL_FORECAST)
 def q_forecast_demand_grouped(spark, sf_dir):
     """Same forecast through the pluggable applyInPandas path."""
-    return FC.forecast_demand_grouped(daily(spark, sf_dir), horizon=H)
+    return FC.forecast_demand_grouped(daily_table(spark, sf_dir), horizon=H)
 
 
 SQL_WEEKLY = f"""SELECT sku_id, CAST(date_trunc('week', event_date) AS DATE) AS week_monday,
@@ -246,7 +246,8 @@ SELECT c.sku_id, week_monday, weekly_demand, weekly_demand_cum,
 FROM ({SQL_CUM}) c JOIN inv ON inv.sku_id = c.sku_id""")
 def q_inventory_forecast(spark, sf_dir):
     """Latest stock minus cumulative forecast demand per SKU and week."""
-    return FC.inventory_forecast(daily(spark, sf_dir), forecast(spark, sf_dir))
+    d = daily_table(spark, sf_dir)
+    return FC.inventory_forecast(d, forecast(spark, sf_dir, d))
 
 
 # ---------------------------------------------------------------------------

@@ -86,7 +86,7 @@ def q_stream_silver_customers(spark, sf_dir):
 # ---------------------------------------------------------------------------
 
 from . import sql_jobs  # noqa: E402
-from .registry import (ORACLE as _O, PARAMS, ZONE, acquisitions, daily,  # noqa: E402
+from .registry import (ORACLE as _O, PARAMS, ZONE, acquisitions, daily_table,  # noqa: E402
                        sales)
 from .registry_ext import forecast  # noqa: E402
 
@@ -115,4 +115,5 @@ def q_daily_approved_utc_sql(spark, sf_dir):
 @register("inventory_forecast_sql", _O["inventory_forecast"])
 def q_inventory_forecast_sql(spark, sf_dir):
     """Weekly depletion view as Spark SQL over daily stock and forecast."""
-    return sql_jobs.inventory_forecast_sql(spark, daily(spark, sf_dir), forecast(spark, sf_dir))
+    d = daily_table(spark, sf_dir)
+    return sql_jobs.inventory_forecast_sql(spark, d, forecast(spark, sf_dir, d))
