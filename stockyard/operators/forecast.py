@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from ..functions.dates import future_spine, week_start, weekday_index
+from ..session import ship_package
 from .filters import latest_rows_window
 from .windows import running
 
@@ -78,6 +79,7 @@ def forecast_demand_grouped(daily: DataFrame, horizon: int = 28, value: str = "a
     ``groupBy(sku_id).applyInPandas`` (Arrow batches, no driver hop). Days
     are passed as integers (days since 1970-01-01) and turned back into
     dates on the JVM side, so a group costs only numpy work."""
+    ship_package(daily.sparkSession)
     key_t = daily.schema[K].dataType.simpleString()
     epoch = F.lit("1970-01-01").cast("date")
     h = daily.select(K, F.datediff("event_date", epoch).alias("day"),

@@ -25,6 +25,7 @@ from pyspark.sql.window import Window
 
 from .. import config as C
 from ..functions.dates import local_date, utc_date, weekday_index
+from ..session import ship_package
 from .calendar import coverage_need, demand_calendar
 from .filters import anti_join_ids
 from .windows import running
@@ -297,6 +298,7 @@ def allocate_stock(sales: DataFrame, acq: DataFrame, initial_stock: int = 0,
 
     Columns: sku_id, sales_id, event_ts, quantity, status, approved,
     stock_after."""
+    ship_package(sales.sparkSession)
     ts_t = sales.schema["event_ts"].dataType.simpleString()
     a = acq.select(K, F.col("event_ts").cast(ts_t).alias("event_ts"), F.lit(0).alias("kind"),
                    F.col("acquisition_id").cast("string").alias("rid"),

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from .. import config as C
 from ..sources import standins as S
+from ..session import ensure_checkpoint_dir
 from ..sources.tables import read_table
 from . import gold, silver
 
@@ -270,6 +271,7 @@ def daily_table(spark, sf_dir):
     shared checkpoint folder), as the pipeline does with its daily table:
     downstream jobs that read it in several branches then scan the events
     once instead of once per branch."""
+    ensure_checkpoint_dir(spark)
     return daily(spark, sf_dir).checkpoint(eager=True)
 
 

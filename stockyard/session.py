@@ -77,3 +77,26 @@ def local_path(p: str) -> str:
 
 def exists(p: str) -> bool:
     return os.path.exists(local_path(p))
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make this package importable in the Python workers (``addPyFile`` of a
+    zip of it), once per SparkContext. Needed by the operators that run
+    Python inside tasks (``mapInPandas`` / ``applyInPandas``) when the
+    workers do not already have the package on their path."""
+    import zipfile
+
+    sc = spark.sparkContext
+    if getattr(sc, "_stockyard_shipped", False):
+        return
+    pkg = os.path.dirname(os.path.abspath(__file__))
+    root = os.path.dirname(pkg)
+    path = os.path.join(tempfile.mkdtemp(prefix="stockyard-pyfiles-"), "stockyard.zip")
+    with zipfile.ZipFile(path, "w", zipfile.ZIP_DEFLATED) as z:
+        for d, _, files in os.walk(pkg):
+            for f in files:
+                if f.endswith(".py"):
+                    full = os.path.join(d, f)
+                    z.write(full, os.path.relpath(full, root))
+    sc.addPyFile(path)
+    sc._stockyard_shipped = True
