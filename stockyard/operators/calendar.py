@@ -60,9 +60,41 @@ def _spec(spec) -> dict:
             v = (float(v.get("multiplier", 1.0)), int(v.get("pre_days", 0)),
                  int(v.get("post_days", 0)))
         out[name] = (float(v[0]), int(v[1]), int(v[2]))
+        if not (0 <= out[name][1] < 300 and 0 <= out[name][2] < 300):
+            raise ValueError("pre_days / post_days must be in [0, 300)")
     return out
 
 
+def holiday_date_map(ranges: DataFrame, spec=None) -> DataFrame:
+    """Holiday-window multipliers by date only, for every year from the
+    earliest ``start`` to the latest ``end`` of ``ranges``:
+    (event_date, mult_same, mult_prev, mult_next) = the largest multiplier of
+    windows around holidays of the date's own year, of the previous year
+    (a window reaching over New Year) and of the next year.
+
+    Its size is at most (#years spanned) x sum(pre + post + 1) rows - a
+    bound set by the calendar span and the spec, not by the number of keys
+    or events - so it is safe to broadcast."""
+    sp = _spec(spec)
+    span = ranges.agg(F.min(F.year("start")).alias("y0"), F.max(F.year("end")).alias("y1"))
+    years = span.select(F.explode(F.sequence("y0", "y1")).alias("year"))
+    y = F.col("year")
+    entries = [F.struct(F.lit(n).alias("holiday"), d.alias("holiday_date"), F.lit(sp[n][0]).alias("mult"),
+                        F.sequence(F.lit(-sp[n][1]), F.lit(sp[n][2])).alias("offs"))
+               for n, d in _holiday_dates(y) if n in sp]
+    if not entries:
+        return ranges.sparkSession.createDataFrame(
+            [], "event_date date, mult_same double, mult_prev double, mult_next double")
+    h = years.select("year", F.inline(F.array(*entries)))
+    d = h.select("year", "mult", F.explode("offs").alias("off"), "holiday_date") \
+        .select(F.date_add("holiday_date", F.col("off")).alias("event_date"), "year", "mult")
+    rel = F.col("year") - F.year("event_date")
+    return d.groupBy("event_date").agg(
+        F.max(F.when(rel == 0, F.col("mult"))).alias("mult_same"),
+        F.max(F.when(rel == -1, F.col("mult"))).alias("mult_prev"),
+        F.max(F.when(rel == 1, F.col("mult"))).alias("mult_next"))
+
+
 def holiday_multiplier(ranges: DataFrame, spec=None, keys: Sequence[str] = ("sku_id",)) -> DataFrame:
     """(keys, event_date, holiday_mult): every date within ``pre`` days before
     to ``post`` days after a holiday and inside [start, end] gets the largest
@@ -94,22 +126,36 @@ def demand_calendar(ranges: DataFrame, params: C.DemandParams = C.DemandParams()
     expected(d) = base * (1 + r) ** (days_since_start / 30.4375)
                   * weekday_factor[weekday(d)] * holiday_mult(d)
 
-    The holiday factor is 1.0 after ``end`` (the multiplier map is clipped to
-    the range). Columns: keys, start, end, event_date, weekday, holiday_mult,
-    in_holiday_window, expected_orders."""
+    The holiday factor is 1.0 outside [start, end] and counts only holidays
+    of the years year(start)..year(end), as :func:`holiday_multiplier`.
+    Columns: keys, start, end, event_date, weekday, holiday_mult,
+    in_holiday_window, expected_orders.
+
+    Plan: the spine is generated per key (no shuffle beyond the one that
+    built ``ranges``); the holiday multipliers come from the date-keyed map
+    of :func:`holiday_date_map`, broadcast (its size is bounded by the
+    calendar span, see there) and joined on the date alone, so the spine is
+    never shuffled for it."""
     spine = ranges.select(*keys, "start", "end", F.explode(F.sequence(
         F.col("start"), F.date_add("end", lookahead_days))).alias("event_date"))
-    mult = holiday_multiplier(ranges, params.holidays, keys)
-    d = spine.join(mult, [*keys, "event_date"], "left")
+    hmap = F.broadcast(holiday_date_map(ranges, params.holidays))
+    d = spine.join(hmap, "event_date", "left")
+    ev = F.col("event_date")
+    inside = (ev >= F.col("start")) & (ev <= F.col("end"))
+    m = F.when(inside, F.greatest(
+        F.col("mult_same"),
+        F.when(F.year(ev) - 1 >= F.year("start"), F.col("mult_prev")),
+        F.when(F.year(ev) + 1 <= F.year("end"), F.col("mult_next"))))
+    d = d.withColumn("__m", m)
     wd = weekday_index("event_date")
     factors = F.array(*[F.lit(float(x)) for x in params.weekday_factors])
     days = F.datediff("event_date", "start")
     trend = F.lit(1.0) if params.monthly_rate == 0 else \
         F.pow(F.lit(1.0 + params.monthly_rate), days / F.lit(C.DAYS_PER_MONTH))
-    hm = F.coalesce(F.col("holiday_mult"), F.lit(1.0))
+    hm = F.coalesce(F.greatest(F.lit(1.0), F.col("__m")), F.lit(1.0))
     return d.select(*keys, "start", "end", "event_date", wd.alias("weekday"),
                     hm.alias("holiday_mult"),
-                    F.col("holiday_mult").isNotNull().alias("in_holiday_window"),
+                    F.col("__m").isNotNull().alias("in_holiday_window"),
                     (F.lit(float(params.base_daily)) * trend * F.element_at(factors, wd + 1) * hm)
                     .alias("expected_orders"))
 

@@ -52,30 +52,30 @@ def inventory_daily_sql(spark: SparkSession, sales: DataFrame, acq: DataFrame,
     date spine (sequence + explode), two daily aggregates grouped by
     ordinal, two left joins, one shared running-sum window."""
     return spark.sql(f"""
-        WITH acq AS (
-          SELECT sku_id, {_local_date(acq, zone)} AS dt, sum(quantity_received) AS qty_received
+        WITH received_by_day AS (
+          SELECT sku_id, {_local_date(acq, zone)} AS day, sum(quantity_received) AS units_in
           FROM {{a}} GROUP BY 1, 2),
-        sales_approved AS (
-          SELECT sku_id, {_local_date(sales, zone)} AS dt, sum(quantity) AS qty_approved
+        approved_by_day AS (
+          SELECT sku_id, {_local_date(sales, zone)} AS day, sum(quantity) AS units_out
           FROM {{s}} WHERE status = '{C.STATUS_APPROVED}' GROUP BY 1, 2),
         bounds AS (
-          SELECT sku_id, min(dt) AS d_start, max(dt) AS d_end FROM (
-            SELECT sku_id, dt FROM acq UNION ALL SELECT sku_id, dt FROM sales_approved)
+          SELECT sku_id, min(day) AS first_day, max(day) AS last_day FROM (
+            SELECT sku_id, day FROM received_by_day UNION ALL SELECT sku_id, day FROM approved_by_day)
           GROUP BY 1),
-        dates AS (
-          SELECT sku_id, explode(sequence(d_start, d_end, INTERVAL 1 DAY)) AS dt FROM bounds),
-        daily AS (
-          SELECT d.sku_id, d.dt,
-                 CAST(coalesce(a.qty_received, 0) AS BIGINT) AS qty_received,
-                 CAST(coalesce(s.qty_approved, 0) AS BIGINT) AS qty_approved
-          FROM dates d
-          LEFT JOIN acq a ON a.sku_id = d.sku_id AND a.dt = d.dt
-          LEFT JOIN sales_approved s ON s.sku_id = d.sku_id AND s.dt = d.dt)
-        SELECT sku_id, dt AS event_date, qty_received AS received_qty, qty_approved AS approved_qty,
-               CAST({int(initial_stock)} + sum(qty_received) OVER w - sum(qty_approved) OVER w AS BIGINT)
+        spine AS (
+          SELECT sku_id, explode(sequence(first_day, last_day, INTERVAL 1 DAY)) AS day FROM bounds),
+        filled AS (
+          SELECT sp.sku_id, sp.day,
+                 CAST(coalesce(r.units_in, 0) AS BIGINT) AS units_in,
+                 CAST(coalesce(o.units_out, 0) AS BIGINT) AS units_out
+          FROM spine sp
+          LEFT JOIN received_by_day r ON r.sku_id = sp.sku_id AND r.day = sp.day
+          LEFT JOIN approved_by_day o ON o.sku_id = sp.sku_id AND o.day = sp.day)
+        SELECT sku_id, day AS event_date, units_in AS received_qty, units_out AS approved_qty,
+               CAST({int(initial_stock)} + sum(units_in) OVER upto - sum(units_out) OVER upto AS BIGINT)
                  AS inventory_eod
-        FROM daily
-        WINDOW w AS (PARTITION BY sku_id ORDER BY dt ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)
+        FROM filled
+        WINDOW upto AS (PARTITION BY sku_id ORDER BY day ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)
         """, a=acq, s=sales)
 
 
@@ -94,19 +94,19 @@ def inventory_forecast_sql(spark: SparkSession, daily: DataFrame, pred: DataFram
     """Weekly depletion: latest stock per SKU (correlated scalar subquery
     on max date) minus the running sum of rounded-up weekly demand."""
     return spark.sql("""
-        WITH inv AS (
+        WITH latest_stock AS (
           SELECT d.sku_id, d.inventory_eod AS initial_inventory FROM {d} d
           WHERE d.event_date = (SELECT max(d2.event_date) FROM {d} d2 WHERE d2.sku_id = d.sku_id)),
-        weekly AS (
+        week_totals AS (
           SELECT sku_id, CAST(date_trunc('week', event_date) AS DATE) AS week_monday,
                  CAST(ceiling(sum(CAST(demand_prediction AS DECIMAL(20,6)))) AS BIGINT) AS weekly_demand
           FROM {p} GROUP BY 1, 2),
-        agg AS (
+        running AS (
           SELECT sku_id, week_monday, weekly_demand,
                  CAST(sum(weekly_demand) OVER (PARTITION BY sku_id ORDER BY week_monday
                       ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS BIGINT) AS weekly_demand_cum
-          FROM weekly)
-        SELECT a.sku_id, a.week_monday, a.weekly_demand, a.weekly_demand_cum,
-               i.initial_inventory - a.weekly_demand_cum AS remaining_inventory
-        FROM agg a JOIN inv i ON i.sku_id = a.sku_id
-        ORDER BY a.sku_id, a.week_monday""", d=daily, p=pred)
+          FROM week_totals)
+        SELECT r.sku_id, r.week_monday, r.weekly_demand, r.weekly_demand_cum,
+               s.initial_inventory - r.weekly_demand_cum AS remaining_inventory
+        FROM running r JOIN latest_stock s ON s.sku_id = r.sku_id
+        ORDER BY r.sku_id, r.week_monday""", d=daily, p=pred)

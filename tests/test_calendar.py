@@ -114,3 +114,27 @@ def test_spine_size(spark, ranges):
 
 def test_mean_qty_default():
     assert C.QtyDist().mean() == pytest.approx(0.96 * 1.5 + 0.04 * (2.5 * 4 / 1.5))
+
+
+@pytest.mark.parametrize("spec", [C.NOTEBOOK_HOLIDAYS,
+                                  {"natal": (2.0, 1, 12), "dia_das_criancas": (1.5, 2, 0)},
+                                  {"black_friday": (0.8, 2, 2)}])
+def test_broadcast_date_map_equals_per_key(spark, spec):
+    rg = spark.createDataFrame(RANGES + [(3, dt.date(2024, 1, 1), dt.date(2024, 1, 20)),
+                                         (4, dt.date(2023, 12, 30), dt.date(2024, 1, 10))],
+                               "sku_id long, start date, end date")
+    p = C.DemandParams(holidays=spec)
+    cal = CAL.demand_calendar(rg, p, lookahead_days=5)
+    got = {(r["sku_id"], r["event_date"]): (r["holiday_mult"], r["in_holiday_window"]) for r in cal.collect()}
+    per_key = {(r["sku_id"], r["event_date"]): r["holiday_mult"]
+               for r in CAL.holiday_multiplier(rg, spec).collect()}
+    for k, v in got.items():
+        if k in per_key:
+            assert v == (per_key[k], True), k
+        else:
+            assert v == (1.0, False), k
+    # the New-Year spill of the 2023 Christmas window is counted for SKU 4
+    # (its range starts in 2023) but not for SKU 3 (range starts in 2024)
+    if spec.get("natal", (0, 0, 0))[2] >= 7:
+        assert got[(4, dt.date(2024, 1, 2))][1] is True
+        assert got[(3, dt.date(2024, 1, 2))][1] is False
