@@ -11,7 +11,6 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from .. import config as C
 from ..sources import standins as S
@@ -244,9 +243,6 @@ def q_count_by_status(spark: SparkSession, sf_dir: str) -> DataFrame:
 # Inventory line (sales events / stock acquisitions stand-ins from `events`)
 # ---------------------------------------------------------------------------
 
-from ..operators import calendar as CAL  # noqa: E402
-from ..operators import events as EV  # noqa: E402
-from ..operators import forecast as FC  # noqa: E402
 from ..operators import inventory as INV  # noqa: E402
 
 ZONE = C.DEFAULT_ZONE

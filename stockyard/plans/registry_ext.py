@@ -12,7 +12,8 @@ from ..operators import forecast as FC
 from ..operators import inventory as INV
 from ..sources import standins as S
 from ..sources.tables import read_table
-from .registry import (ORACLE, QUERIES, PARAMS, SQL_DAILY, SQL_LEDGER, SQL_RANGES, SQL_SALES, _ld,
+from .registry import (ORACLE, QUERIES, PARAMS,  # noqa: F401 (re-exported)
+                       SQL_DAILY, SQL_LEDGER, SQL_RANGES, SQL_SALES, _ld,
                        daily_table, ledger, ranges, register, sales)
 
 K = "sku_id"
