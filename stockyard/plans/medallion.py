@@ -76,3 +76,38 @@ def run_inventory(spark: SparkSession, sales: DataFrame, acquisitions: DataFrame
                      "overwrite", fmt)
     sinks.create_view(spark, view, f"SELECT * FROM {view}_data")
     return {"daily": daily_t, "forecast": pred_t, "view": view}
+
+
+# Data sets the imperative loader moves (the category translation file is
+# not among them).
+IMPERATIVE_DATASETS = ("customers", "geolocation", "order_items", "order_payments",
+                       "order_reviews", "orders", "products", "sellers")
+
+
+def run_imperative(spark: SparkSession, raw_dir: str, db: str = "raw_silver", gold_db: str = "gold",
+                   fmt: str = "parquet", infer: bool = True, location: str | None = None) -> str:
+    """The imperative flavour: each CSV file straight to a table (header,
+    inferred types unless ``infer=False``, schema overwritten on every
+    load, no cleaning), then the typed product-demand table from those raw
+    tables. The status filter is case-insensitive, so the raw lower-case
+    spellings are excluded as intended."""
+    from ..sources.files import batch_load, csv_scan
+
+    sinks.ensure_schema(spark, db)
+    paths = {f"{raw_dir.rstrip('/')}/{bronze.FILES[d]}": d for d in IMPERATIVE_DATASETS}
+    items = [(p, f"{db}.{d}") for p, d in paths.items()]
+
+    def read(s, p):
+        return csv_scan(s, p) if infer else csv_scan(s, p, bronze.SCHEMAS[paths[p]])
+
+    batch_load(spark, items, lambda df, t: sinks.write_overwrite_schema(df, t, fmt), read)
+    sinks.ensure_schema(spark, gold_db)
+    table = f"{gold_db}.product_demand_features_daily"
+    sinks.create_typed_table(spark, table, gold.PRODUCT_DEMAND_DDL,
+                             "Product features and the dates of the orders that contain them.",
+                             fmt, location)
+    df = gold.product_demand_features(spark.read.table(f"{db}.orders"),
+                                      spark.read.table(f"{db}.order_items"),
+                                      spark.read.table(f"{db}.products"))
+    sinks.insert_overwrite(gold.conform(df), table)
+    return table

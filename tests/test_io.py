@@ -142,3 +142,13 @@ def test_session_namespace(spark):
         assert spark.conf.get("spark.sql.session.timeZone") == "UTC"
     finally:
         spark.catalog.setCurrentDatabase(cur)
+
+
+def test_imperative_flavour(spark, raw_dir):
+    sfx = os.path.basename(raw_dir).replace("-", "_")
+    t = medallion.run_imperative(spark, raw_dir, f"r_{sfx}", f"rg_{sfx}")
+    rows = spark.table(t).collect()
+    # raw lower-case 'canceled' is excluded; o1 keeps its two lines of p1
+    assert len(rows) == 1 and rows[0]["order_id"] == "o1" and rows[0]["quantity"] == 2
+    assert rows[0]["total_price"] == 21.0 and rows[0]["product_category_name"] == "Casa "  # no cleaning
+    assert dict(spark.table(f"r_{sfx}.customers").dtypes)["customer_zip_code_prefix"] == "int"
