@@ -1,14 +1,33 @@
-"""Deterministic per-row pseudo-random numbers."""
+"""Deterministic per-row pseudo-random numbers.
+
+``hash_units(id, seed, n)`` gives ``n`` numbers in [0, 1) per row, derived
+from md5 of "<id>:<seed>:<block>" (one md5 per five numbers, 24 bits each).
+The same row, seed and index always give the same number - on any
+partitioning, retry or engine with an md5 function - so a selection made
+with them survives recomputation and can be re-derived in plain SQL.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-_M = 1 << 30
+CHUNK_HEX = 6          # 24 bits per number
+PER_HASH = 5           # 5 x 6 = 30 of md5's 32 hex digits
+SCALE = float(1 << 24)
+
+
+def hash_units(c: Column, seed: int, n: int) -> list[Column]:
+    out = []
+    for i in range(n):
+        h = F.md5(F.concat_ws(":", c.cast("string"), F.lit(str(int(seed))), F.lit(str(i // PER_HASH))))
+        chunk = F.substring(h, 1 + CHUNK_HEX * (i % PER_HASH), CHUNK_HEX)
+        out.append(F.conv(chunk, 16, 10).cast("bigint") / F.lit(SCALE))
+    return out
 
 
-def hash_unit(c: Column, seed: int, kind: int) -> Column:
-    """A number in [0, 1) from xxhash64(c, seed, kind): the same row, seed
-    and kind always give the same number, on any partitioning or retry."""
-    return F.pmod(F.xxhash64(c, F.lit(int(seed)), F.lit(int(kind))), F.lit(_M)).cast("double") / _M
+def sql_hash_unit(id_sql: str, seed: int, i: int) -> str:
+    """The same number as ``hash_units(...)[i]`` in DuckDB SQL."""
+    h = f"md5(concat_ws(':', CAST({id_sql} AS VARCHAR), '{int(seed)}', '{i // PER_HASH}'))"
+    return (f"(CAST(('0x' || substr({h}, {1 + CHUNK_HEX * (i % PER_HASH)}, {CHUNK_HEX})) AS UBIGINT)"
+            f" / {SCALE})")

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from .. import config as C
 from ..functions.dates import plus_seconds
-from ..functions.hashing import hash_unit
+from ..functions.hashing import hash_units
 from .windows import running
 
 K = "sku_id"
@@ -58,6 +58,10 @@ def event_quality(sales: DataFrame, outlier_threshold: int = 50, order=None,
     return out.withColumn("event_quality_flag", flag)
 
 
+# Index of each per-row number of ``perturb_events`` in ``hash_units``.
+U_DUP, U_NULL_STATUS, U_NULL_TS, U_SHIFT2, U_SHIFT1, U_OUTLIER, V_SHIFT2, V_SHIFT1, V_OUTLIER = range(9)
+
+
 def perturb_events(sales: DataFrame, rates: C.ErrorRates = C.ErrorRates.notebook(),
                    seed: int = 123, key: str = "sales_id") -> DataFrame:
     """Inject controlled errors into placed / canceled rows only (approved
@@ -68,28 +72,30 @@ def perturb_events(sales: DataFrame, rates: C.ErrorRates = C.ErrorRates.notebook
     +-1 h, an outlier quantity in [1, 500].
 
     Selection is deterministic per row and error kind: a row is picked when
-    a hash of (id, seed, kind) falls below the rate, so the share is the
-    rate on average (not exactly round(rate * n)) and the result does not
-    depend on partitioning or on re-execution."""
+    its md5-derived number for that kind (``functions.hashing``) falls below
+    the rate, so the share is the rate on average (not exactly
+    round(rate * n)); the result does not depend on partitioning or on
+    re-execution, and every copy of an id gets the same decision."""
     st = F.col("status")
     elig = st.isin(*ELIGIBLE)
+    u = hash_units(F.col(key), seed, 9)
 
-    def pick(kind: int, rate: float) -> Column:
+    def pick(i: int, rate: float) -> Column:
         if rate <= 0:
             return F.lit(False)
-        return elig & (hash_unit(F.col(key), seed, kind) < F.lit(float(rate)))
+        return elig & (u[i] < F.lit(float(rate)))
 
-    dup = sales.filter(pick(1, rates.duplicate_rate))
+    dup = sales.filter(pick(U_DUP, rates.duplicate_rate))
     ts = F.col("event_ts")
-    shift2 = (hash_unit(F.col(key), seed, 11) * 14401).cast("int") - 7200
-    shift1 = F.when(hash_unit(F.col(key), seed, 12) < 0.5, -3600).otherwise(3600)
-    ts = F.when(pick(4, rates.out_of_order_rate), plus_seconds(ts, shift2)).otherwise(ts)
-    ts = F.when(pick(5, rates.tz_inconsistency_rate), plus_seconds(ts, shift1)).otherwise(ts)
-    ts = F.when(pick(3, rates.null_event_ts_rate), F.lit(None)).otherwise(ts)
-    q = F.when(pick(6, rates.placed_outlier_rate),
-               (F.lit(1) + (hash_unit(F.col(key), seed, 13) * 500).cast("int")).cast(
+    shift2 = F.floor(u[V_SHIFT2] * 14401).cast("int") - 7200
+    shift1 = F.when(u[V_SHIFT1] < 0.5, -3600).otherwise(3600)
+    ts = F.when(pick(U_SHIFT2, rates.out_of_order_rate), plus_seconds(ts, shift2)).otherwise(ts)
+    ts = F.when(pick(U_SHIFT1, rates.tz_inconsistency_rate), plus_seconds(ts, shift1)).otherwise(ts)
+    ts = F.when(pick(U_NULL_TS, rates.null_event_ts_rate), F.lit(None)).otherwise(ts)
+    q = F.when(pick(U_OUTLIER, rates.placed_outlier_rate),
+               (F.lit(1) + F.floor(u[V_OUTLIER] * 500).cast("int")).cast(
                    sales.schema["quantity"].dataType)).otherwise(F.col("quantity"))
-    s = F.when(pick(2, rates.null_status_rate), F.lit(None)).otherwise(st)
+    s = F.when(pick(U_NULL_STATUS, rates.null_status_rate), F.lit(None)).otherwise(st)
     changed = sales.select(*[
         ts.cast(sales.schema["event_ts"].dataType).alias(c) if c == "event_ts"
         else q.alias(c) if c == "quantity"

@@ -289,8 +289,30 @@ def q_event_quality(spark, sf_dir):
                             bucket=F.substring("sales_id", 1, 3))
 
 
-@register("perturb_events")
+def _sql_perturb(rates: C.ErrorRates, seed: int) -> str:
+    from ..functions.hashing import sql_hash_unit as hu
+
+    def pick(i, rate):
+        if rate <= 0:
+            return "false"
+        return f"(status IN ('placed', 'canceled') AND {hu('sales_id', seed, i)} < CAST({float(rate)} AS DOUBLE))"
+
+    shift2 = f"CAST(floor({hu('sales_id', seed, EV.V_SHIFT2)} * 14401) AS INTEGER) - 7200"
+    shift1 = f"CASE WHEN {hu('sales_id', seed, EV.V_SHIFT1)} < 0.5 THEN -3600 ELSE 3600 END"
+    ts = (f"CASE WHEN {pick(EV.U_SHIFT2, rates.out_of_order_rate)} THEN event_ts + to_seconds({shift2}) "
+          "ELSE event_ts END")
+    ts = f"CASE WHEN {pick(EV.U_SHIFT1, rates.tz_inconsistency_rate)} THEN ({ts}) + to_seconds({shift1}) ELSE ({ts}) END"
+    ts = f"CASE WHEN {pick(EV.U_NULL_TS, rates.null_event_ts_rate)} THEN NULL ELSE ({ts}) END"
+    q = (f"CASE WHEN {pick(EV.U_OUTLIER, rates.placed_outlier_rate)} "
+         f"THEN 1 + CAST(floor({hu('sales_id', seed, EV.V_OUTLIER)} * 500) AS INTEGER) ELSE quantity END")
+    st = f"CASE WHEN {pick(EV.U_NULL_STATUS, rates.null_status_rate)} THEN NULL ELSE status END"
+    return f"""SELECT sku_id, sales_id, {ts} AS event_ts, {q} AS quantity, {st} AS status FROM ({SQL_SALES})
+UNION ALL
+SELECT * FROM ({SQL_SALES}) WHERE {pick(EV.U_DUP, rates.duplicate_rate)}"""
+
+
+@register("perturb_events", _sql_perturb(C.ErrorRates.notebook(), 123))
 def q_perturb_events(spark, sf_dir):
-    """Controlled error injection on placed / canceled sales (hash-based
-    selection; rows-only check)."""
+    """Controlled error injection on placed / canceled sales (md5-derived
+    per-row selection, reproducible in SQL)."""
     return EV.perturb_events(sales(spark, sf_dir), C.ErrorRates.notebook(), seed=123)
