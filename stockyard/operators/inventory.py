@@ -253,33 +253,29 @@ ALLOC_SCHEMA = ("sku_id long, sales_id string, event_ts timestamp_ntz, quantity
 
 
 def _allocate_partition(initial_stock: int):
+    """Sequential replay over one partition's rows, sorted by (sku, time,
+    kind, id); state is the current SKU's stock only."""
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         cur_sku, stock = None, int(initial_stock)
         for pdf in batches:
-            n = len(pdf)
-            sku = pdf["sku_id"].to_numpy()
-            kind = pdf["kind"].to_numpy()
-            qty = pdf["qty"].to_numpy()
-            approved = [None] * n
-            after = [0] * n
-            for i in range(n):
-                if sku[i] != cur_sku:
-                    cur_sku, stock = sku[i], int(initial_stock)
-                q = int(qty[i])
-                if kind[i] == 0:
+            skus, kinds, qtys = pdf["sku_id"].tolist(), pdf["kind"].tolist(), pdf["qty"].tolist()
+            approved, after = [], []
+            for sku, kind, q in zip(skus, kinds, qtys):
+                if sku != cur_sku:
+                    cur_sku, stock = sku, int(initial_stock)
+                if kind == 0:
                     stock += q
-                elif stock >= q:
+                    continue
+                ok = stock >= q
+                if ok:
                     stock -= q
-                    approved[i] = True
-                else:
-                    approved[i] = False
-                after[i] = stock
-            out = pdf.assign(approved=approved, stock_after=after)
-            out = out[out["kind"] == 1]
+                approved.append(ok)
+                after.append(stock)
+            req = pdf[pdf["kind"] == 1]
             yield pd.DataFrame({
-                "sku_id": out["sku_id"], "sales_id": out["rid"], "event_ts": out["event_ts"],
-                "quantity": out["qty"], "status": out["status"],
-                "approved": out["approved"].astype(bool), "stock_after": out["stock_after"]})
+                "sku_id": req["sku_id"].to_numpy(), "sales_id": req["rid"].to_numpy(),
+                "event_ts": req["event_ts"].to_numpy(), "quantity": req["qty"].to_numpy(),
+                "status": req["status"].to_numpy(), "approved": approved, "stock_after": after})
     return run
 
 
