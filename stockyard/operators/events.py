@@ -32,17 +32,38 @@ def dedupe_events(sales: DataFrame, key: str = "sales_id") -> DataFrame:
     return best.select(key, *[F.col(f"__best.{c}").alias(c) for c in others])
 
 
+def auto_bucket(df: DataFrame, first_order: Column) -> Column | None:
+    """An order-compatible bucket for the first ordering column: id ranges of
+    65,536 for integers, a fixed-length prefix for strings (fixed length
+    keeps it non-decreasing in string order), hours for timestamps."""
+    name = first_order._jc.toString().strip("`")
+    if name not in df.columns:
+        return None
+    t = df.schema[name].dataType.simpleString()
+    c = F.col(name)
+    if t in ("int", "bigint", "smallint", "tinyint"):
+        return F.floor(c / 65536)
+    if t == "string":
+        return F.substring(c, 1, 6)
+    if t.startswith("timestamp"):
+        return F.date_trunc("hour", c)
+    return None
+
+
 def event_quality(sales: DataFrame, outlier_threshold: int = 50, order=None,
-                  bucket: Column | None = None) -> DataFrame:
+                  bucket: Column | str | None = "auto") -> DataFrame:
     """Flag per sales event (first match wins in ``event_quality_flag``):
     null_status, null_event_ts, out_of_order (time below the latest time of
     the SKU's earlier events in id order), quantity_outlier (quantity above
     ``outlier_threshold``), else valid. A +-1 h zone slip looks like a real
-    time and is not flagged. ``bucket`` (non-decreasing along ``order``)
+    time and is not flagged. ``bucket`` (non-decreasing along ``order``;
+    "auto" derives one from the first ordering column, None disables it)
     makes the running max two-level, see ``windows.running``. ``order``
     (default: sales_id) is the arrival order; add tie-breakers when ids
     repeat."""
     order = order or [F.col("sales_id")]
+    if isinstance(bucket, str) and bucket == "auto":
+        bucket = auto_bucket(sales, order[0])
     r = running(sales, [K], order, "event_ts", "__prev_max", "max",
                 bucket=bucket, include_current=False)
     ooo = F.coalesce(F.col("event_ts") < F.col("__prev_max"), F.lit(False))

@@ -63,7 +63,7 @@ def test_event_quality_bucketed_equals_plain(spark):
     rows = [(1 if i % 3 == 0 else rnd.randint(2, 9), f"S{i:08d}", t + dt.timedelta(minutes=rnd.randint(0, 5000)),
              rnd.randint(1, 80), rnd.choice(["placed", None, "approved"])) for i in range(5000)]
     s = spark.createDataFrame(rows, "sku_id long, sales_id string, event_ts timestamp_ntz, quantity int, status string")
-    a = EV.event_quality(s)
+    a = EV.event_quality(s, bucket=None)
     b = EV.event_quality(s, bucket=F.substring("sales_id", 1, 6))
     assert sorted(map(tuple, a.collect())) == sorted(map(tuple, b.collect()))
 
@@ -86,3 +86,15 @@ def test_no_python_in_sql_expressible_queries(spark):
             continue
         plan = fn(spark, SF)._jdf.queryExecution().executedPlan().toString()
         assert "Python" not in plan and "PandasUDF" not in plan, name
+
+
+def test_event_quality_auto_bucket_numeric_ids(spark):
+    rnd = random.Random(4)
+    t = dt.datetime(2024, 1, 1)
+    rows = [(1 if i % 2 else 2, i * 37, t + dt.timedelta(seconds=rnd.randint(0, 10 ** 6)), 1, "placed")
+            for i in range(4000)]
+    s = spark.createDataFrame(rows, "sku_id long, sales_id long, event_ts timestamp_ntz, quantity int, status string")
+    a = EV.event_quality(s, bucket=None)
+    b = EV.event_quality(s)  # auto: id ranges
+    assert "__bucket" not in b.columns
+    assert sorted(map(tuple, a.collect())) == sorted(map(tuple, b.collect()))
