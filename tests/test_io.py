@@ -128,6 +128,7 @@ def test_streaming_refresh_is_incremental(spark, raw_dir):
     assert {r["customer_id"] for r in df.collect()} == {"c1", "c2", "c9"}
 
 
+@pytest.mark.skipif(not os.path.exists("/root/testdata/sf0.001"), reason="benchmark tables not present")
 def test_lineage_columns_on_parquet(spark):
     df = lineage_columns(spark.read.parquet("/root/testdata/sf0.001/region.parquet"))
     r = df.first()

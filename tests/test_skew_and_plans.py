@@ -5,7 +5,10 @@ import datetime as dt
 import random
 from decimal import Decimal
 
+import os
+
 import pandas as pd
+import pytest
 from pyspark.sql import functions as F
 
 from stockyard.operators import events as EV
@@ -68,6 +71,10 @@ def test_event_quality_bucketed_equals_plain(spark):
     assert sorted(map(tuple, a.collect())) == sorted(map(tuple, b.collect()))
 
 
+needs_data = pytest.mark.skipif(not os.path.exists(SF), reason="benchmark tables not present")
+
+
+@needs_data
 def test_product_demand_plan_pushdown(spark):
     import __spark_entry__ as E
     df = E.queries()["product_demand"](spark, SF)
@@ -78,6 +85,7 @@ def test_product_demand_plan_pushdown(spark):
     assert "BatchEvalPython" not in q and "ArrowEvalPython" not in q  # no Python in the hot path
 
 
+@needs_data
 def test_no_python_in_sql_expressible_queries(spark):
     import __spark_entry__ as E
     python_ops = {"allocate_stock", "forecast_demand_grouped"}
