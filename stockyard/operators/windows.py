@@ -59,7 +59,15 @@ def running(df: DataFrame, keys: Sequence[str], order: Sequence, value: str, out
     offsets = totals.select(*keys, b, agg("__tot").over(w_prev).alias("__off"))
     w_in = Window.partitionBy(*keys, b).orderBy(*order).rowsBetween(Window.unboundedPreceding, end)
     inner = d.withColumn("__in", agg(value).over(w_in))
-    res = inner.join(offsets, [*keys, b], "inner")
+    # null-safe equi-join: rows with a NULL key or bucket keep their place
+    # (a window treats NULL as a group of its own, so must the join)
+    names = [*keys, b]
+    o = offsets.select(*[F.col(c).alias(f"__o{i}") for i, c in enumerate(names)], "__off")
+    cond = None
+    for i, c in enumerate(names):
+        e = inner[c].eqNullSafe(o[f"__o{i}"])
+        cond = e if cond is None else cond & e
+    res = inner.join(o, cond, "inner").drop(*[f"__o{i}" for i in range(len(names))])
     if op == "sum":
         val = F.when(F.col("__in").isNull() & F.col("__off").isNull(), F.lit(None)) \
             .otherwise(F.coalesce(F.col("__off"), F.lit(0)) + F.coalesce(F.col("__in"), F.lit(0)))

@@ -224,3 +224,13 @@ def test_canceled_ids_removed_utc(spark):
                                (1, "Y", T(2024, 1, 1, 10), 3, "approved")], SALES_T)
     r = INV.daily_approved_utc(s).collect()
     assert [(x["event_date"], x["approved_qty"]) for x in r] == [(dt.date(2024, 1, 1), 3)]
+
+
+def test_two_level_running_keeps_null_keys_and_buckets(spark):
+    rows = [(None, 1, 5), (None, 2, 1), (1, None, 3), (1, 4, 2), (1, 70000, 7), (2, 3, 1)]
+    df = spark.createDataFrame(rows, "k long, i long, v long")
+    for op in ("sum", "max"):
+        a = running(df, ["k"], [F.col("i")], "v", "o", op)
+        b = running(df, ["k"], [F.col("i")], "v", "o", op, bucket=F.floor(F.col("i") / 65536))
+        assert b.count() == len(rows)
+        assert sorted(map(tuple, a.collect()), key=str) == sorted(map(tuple, b.collect()), key=str)
