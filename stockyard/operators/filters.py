@@ -42,11 +42,16 @@ def latest_rows(df: DataFrame, keys: Sequence[str], order_col: str) -> DataFrame
     """Rows whose ``order_col`` equals the per-key maximum (ties all kept).
 
     The per-key max is a partial + final aggregate (map-side combine, so a
-    hot key is reduced before the shuffle), joined back on the key."""
+    hot key is reduced before the shuffle), joined back on (key, max value):
+    the join is hashed on both columns, so a hot key's rows spread over
+    tasks, and only the latest rows find a partner. Keys match null-safely,
+    like the grouping."""
     mx = df.groupBy(*keys).agg(F.max(order_col).alias("__max"))
-    return (df.join(mx, list(keys), "inner")
-              .filter(F.col(order_col) == F.col("__max"))
-              .drop("__max"))
+    o = mx.select(*[F.col(k).alias(f"__k{i}") for i, k in enumerate(keys)], "__max")
+    cond = df[order_col] == o["__max"]
+    for i, k in enumerate(keys):
+        cond = cond & df[k].eqNullSafe(o[f"__k{i}"])
+    return df.join(o, cond, "inner").drop("__max", *[f"__k{i}" for i in range(len(keys))])
 
 
 def latest_rows_window(df: DataFrame, keys: Sequence[str], order_col: str) -> DataFrame:
