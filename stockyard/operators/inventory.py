@@ -6,6 +6,9 @@ Inputs (any DataFrame with these columns):
 * sales: ``sku_id, sales_id, event_ts, quantity, status``
 * acquisitions: ``sku_id, acquisition_id, event_ts, reason, quantity_received``
 
+``sku_id`` and the ids are declared NOT NULL (as in the event tables'
+schemas); joins on them are plain equi-joins.
+
 Event times are instants; ``timestamp_ntz`` columns are read as UTC. Daily
 figures use the local calendar date in ``zone`` unless said otherwise.
 Everything is keyed by ``sku_id``: raw events are reduced by partial
