@@ -27,18 +27,31 @@ from .windows import running
 K = "sku_id"
 
 
-def _history(daily: DataFrame, value: str) -> DataFrame:
+EPOCH = "1970-01-01"  # a Thursday: (days since it + 3) mod 7 is the weekday, Monday = 0
+
+
+def season_index(c, season: int):
+    """Position of a date in a cycle of ``season`` days; for 7 it is the
+    weekday (Monday = 0)."""
+    if season == 7:
+        return weekday_index(c)
+    return F.pmod(F.datediff(c, F.lit(EPOCH).cast("date")) + 3, F.lit(season))
+
+
+def _history(daily: DataFrame, value: str, season: int) -> DataFrame:
     first = F.min("event_date").over(Window.partitionBy(K))
     return daily.select(K, "event_date", F.col(value).cast("double").alias("y"),
                         F.datediff("event_date", first).alias("t"),
-                        weekday_index("event_date").alias("weekday"))
+                        season_index("event_date", season).alias("weekday"))
 
 
 def forecast_demand(daily: DataFrame, horizon: int = 28, value: str = "approved_qty",
-                    digits: int = 4) -> DataFrame:
+                    digits: int = 4, season: int = 7) -> DataFrame:
     """(sku_id, event_date, demand_prediction) for the ``horizon`` days after
-    each SKU's last day: max(0, a + b * t + weekday_effect), rounded."""
-    h = _history(daily, value)
+    each SKU's last day: max(0, a + b * t + seasonal_effect), rounded. The
+    seasonal effect is the mean residual per position in a ``season``-day
+    cycle (7: per weekday)."""
+    h = _history(daily, value, season)
     fit = h.groupBy(K).agg(
         F.regr_slope("y", "t").alias("b"), F.regr_intercept("y", "t").alias("a"),
         F.avg("y").alias("mean_y"), F.min("event_date").alias("first_date"),
@@ -50,7 +63,7 @@ def forecast_demand(daily: DataFrame, horizon: int = 28, value: str = "approved_
         F.avg(F.col("y") - (F.col("a") + F.col("b") * F.col("t"))).alias("w"))
     fut = future_spine(fit, "last_date", horizon)
     fut = fut.select(K, "event_date", "a", "b", F.datediff("event_date", "first_date").alias("t"),
-                     weekday_index("event_date").alias("weekday"))
+                     season_index("event_date", season).alias("weekday"))
     p = fut.join(resid, [K, "weekday"], "left")
     pred = F.greatest(F.lit(0.0), F.col("a") + F.col("b") * F.col("t") + F.coalesce("w", F.lit(0.0)))
     return p.select(K, "event_date", F.round(pred, digits).alias("demand_prediction"))
@@ -66,22 +79,25 @@ def linear_weekday_model(t: np.ndarray, y: np.ndarray, weekday: np.ndarray,
     else:
         b, a = 0.0, float(np.mean(y))
     r = y - (a + b * t)
-    cnt = np.bincount(weekday, minlength=7)
-    eff = np.divide(np.bincount(weekday, weights=r, minlength=7), cnt,
-                    out=np.zeros(7), where=cnt > 0)
+    m = int(max(weekday.max(initial=0), weekday_new.max(initial=0))) + 1
+    cnt = np.bincount(weekday, minlength=m)
+    eff = np.divide(np.bincount(weekday, weights=r, minlength=m), cnt,
+                    out=np.zeros(m), where=cnt > 0)
     return np.maximum(0.0, a + b * t_new + eff[weekday_new])
 
 
 def forecast_demand_grouped(daily: DataFrame, horizon: int = 28, value: str = "approved_qty",
-                            model: Callable = linear_weekday_model, digits: int = 4) -> DataFrame:
+                            model: Callable = linear_weekday_model, digits: int = 4,
+                            season: int = 7) -> DataFrame:
     """Same output as :func:`forecast_demand` with a pluggable per-SKU model
     ``model(t, y, weekday, t_new, weekday_new) -> y_new`` run in
-    ``groupBy(sku_id).applyInPandas`` (Arrow batches, no driver hop). Days
+    ``groupBy(sku_id).applyInPandas`` (Arrow batches, no driver hop); the
+    seasonal position passed to the model is the same as the native one. Days
     are passed as integers (days since 1970-01-01) and turned back into
     dates on the JVM side, so a group costs only numpy work."""
     ship_package(daily.sparkSession)
     key_t = daily.schema[K].dataType.simpleString()
-    epoch = F.lit("1970-01-01").cast("date")
+    epoch = F.lit(EPOCH).cast("date")
     h = daily.select(K, F.datediff("event_date", epoch).alias("day"),
                      F.col(value).cast("double").alias("y"))
 
@@ -91,8 +107,8 @@ def forecast_demand_grouped(daily: DataFrame, horizon: int = 28, value: str = "a
         day, y = day[order], pdf["y"].to_numpy()[order]
         t = day - day[0]
         new_day = day[-1] + np.arange(1, horizon + 1)
-        wd = (day + 3) % 7  # 1970-01-01 was a Thursday (Monday = 0)
-        y_new = model(t, y, wd, new_day - day[0], (new_day + 3) % 7)
+        wd = (day + 3) % season  # 1970-01-01 was a Thursday (Monday = 0)
+        y_new = model(t, y, wd, new_day - day[0], (new_day + 3) % season)
         return pd.DataFrame({K: np.repeat(pdf[K].iloc[0], horizon), "day": new_day,
                              "demand_prediction": np.round(np.asarray(y_new, dtype=float), digits)})
 

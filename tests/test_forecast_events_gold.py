@@ -140,3 +140,15 @@ def test_product_demand_semantics(spark):
     assert out["pA"]["total_price"] == Decimal("1.10")
     typed = gold.conform(gold.product_demand_features(orders, items, prods))
     assert [f.dataType.simpleString() for f in typed.schema.fields][-3:] == ["int", "double", "double"]
+
+
+@pytest.mark.parametrize("season", [7, 12])
+def test_forecast_season_native_equals_grouped(spark, season):
+    rng = np.random.default_rng(season)
+    noise = rng.integers(0, 20, size=400)
+    d = _daily(spark, lambda k, i, day: noise[i + 100 * k] + (i % season), days=90, skus=(1, 2))
+    a = {(r[0], r[1]): r[2] for r in FC.forecast_demand(d, 10, season=season).collect()}
+    b = {(r[0], r[1]): r[2] for r in FC.forecast_demand_grouped(d, 10, season=season).collect()}
+    assert a.keys() == b.keys() and len(a) == 20
+    for key in a:
+        assert a[key] == pytest.approx(b[key], abs=2e-4)
