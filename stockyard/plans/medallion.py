@@ -24,9 +24,10 @@ def silver_properties(dataset: str) -> dict:
     return p
 
 
-def run_bronze(spark: SparkSession, raw_dir: str, db: str = "bronze", fmt: str = "parquet",
+def run_bronze(spark: SparkSession, raw_dir: str, db: str = "bronze", fmt: str = "auto",
                datasets=bronze.DATASETS) -> list[str]:
     sinks.ensure_schema(spark, db)
+    fmt = sinks.resolve_format(spark, fmt)
     out = []
     for ds in datasets:
         df = bronze.bronze_dataset(spark, raw_dir, ds)
@@ -36,8 +37,9 @@ def run_bronze(spark: SparkSession, raw_dir: str, db: str = "bronze", fmt: str =
 
 
 def run_silver(spark: SparkSession, bronze_db: str = "bronze", db: str = "silver",
-               fmt: str = "parquet", datasets=bronze.DATASETS) -> list[str]:
+               fmt: str = "auto", datasets=bronze.DATASETS) -> list[str]:
     sinks.ensure_schema(spark, db)
+    fmt = sinks.resolve_format(spark, fmt)
     out = []
     for ds in datasets:
         df = silver.DATASETS[ds](spark.read.table(f"{bronze_db}.{ds}"))
@@ -47,9 +49,10 @@ def run_silver(spark: SparkSession, bronze_db: str = "bronze", db: str = "silver
 
 
 def run_gold(spark: SparkSession, silver_db: str = "silver", db: str = "gold",
-             fmt: str = "parquet", location: str | None = None) -> str:
+             fmt: str = "auto", location: str | None = None) -> str:
     """Typed feature table, created once, content replaced on every run."""
     sinks.ensure_schema(spark, db)
+    fmt = sinks.resolve_format(spark, fmt)
     table = f"{db}.product_demand_features_daily"
     sinks.create_typed_table(spark, table, gold.PRODUCT_DEMAND_DDL,
                              "Product features and the dates of the orders that contain them.",

@@ -14,6 +14,25 @@ SAVE_MODES = ("overwrite", "append")
 WRITE_MODES = ("none", "table", "view")
 
 
+def format_available(spark: SparkSession, fmt: str) -> bool:
+    """Whether a table format's data source is on the classpath (Delta,
+    Iceberg, ... need their jars); probed by reading a path that does not
+    exist: a missing source fails differently from a missing path."""
+    try:
+        spark.read.format(fmt).load("/nonexistent-stockyard-probe")
+    except Exception as e:  # noqa: BLE001 - the message tells the two cases apart
+        msg = str(e)
+        return not ("DATA_SOURCE_NOT_FOUND" in msg or "Failed to find the data source" in msg)
+    return True
+
+
+def resolve_format(spark: SparkSession, fmt: str = "auto") -> str:
+    """``auto``: Delta when its data source is available, else parquet."""
+    if fmt != "auto":
+        return fmt
+    return "delta" if format_available(spark, "delta") else "parquet"
+
+
 def ensure_schema(spark: SparkSession, database: str) -> None:
     """CREATE SCHEMA IF NOT EXISTS."""
     spark.sql(f"CREATE SCHEMA IF NOT EXISTS {database}")

@@ -153,3 +153,10 @@ def test_imperative_flavour(spark, raw_dir):
     assert len(rows) == 1 and rows[0]["order_id"] == "o1" and rows[0]["quantity"] == 2
     assert rows[0]["total_price"] == 21.0 and rows[0]["product_category_name"] == "Casa "  # no cleaning
     assert dict(spark.table(f"r_{sfx}.customers").dtypes)["customer_zip_code_prefix"] == "int"
+
+
+def test_format_resolution(spark):
+    assert sinks.format_available(spark, "parquet")
+    assert not sinks.format_available(spark, "no_such_format_xyz")
+    assert sinks.resolve_format(spark, "auto") in ("delta", "parquet")
+    assert sinks.resolve_format(spark, "orc") == "orc"
