@@ -307,7 +307,8 @@ def allocate_stock(sales: DataFrame, acq: DataFrame, initial_stock: int = 0,
                      F.col("quantity").cast("long").alias("qty"), "status")
     u = a.unionByName(s)
     u = u.repartition(num_partitions, K) if num_partitions else u.repartition(K)
-    u = u.sortWithinPartitions(K, F.col("event_ts").asc_nulls_last(), "kind", "rid")
+    u = u.sortWithinPartitions(K, F.col("event_ts").asc_nulls_last(), "kind", "rid", "qty",
+                               F.col("status").asc_nulls_last())
     schema = ALLOC_SCHEMA.replace("timestamp_ntz", ts_t).replace(
         "sku_id long", f"sku_id {sales.schema[K].dataType.simpleString()}")
     return u.mapInPandas(_allocate_partition(initial_stock), schema)

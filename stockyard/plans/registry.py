@@ -403,7 +403,8 @@ def q_stock_conservation(spark, sf_dir):
 # The replay as a recursive CTE: every SKU advances by one event per
 # iteration (the number of iterations is the longest SKU history).
 SQL_ALLOCATE = f"""WITH RECURSIVE ev AS (
-  SELECT *, row_number() OVER (PARTITION BY sku_id ORDER BY event_ts NULLS LAST, kind, rid) AS rn
+  SELECT *, row_number() OVER (PARTITION BY sku_id
+                              ORDER BY event_ts NULLS LAST, kind, rid, qty, status NULLS LAST) AS rn
   FROM (SELECT sku_id, event_ts, 0 AS kind, acquisition_id AS rid,
                CAST(quantity_received AS BIGINT) AS qty, CAST(NULL AS VARCHAR) AS status
         FROM ({SQL_ACQ})
