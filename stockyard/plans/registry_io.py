@@ -117,3 +117,17 @@ def q_inventory_forecast_sql(spark, sf_dir):
     """Weekly depletion view as Spark SQL over daily stock and forecast."""
     d = daily_table(spark, sf_dir)
     return sql_jobs.inventory_forecast_sql(spark, d, forecast(spark, sf_dir, d))
+
+
+@register("stream_bronze_silver_orders",
+          _sql_as_strings(SQL_SILVER["orders"], ["order_id", "customer_id"]))
+def q_stream_bronze_silver_orders(spark, sf_dir):
+    """Orders CSV folder -> bronze -> silver as two chained Structured
+    Streaming availableNow runs, then read back (lineage dropped)."""
+    from ..streaming.ingest import refresh_bronze, refresh_silver_from_bronze
+    raw = _to_csv(spark, sf_dir, "orders")
+    bz, sv = scratch_path(spark, "bronze-orders"), scratch_path(spark, "silver-orders")
+    refresh_bronze(spark, raw, "orders", bz, scratch_path(spark, "ckpt-bronze-orders")).awaitTermination()
+    refresh_silver_from_bronze(spark, bz, "orders", sv,
+                               scratch_path(spark, "ckpt-silver-orders")).awaitTermination()
+    return spark.read.parquet(sv).drop(*LINEAGE)

@@ -40,3 +40,26 @@ def refresh_silver(spark: SparkSession, raw_dir: str, dataset: str, out_path: st
         .option("checkpointLocation", checkpoint).option("path", out_path)
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="1 minute")
     return w.start()
+
+
+def refresh_bronze(spark: SparkSession, raw_dir: str, dataset: str, out_path: str,
+                   checkpoint: str, available_now: bool = True) -> StreamingQuery:
+    """Raw CSV folder -> bronze parquet folder (rows as read, plus lineage
+    columns), only the files that arrived since the last run."""
+    w = bronze_stream(spark, raw_dir, dataset).writeStream.format("parquet") \
+        .outputMode("append").option("checkpointLocation", checkpoint).option("path", out_path)
+    w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="1 minute")
+    return w.start()
+
+
+def refresh_silver_from_bronze(spark: SparkSession, bronze_path: str, dataset: str, out_path: str,
+                               checkpoint: str, available_now: bool = True) -> StreamingQuery:
+    """Bronze parquet folder (as written by :func:`refresh_bronze`) -> silver,
+    reading only the bronze files added since the last run; the two steps
+    chain into an incremental bronze -> silver pipeline."""
+    src = spark.readStream.schema(spark.read.parquet(bronze_path).schema).parquet(bronze_path)
+    clean = silver.DATASETS[dataset](src)
+    w = clean.writeStream.format("parquet").outputMode("append") \
+        .option("checkpointLocation", checkpoint).option("path", out_path)
+    w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="1 minute")
+    return w.start()

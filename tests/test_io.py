@@ -160,3 +160,24 @@ def test_format_resolution(spark):
     assert not sinks.format_available(spark, "no_such_format_xyz")
     assert sinks.resolve_format(spark, "auto") in ("delta", "parquet")
     assert sinks.resolve_format(spark, "orc") == "orc"
+
+
+def test_streaming_bronze_then_silver_chain(spark, raw_dir):
+    from stockyard.streaming.ingest import refresh_bronze, refresh_silver_from_bronze
+    src = scratch_path(spark, "chain-src")
+    os.makedirs(src)
+    bz, sv = scratch_path(spark, "chain-bronze"), scratch_path(spark, "chain-silver")
+    ckb, cks = scratch_path(spark, "chain-ckb"), scratch_path(spark, "chain-cks")
+    with open(os.path.join(src, "a.csv"), "w") as f:
+        f.write(RAW["orders"])
+    refresh_bronze(spark, src, "orders", bz, ckb).awaitTermination()
+    refresh_silver_from_bronze(spark, bz, "orders", sv, cks).awaitTermination()
+    assert spark.read.parquet(bz).count() == 3
+    s = spark.read.parquet(sv)
+    assert s.count() == 3 and "_source_file" in s.columns
+    with open(os.path.join(src, "b.csv"), "w") as f:
+        f.write(RAW["orders"].splitlines()[0] + "\no9,c9,shipped,2018-02-01 10:00:00,,,,\n")
+    refresh_bronze(spark, src, "orders", bz, ckb).awaitTermination()
+    refresh_silver_from_bronze(spark, bz, "orders", sv, cks).awaitTermination()
+    flags = {r["order_id"]: (r["order_status"], r["data_quality_flag"]) for r in spark.read.parquet(sv).collect()}
+    assert len(flags) == 4 and flags["o9"] == ("SHIPPED", "valid") and flags["o3"][1] == "missing_purchase_date"
