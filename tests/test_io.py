@@ -181,3 +181,22 @@ def test_streaming_bronze_then_silver_chain(spark, raw_dir):
     refresh_silver_from_bronze(spark, bz, "orders", sv, cks).awaitTermination()
     flags = {r["order_id"]: (r["order_status"], r["data_quality_flag"]) for r in spark.read.parquet(sv).collect()}
     assert len(flags) == 4 and flags["o9"] == ("SHIPPED", "valid") and flags["o3"][1] == "missing_purchase_date"
+
+
+def test_run_inventory_tables_and_view(spark, raw_dir):
+    import datetime as dt
+    sfx = os.path.basename(raw_dir).replace("-", "_")
+    t = dt.datetime
+    sales = spark.createDataFrame(
+        [(1, f"S{i:08d}", t(2024, 1, 1 + i % 28, 15), 1 + i % 3, "approved" if i % 4 else "placed")
+         for i in range(200)], "sku_id long, sales_id string, event_ts timestamp_ntz, quantity int, status string")
+    acq = spark.createDataFrame([(1, "A00000001", t(2024, 1, 1, 10), "planned", 500)],
+                                "sku_id long, acquisition_id string, event_ts timestamp_ntz, reason string, "
+                                "quantity_received int")
+    names = medallion.run_inventory(spark, sales, acq, db=f"inv_{sfx}")
+    daily = spark.table(names["daily"])
+    assert daily.count() == 28
+    assert spark.table(names["forecast"]).count() == 28
+    view = spark.table(names["view"]).orderBy("week_monday").collect()
+    assert view and view[0]["remaining_inventory"] == daily.orderBy(F.desc("event_date")).first()["inventory_eod"] \
+        - view[0]["weekly_demand_cum"]
