@@ -95,28 +95,31 @@ def holiday_date_map(ranges: DataFrame, spec=None) -> DataFrame:
         F.max(F.when(rel == 1, F.col("mult"))).alias("mult_next"))
 
 
+def _key_mult(ev: Column) -> Column:
+    """The multiplier of date ``ev`` for a key with range [start, end], from
+    the date map's columns: windows of holidays in the key's years only, and
+    only inside the range (NULL: not in a holiday window for this key)."""
+    inside = (ev >= F.col("start")) & (ev <= F.col("end"))
+    return F.when(inside, F.greatest(
+        F.col("mult_same"),
+        F.when(F.year(ev) - 1 >= F.year("start"), F.col("mult_prev")),
+        F.when(F.year(ev) + 1 <= F.year("end"), F.col("mult_next"))))
+
+
 def holiday_multiplier(ranges: DataFrame, spec=None, keys: Sequence[str] = ("sku_id",)) -> DataFrame:
     """(keys, event_date, holiday_mult): every date within ``pre`` days before
-    to ``post`` days after a holiday and inside [start, end] gets the largest
-    multiplier of the holidays covering it, at least 1.0. Names not in the
-    calendar are ignored."""
-    sp = _spec(spec)
-    cal = holiday_calendar(ranges, keys, names=[n for n in C.HOLIDAY_NAMES if n in sp])
-    h = F.col("holiday")
-
-    def pick(i):
-        e = None
-        for n, v in sp.items():
-            e = F.when(h == n, F.lit(v[i])) if e is None else e.when(h == n, F.lit(v[i]))
-        return e
+    to ``post`` days after a holiday of the years year(start)..year(end) and
+    inside [start, end] gets the largest multiplier of the holidays covering
+    it, at least 1.0. Names not in the calendar are ignored.
 
-    days = cal.select(*keys, "start", "end", pick(0).alias("mult"),
-                      F.explode(F.sequence(-pick(1), pick(2))).alias("off"), "holiday_date")
-    days = days.select(*keys, "start", "end", "mult",
-                       F.date_add("holiday_date", F.col("off")).alias("event_date"))
-    days = days.filter((F.col("event_date") >= F.col("start")) & (F.col("event_date") <= F.col("end")))
-    return days.groupBy(*keys, "event_date").agg(
-        F.greatest(F.lit(1.0), F.max("mult")).alias("holiday_mult"))
+    Each key's years are exploded and joined on the year with the broadcast
+    date map (bounded by the calendar span); no shuffle of per-key rows."""
+    hmap = holiday_date_map(ranges, spec).withColumn("__y", F.year("event_date"))
+    yrs = ranges.select(*keys, "start", "end",
+                        F.explode(F.sequence(F.year("start"), F.year("end"))).alias("__y"))
+    j = yrs.join(F.broadcast(hmap), "__y").withColumn("__m", _key_mult(F.col("event_date")))
+    return j.filter(F.col("__m").isNotNull()).select(
+        *keys, "event_date", F.greatest(F.lit(1.0), F.col("__m")).alias("holiday_mult"))
 
 
 def demand_calendar(ranges: DataFrame, params: C.DemandParams = C.DemandParams(),
@@ -140,13 +143,7 @@ def demand_calendar(ranges: DataFrame, params: C.DemandParams = C.DemandParams()
         F.col("start"), F.date_add("end", lookahead_days))).alias("event_date"))
     hmap = F.broadcast(holiday_date_map(ranges, params.holidays))
     d = spine.join(hmap, "event_date", "left")
-    ev = F.col("event_date")
-    inside = (ev >= F.col("start")) & (ev <= F.col("end"))
-    m = F.when(inside, F.greatest(
-        F.col("mult_same"),
-        F.when(F.year(ev) - 1 >= F.year("start"), F.col("mult_prev")),
-        F.when(F.year(ev) + 1 <= F.year("end"), F.col("mult_next"))))
-    d = d.withColumn("__m", m)
+    d = d.withColumn("__m", _key_mult(F.col("event_date")))
     wd = weekday_index("event_date")
     factors = F.array(*[F.lit(float(x)) for x in params.weekday_factors])
     days = F.datediff("event_date", "start")
