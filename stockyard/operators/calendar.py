@@ -65,61 +65,54 @@ def _spec(spec) -> dict:
     return out
 
 
-def holiday_date_map(ranges: DataFrame, spec=None) -> DataFrame:
-    """Holiday-window multipliers by date only, for every year from the
-    earliest ``start`` to the latest ``end`` of ``ranges``:
-    (event_date, mult_same, mult_prev, mult_next) = the largest multiplier of
-    windows around holidays of the date's own year, of the previous year
-    (a window reaching over New Year) and of the next year.
-
-    Its size is at most (#years spanned) x sum(pre + post + 1) rows - a
-    bound set by the calendar span and the spec, not by the number of keys
-    or events - so it is safe to broadcast."""
+def with_holiday_map(df: DataFrame, spec=None, out: str = "__hm") -> DataFrame:
+    """Add ``out`` to each row with ``start`` / ``end`` dates: MAP<date,
+    double> from every date within ``pre`` days before to ``post`` days
+    after a holiday of the years year(start)..year(end), inside [start, end],
+    to the largest multiplier of the holidays covering it.
+
+    Built row-locally with higher-order functions (transform / flatten /
+    sort / filter), so a key's calendar never needs a join or a shuffle;
+    its size is (#years in the key's range) x sum(pre + post + 1). The
+    sorted entries are a column of their own before the de-duplication
+    refers to them, so they are computed once per row."""
     sp = _spec(spec)
-    span = ranges.agg(F.min(F.year("start")).alias("y0"), F.max(F.year("end")).alias("y1"))
-    years = span.select(F.explode(F.sequence("y0", "y1")).alias("year"))
-    y = F.col("year")
-    entries = [F.struct(F.lit(n).alias("holiday"), d.alias("holiday_date"), F.lit(sp[n][0]).alias("mult"),
-                        F.sequence(F.lit(-sp[n][1]), F.lit(sp[n][2])).alias("offs"))
-               for n, d in _holiday_dates(y) if n in sp]
-    if not entries:
-        return ranges.sparkSession.createDataFrame(
-            [], "event_date date, mult_same double, mult_prev double, mult_next double")
-    h = years.select("year", F.inline(F.array(*entries)))
-    d = h.select("year", "mult", F.explode("offs").alias("off"), "holiday_date") \
-        .select(F.date_add("holiday_date", F.col("off")).alias("event_date"), "year", "mult")
-    rel = F.col("year") - F.year("event_date")
-    return d.groupBy("event_date").agg(
-        F.max(F.when(rel == 0, F.col("mult"))).alias("mult_same"),
-        F.max(F.when(rel == -1, F.col("mult"))).alias("mult_prev"),
-        F.max(F.when(rel == 1, F.col("mult"))).alias("mult_next"))
-
-
-def _key_mult(ev: Column) -> Column:
-    """The multiplier of date ``ev`` for a key with range [start, end], from
-    the date map's columns: windows of holidays in the key's years only, and
-    only inside the range (NULL: not in a holiday window for this key)."""
-    inside = (ev >= F.col("start")) & (ev <= F.col("end"))
-    return F.when(inside, F.greatest(
-        F.col("mult_same"),
-        F.when(F.year(ev) - 1 >= F.year("start"), F.col("mult_prev")),
-        F.when(F.year(ev) + 1 <= F.year("end"), F.col("mult_next"))))
+
+    def entry(m):  # one-argument lambda (PySpark reads two arguments as "with index")
+        return lambda x: F.struct(x.alias("d"), F.lit(-m).alias("nm"))
+
+    def per_year(y):
+        parts = []
+        for n, d in _holiday_dates(y):
+            if n not in sp:
+                continue
+            m, pre, post = sp[n]
+            parts.append(F.transform(F.sequence(F.date_sub(d, pre), F.date_add(d, post)), entry(m)))
+        return F.flatten(F.array(*parts))
+
+    if not sp:
+        return df.withColumn(out, F.map_from_entries(F.array().cast("array<struct<d:date,m:double>>")))
+    entries = F.flatten(F.transform(F.sequence(F.year("start"), F.year("end")), per_year))
+    inside = F.filter(entries, lambda e: (e["d"] >= F.col("start")) & (e["d"] <= F.col("end")))
+    srt = df.withColumn("__ord", F.sort_array(inside))  # by date, largest multiplier first
+    ordered = F.col("__ord")
+    first = F.filter(ordered, lambda e, i: (i == 0) | (F.element_at(ordered, i)["d"] != e["d"]))
+    return srt.withColumn(out, F.map_from_entries(
+        F.transform(first, lambda e: F.struct(e["d"], -e["nm"])))).drop("__ord")
 
 
 def holiday_multiplier(ranges: DataFrame, spec=None, keys: Sequence[str] = ("sku_id",)) -> DataFrame:
     """(keys, event_date, holiday_mult): every date within ``pre`` days before
     to ``post`` days after a holiday of the years year(start)..year(end) and
     inside [start, end] gets the largest multiplier of the holidays covering
-    it, at least 1.0. Names not in the calendar are ignored.
-
-    Each key's years are exploded and joined on the year with the broadcast
-    date map (bounded by the calendar span); no shuffle of per-key rows."""
-    hmap = holiday_date_map(ranges, spec).withColumn("__y", F.year("event_date"))
-    yrs = ranges.select(*keys, "start", "end",
-                        F.explode(F.sequence(F.year("start"), F.year("end"))).alias("__y"))
-    j = yrs.join(F.broadcast(hmap), "__y").withColumn("__m", _key_mult(F.col("event_date")))
-    return j.filter(F.col("__m").isNotNull()).select(
-        *keys, "event_date", F.greatest(F.lit(1.0), F.col("__m")).alias("holiday_mult"))
+    it, at least 1.0. Names not in the calendar are ignored. Row-local per
+    key (see :func:`with_holiday_map`): no join, no shuffle."""
+    r = with_holiday_map(ranges.select(*keys, "start", "end"), spec)
+    # explode_outer + filter: a plain explode makes Spark infer a size(map) > 0
+    # filter that re-inlines the whole map expression
+    return r.select(*keys, F.explode_outer("__hm").alias("event_date", "__m")) \
+        .filter(F.col("event_date").isNotNull()) \
+        .select(*keys, "event_date", F.greatest(F.lit(1.0), F.col("__m")).alias("holiday_mult"))
 
 
 def demand_calendar(ranges: DataFrame, params: C.DemandParams = C.DemandParams(),
@@ -134,16 +127,16 @@ def demand_calendar(ranges: DataFrame, params: C.DemandParams = C.DemandParams()
     Columns: keys, start, end, event_date, weekday, holiday_mult,
     in_holiday_window, expected_orders.
 
-    Plan: the spine is generated per key (no shuffle beyond the one that
-    built ``ranges``); the holiday multipliers come from the date-keyed map
-    of :func:`holiday_date_map`, broadcast (its size is bounded by the
-    calendar span, see there) and joined on the date alone, so the spine is
-    never shuffled for it."""
-    spine = ranges.select(*keys, "start", "end", F.explode(F.sequence(
-        F.col("start"), F.date_add("end", lookahead_days))).alias("event_date"))
-    hmap = F.broadcast(holiday_date_map(ranges, params.holidays))
-    d = spine.join(hmap, "event_date", "left")
-    d = d.withColumn("__m", _key_mult(F.col("event_date")))
+    Plan: each key builds its holiday map once (:func:`with_holiday_map`) and its
+    spine looks dates up in it while being generated - no join, no
+    shuffle; the spine keeps the partitioning of ``ranges`` (by key), which
+    the per-key windows downstream reuse."""
+    r = with_holiday_map(ranges.select(*keys, "start", "end"), params.holidays)
+    days_seq = F.sequence(F.col("start"), F.date_add("end", lookahead_days))
+    d = r.select(*keys, "start", "end", F.inline_outer(F.transform(
+        days_seq, lambda x: F.struct(x.alias("event_date"),
+                                     F.try_element_at(F.col("__hm"), x).alias("__m"))))) \
+        .filter(F.col("event_date").isNotNull())  # _outer: no inferred filter re-inlining the map
     wd = weekday_index("event_date")
     factors = F.array(*[F.lit(float(x)) for x in params.weekday_factors])
     days = F.datediff("event_date", "start")
