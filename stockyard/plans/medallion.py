@@ -13,7 +13,7 @@ from .. import config as C
 from .. import sinks
 from ..operators import forecast as FC
 from ..operators import inventory as INV
-from . import bronze, gold, silver
+from . import bronze, gold, silver, sql_jobs
 
 
 def silver_properties(dataset: str) -> dict:
@@ -75,9 +75,7 @@ def run_inventory(spark: SparkSession, sales: DataFrame, acquisitions: DataFrame
                      daily_t, "overwrite", fmt)
     daily = spark.read.table(daily_t)
     sinks.save_table(FC.forecast_demand(daily, horizon), pred_t, "overwrite", fmt)
-    sinks.save_table(FC.inventory_forecast(daily, spark.read.table(pred_t)), f"{view}_data",
-                     "overwrite", fmt)
-    sinks.create_view(spark, view, f"SELECT * FROM {view}_data")
+    sql_jobs.create_inventory_forecast_view(spark, view, daily_t, pred_t)
     return {"daily": daily_t, "forecast": pred_t, "view": view}
 
 

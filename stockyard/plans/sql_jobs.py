@@ -90,17 +90,17 @@ def daily_approved_utc_sql(spark: SparkSession, sales: DataFrame) -> DataFrame:
         GROUP BY 1, 2""", s=sales)
 
 
-def inventory_forecast_sql(spark: SparkSession, daily: DataFrame, pred: DataFrame) -> DataFrame:
-    """Weekly depletion: latest stock per SKU (correlated scalar subquery
-    on max date) minus the running sum of rounded-up weekly demand."""
-    return spark.sql("""
+# The depletion report over a daily stock relation {daily} and a forecast
+# relation {pred}: table names for a persistent view, DataFrame arguments
+# for spark.sql.
+INVENTORY_FORECAST_SQL = """
         WITH latest_stock AS (
-          SELECT d.sku_id, d.inventory_eod AS initial_inventory FROM {d} d
-          WHERE d.event_date = (SELECT max(d2.event_date) FROM {d} d2 WHERE d2.sku_id = d.sku_id)),
+          SELECT d.sku_id, d.inventory_eod AS initial_inventory FROM {daily} d
+          WHERE d.event_date = (SELECT max(d2.event_date) FROM {daily} d2 WHERE d2.sku_id = d.sku_id)),
         week_totals AS (
           SELECT sku_id, CAST(date_trunc('week', event_date) AS DATE) AS week_monday,
                  CAST(ceiling(sum(CAST(demand_prediction AS DECIMAL(20,6)))) AS BIGINT) AS weekly_demand
-          FROM {p} GROUP BY 1, 2),
+          FROM {pred} GROUP BY 1, 2),
         running AS (
           SELECT sku_id, week_monday, weekly_demand,
                  CAST(sum(weekly_demand) OVER (PARTITION BY sku_id ORDER BY week_monday
@@ -109,4 +109,18 @@ def inventory_forecast_sql(spark: SparkSession, daily: DataFrame, pred: DataFram
         SELECT r.sku_id, r.week_monday, r.weekly_demand, r.weekly_demand_cum,
                s.initial_inventory - r.weekly_demand_cum AS remaining_inventory
         FROM running r JOIN latest_stock s ON s.sku_id = r.sku_id
-        ORDER BY r.sku_id, r.week_monday""", d=daily, p=pred)
+        ORDER BY r.sku_id, r.week_monday"""
+
+
+def inventory_forecast_sql(spark: SparkSession, daily: DataFrame, pred: DataFrame) -> DataFrame:
+    """Weekly depletion: latest stock per SKU (correlated scalar subquery
+    on max date) minus the running sum of rounded-up weekly demand."""
+    return spark.sql(INVENTORY_FORECAST_SQL.format(daily="{d}", pred="{p}"), d=daily, p=pred)
+
+
+def create_inventory_forecast_view(spark: SparkSession, view: str, daily_table: str,
+                                   pred_table: str) -> None:
+    """The report as a persistent view over the two tables (computed when
+    read, like the source view)."""
+    spark.sql(f"CREATE OR REPLACE VIEW {view} AS "
+              + INVENTORY_FORECAST_SQL.format(daily=daily_table, pred=pred_table))
