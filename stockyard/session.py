@@ -24,6 +24,7 @@ RECOMMENDED_CONF = {
     "spark.sql.parquet.filterPushdown": "true",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 
@@ -46,23 +47,29 @@ def build_session(master: str | None = None, shuffle_partitions: int = 8,
     return spark
 
 
+def _context(spark: SparkSession):
+    """The SparkContext, or None on a Spark Connect session."""
+    try:
+        return spark.sparkContext
+    except Exception:  # noqa: BLE001 - Connect raises a not-implemented error
+        return None
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder for lineage cuts and scratch tables.
 
     Read from ``spark.checkpoint.dir`` (set by the cluster). Only when it is
     unset (local runs and tests) a folder under the local temp dir is chosen.
     """
+    sc = _context(spark)
     d = spark.conf.get("spark.checkpoint.dir", None)
-    if not d:
-        d = spark.sparkContext.getCheckpointDir() if hasattr(spark.sparkContext, "getCheckpointDir") else None
+    if not d and sc is not None:
+        d = sc.getCheckpointDir()
     if not d:
         d = tempfile.mkdtemp(prefix="stockyard-ckpt-")
         spark.conf.set("spark.checkpoint.dir", d)
-    try:
-        if not spark.sparkContext.getCheckpointDir():
-            spark.sparkContext.setCheckpointDir(d)
-    except Exception:  # pragma: no cover - Spark Connect has no SparkContext
-        pass
+    if sc is not None and not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
     return d
 
 
@@ -87,8 +94,9 @@ def ship_package(spark: SparkSession) -> None:
     workers do not already have the package on their path."""
     import zipfile
 
-    sc = spark.sparkContext
-    if getattr(sc, "_stockyard_shipped", False):
+    sc = _context(spark)
+    holder = sc if sc is not None else spark
+    if getattr(holder, "_stockyard_shipped", False):
         return
     pkg = os.path.dirname(os.path.abspath(__file__))
     root = os.path.dirname(pkg)
@@ -99,5 +107,8 @@ def ship_package(spark: SparkSession) -> None:
                 if f.endswith(".py"):
                     full = os.path.join(d, f)
                     z.write(full, os.path.relpath(full, root))
-    sc.addPyFile(path)
-    sc._stockyard_shipped = True
+    if sc is not None:
+        sc.addPyFile(path)
+    else:  # Spark Connect: ship as a session artifact
+        spark.addArtifacts(path, pyfile=True)
+    holder._stockyard_shipped = True
