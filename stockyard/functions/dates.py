@@ -30,7 +30,8 @@ def local_wallclock(df: DataFrame, ts: str, zone: str) -> Column:
     """
     if isinstance(df.schema[ts].dataType, TimestampNTZType):
         return F.convert_timezone(F.lit("UTC"), F.lit(zone), F.col(ts))
-    return F.convert_timezone(F.lit(zone), F.col(ts))
+    # source zone omitted: the instant is taken in the session zone first
+    return F.convert_timezone(None, F.lit(zone), F.col(ts))
 
 
 def local_date(df: DataFrame, ts: str, zone: str) -> Column:
@@ -42,7 +43,7 @@ def utc_date(df: DataFrame, ts: str) -> Column:
     """Calendar date in UTC of the instant in ``ts``."""
     if isinstance(df.schema[ts].dataType, TimestampNTZType):
         return F.to_date(F.col(ts))
-    return F.to_date(F.convert_timezone(F.lit("UTC"), F.col(ts)))
+    return F.to_date(F.convert_timezone(None, F.lit("UTC"), F.col(ts)))
 
 
 def date_spine(df: DataFrame, start: str, end: str, out: str = "event_date") -> DataFrame:

@@ -234,3 +234,20 @@ def test_two_level_running_keeps_null_keys_and_buckets(spark):
         b = running(df, ["k"], [F.col("i")], "v", "o", op, bucket=F.floor(F.col("i") / 65536))
         assert b.count() == len(rows)
         assert sorted(map(tuple, a.collect()), key=str) == sorted(map(tuple, b.collect()), key=str)
+
+
+def test_instant_input_in_other_session_zone(spark, data):
+    s, a, sdf, adf = data
+    want = sorted(map(tuple, INV.inventory_daily(sdf, adf, 3).collect()))
+    utc = dt.timezone.utc
+    s2 = spark.createDataFrame([(x[0], x[1], x[2].replace(tzinfo=utc), x[3], x[4]) for x in s],
+                               SALES_T.replace("timestamp_ntz", "timestamp"))
+    a2 = spark.createDataFrame([(x[0], x[1], x[2].replace(tzinfo=utc), x[3], x[4]) for x in a],
+                               ACQ_T.replace("timestamp_ntz", "timestamp"))
+    old = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        spark.conf.set("spark.sql.session.timeZone", "Asia/Tokyo")
+        got = sorted(map(tuple, INV.inventory_daily(s2, a2, 3).collect()))
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
+    assert got == want
