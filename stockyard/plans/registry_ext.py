@@ -316,3 +316,89 @@ def q_perturb_events(spark, sf_dir):
     """Controlled error injection on placed / canceled sales (md5-derived
     per-row selection, reproducible in SQL)."""
     return EV.perturb_events(sales(spark, sf_dir), C.ErrorRates.notebook(), seed=123)
+
+
+# ---------------------------------------------------------------------------
+# Replay with restock feedback
+# ---------------------------------------------------------------------------
+
+from ..operators.replay import replay_inventory  # noqa: E402
+
+
+def _sql_need_named(cal_sql: str, n: int, name: str) -> str:
+    term = (f"CAST(expected_orders * {PARAMS.approval_share} * {PARAMS.mean_qty!r} "
+            "AS DECIMAL(28,9))")
+    return f"""SELECT *, CAST(greatest(0, ceil(sum({term}) OVER (PARTITION BY sku_id ORDER BY event_date
+  ROWS BETWEEN CURRENT ROW AND {n - 1} FOLLOWING))) AS BIGINT) AS {name} FROM ({cal_sql})"""
+
+
+def _utc_wall(day_sql: str, hours: int) -> str:
+    return (f"timezone('UTC', timezone('{PARAMS.zone}', CAST({day_sql} AS TIMESTAMP) "
+            f"+ INTERVAL {hours} HOUR))")
+
+
+_RANGES_REPLAY = f"""SELECT sku_id, min({_ld('event_ts')}) AS "start", max({_ld('event_ts')}) AS "end"
+FROM ({SQL_SALES}) WHERE event_ts IS NOT NULL GROUP BY sku_id"""
+
+_LOOK = max(PARAMS.planned_weeks * 7, PARAMS.emergency_days) - 1
+
+SQL_REPLAY = f"""WITH RECURSIVE
+cal AS (
+  SELECT sku_id, event_date, weekday, need_planned, need_emergency, "end",
+    max(CAST(in_holiday_window AS INTEGER)) OVER (PARTITION BY sku_id ORDER BY event_date
+      ROWS BETWEEN CURRENT ROW AND 6 FOLLOWING) = 1 AS holiday_ahead
+  FROM ({_sql_need_named(_sql_need_named(_sql_calendar(_RANGES_REPLAY, _LOOK), PARAMS.planned_weeks * 7,
+                                         'need_planned'), PARAMS.emergency_days, 'need_emergency')})),
+ev0 AS (
+  SELECT sku_id, {_utc_wall('event_date', 0)} AS event_ts, -1 AS kind, CAST(NULL AS VARCHAR) AS rid,
+         CAST(NULL AS BIGINT) AS qty, CAST(NULL AS VARCHAR) AS status, weekday,
+         need_planned, need_emergency, holiday_ahead, {_utc_wall('event_date', 6)} AS buy_ts
+  FROM cal WHERE event_date <= "end"
+  UNION ALL
+  SELECT sku_id, event_ts, 1, sales_id, CAST(quantity AS BIGINT), status, NULL, NULL, NULL, NULL, NULL
+  FROM ({SQL_SALES})),
+ev AS (SELECT *, row_number() OVER (PARTITION BY sku_id
+         ORDER BY event_ts NULLS LAST, kind, rid, qty, status NULLS LAST) AS rn FROM ev0),
+st(sku_id, rn, kind, rid, event_ts, qty, ok, sale_stock, gen_qty, gen_reason, gen_ts, gen_seq,
+   stock, last_sat, prev_sat, prev_wd, need_e, seq) AS (
+  SELECT DISTINCT sku_id, CAST(0 AS BIGINT), 0, CAST(NULL AS VARCHAR), CAST(NULL AS TIMESTAMP),
+         CAST(NULL AS BIGINT), CAST(NULL AS BOOLEAN), CAST(NULL AS BIGINT), CAST(0 AS BIGINT),
+         CAST(NULL AS VARCHAR), CAST(NULL AS TIMESTAMP), CAST(0 AS BIGINT),
+         CAST({PARAMS.initial_stock} AS BIGINT), CAST(NULL AS BIGINT), CAST(NULL AS BIGINT),
+         CAST(NULL AS INTEGER), CAST(0 AS BIGINT), CAST(0 AS BIGINT)
+  FROM ev
+  UNION ALL
+  SELECT sku_id, rn, kind, rid, event_ts, qty, ok, sale_stock, gen_qty, gen_reason, gen_ts,
+         CASE WHEN gen_qty > 0 THEN seq + 1 ELSE seq END,
+         sale_stock + gen_qty, last_sat, prev_sat, prev_wd, need_e,
+         CASE WHEN gen_qty > 0 THEN seq + 1 ELSE seq END
+  FROM (
+    SELECT sku_id, rn, kind, rid, event_ts, qty, ok, sale_stock, seq, last_sat, prev_sat, prev_wd, need_e,
+      CASE WHEN kind = -1 THEN
+             CASE WHEN weekday = 6 AND NOT (COALESCE(last_sat > prev_sat, false) AND NOT holiday_ahead)
+                  THEN greatest(0, need_planned - sale_stock) ELSE 0 END
+           WHEN ok AND sale_stock = 0 THEN greatest(1, need_e) ELSE 0 END AS gen_qty,
+      CASE WHEN kind = -1 THEN 'planned' ELSE 'emergency' END AS gen_reason,
+      CASE WHEN kind = -1 THEN buy_ts ELSE event_ts + INTERVAL 5 MINUTE END AS gen_ts
+    FROM (
+      SELECT e.sku_id, e.rn, e.kind, e.rid, e.event_ts, e.qty, e.weekday, e.need_planned,
+        e.holiday_ahead, e.buy_ts, s.seq,
+        CASE WHEN e.kind = 1 THEN s.stock >= e.qty END AS ok,
+        CASE WHEN e.kind = 1 AND s.stock >= e.qty THEN s.stock - e.qty ELSE s.stock END AS sale_stock,
+        CASE WHEN e.kind = -1 AND s.prev_wd = 5 THEN s.stock ELSE s.last_sat END AS last_sat,
+        CASE WHEN e.kind = -1 AND s.prev_wd = 5 THEN s.last_sat ELSE s.prev_sat END AS prev_sat,
+        CASE WHEN e.kind = -1 THEN e.weekday ELSE s.prev_wd END AS prev_wd,
+        CASE WHEN e.kind = -1 THEN e.need_emergency ELSE s.need_e END AS need_e
+      FROM st s JOIN ev e ON e.sku_id = s.sku_id AND e.rn = s.rn + 1)))
+SELECT sku_id, 'sale' AS record, rid AS id, event_ts, qty AS quantity, ok AS approved,
+       CAST(NULL AS VARCHAR) AS reason, sale_stock AS stock_after FROM st WHERE kind = 1
+UNION ALL
+SELECT sku_id, 'acquisition', printf('A%08d', gen_seq), gen_ts, gen_qty, CAST(NULL AS BOOLEAN),
+       gen_reason, stock FROM st WHERE rn > 0 AND gen_qty > 0"""
+
+
+@register("replay_inventory", SQL_REPLAY)
+def q_replay_inventory(spark, sf_dir):
+    """Per-SKU replay of all sales events: approvals by stock, Sunday planned
+    and emergency restocks acting on the replayed stock (feedback)."""
+    return replay_inventory(sales(spark, sf_dir), PARAMS)
