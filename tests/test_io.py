@@ -200,3 +200,14 @@ def test_run_inventory_tables_and_view(spark, raw_dir):
     view = spark.table(names["view"]).orderBy("week_monday").collect()
     assert view and view[0]["remaining_inventory"] == daily.orderBy(F.desc("event_date")).first()["inventory_eod"] \
         - view[0]["weekly_demand_cum"]
+
+
+def test_cli(spark, raw_dir, capsys):
+    from stockyard.__main__ import main
+    sfx = os.path.basename(raw_dir).replace("-", "_")
+    assert main(["medallion", "--raw", raw_dir, "--prefix", f"cli_{sfx}_", "--fmt", "parquet"]) == 0
+    assert spark.table(f"cli_{sfx}_gold.product_demand_features_daily").count() == 1
+    if os.path.exists("/root/testdata/sf0.001"):
+        out = scratch_path(spark, "cli-query")
+        assert main(["query", "--name", "silver_sellers", "--data", "/root/testdata/sf0.001", "--out", out]) == 0
+        assert spark.read.parquet(out).count() > 0
