@@ -21,6 +21,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -255,30 +256,81 @@ ALLOC_SCHEMA = ("sku_id long, sales_id string, event_ts timestamp_ntz, quantity
                 "status string, approved boolean, stock_after long")
 
 
+def allocate_segment(kind: np.ndarray, qty: np.ndarray, stock: int):
+    """Replay one SKU's events (kind 0 = acquisition, 1 = request) from
+    ``stock``; returns (approved, stock_after, final stock) per event.
+
+    Hybrid scan, exactly the sequential rule: a vector window evaluates its
+    events assuming every request is covered (a cumulative sum) and stops at
+    the first request the stock cannot cover; that request is rejected and a
+    short scalar stretch follows (stock is tight there), then a new window.
+    Windows double while nothing fails, so covered stretches cost a few
+    numpy calls and tight stretches run at plain-loop speed."""
+    n = len(kind)
+    approved = np.zeros(n, dtype=bool)
+    after = np.empty(n, dtype=np.int64)
+    is_req = kind == 1
+    delta = np.where(is_req, -qty, qty).astype(np.int64)
+    i, w = 0, 64
+    while i < n:
+        j = min(n, i + w)
+        cum = stock + np.cumsum(delta[i:j])
+        before = cum - delta[i:j]
+        fail = is_req[i:j] & (before < qty[i:j])
+        if not fail.any():
+            approved[i:j] = is_req[i:j]
+            after[i:j] = cum
+            stock = int(cum[-1])
+            i, w = j, min(w * 2, 1 << 16)
+            continue
+        f = int(np.argmax(fail))
+        approved[i:i + f] = is_req[i:i + f]
+        after[i:i + f] = cum[:f]
+        stock = int(before[f])
+        after[i + f] = stock  # rejected: stock unchanged
+        i, w = i + f + 1, 64
+        # scalar stretch over plain ints
+        j = min(n, i + 256)
+        ok_l, after_l = [], []
+        for k, q in zip(kind[i:j].tolist(), qty[i:j].tolist()):
+            if k == 0:
+                stock += q
+                ok_l.append(False)
+            elif stock >= q:
+                stock -= q
+                ok_l.append(True)
+            else:
+                ok_l.append(False)
+            after_l.append(stock)
+        approved[i:j] = ok_l
+        after[i:j] = after_l
+        i = j
+    return approved, after, stock
+
+
 def _allocate_partition(initial_stock: int):
-    """Sequential replay over one partition's rows, sorted by (sku, time,
-    kind, id); state is the current SKU's stock only."""
+    """Replay over one partition's rows, sorted by (sku, time, kind, id);
+    state carried between Arrow batches is the current SKU's stock only."""
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         cur_sku, stock = None, int(initial_stock)
         for pdf in batches:
-            skus, kinds, qtys = pdf["sku_id"].tolist(), pdf["kind"].tolist(), pdf["qty"].tolist()
-            approved, after = [], []
-            for sku, kind, q in zip(skus, kinds, qtys):
-                if sku != cur_sku:
-                    cur_sku, stock = sku, int(initial_stock)
-                if kind == 0:
-                    stock += q
-                    continue
-                ok = stock >= q
-                if ok:
-                    stock -= q
-                approved.append(ok)
-                after.append(stock)
-            req = pdf[pdf["kind"] == 1]
+            sku = pdf["sku_id"].to_numpy()
+            kind = pdf["kind"].to_numpy().astype(np.int64)
+            qty = pdf["qty"].to_numpy().astype(np.int64)
+            n = len(pdf)
+            approved = np.zeros(n, dtype=bool)
+            after = np.zeros(n, dtype=np.int64)
+            starts = [0] + (np.flatnonzero(sku[1:] != sku[:-1]) + 1).tolist() if n else []
+            for a, b in zip(starts, starts[1:] + [n]):
+                if sku[a] != cur_sku:
+                    cur_sku, stock = sku[a], int(initial_stock)
+                approved[a:b], after[a:b], stock = allocate_segment(kind[a:b], qty[a:b], stock)
+            req = (kind == 1)
+            sub = pdf[req]
             yield pd.DataFrame({
-                "sku_id": req["sku_id"].to_numpy(), "sales_id": req["rid"].to_numpy(),
-                "event_ts": req["event_ts"].to_numpy(), "quantity": req["qty"].to_numpy(),
-                "status": req["status"].to_numpy(), "approved": approved, "stock_after": after})
+                "sku_id": sub["sku_id"].to_numpy(), "sales_id": sub["rid"].to_numpy(),
+                "event_ts": sub["event_ts"].to_numpy(), "quantity": sub["qty"].to_numpy(),
+                "status": sub["status"].to_numpy(), "approved": approved[req], "stock_after": after[req]})
     return run
 
 

@@ -251,3 +251,25 @@ def test_instant_input_in_other_session_zone(spark, data):
     finally:
         spark.conf.set("spark.sql.session.timeZone", old)
     assert got == want
+
+
+@pytest.mark.parametrize("acq_rate,acq_max", [(0.01, 30), (0.05, 200), (0.3, 10)])
+def test_allocate_segment_equals_loop(acq_rate, acq_max):
+    import numpy as np
+    from stockyard.operators.inventory import allocate_segment
+    rnd = random.Random(int(acq_rate * 1000) + acq_max)
+    n = 5000
+    kind = np.array([0 if rnd.random() < acq_rate else 1 for _ in range(n)])
+    qty = np.array([rnd.randint(1, acq_max) if k == 0 else rnd.choice([1, 1, 2, 3, 5, 8]) for k in kind])
+    ok, after, end = allocate_segment(kind, qty, 7)
+    s = 7
+    for i in range(n):
+        if kind[i] == 0:
+            s += qty[i]
+        elif s >= qty[i]:
+            s -= qty[i]
+            assert ok[i]
+        else:
+            assert not ok[i]
+        assert after[i] == s
+    assert end == s
