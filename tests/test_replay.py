@@ -105,3 +105,18 @@ def test_replay_matches_python(spark, seed, initial):
     reasons = {r[6] for r in got if r[1] == "acquisition"}
     assert reasons == {"planned", "emergency"}
     assert all(r[7] >= 0 for r in got)
+
+
+@pytest.mark.parametrize("base_daily,initial", [(40.0, 0), (2.0, 500)])
+def test_replay_hot_sku_long_stream(spark, base_daily, initial):
+    """One SKU with thousands of requests: long covered stretches (vector
+    windows) and tight stretches (scalar steps) both occur."""
+    p = C.DemandParams(base_daily=base_daily, monthly_rate=0.0, initial_stock=initial, approval_share=0.7,
+                       holidays=C.NOTEBOOK_HOLIDAYS)
+    rnd = random.Random(11)
+    base = dt.datetime(2024, 11, 1)
+    rows = [(7, f"S{i:08d}", base + dt.timedelta(seconds=rnd.randrange(40 * 86400)),
+             rnd.choice([1, 1, 1, 2, 3]), "placed") for i in range(6000)]
+    got = sorted((tuple(r) for r in replay_inventory(spark.createDataFrame(rows, SALES_T), p, num_partitions=2)
+                  .collect()), key=str)
+    assert got == sorted(py_replay(rows, p), key=str)
