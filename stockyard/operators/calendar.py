@@ -65,7 +65,7 @@ def _spec(spec) -> dict:
     return out
 
 
-def with_holiday_map(df: DataFrame, spec=None, out: str = "__hm") -> DataFrame:
+def with_holiday_map(df: DataFrame, spec=None, out: str = "__hm", as_map: bool = True) -> DataFrame:
     """Add ``out`` to each row with ``start`` / ``end`` dates: MAP<date,
     double> from every date within ``pre`` days before to ``post`` days
     after a holiday of the years year(start)..year(end), inside [start, end],
@@ -97,6 +97,8 @@ def with_holiday_map(df: DataFrame, spec=None, out: str = "__hm") -> DataFrame:
     srt = df.withColumn("__ord", F.sort_array(inside))  # by date, largest multiplier first
     ordered = F.col("__ord")
     first = F.filter(ordered, lambda e, i: (i == 0) | (F.element_at(ordered, i)["d"] != e["d"]))
+    if not as_map:  # the de-duplicated (date, -multiplier) entries, date ascending
+        return srt.withColumn(out, first).drop("__ord")
     return srt.withColumn(out, F.map_from_entries(
         F.transform(first, lambda e: F.struct(e["d"], -e["nm"])))).drop("__ord")
 
@@ -107,12 +109,13 @@ def holiday_multiplier(ranges: DataFrame, spec=None, keys: Sequence[str] = ("sku
     inside [start, end] gets the largest multiplier of the holidays covering
     it, at least 1.0. Names not in the calendar are ignored. Row-local per
     key (see :func:`with_holiday_map`): no join, no shuffle."""
-    r = with_holiday_map(ranges.select(*keys, "start", "end"), spec)
-    # explode_outer + filter: a plain explode makes Spark infer a size(map) > 0
-    # filter that re-inlines the whole map expression
-    return r.select(*keys, F.explode_outer("__hm").alias("event_date", "__m")) \
-        .filter(F.col("event_date").isNotNull()) \
-        .select(*keys, "event_date", F.greatest(F.lit(1.0), F.col("__m")).alias("holiday_mult"))
+    r = with_holiday_map(ranges.select(*keys, "start", "end"), spec, as_map=False)
+    # inline_outer + filter: a plain inline makes Spark infer a size(...) > 0
+    # filter that re-inlines the whole entry expression
+    return r.select(*keys, F.inline_outer("__hm")) \
+        .filter(F.col("d").isNotNull()) \
+        .select(*keys, F.col("d").alias("event_date"),
+                F.greatest(F.lit(1.0), -F.col("nm")).alias("holiday_mult"))
 
 
 def demand_calendar(ranges: DataFrame, params: C.DemandParams = C.DemandParams(),
