@@ -21,15 +21,19 @@ def dedupe_events(sales: DataFrame, key: str = "sales_id") -> DataFrame:
     Written as ``groupBy(key).agg(min(struct(...)))`` - an aggregate with a
     map-side partial step - rather than ``row_number`` over a window, so an
     id with very many copies is reduced inside each task before the shuffle
-    instead of landing whole in one task."""
+    instead of landing whole in one task. Rows with a NULL id are kept
+    unchanged."""
     others = [c for c in sales.columns if c != key]
     pick = F.struct(
         F.col("event_ts").isNull().alias("__ts_null"), F.col("event_ts").alias("__ts"),
         F.col("status").isNull().alias("__st_null"), F.col("status").alias("__st"),
         F.col("quantity").alias("__q"), F.col(K).alias("__k"),
         *[F.col(c).alias(c) for c in others])
-    best = sales.groupBy(key).agg(F.min(pick).alias("__best"))
-    return best.select(key, *[F.col(f"__best.{c}").alias(c) for c in others])
+    keyed = sales.filter(F.col(key).isNotNull())
+    best = keyed.groupBy(key).agg(F.min(pick).alias("__best"))
+    deduped = best.select(key, *[F.col(f"__best.{c}").alias(c) for c in others])
+    # rows without an id are not copies of each other: kept as they are
+    return deduped.unionByName(sales.filter(F.col(key).isNull()).select(key, *others))
 
 
 def auto_bucket(df: DataFrame, first_order: Column) -> Column | None:

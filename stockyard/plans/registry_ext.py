@@ -266,7 +266,8 @@ def line_sales(spark, sf_dir):
 
 @register("dedupe_events", f"""SELECT sales_id, sku_id, event_ts, quantity, status FROM (
   SELECT *, row_number() OVER (PARTITION BY sales_id ORDER BY event_ts NULLS LAST,
-    status NULLS LAST, quantity, sku_id) AS rn FROM ({SQL_LINE_SALES})) WHERE rn = 1""")
+    status NULLS LAST, quantity, sku_id) AS rn FROM ({SQL_LINE_SALES}))
+WHERE rn = 1 OR sales_id IS NULL""")
 def q_dedupe_events(spark, sf_dir):
     """One row per sales id (order line ids repeat in the input)."""
     return EV.dedupe_events(line_sales(spark, sf_dir))

@@ -152,3 +152,11 @@ def test_forecast_season_native_equals_grouped(spark, season):
     assert a.keys() == b.keys() and len(a) == 20
     for key in a:
         assert a[key] == pytest.approx(b[key], abs=2e-4)
+
+
+def test_dedupe_keeps_rows_without_id(spark):
+    t = dt.datetime(2024, 1, 1)
+    s = spark.createDataFrame([(1, None, t, 1, "placed"), (1, None, t, 2, "placed"), (1, "S1", t, 1, "placed"),
+                               (1, "S1", t, 1, "placed")], SALES_T)
+    out = EV.dedupe_events(s).collect()
+    assert len(out) == 3 and sum(1 for r in out if r["sales_id"] is None) == 2
