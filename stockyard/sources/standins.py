@@ -2,9 +2,11 @@
 jobs read (orders, order_items, products, customers, sellers, geolocation,
 payments, reviews, category translation, sales events, stock acquisitions).
 
-These functions only rename, cast and relabel columns of one table each
-(narrow projections, no shuffle); they do none of the jobs' work. The jobs
-themselves accept any DataFrame with these schemas.
+These functions read one table each and only rename, cast and relabel its
+columns - the event stand-ins also pick the event types that play sales or
+acquisitions - as narrow projections / filters without a shuffle; they do
+none of the jobs' work. The jobs themselves accept any DataFrame with these
+schemas.
 """
 
 from __future__ import annotations
