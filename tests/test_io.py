@@ -211,3 +211,18 @@ def test_cli(spark, raw_dir, capsys):
         out = scratch_path(spark, "cli-query")
         assert main(["query", "--name", "silver_sellers", "--data", "/root/testdata/sf0.001", "--out", out]) == 0
         assert spark.read.parquet(out).count() > 0
+
+
+def test_typed_table_comments_and_insert_overwrite(spark, raw_dir):
+    from stockyard.plans import gold
+    name = "typed_" + os.path.basename(raw_dir).replace("-", "_")
+    sinks.create_typed_table(spark, name, gold.PRODUCT_DEMAND_DDL, "feature table")
+    desc = {r["col_name"]: (r["data_type"], r["comment"]) for r in spark.sql(f"DESCRIBE TABLE {name}").collect()}
+    assert desc["quantity"] == ("int", "Quantity") and desc["total_price"][0] == "double"
+    ext = {r["col_name"]: r["data_type"] for r in spark.sql(f"DESCRIBE TABLE EXTENDED {name}").collect()}
+    assert ext.get("Comment") == "feature table"
+    row = [("o1", None, "p1", "c", 1, 1, 1, 1, 1, 1, 2, 3.5, 0.5)]
+    df = spark.createDataFrame(row, ", ".join(f"{n} {t}" for n, t, _ in gold.PRODUCT_DEMAND_DDL))
+    sinks.insert_overwrite(df, name)
+    sinks.insert_overwrite(df, name)  # replaces, does not append
+    assert spark.table(name).count() == 1
