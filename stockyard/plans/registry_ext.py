@@ -403,3 +403,31 @@ def q_replay_inventory(spark, sf_dir):
     """Per-SKU replay of all sales events: approvals by stock, Sunday planned
     and emergency restocks acting on the replayed stock (feedback)."""
     return replay_inventory(sales(spark, sf_dir), PARAMS)
+
+
+# ---------------------------------------------------------------------------
+# Event hygiene end to end: perturb -> dedupe -> quality flags
+# ---------------------------------------------------------------------------
+
+_PERTURBED = _sql_perturb(C.ErrorRates.notebook(), 123)
+_DEDUPED = f"""SELECT sales_id, sku_id, event_ts, quantity, status FROM (
+  SELECT *, row_number() OVER (PARTITION BY sales_id ORDER BY event_ts NULLS LAST,
+    status NULLS LAST, quantity, sku_id) AS rn FROM ({_PERTURBED}))
+WHERE rn = 1 OR sales_id IS NULL"""
+
+
+@register("event_hygiene", f"""SELECT sku_id, sales_id, event_ts, quantity, status,
+  status IS NULL AS is_null_status, event_ts IS NULL AS is_null_ts,
+  COALESCE(event_ts < pm, false) AS is_out_of_order, COALESCE(quantity > 50, false) AS is_outlier,
+  CASE WHEN status IS NULL THEN 'null_status' WHEN event_ts IS NULL THEN 'null_event_ts'
+       WHEN COALESCE(event_ts < pm, false) THEN 'out_of_order'
+       WHEN COALESCE(quantity > 50, false) THEN 'quantity_outlier' ELSE 'valid' END
+    AS event_quality_flag
+FROM (SELECT *, max(event_ts) OVER (PARTITION BY sku_id ORDER BY sales_id
+        ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS pm FROM ({_DEDUPED}))""")
+def q_event_hygiene(spark, sf_dir):
+    """Sales events with injected errors (notebook rates), de-duplicated by
+    id, then flagged (null status / time, out-of-order arrival, quantity
+    above the quantity cap of 50)."""
+    s = EV.perturb_events(sales(spark, sf_dir), C.ErrorRates.notebook(), seed=123)
+    return EV.event_quality(EV.dedupe_events(s), outlier_threshold=50)
