@@ -20,7 +20,11 @@ from ..functions.dates import last_friday, next_monday_after, second_sunday, wee
 
 
 def _holiday_dates(year: Column) -> list[tuple[str, Column]]:
-    """Fixed and movable commercial holidays of ``year``."""
+    """Fixed and movable commercial holidays of ``year``. Fixed values (must
+    equal the source's): Christmas 25 Dec, Children's Day 12 Oct,
+    Valentine's Day 12 Jun, Mother's / Father's Day the second Sunday of May /
+    August, Black Friday the last Friday of November, Cyber Monday the first
+    Monday after it."""
     bf = last_friday(year, 11)
     return [
         ("natal", F.make_date(year, F.lit(12), F.lit(25))),

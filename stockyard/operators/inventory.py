@@ -242,7 +242,8 @@ def emergency_restock(ledger: DataFrame, ranges: DataFrame,
                  local_date(z, "event_ts", params.zone).alias("event_date"))
     j = z.join(cal, [K, "event_date"], "left")
     return j.select(K, F.col("movement_id").alias("trigger_id"),
-                    (F.col("event_ts") + F.expr("INTERVAL 5 MINUTES")).alias("event_ts"),
+                    (F.col("event_ts") + F.make_dt_interval(F.lit(0), F.lit(0), F.lit(C.EMERGENCY_DELAY_MINUTES)))
+                    .alias("event_ts"),
                     F.lit(C.REASON_EMERGENCY).alias("reason"),
                     F.greatest(F.lit(1), F.coalesce("need", F.lit(0))).cast("bigint")
                     .alias("quantity_received"))

@@ -9,6 +9,8 @@ nine rule sets mirror the silver layer. Rules test the *raw* input columns
 Rules that a null-key filter of the same dataset makes unreachable are not
 listed (the silver functions always apply that filter first).
 
+The labels are fixed values (they must equal the source's labels).
+
 NULL semantics are SQL's: ``NULL NOT IN (...)`` and ``NULL < 0`` are unknown,
 so such a rule does not fire and the row stays ``valid``.
 """
