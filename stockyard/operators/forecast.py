@@ -86,6 +86,35 @@ def linear_weekday_model(t: np.ndarray, y: np.ndarray, weekday: np.ndarray,
     return np.maximum(0.0, a + b * t_new + eff[weekday_new])
 
 
+def holt_winters_model(alpha: float = 0.3, beta: float = 0.05, gamma: float = 0.2):
+    """Additive Holt-Winters (level + trend + seasonal) as a model for
+    :func:`forecast_demand_grouped`; the seasonal position is the one the
+    caller passes (weekday for season 7). Days without a row count as
+    missing: the recursion runs over the observed days in order."""
+    def model(t, y, season_idx, t_new, season_new):
+        y = np.asarray(y, dtype=float)
+        m = int(max(season_idx.max(initial=0), season_new.max(initial=0))) + 1
+        if len(y) < 2 * m:  # too short for a seasonal start: trend + mean level
+            return linear_weekday_model(t, y, season_idx, t_new, season_new)
+        level = y[:m].mean()
+        trend = (y[m:2 * m].mean() - level) / m
+        season = np.zeros(m)
+        for k in range(m):
+            season[season_idx[k]] = y[k] - level
+        last_t = t[0]
+        for k in range(len(y)):
+            gap = max(1, int(t[k] - last_t)) if k else 1
+            prev = level
+            s_k = season[season_idx[k]]
+            level = alpha * (y[k] - s_k) + (1 - alpha) * (prev + gap * trend)
+            trend = beta * (level - prev) / gap + (1 - beta) * trend
+            season[season_idx[k]] = gamma * (y[k] - level) + (1 - gamma) * s_k
+            last_t = t[k]
+        h = np.asarray(t_new, dtype=float) - float(t[-1])
+        return np.maximum(0.0, level + h * trend + season[season_new])
+    return model
+
+
 def forecast_demand_grouped(daily: DataFrame, horizon: int = 28, value: str = "approved_qty",
                             model: Callable = linear_weekday_model, digits: int = 4,
                             season: int = 7) -> DataFrame:

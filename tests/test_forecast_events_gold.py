@@ -160,3 +160,14 @@ def test_dedupe_keeps_rows_without_id(spark):
                                (1, "S1", t, 1, "placed")], SALES_T)
     out = EV.dedupe_events(s).collect()
     assert len(out) == 3 and sum(1 for r in out if r["sales_id"] is None) == 2
+
+
+def test_holt_winters_model_recovers_seasonal_trend(spark):
+    season = [5, 0, 0, 0, 2, 8, 3]
+    d = _daily(spark, lambda k, i, day: 20 + i // 7 + season[day.weekday()], days=84, skus=(1,))
+    p = {r["event_date"]: r["demand_prediction"]
+         for r in FC.forecast_demand_grouped(d, 14, model=FC.holt_winters_model()).collect()}
+    assert len(p) == 14
+    for day, v in p.items():
+        i = (day - dt.date(2024, 1, 1)).days
+        assert v == pytest.approx(20 + i / 7 + season[day.weekday()], abs=2.0)
