@@ -131,3 +131,16 @@ def q_stream_bronze_silver_orders(spark, sf_dir):
     refresh_silver_from_bronze(spark, bz, "orders", sv,
                                scratch_path(spark, "ckpt-silver-orders")).awaitTermination()
     return spark.read.parquet(sv).drop(*LINEAGE)
+
+
+@register("bronze_lineage_check", """SELECT count(*) AS rows, true AS all_have_source_file,
+  true AS all_have_ingestion_time, true AS all_have_processed_at FROM lineitem""")
+def q_bronze_lineage_check(spark, sf_dir):
+    """Bronze order items read from raw CSV: row count and whether every row
+    carries its lineage columns (source file, file time, load time)."""
+    raw = _to_csv(spark, sf_dir, "order_items")
+    b = bronze.bronze_dataset(spark, raw, "order_items", path=raw)
+    return b.agg(F.count(F.lit(1)).alias("rows"),
+                 F.bool_and(F.col("_source_file").isNotNull()).alias("all_have_source_file"),
+                 F.bool_and(F.col("_ingestion_time").isNotNull()).alias("all_have_ingestion_time"),
+                 F.bool_and(F.col("_processed_at").isNotNull()).alias("all_have_processed_at"))
