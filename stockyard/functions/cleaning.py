@@ -64,3 +64,12 @@ def rename_cast(c, t: str, name: str) -> Column:
 def string_len(c) -> Column:
     """Length of the trimmed string."""
     return F.length(F.trim(_c(c)))
+
+
+def round_half_up(c, digits: int) -> Column:
+    """floor(c * 10^digits + 0.5) / 10^digits on the binary double value.
+    Unlike ``round`` (which rounds the shortest decimal form of the double),
+    this gives the same result as the same formula in any SQL engine or in
+    numpy, also on exact ties such as 13.13125."""
+    scale = float(10 ** digits)
+    return F.floor(_c(c) * scale + 0.5) / scale

@@ -12,16 +12,17 @@ by the number of events.
 from __future__ import annotations
 
 from collections.abc import Callable
+from fractions import Fraction
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
+from pyspark.sql.types import IntegralType
 
+from ..functions.cleaning import round_half_up
 from ..functions.dates import future_spine, week_start, weekday_index
 from ..session import ship_package
-from .filters import latest_rows_window
 from .windows import running
 
 K = "sku_id"
@@ -38,52 +39,95 @@ def season_index(c, season: int):
     return F.pmod(F.datediff(c, F.lit(EPOCH).cast("date")) + 3, F.lit(season))
 
 
-def _history(daily: DataFrame, value: str, season: int) -> DataFrame:
-    first = F.min("event_date").over(Window.partitionBy(K))
-    return daily.select(K, "event_date", F.col(value).cast("double").alias("y"),
-                        F.datediff("event_date", first).alias("t"),
-                        season_index("event_date", season).alias("weekday"))
-
-
 def forecast_demand(daily: DataFrame, horizon: int = 28, value: str = "approved_qty",
                     digits: int = 4, season: int = 7) -> DataFrame:
     """(sku_id, event_date, demand_prediction) for the ``horizon`` days after
-    each SKU's last day: max(0, a + b * t + seasonal_effect), rounded. The
-    seasonal effect is the mean residual per position in a ``season``-day
-    cycle (7: per weekday)."""
-    h = _history(daily, value, season)
-    fit = h.groupBy(K).agg(
-        F.regr_slope("y", "t").alias("b"), F.regr_intercept("y", "t").alias("a"),
-        F.avg("y").alias("mean_y"), F.min("event_date").alias("first_date"),
-        F.max("event_date").alias("last_date"))
-    fit = fit.select(K, "first_date", "last_date",
-                     F.coalesce("b", F.lit(0.0)).alias("b"),
-                     F.coalesce("a", F.col("mean_y")).alias("a"))
-    resid = h.join(fit.select(K, "a", "b"), K).groupBy(K, "weekday").agg(
-        F.avg(F.col("y") - (F.col("a") + F.col("b") * F.col("t"))).alias("w"))
-    fut = future_spine(fit, "last_date", horizon)
-    fut = fut.select(K, "event_date", "a", "b", F.datediff("event_date", "first_date").alias("t"),
+    each SKU's last day: max(0, a + b * t + seasonal_effect), rounded half
+    up to ``digits`` decimals. ``a + b * t`` is the least-squares line of the
+    series over its day numbers; the seasonal effect is the mean residual
+    per position in a ``season``-day cycle (7: per weekday).
+
+    Plan: only partial aggregates touch the daily series - per (SKU,
+    position) counts and sums of t, y, t*t, t*y - so the series is never
+    shuffled row by row nor joined with its fit; everything after works on
+    one row per SKU and position. For an integer series (unit counts) the
+    sums are exact integers and each prediction is the exact rational
+    N / M, rounded by integer division: the result does not depend on the
+    summation order or on the engine."""
+    t = F.datediff("event_date", F.lit(EPOCH).cast("date"))
+    exact = isinstance(daily.schema[value].dataType, IntegralType)
+    num = "decimal(38,0)" if exact else "double"
+    h = daily.select(K, "event_date", F.col(value).cast(num).alias("y"), t.cast(num).alias("t"),
+                     season_index("event_date", season).alias("weekday"))
+    pos = h.groupBy(K, "weekday").agg(
+        F.count(F.lit(1)).cast(num).alias("c"), F.sum("y").alias("sy"), F.sum("t").alias("st"),
+        F.sum(F.col("t") * F.col("t")).alias("stt"), F.sum(F.col("t") * F.col("y")).alias("sty"),
+        F.max("event_date").alias("last_k"))
+    tot = pos.groupBy(K).agg(
+        F.sum("c").alias("n"), F.sum("sy").alias("sy_all"), F.sum("st").alias("st_all"),
+        F.sum("stt").alias("stt_all"), F.sum("sty").alias("sty_all"), F.max("last_k").alias("last_date"))
+    tot = tot.select(K, "last_date", "n", "sy_all", "st_all",
+                     (F.col("n") * F.col("stt_all") - F.col("st_all") * F.col("st_all")).alias("dd"),
+                     (F.col("n") * F.col("sty_all") - F.col("st_all") * F.col("sy_all")).alias("bn"))
+    fut = future_spine(tot, "last_date", horizon)
+    fut = fut.select(K, "event_date", "n", "sy_all", "st_all", "dd", "bn", t.cast(num).alias("t"),
                      season_index("event_date", season).alias("weekday"))
-    p = fut.join(resid, [K, "weekday"], "left")
-    pred = F.greatest(F.lit(0.0), F.col("a") + F.col("b") * F.col("t") + F.coalesce("w", F.lit(0.0)))
-    return p.select(K, "event_date", F.round(pred, digits).alias("demand_prediction"))
+    j = fut.join(pos.select(K, "weekday", "c", "sy", "st"), [K, "weekday"], "left")
+    c, has = F.col("c"), F.col("c").isNotNull()
+    flat = F.col("dd") == 0  # one distinct day: no slope
+    # prediction = avg_y(pos) + b * (t - avg_t(pos)), or a + b * t without
+    # history at that position, with b = bn / dd, a = (sy_all - b * st_all) / n
+    numer = F.when(flat, F.when(has, F.col("sy")).otherwise(F.col("sy_all"))) \
+        .when(has, F.col("sy") * F.col("dd") + F.col("bn") * (F.col("t") * c - F.col("st"))) \
+        .otherwise(F.col("sy_all") * F.col("dd") - F.col("bn") * F.col("st_all")
+                   + F.col("n") * F.col("bn") * F.col("t"))
+    denom = F.when(flat, F.when(has, c).otherwise(F.col("n"))) \
+        .when(has, c * F.col("dd")).otherwise(F.col("n") * F.col("dd"))
+    numer = F.greatest(numer, F.lit(0).cast(num))
+    scale = 10 ** digits
+    if exact:
+        q = F.expr(f"(2 * __n * {scale} + __m) div (2 * __m)")
+        pred = q.cast("double") / F.lit(float(scale))
+        return j.select(K, "event_date", numer.alias("__n"), denom.alias("__m")) \
+            .select(K, "event_date", pred.alias("demand_prediction"))
+    return j.select(K, "event_date", round_half_up(numer / denom, digits).alias("demand_prediction"))
 
 
 def linear_weekday_model(t: np.ndarray, y: np.ndarray, weekday: np.ndarray,
-                         t_new: np.ndarray, weekday_new: np.ndarray) -> np.ndarray:
-    """numpy twin of the native model (least-squares trend + mean residual
-    per weekday); the default model of ``forecast_demand_grouped``."""
-    t = t.astype(float)
-    if len(t) > 1 and np.var(t) > 0:
-        b, a = np.polyfit(t, y, 1)
-    else:
-        b, a = 0.0, float(np.mean(y))
-    r = y - (a + b * t)
-    m = int(max(weekday.max(initial=0), weekday_new.max(initial=0))) + 1
-    cnt = np.bincount(weekday, minlength=m)
-    eff = np.divide(np.bincount(weekday, weights=r, minlength=m), cnt,
-                    out=np.zeros(m), where=cnt > 0)
-    return np.maximum(0.0, a + b * t_new + eff[weekday_new])
+                         t_new: np.ndarray, weekday_new: np.ndarray):
+    """The native model in Python (least-squares line over the day numbers
+    + mean residual per position); the default model of
+    ``forecast_demand_grouped``. An integer series is fitted exactly with
+    rationals (``Fraction``), as the native path does; others with floats."""
+    if not np.issubdtype(np.asarray(y).dtype, np.integer):
+        t = t.astype(float)
+        if len(t) > 1 and np.var(t) > 0:
+            b, a = np.polyfit(t, y, 1)
+        else:
+            b, a = 0.0, float(np.mean(y))
+        r = y - (a + b * t)
+        m = int(max(weekday.max(initial=0), weekday_new.max(initial=0))) + 1
+        cnt = np.bincount(weekday, minlength=m)
+        eff = np.divide(np.bincount(weekday, weights=r, minlength=m), cnt,
+                        out=np.zeros(m), where=cnt > 0)
+        return np.maximum(0.0, a + b * t_new + eff[weekday_new])
+    ts, ys, wds = (list(map(int, v)) for v in (t, y, weekday))
+    n, St, Sy = len(ts), sum(ts), sum(ys)
+    D = n * sum(v * v for v in ts) - St * St
+    Bn = n * sum(a * b for a, b in zip(ts, ys)) - St * Sy
+    per = {}
+    for tv, yv, w in zip(ts, ys, wds):
+        c, sy, st = per.get(w, (0, 0, 0))
+        per[w] = (c + 1, sy + yv, st + tv)
+    out = []
+    for tv, w in zip(map(int, t_new), map(int, weekday_new)):
+        if w in per:
+            c, sy, st = per[w]
+            num, den = (sy, c) if D == 0 else (sy * D + Bn * (tv * c - st), c * D)
+        else:
+            num, den = (Sy, n) if D == 0 else (Sy * D - Bn * St + n * Bn * tv, n * D)
+        out.append(Fraction(max(num, 0), den))
+    return np.array(out, dtype=object)
 
 
 def holt_winters_model(alpha: float = 0.3, beta: float = 0.05, gamma: float = 0.2):
@@ -127,8 +171,9 @@ def forecast_demand_grouped(daily: DataFrame, horizon: int = 28, value: str = "a
     ship_package(daily.sparkSession)
     key_t = daily.schema[K].dataType.simpleString()
     epoch = F.lit(EPOCH).cast("date")
+    y_t = "long" if isinstance(daily.schema[value].dataType, IntegralType) else "double"
     h = daily.select(K, F.datediff("event_date", epoch).alias("day"),
-                     F.col(value).cast("double").alias("y"))
+                     F.col(value).cast(y_t).alias("y"))
 
     def per_sku(pdf: pd.DataFrame) -> pd.DataFrame:
         day = pdf["day"].to_numpy()
@@ -138,8 +183,14 @@ def forecast_demand_grouped(daily: DataFrame, horizon: int = 28, value: str = "a
         new_day = day[-1] + np.arange(1, horizon + 1)
         wd = (day + 3) % season  # 1970-01-01 was a Thursday (Monday = 0)
         y_new = model(t, y, wd, new_day - day[0], (new_day + 3) % season)
+        scale = 10 ** digits
+        if len(y_new) and isinstance(y_new[0], Fraction):  # exact: half up by integer division
+            pred = [float((2 * v.numerator * scale + v.denominator) // (2 * v.denominator)) / scale
+                    for v in y_new]
+        else:
+            pred = np.floor(np.asarray(y_new, dtype=float) * scale + 0.5) / scale
         return pd.DataFrame({K: np.repeat(pdf[K].iloc[0], horizon), "day": new_day,
-                             "demand_prediction": np.round(np.asarray(y_new, dtype=float), digits)})
+                             "demand_prediction": pred})
 
     out = h.groupBy(K).applyInPandas(per_sku, f"{K} {key_t}, day int, demand_prediction double")
     return out.select(K, F.date_add(epoch, F.col("day")).alias("event_date"), "demand_prediction")
@@ -166,8 +217,9 @@ def inventory_forecast(daily: DataFrame, pred: DataFrame) -> DataFrame:
 
     Columns: sku_id, week_monday, weekly_demand, weekly_demand_cum,
     remaining_inventory."""
-    inv = latest_rows_window(daily.select(K, "event_date", "inventory_eod"), [K], "event_date") \
-        .select(K, F.col("inventory_eod").alias("initial_inventory"))
+    # one row per SKU and day: the latest stock is a max_by aggregate
+    # (partial, map-side) rather than a window over the whole series
+    inv = daily.groupBy(K).agg(F.max_by("inventory_eod", "event_date").alias("initial_inventory"))
     cum = cumulative_demand(weekly_demand(pred))
     return cum.join(inv, K, "inner").select(
         K, "week_monday", "weekly_demand", "weekly_demand_cum",

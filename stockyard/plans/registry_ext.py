@@ -6,6 +6,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from .. import config as C
+from ..functions.cleaning import round_half_up
 from ..operators import calendar as CAL
 from ..operators import events as EV
 from ..operators import forecast as FC
@@ -106,12 +107,12 @@ def _sql_need(cal_sql: str, n: int) -> str:
 
 
 @register("expected_demand", f"""SELECT sku_id, "start", "end", event_date, weekday, holiday_mult,
-  in_holiday_window, round(expected_orders, 6) AS expected_orders
+  in_holiday_window, floor(expected_orders * 1000000.0 + 0.5) / 1000000.0 AS expected_orders
 FROM ({_sql_calendar(SQL_RANGES, 0)})""")
 def q_expected_demand(spark, sf_dir):
     """Expected orders per SKU and day (trend x weekday x holiday)."""
     return CAL.demand_calendar(ranges(spark, sf_dir), PARAMS) \
-        .withColumn("expected_orders", F.round("expected_orders", 6))
+        .withColumn("expected_orders", round_half_up("expected_orders", 6))
 
 
 _PW = PARAMS.planned_weeks * 7
@@ -126,13 +127,13 @@ def q_coverage_need(spark, sf_dir):
         .select(K, "event_date", "need")
 
 
-@register("mean_order_qty", f"""SELECT sku_id, round(avg(quantity), 6) AS mean_qty,
+@register("mean_order_qty", f"""SELECT sku_id, floor(avg(quantity) * 1000000.0 + 0.5) / 1000000.0 AS mean_qty,
   CAST({C.QtyDist().mean()!r} AS DOUBLE) AS model_mean_qty FROM ({SQL_SALES})
 WHERE status = 'approved' GROUP BY sku_id""")
 def q_mean_order_qty(spark, sf_dir):
     """Observed mean approved quantity per SKU next to the model's mean."""
     s = sales(spark, sf_dir).filter(F.col("status") == C.STATUS_APPROVED)
-    return s.groupBy(K).agg(F.round(F.avg("quantity"), 6).alias("mean_qty")) \
+    return s.groupBy(K).agg(round_half_up(F.avg("quantity"), 6).alias("mean_qty")) \
         .withColumn("model_mean_qty", F.lit(C.QtyDist().mean()))
 
 
@@ -184,21 +185,30 @@ def q_emergency_restock(spark, sf_dir):
 H = 28
 
 SQL_FORECAST = f"""WITH d AS ({SQL_DAILY}),
-h AS (SELECT sku_id, event_date, CAST(approved_qty AS DOUBLE) AS y,
-        datediff('day', min(event_date) OVER (PARTITION BY sku_id), event_date) AS t,
+h AS (SELECT sku_id, event_date, CAST(approved_qty AS HUGEINT) AS y,
+        CAST(datediff('day', DATE '1970-01-01', event_date) AS HUGEINT) AS t,
         isodow(event_date) - 1 AS weekday FROM d),
-fit AS (SELECT sku_id, COALESCE(regr_slope(y, t), 0.0) AS b,
-          COALESCE(regr_intercept(y, t), avg(y)) AS a,
-          min(event_date) AS first_date, max(event_date) AS last_date FROM h GROUP BY sku_id),
-r AS (SELECT h.sku_id, weekday, avg(y - (a + b * t)) AS w FROM h JOIN fit USING (sku_id)
-      GROUP BY h.sku_id, weekday),
-fut AS (SELECT sku_id, a, b, first_date,
-          CAST(unnest(generate_series(last_date + 1, last_date + {H}, INTERVAL 1 DAY)) AS DATE)
-            AS event_date FROM fit)
-SELECT f.sku_id, f.event_date,
-  round(greatest(0.0, a + b * datediff('day', first_date, f.event_date) + COALESCE(w, 0.0)), 4)
-    AS demand_prediction
-FROM fut f LEFT JOIN r ON r.sku_id = f.sku_id AND r.weekday = isodow(f.event_date) - 1"""
+pos AS (SELECT sku_id, weekday, CAST(count(*) AS HUGEINT) AS c, sum(y) AS sy, sum(t) AS st,
+          sum(t * t) AS stt, sum(t * y) AS sty, max(event_date) AS last_k
+        FROM h GROUP BY sku_id, weekday),
+tot AS (SELECT sku_id, max(last_k) AS last_date, sum(c) AS n, sum(sy) AS sy_all, sum(st) AS st_all,
+          sum(stt) AS stt_all, sum(sty) AS sty_all FROM pos GROUP BY sku_id),
+fit AS (SELECT sku_id, last_date, n, sy_all, st_all, n * stt_all - st_all * st_all AS dd,
+          n * sty_all - st_all * sy_all AS bn FROM tot),
+fut AS (SELECT *, CAST(unnest(generate_series(last_date + 1, last_date + {H}, INTERVAL 1 DAY)) AS DATE)
+          AS event_date FROM fit),
+j AS (SELECT f.sku_id, f.event_date, f.n, f.sy_all, f.st_all, f.dd, f.bn,
+        CAST(datediff('day', DATE '1970-01-01', f.event_date) AS HUGEINT) AS t, p.c, p.sy, p.st
+      FROM fut f LEFT JOIN pos p ON p.sku_id = f.sku_id AND p.weekday = isodow(f.event_date) - 1),
+q AS (SELECT sku_id, event_date,
+        greatest(CASE WHEN dd = 0 THEN (CASE WHEN c IS NOT NULL THEN sy ELSE sy_all END)
+                      WHEN c IS NOT NULL THEN sy * dd + bn * (t * c - st)
+                      ELSE sy_all * dd - bn * st_all + n * bn * t END, 0) AS num,
+        CASE WHEN dd = 0 THEN (CASE WHEN c IS NOT NULL THEN c ELSE n END)
+             WHEN c IS NOT NULL THEN c * dd ELSE n * dd END AS den
+      FROM j)
+SELECT sku_id, event_date,
+  CAST((2 * num * 10000 + den) // (2 * den) AS DOUBLE) / 10000.0 AS demand_prediction FROM q"""
 
 
 def forecast(spark, sf_dir, d=None):
