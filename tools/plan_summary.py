@@ -40,7 +40,9 @@ def main(argv):
     print("Final adaptive plans (after AQE re-planning) of every registered query, "
           "local[8], 16 shuffle partitions. Counts are operator occurrences; "
           "`bnlj` counts nested-loop / cartesian joins, `single_partition` any "
-          "exchange to one partition. Generated by `tools/plan_summary.py`.\n")
+          "exchange to one partition (only the final step of a global aggregate, "
+          "which moves one partial row per task). Generated by "
+          "`tools/plan_summary.py`.\n")
     cols = ["scans", "exchanges", "bhj", "smj", "shj", "bnlj", "windows", "python",
             "single_partition", "pushed"]
     print("| query | " + " | ".join(cols) + " | warm s |")
