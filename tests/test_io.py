@@ -226,3 +226,11 @@ def test_typed_table_comments_and_insert_overwrite(spark, raw_dir):
     sinks.insert_overwrite(df, name)
     sinks.insert_overwrite(df, name)  # replaces, does not append
     assert spark.table(name).count() == 1
+
+
+def test_imperative_flavour_explicit_schemas(spark, raw_dir):
+    sfx = os.path.basename(raw_dir).replace("-", "_")
+    t = medallion.run_imperative(spark, raw_dir, f"rx_{sfx}", f"rxg_{sfx}", infer=False)
+    assert spark.table(t).count() == 1
+    zips = {r[0] for r in spark.table(f"rx_{sfx}.customers").select("customer_zip_code_prefix").collect()}
+    assert "01037" in zips  # explicit string schema keeps the leading zero
