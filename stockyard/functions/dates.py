@@ -6,6 +6,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import TimestampNTZType
 
+from .cleaning import cast_date
+
 
 def _c(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
@@ -42,8 +44,8 @@ def local_date(df: DataFrame, ts: str, zone: str) -> Column:
 def utc_date(df: DataFrame, ts: str) -> Column:
     """Calendar date in UTC of the instant in ``ts``."""
     if isinstance(df.schema[ts].dataType, TimestampNTZType):
-        return F.to_date(F.col(ts))
-    return F.to_date(F.convert_timezone(None, F.lit("UTC"), F.col(ts)))
+        return cast_date(ts)
+    return cast_date(F.convert_timezone(None, F.lit("UTC"), F.col(ts)))
 
 
 def date_spine(df: DataFrame, start: str, end: str, out: str = "event_date") -> DataFrame:

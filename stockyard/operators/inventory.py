@@ -31,7 +31,7 @@ from .. import config as C
 from ..functions.dates import local_date, utc_date, weekday_index
 from ..session import ship_package
 from .calendar import coverage_need, demand_calendar
-from .filters import anti_join_ids
+from .filters import anti_join_ids, filter_equals
 from .windows import running
 
 K = "sku_id"
@@ -45,7 +45,7 @@ def daily_received(acq: DataFrame, zone: str = C.DEFAULT_ZONE) -> DataFrame:
 
 def daily_approved(sales: DataFrame, zone: str = C.DEFAULT_ZONE) -> DataFrame:
     """Approved units per SKU and local day."""
-    s = sales.filter(F.col("status") == C.STATUS_APPROVED)
+    s = filter_equals(sales, "status", C.STATUS_APPROVED)
     return s.groupBy(K, local_date(s, "event_ts", zone).alias("event_date")) \
         .agg(F.sum("quantity").alias("approved_qty"))
 
@@ -53,8 +53,8 @@ def daily_approved(sales: DataFrame, zone: str = C.DEFAULT_ZONE) -> DataFrame:
 def daily_approved_utc(sales: DataFrame, id_keys=("sales_id",)) -> DataFrame:
     """Approved units per SKU and UTC date, leaving out sales whose id also
     occurs with status canceled (``NOT IN`` as an anti join)."""
-    appr = sales.filter(F.col("status") == C.STATUS_APPROVED)
-    canc = sales.filter(F.col("status") == C.STATUS_CANCELED)
+    appr = filter_equals(sales, "status", C.STATUS_APPROVED)
+    canc = filter_equals(sales, "status", C.STATUS_CANCELED)
     kept = anti_join_ids(appr, canc, list(id_keys))
     return kept.groupBy(K, utc_date(kept, "event_ts").alias("event_date")) \
         .agg(F.sum("quantity").alias("approved_qty"))
@@ -63,7 +63,7 @@ def daily_approved_utc(sales: DataFrame, id_keys=("sales_id",)) -> DataFrame:
 def _daily_movements(sales: DataFrame, acq: DataFrame, zone: str) -> DataFrame:
     """(sku, day, received, approved): both event streams as one union,
     reduced by a single partial + final aggregate."""
-    s = sales.filter(F.col("status") == C.STATUS_APPROVED)
+    s = filter_equals(sales, "status", C.STATUS_APPROVED)
     sm = s.select(K, local_date(s, "event_ts", zone).alias("event_date"),
                   F.lit(0).cast("bigint").alias("r"), F.col("quantity").cast("bigint").alias("a"))
     am = acq.select(K, local_date(acq, "event_ts", zone).alias("event_date"),
@@ -137,7 +137,7 @@ def ledger_movements(sales: DataFrame, acq: DataFrame) -> DataFrame:
     a = acq.select(K, "event_ts", F.lit(0).alias("kind"),
                    F.col("acquisition_id").cast("string").alias("movement_id"),
                    F.col("reason"), F.col("quantity_received").cast("bigint").alias("delta"))
-    s = sales.filter(F.col("status") == C.STATUS_APPROVED).select(
+    s = filter_equals(sales, "status", C.STATUS_APPROVED).select(
         K, "event_ts", F.lit(1).alias("kind"), F.col("sales_id").cast("string").alias("movement_id"),
         F.lit("sale").alias("reason"), (-F.col("quantity").cast("bigint")).alias("delta"))
     return a.unionByName(s)

@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 
 from .. import config as C
 from ..functions.cleaning import clean_lower, clean_upper, string_len
+from .filters import outside_range
 
 VALID = "valid"
 
@@ -56,8 +57,8 @@ def geolocation_rules() -> list:
     lat, lng = F.col("geolocation_lat"), F.col("geolocation_lng")
     return [
         (lat.isNull() | lng.isNull(), "missing_coordinates"),
-        ((lat < C.LAT_MIN) | (lat > C.LAT_MAX), "invalid_latitude"),
-        ((lng < C.LNG_MIN) | (lng > C.LNG_MAX), "invalid_longitude"),
+        (outside_range("geolocation_lat", C.LAT_MIN, C.LAT_MAX), "invalid_latitude"),
+        (outside_range("geolocation_lng", C.LNG_MIN, C.LNG_MAX), "invalid_longitude"),
     ]
 
 

@@ -13,6 +13,7 @@ from .. import config as C
 from .. import sinks
 from ..operators import forecast as FC
 from ..operators import inventory as INV
+from ..sources.tables import table_scan
 from . import bronze, gold, silver, sql_jobs
 
 
@@ -42,7 +43,7 @@ def run_silver(spark: SparkSession, bronze_db: str = "bronze", db: str = "silver
     fmt = sinks.resolve_format(spark, fmt)
     out = []
     for ds in datasets:
-        df = silver.DATASETS[ds](spark.read.table(f"{bronze_db}.{ds}"))
+        df = silver.DATASETS[ds](table_scan(spark, f"{bronze_db}.{ds}"))
         sinks.publish_dataset(spark, df, f"{db}.{ds}", silver_properties(ds), fmt)
         out.append(f"{db}.{ds}")
     return out
@@ -57,9 +58,9 @@ def run_gold(spark: SparkSession, silver_db: str = "silver", db: str = "gold",
     sinks.create_typed_table(spark, table, gold.PRODUCT_DEMAND_DDL,
                              "Product features and the dates of the orders that contain them.",
                              fmt, location)
-    df = gold.product_demand_features(spark.read.table(f"{silver_db}.orders"),
-                                      spark.read.table(f"{silver_db}.order_items"),
-                                      spark.read.table(f"{silver_db}.products"))
+    df = gold.product_demand_features(table_scan(spark, f"{silver_db}.orders"),
+                                      table_scan(spark, f"{silver_db}.order_items"),
+                                      table_scan(spark, f"{silver_db}.products"))
     sinks.insert_overwrite(gold.conform(df), table)
     return table
 
@@ -73,7 +74,7 @@ def run_inventory(spark: SparkSession, sales: DataFrame, acquisitions: DataFrame
         f"{db}.inventory_forecast"
     sinks.save_table(INV.inventory_daily(sales, acquisitions, params.initial_stock, params.zone),
                      daily_t, "overwrite", fmt)
-    daily = spark.read.table(daily_t)
+    daily = table_scan(spark, daily_t)
     sinks.save_table(FC.forecast_demand(daily, horizon), pred_t, "overwrite", fmt)
     sql_jobs.create_inventory_forecast_view(spark, view, daily_t, pred_t)
     return {"daily": daily_t, "forecast": pred_t, "view": view}
@@ -107,8 +108,8 @@ def run_imperative(spark: SparkSession, raw_dir: str, db: str = "raw_silver", go
     sinks.create_typed_table(spark, table, gold.PRODUCT_DEMAND_DDL,
                              "Product features and the dates of the orders that contain them.",
                              fmt, location)
-    df = gold.product_demand_features(spark.read.table(f"{db}.orders"),
-                                      spark.read.table(f"{db}.order_items"),
-                                      spark.read.table(f"{db}.products"))
+    df = gold.product_demand_features(table_scan(spark, f"{db}.orders"),
+                                      table_scan(spark, f"{db}.order_items"),
+                                      table_scan(spark, f"{db}.products"))
     sinks.insert_overwrite(gold.conform(df), table)
     return table
