@@ -37,14 +37,22 @@ def run_bronze(spark: SparkSession, raw_dir: str, db: str = "bronze", fmt: str =
     return out
 
 
+# Join keys of the gold product-demand job: with ``buckets`` set, these
+# silver tables are bucketed on them, so the daily gold join of orders and
+# order items reads co-located buckets instead of shuffling both tables.
+BUCKET_KEYS = {"orders": ("order_id",), "order_items": ("order_id",)}
+
+
 def run_silver(spark: SparkSession, bronze_db: str = "bronze", db: str = "silver",
-               fmt: str = "auto", datasets=bronze.DATASETS) -> list[str]:
+               fmt: str = "auto", datasets=bronze.DATASETS, buckets: int = 0) -> list[str]:
     sinks.ensure_schema(spark, db)
     fmt = sinks.resolve_format(spark, fmt)
     out = []
     for ds in datasets:
         df = silver.DATASETS[ds](table_scan(spark, f"{bronze_db}.{ds}"))
-        sinks.publish_dataset(spark, df, f"{db}.{ds}", silver_properties(ds), fmt)
+        keys = BUCKET_KEYS.get(ds, ()) if buckets else ()
+        sinks.publish_dataset(spark, df, f"{db}.{ds}", silver_properties(ds), fmt,
+                              bucket_by=keys, buckets=buckets)
         out.append(f"{db}.{ds}")
     return out
 

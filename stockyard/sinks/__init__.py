@@ -39,11 +39,17 @@ def ensure_schema(spark: SparkSession, database: str) -> None:
 
 
 def write_overwrite_schema(df: DataFrame, table: str, fmt: str = "parquet",
-                           partition_by: Sequence[str] = ()) -> None:
-    """Replace the table's content and schema with ``df``."""
+                           partition_by: Sequence[str] = (), bucket_by: Sequence[str] = (),
+                           buckets: int = 0) -> None:
+    """Replace the table's content and schema with ``df``. With
+    ``bucket_by`` / ``buckets`` the table is hash-bucketed (and sorted) on
+    those columns, so joins of tables bucketed the same way on the same key
+    need no shuffle."""
     w = df.write.format(fmt).mode("overwrite").option("overwriteSchema", "true")
     if partition_by:
         w = w.partitionBy(*partition_by)
+    if bucket_by and buckets:
+        w = w.bucketBy(int(buckets), *bucket_by).sortBy(*bucket_by)
     w.saveAsTable(table)
 
 
@@ -62,10 +68,11 @@ def set_properties(spark: SparkSession, table: str, properties: Mapping[str, str
 
 
 def publish_dataset(spark: SparkSession, df: DataFrame, table: str,
-                    properties: Mapping[str, str] | None = None, fmt: str = "parquet") -> None:
+                    properties: Mapping[str, str] | None = None, fmt: str = "parquet",
+                    bucket_by: Sequence[str] = (), buckets: int = 0) -> None:
     """A dataset recomputed from its query: overwrite the table (schema
-    included) and attach descriptive table properties."""
-    write_overwrite_schema(df, table, fmt)
+    included, optionally bucketed) and attach descriptive table properties."""
+    write_overwrite_schema(df, table, fmt, bucket_by=bucket_by, buckets=buckets)
     set_properties(spark, table, properties or {})
 
 

@@ -234,3 +234,22 @@ def test_imperative_flavour_explicit_schemas(spark, raw_dir):
     assert spark.table(t).count() == 1
     zips = {r[0] for r in spark.table(f"rx_{sfx}.customers").select("customer_zip_code_prefix").collect()}
     assert "01037" in zips  # explicit string schema keeps the leading zero
+
+
+def test_bucketed_silver_joins_without_shuffle(spark, raw_dir):
+    sfx = os.path.basename(raw_dir).replace("-", "_")
+    bdb, sdb = f"bb_{sfx}", f"bs_{sfx}"
+    medallion.run_bronze(spark, raw_dir, bdb, "parquet")
+    medallion.run_silver(spark, bdb, sdb, "parquet", buckets=4)
+    from stockyard.plans import gold
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        o, i = spark.table(f"{sdb}.orders"), spark.table(f"{sdb}.order_items")
+        j = o.join(i, "order_id")
+        plan = j._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" in plan and "Exchange" not in plan
+        df = gold.product_demand_features(o, i, spark.table(f"{sdb}.products"))
+        assert df.count() == 1
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
