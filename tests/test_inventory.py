@@ -273,3 +273,15 @@ def test_allocate_segment_equals_loop(acq_rate, acq_max):
             assert not ok[i]
         assert after[i] == s
     assert end == s
+
+
+def test_ranges_helpers(spark, data):
+    _, _, sdf, adf = data
+    daily = INV.inventory_daily(sdf, adf, 0)
+    r = {x["sku_id"]: (x["start"], x["end"]) for x in INV.sku_ranges(daily).collect()}
+    e = {x["sku_id"]: (x["start"], x["end"]) for x in INV.event_ranges(
+        INV.ledger_movements(sdf, adf).withColumnRenamed("movement_id", "id")).collect()}
+    assert r == e and set(r) == {1, 2, 3}
+    fixed = INV.sku_ranges(daily, "2024-01-01", "2024-02-29").collect()
+    assert len(fixed) == 3 and all((x["start"], x["end"]) == (dt.date(2024, 1, 1), dt.date(2024, 2, 29))
+                                   for x in fixed)
