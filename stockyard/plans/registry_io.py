@@ -144,3 +144,66 @@ def q_bronze_lineage_check(spark, sf_dir):
                  F.bool_and(F.col("_source_file").isNotNull()).alias("all_have_source_file"),
                  F.bool_and(F.col("_ingestion_time").isNotNull()).alias("all_have_ingestion_time"),
                  F.bool_and(F.col("_processed_at").isNotNull()).alias("all_have_processed_at"))
+
+
+# ---------------------------------------------------------------------------
+# Sources and sinks end to end (external tables under the shared folder)
+# ---------------------------------------------------------------------------
+
+from .. import sinks as SK  # noqa: E402
+from ..sources.files import batch_load, csv_scan  # noqa: E402
+from .registry import SQL_CUSTOMERS, SQL_SELLERS  # noqa: E402
+
+
+def _table(prefix: str) -> str:
+    return f"{prefix}_{uuid.uuid4().hex[:10]}"
+
+
+@register("csv_scan_inferred", f"""SELECT CAST(seller_id AS INTEGER) AS seller_id,
+  CAST(seller_zip_code_prefix AS INTEGER) AS seller_zip_code_prefix, seller_city, seller_state
+FROM ({SQL_SELLERS})""")
+def q_csv_scan_inferred(spark, sf_dir):
+    """Sellers written as raw CSV and read back with header + inferred
+    types (the zip prefix comes back as an integer, as the inferring
+    loader does)."""
+    return csv_scan(spark, _to_csv(spark, sf_dir, "sellers"))
+
+
+@register("batch_load_tables", f"""SELECT CAST(customer_id AS INTEGER) AS customer_id, customer_unique_id,
+  CAST(customer_zip_code_prefix AS INTEGER) AS customer_zip_code_prefix, customer_city, customer_state
+FROM ({SQL_CUSTOMERS})""")
+def q_batch_load_tables(spark, sf_dir):
+    """The imperative loader: customers and sellers CSV files loaded in one
+    loop into tables (inferred types, schema overwritten); the customers
+    table read back."""
+    items = [(_to_csv(spark, sf_dir, "customers"), _table("stockyard_customers")),
+             (_to_csv(spark, sf_dir, "sellers"), _table("stockyard_sellers"))]
+    paths = {t: scratch_path(spark, t) for _, t in items}
+    done = batch_load(spark, items, lambda df, t: SK.write_overwrite_schema(df, t, path=paths[t]))
+    return spark.read.table(done[0])
+
+
+@register("publish_view_orders", _sql_as_strings(SQL_SILVER["orders"], ["order_id", "customer_id"]))
+def q_publish_view_orders(spark, sf_dir):
+    """Silver orders from a bronze CSV published as a table with its
+    properties, then read through a persistent view over it."""
+    raw = _to_csv(spark, sf_dir, "orders")
+    df = silver.orders(bronze.bronze_dataset(spark, raw, "orders", path=raw)).drop(*LINEAGE)
+    t, v = _table("stockyard_silver_orders"), _table("stockyard_orders_view")
+    SK.publish_dataset(spark, df, t, {"quality": "silver", "domain": "orders"},
+                       path=scratch_path(spark, t))
+    SK.create_view(spark, v, f"SELECT * FROM {t}")
+    return spark.read.table(v)
+
+
+@register("save_table_append", f"""SELECT * FROM ({SQL_SILVER['sellers']})
+UNION ALL SELECT * FROM ({SQL_SILVER['sellers']})""")
+def q_save_table_append(spark, sf_dir):
+    """Silver sellers saved with mode overwrite, then again with mode
+    append: the table holds every row twice."""
+    df = silver_table(spark, sf_dir, "sellers")
+    t = _table("stockyard_sellers_twice")
+    p = scratch_path(spark, t)
+    SK.save_table(df, t, "overwrite", path=p)
+    SK.save_table(df, t, "append", path=p)
+    return spark.read.table(t)

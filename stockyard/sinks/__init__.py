@@ -40,12 +40,14 @@ def ensure_schema(spark: SparkSession, database: str) -> None:
 
 def write_overwrite_schema(df: DataFrame, table: str, fmt: str = "parquet",
                            partition_by: Sequence[str] = (), bucket_by: Sequence[str] = (),
-                           buckets: int = 0) -> None:
+                           buckets: int = 0, path: str | None = None) -> None:
     """Replace the table's content and schema with ``df``. With
     ``bucket_by`` / ``buckets`` the table is hash-bucketed (and sorted) on
     those columns, so joins of tables bucketed the same way on the same key
-    need no shuffle."""
+    need no shuffle. ``path`` makes it an external table at that location."""
     w = df.write.format(fmt).mode("overwrite").option("overwriteSchema", "true")
+    if path:
+        w = w.option("path", path)
     if partition_by:
         w = w.partitionBy(*partition_by)
     if bucket_by and buckets:
@@ -53,12 +55,16 @@ def write_overwrite_schema(df: DataFrame, table: str, fmt: str = "parquet",
     w.saveAsTable(table)
 
 
-def save_table(df: DataFrame, table: str, mode: str = "overwrite", fmt: str = "parquet") -> None:
+def save_table(df: DataFrame, table: str, mode: str = "overwrite", fmt: str = "parquet",
+               path: str | None = None) -> None:
     """Save as a table with ``overwrite`` or ``append``; anything else is an
-    error."""
+    error. ``path`` makes it an external table at that location."""
     if mode not in SAVE_MODES:
         raise ValueError(f"save mode must be one of {list(SAVE_MODES)}")
-    df.write.format(fmt).mode(mode).saveAsTable(table)
+    w = df.write.format(fmt).mode(mode)
+    if path:
+        w = w.option("path", path)
+    w.saveAsTable(table)
 
 
 def set_properties(spark: SparkSession, table: str, properties: Mapping[str, str]) -> None:
@@ -69,10 +75,10 @@ def set_properties(spark: SparkSession, table: str, properties: Mapping[str, str
 
 def publish_dataset(spark: SparkSession, df: DataFrame, table: str,
                     properties: Mapping[str, str] | None = None, fmt: str = "parquet",
-                    bucket_by: Sequence[str] = (), buckets: int = 0) -> None:
+                    bucket_by: Sequence[str] = (), buckets: int = 0, path: str | None = None) -> None:
     """A dataset recomputed from its query: overwrite the table (schema
     included, optionally bucketed) and attach descriptive table properties."""
-    write_overwrite_schema(df, table, fmt, bucket_by=bucket_by, buckets=buckets)
+    write_overwrite_schema(df, table, fmt, bucket_by=bucket_by, buckets=buckets, path=path)
     set_properties(spark, table, properties or {})
 
 
