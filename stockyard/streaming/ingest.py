@@ -32,10 +32,13 @@ def bronze_stream(spark: SparkSession, raw_dir: str, dataset: str,
 
 
 def refresh_silver(spark: SparkSession, raw_dir: str, dataset: str, out_path: str,
-                   checkpoint: str, available_now: bool = True) -> StreamingQuery:
+                   checkpoint: str, available_now: bool = True,
+                   max_files_per_trigger: int | None = None) -> StreamingQuery:
     """Start the incremental refresh of one silver data set; returns the
-    running query (``awaitTermination()`` to wait for an availableNow run)."""
-    clean = silver.DATASETS[dataset](bronze_stream(spark, raw_dir, dataset))
+    running query (``awaitTermination()`` to wait for an availableNow run).
+    ``max_files_per_trigger`` bounds each micro-batch (an availableNow run
+    then processes the backlog in several batches)."""
+    clean = silver.DATASETS[dataset](bronze_stream(spark, raw_dir, dataset, max_files_per_trigger))
     w = clean.writeStream.format("parquet").outputMode("append") \
         .option("checkpointLocation", checkpoint).option("path", out_path)
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="1 minute")

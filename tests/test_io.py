@@ -253,3 +253,17 @@ def test_bucketed_silver_joins_without_shuffle(spark, raw_dir):
         assert df.count() == 1
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+
+
+def test_streaming_bounded_batches(spark):
+    src = scratch_path(spark, "batches-src")
+    os.makedirs(src)
+    header = RAW["sellers"].splitlines()[0]
+    for k in range(3):
+        with open(os.path.join(src, f"f{k}.csv"), "w") as f:
+            f.write(header + "\n" + "\n".join(f"s{k}{i},1234{i},c,SP" for i in range(5)) + "\n")
+    out, ck = scratch_path(spark, "batches-out"), scratch_path(spark, "batches-ck")
+    q = refresh_silver(spark, src, "sellers", out, ck, max_files_per_trigger=1)
+    q.awaitTermination()
+    assert spark.read.parquet(out).count() == 15
+    assert len(q.recentProgress) >= 3  # one micro-batch per file
