@@ -267,3 +267,20 @@ def test_streaming_bounded_batches(spark):
     q.awaitTermination()
     assert spark.read.parquet(out).count() == 15
     assert len(q.recentProgress) >= 3  # one micro-batch per file
+
+
+def test_cli_inventory(spark, raw_dir):
+    import datetime as dt
+    from stockyard.__main__ import main
+    sfx = os.path.basename(raw_dir).replace("-", "_")
+    t = dt.datetime
+    spark.createDataFrame([(1, f"S{i:08d}", t(2024, 3, 1 + i % 20, 12), 1, "approved") for i in range(60)],
+                          "sku_id long, sales_id string, event_ts timestamp_ntz, quantity int, status string") \
+        .write.saveAsTable(f"cli_sales_{sfx}")
+    spark.createDataFrame([(1, "A00000001", t(2024, 3, 1, 9), "planned", 100)],
+                          "sku_id long, acquisition_id string, event_ts timestamp_ntz, reason string, "
+                          "quantity_received int").write.saveAsTable(f"cli_acq_{sfx}")
+    assert main(["inventory", "--sales", f"cli_sales_{sfx}", "--acquisitions", f"cli_acq_{sfx}",
+                 "--db", f"cli_gold_{sfx}"]) == 0
+    assert spark.table(f"cli_gold_{sfx}.inventory_daily").count() == 20
+    assert spark.table(f"cli_gold_{sfx}.inventory_forecast").count() > 0
