@@ -120,3 +120,18 @@ def test_replay_hot_sku_long_stream(spark, base_daily, initial):
     got = sorted((tuple(r) for r in replay_inventory(spark.createDataFrame(rows, SALES_T), p, num_partitions=2)
                   .collect()), key=str)
     assert got == sorted(py_replay(rows, p), key=str)
+
+
+def test_replay_instant_input_other_session_zone(spark):
+    p = C.DemandParams(base_daily=3.0, initial_stock=5, holidays=C.NOTEBOOK_HOLIDAYS)
+    rows = [r for r in _sales(5, n=300) if r[2] is not None]
+    want = sorted(tuple(r) for r in replay_inventory(spark.createDataFrame(rows, SALES_T), p).collect())
+    ltz = [(r[0], r[1], r[2].replace(tzinfo=UTC), r[3], r[4]) for r in rows]
+    df = spark.createDataFrame(ltz, SALES_T.replace("timestamp_ntz", "timestamp"))
+    old = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        spark.conf.set("spark.sql.session.timeZone", "Asia/Tokyo")
+        got = sorted(tuple(r) for r in replay_inventory(df, p).collect())
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
+    assert got == want
