@@ -68,3 +68,20 @@ def test_replay_segment_is_the_sequential_rules(rs, stock0):
             stock += buy
             exp_gens.append((i, buy, "emergency", stock, seq))
     assert gens == exp_gens and st_.stock == stock
+
+
+spark_rows = st.lists(st.tuples(st.one_of(st.none(), st.integers(0, 3)), st.integers(0, 500),
+                                st.one_of(st.none(), st.integers(-20, 20))),
+                      min_size=1, max_size=200, unique_by=lambda r: (r[0], r[1]))
+
+
+@settings(max_examples=12, deadline=None)
+@given(spark_rows, st.sampled_from(["sum", "max", "min"]), st.booleans(), st.integers(1, 64))
+def test_two_level_running_equals_plain_window(spark, rows_, op, cur, width):
+    from pyspark.sql import functions as F
+
+    from stockyard.operators.windows import running
+    df = spark.createDataFrame(rows_, "k long, i long, v long")
+    a = running(df, ["k"], [F.col("i")], "v", "o", op, include_current=cur)
+    b = running(df, ["k"], [F.col("i")], "v", "o", op, bucket=F.floor(F.col("i") / width), include_current=cur)
+    assert sorted(map(tuple, a.collect()), key=str) == sorted(map(tuple, b.collect()), key=str)
