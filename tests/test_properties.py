@@ -1,6 +1,8 @@
 """Property tests: the vectorised replay scans equal the plain sequential
 rules on arbitrary inputs."""
 
+import datetime as dt
+
 import numpy as np
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -85,3 +87,24 @@ def test_two_level_running_equals_plain_window(spark, rows_, op, cur, width):
     a = running(df, ["k"], [F.col("i")], "v", "o", op, include_current=cur)
     b = running(df, ["k"], [F.col("i")], "v", "o", op, bucket=F.floor(F.col("i") / width), include_current=cur)
     assert sorted(map(tuple, a.collect()), key=str) == sorted(map(tuple, b.collect()), key=str)
+
+
+holiday_specs = st.dictionaries(
+    st.sampled_from(["natal", "dia_das_criancas", "dia_das_maes", "dia_dos_pais", "dia_dos_namorados",
+                     "black_friday", "cyber_monday"]),
+    st.tuples(st.floats(0.5, 3.0).map(lambda x: round(x, 2)), st.integers(0, 12), st.integers(0, 12)),
+    min_size=1)
+key_ranges = st.lists(st.tuples(st.dates(min_value=dt.date(2021, 1, 1), max_value=dt.date(2026, 12, 31)),
+                                st.integers(0, 900)), min_size=1, max_size=4)
+
+
+@settings(max_examples=10, deadline=None)
+@given(holiday_specs, key_ranges)
+def test_holiday_multiplier_matches_python(spark, spec, rngs):
+    from stockyard.operators import calendar as CAL
+    from test_calendar import py_multipliers
+    ranges = [(k, s, s + dt.timedelta(days=n)) for k, (s, n) in enumerate(rngs)]
+    df = spark.createDataFrame(ranges, "sku_id long, start date, end date")
+    got = {(r["sku_id"], r["event_date"]): r["holiday_mult"] for r in CAL.holiday_multiplier(df, spec).collect()}
+    want = {(k, d): m for k, s, e in ranges for d, m in py_multipliers(s, e, spec).items()}
+    assert got == want
