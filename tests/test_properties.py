@@ -108,3 +108,58 @@ def test_holiday_multiplier_matches_python(spark, spec, rngs):
     got = {(r["sku_id"], r["event_date"]): r["holiday_mult"] for r in CAL.holiday_multiplier(df, spec).collect()}
     want = {(k, d): m for k, s, e in ranges for d, m in py_multipliers(s, e, spec).items()}
     assert got == want
+
+
+sale_rows = st.lists(st.tuples(
+    st.integers(1, 3),                                                   # sku
+    st.integers(0, 40).map(lambda i: f"S{i:04d}"),                       # id (repeats)
+    st.one_of(st.none(), st.integers(0, 5000).map(
+        lambda s: dt.datetime(2024, 1, 1) + dt.timedelta(minutes=s))),   # time
+    st.integers(1, 80),                                                  # quantity
+    st.one_of(st.none(), st.sampled_from(["approved", "placed", "canceled"]))), min_size=1, max_size=120)
+SALES_T = "sku_id long, sales_id string, event_ts timestamp_ntz, quantity int, status string"
+
+
+def _key(v):
+    return (v is None, v if v is not None else 0)
+
+
+@settings(max_examples=10, deadline=None)
+@given(sale_rows)
+def test_dedupe_matches_python(spark, rows_):
+    from stockyard.operators.events import dedupe_events
+    got = sorted(map(tuple, dedupe_events(spark.createDataFrame(rows_, SALES_T)).collect()))
+    best = {}
+    for r in rows_:
+        k = (_key(r[2]), (r[4] is None, r[4] or ""), r[3], r[0])
+        if r[1] not in best or k < best[r[1]][0]:
+            best[r[1]] = (k, r)
+    want = sorted((r[1], r[0], r[2], r[3], r[4]) for _, r in best.values())
+    assert got == want
+
+
+@settings(max_examples=10, deadline=None)
+@given(sale_rows)
+def test_event_quality_matches_python(spark, rows_):
+    from stockyard.operators.events import event_quality
+    rows_ = list({r[1]: r for r in rows_}.values())  # unique ids: a total arrival order
+    got = {r["sales_id"]: r["event_quality_flag"]
+           for r in event_quality(spark.createDataFrame(rows_, SALES_T), outlier_threshold=50).collect()}
+    want = {}
+    for sku in {r[0] for r in rows_}:
+        prev = None
+        for r in sorted((r for r in rows_ if r[0] == sku), key=lambda r: r[1]):
+            if r[4] is None:
+                f = "null_status"
+            elif r[2] is None:
+                f = "null_event_ts"
+            elif prev is not None and r[2] < prev:
+                f = "out_of_order"
+            elif r[3] > 50:
+                f = "quantity_outlier"
+            else:
+                f = "valid"
+            want[r[1]] = f
+            if r[2] is not None:
+                prev = r[2] if prev is None else max(prev, r[2])
+    assert got == want
