@@ -163,3 +163,58 @@ def test_event_quality_matches_python(spark, rows_):
             if r[2] is not None:
                 prev = r[2] if prev is None else max(prev, r[2])
     assert got == want
+
+
+movements = st.tuples(
+    st.lists(st.tuples(st.integers(1, 2), st.integers(0, 9999).map(lambda i: f"S{i:05d}"),
+                       st.one_of(st.none(), st.integers(0, 30 * 24 * 60).map(
+                           lambda m: dt.datetime(2024, 2, 20) + dt.timedelta(minutes=m))),
+                       st.integers(1, 9), st.sampled_from(["approved", "placed"])),
+             min_size=1, max_size=80, unique_by=lambda r: r[1]),
+    st.lists(st.tuples(st.integers(1, 2), st.integers(0, 999).map(lambda i: f"A{i:04d}"),
+                       st.integers(0, 30 * 24 * 60).map(lambda m: dt.datetime(2024, 2, 20) + dt.timedelta(minutes=m)),
+                       st.integers(1, 30)),
+             min_size=1, max_size=20, unique_by=lambda r: r[1]))
+
+
+@settings(max_examples=8, deadline=None)
+@given(movements, st.integers(0, 10))
+def test_daily_stock_and_ledger_match_python(spark, mv, init):
+    from zoneinfo import ZoneInfo
+
+    from stockyard.operators import inventory as INV
+    sales, acq = mv
+    sp = ZoneInfo("America/Sao_Paulo")
+    s_df = spark.createDataFrame(sales, "sku_id long, sales_id string, event_ts timestamp_ntz, "
+                                        "quantity int, status string")
+    a_df = spark.createDataFrame([(k, i, t, "planned", q) for k, i, t, q in acq],
+                                 "sku_id long, acquisition_id string, event_ts timestamp_ntz, reason string, "
+                                 "quantity_received int")
+    day = lambda t: t.replace(tzinfo=dt.timezone.utc).astimezone(sp).date()
+    # ledger: order by (time NULLs last, acquisitions first, id)
+    got = {(r["sku_id"], r["movement_id"]): r["balance"] for r in INV.stock_ledger(s_df, a_df, init).collect()}
+    want = {}
+    for sku in {r[0] for r in sales} | {r[0] for r in acq}:
+        mvs = [(t, 0, i, q) for k, i, t, q in acq if k == sku] + \
+              [(t, 1, i, -q) for k, i, t, q, s in sales if k == sku and s == "approved"]
+        mvs.sort(key=lambda m: (m[0] is None, m[0] or dt.datetime.min, m[1], m[2]))
+        bal = init
+        for m in mvs:
+            bal += m[3]
+            want[(sku, m[2])] = bal
+    assert got == want
+    # daily stock: every day from the first to the last movement day
+    daily = {(r["sku_id"], r["event_date"]): r["inventory_eod"] for r in INV.inventory_daily(s_df, a_df, init).collect()}
+    for sku in {k for k, _ in daily}:
+        rec, app = {}, {}
+        for k, i, t, q in acq:
+            if k == sku:
+                rec[day(t)] = rec.get(day(t), 0) + q
+        for k, i, t, q, s in sales:
+            if k == sku and s == "approved" and t is not None:
+                app[day(t)] = app.get(day(t), 0) + q
+        d, end, stock = min(rec.keys() | app.keys()), max(rec.keys() | app.keys()), init
+        while d <= end:
+            stock += rec.get(d, 0) - app.get(d, 0)
+            assert daily[(sku, d)] == stock
+            d += dt.timedelta(days=1)
