@@ -238,3 +238,40 @@ def test_native_forecast_equals_python_model_exactly(spark, ss, season):
     a = sorted(map(tuple, FC.forecast_demand(d, 10, season=season).collect()))
     b = sorted(map(tuple, FC.forecast_demand_grouped(d, 10, season=season).collect()))
     assert a == b  # exact rationals on both sides: bit-identical
+
+
+demand_input = st.tuples(
+    st.lists(st.tuples(st.integers(0, 15).map(lambda i: f"o{i}"),
+                       st.one_of(st.none(), st.sampled_from(["DELIVERED", " canceled ", "Unavailable", "shipped", ""])),
+                       st.one_of(st.none(), st.just(dt.datetime(2024, 1, 2)))),
+             min_size=1, max_size=16, unique_by=lambda r: r[0]),
+    st.lists(st.tuples(st.integers(0, 15).map(lambda i: f"o{i}"), st.integers(1, 6),
+                       st.integers(0, 4).map(lambda i: f"p{i}"), st.integers(0, 9999), st.integers(0, 999)),
+             min_size=1, max_size=60))
+
+
+@settings(max_examples=8, deadline=None)
+@given(demand_input)
+def test_product_demand_matches_python(spark, inp):
+    from decimal import Decimal
+
+    from stockyard.operators.aggregates import product_demand
+    orders, items = inp
+    items = [(o, n, p, Decimal(a) / 100, Decimal(f) / 100) for o, n, p, a, f in items]
+    prods = [(f"p{i}", f"cat{i % 2}", i, i, i, i, i, i) for i in range(5)]
+    o = spark.createDataFrame(orders, "order_id string, order_status string, order_approved_at timestamp_ntz")
+    i = spark.createDataFrame(items, "order_id string, order_item_id int, product_id string, "
+                                     "price decimal(10,2), freight_value decimal(10,2)")
+    p = spark.createDataFrame(prods, "product_id string, product_category_name string, product_name_lenght int, "
+                                     "product_description_lenght int, product_weight_g int, product_length_cm int, "
+                                     "product_height_cm int, product_width_cm int")
+    got = {(r["order_id"], r["product_id"]): (r["quantity"], r["total_price"], r["total_freight_value"],
+                                              r["line_count"]) for r in product_demand(o, i, p).collect()}
+    keep = {oid for oid, st_, ap in orders
+            if st_ is not None and st_.strip().lower() not in ("unavailable", "canceled") and ap is not None}
+    want = {}
+    for oid, n, pid, a, f in items:
+        if oid in keep:
+            q, tp, tf, c = want.get((oid, pid), (0, Decimal(0), Decimal(0), 0))
+            want[(oid, pid)] = (max(q, n), tp + a, tf + f, c + 1)
+    assert got == want
