@@ -275,3 +275,33 @@ def test_product_demand_matches_python(spark, inp):
             q, tp, tf, c = want.get((oid, pid), (0, Decimal(0), Decimal(0), 0))
             want[(oid, pid)] = (max(q, n), tp + a, tf + f, c + 1)
     assert got == want
+
+
+customer_rows = st.lists(st.tuples(
+    st.one_of(st.none(), st.integers(0, 99).map(lambda i: f"c{i}")),
+    st.one_of(st.none(), st.text("0123456789 ", max_size=7)),
+    st.one_of(st.none(), st.sampled_from(["SP", "sp", " RJ", "ZZ", "MG", "", "Sp"])),
+    st.one_of(st.none(), st.text("aB ", max_size=6))), max_size=40)
+
+
+@settings(max_examples=10, deadline=None)
+@given(customer_rows)
+def test_customer_flags_match_rules(spark, rows_):
+    from stockyard import config as C
+    from stockyard.plans import silver
+    df = spark.createDataFrame([(cid, "u", z, city, s) for cid, z, s, city in rows_],
+                               "customer_id string, customer_unique_id string, customer_zip_code_prefix string, "
+                               "customer_city string, customer_state string")
+    got = sorted((r["customer_id"], r["customer_state"], r["customer_city"], r["data_quality_flag"])
+                 for r in silver.customers(df).collect())
+
+    def flag(z, s):
+        if s is not None and s not in C.STATE_CODES:
+            return "invalid_state"
+        if z is not None and len(z.strip(" ")) < 4:
+            return "invalid_zipcode"
+        return "valid"
+
+    want = sorted((cid, None if s is None else s.strip(" ").upper(), None if city is None else city.strip(" ").lower(),
+                   flag(z, s)) for cid, z, s, city in rows_ if cid is not None)
+    assert got == want
