@@ -285,3 +285,12 @@ def test_ranges_helpers(spark, data):
     fixed = INV.sku_ranges(daily, "2024-01-01", "2024-02-29").collect()
     assert len(fixed) == 3 and all((x["start"], x["end"]) == (dt.date(2024, 1, 1), dt.date(2024, 2, 29))
                                    for x in fixed)
+
+
+def test_conservation_flags_sale_without_time(spark):
+    s = spark.createDataFrame([(1, "S1", T(2024, 1, 2, 12), 2, "approved"), (1, "S2", None, 3, "approved")], SALES_T)
+    a = spark.createDataFrame([(1, "A1", T(2024, 1, 1, 12), "planned", 10)], ACQ_T)
+    daily = INV.inventory_daily(s, a, 0)
+    r = INV.stock_conservation(s, a, daily, 0).first()
+    assert (r["total_received"], r["total_approved"], r["final_stock"]) == (10, 5, 8)
+    assert r["conserved"] is False  # the untimed sale is in the totals but on no day
