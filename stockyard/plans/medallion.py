@@ -75,9 +75,10 @@ def run_gold(spark: SparkSession, silver_db: str = "silver", db: str = "gold",
 
 def run_inventory(spark: SparkSession, sales: DataFrame, acquisitions: DataFrame,
                   db: str = "gold", params: C.DemandParams = C.DemandParams.notebook(),
-                  horizon: int = 28, fmt: str = "parquet") -> dict:
+                  horizon: int = 28, fmt: str = "auto") -> dict:
     """Daily stock table, forecast table and the depletion view."""
     sinks.ensure_schema(spark, db)
+    fmt = sinks.resolve_format(spark, fmt)
     daily_t, pred_t, view = f"{db}.inventory_daily", f"{db}.demand_prediction_28days", \
         f"{db}.inventory_forecast"
     sinks.save_table(INV.inventory_daily(sales, acquisitions, params.initial_stock, params.zone),
