@@ -6,7 +6,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stockyard.session import ensure_checkpoint_dir, ship_package
+from stockyard.session import ensure_checkpoint_dir, scratch_path, ship_package
 
 # Bytes of one Arrow batch handed to a Python task. Very long texts thus come
 # in batches of few rows; a single longer text is a batch of its own.
@@ -54,3 +54,18 @@ def to_batch(rows: list[tuple], schema: pa.Schema) -> pa.RecordBatch:
     cols = list(zip(*rows, strict=True)) if rows else [[] for _ in schema]
     return pa.RecordBatch.from_arrays(
         [pa.array(c, type=f.type) for c, f in zip(cols, schema, strict=True)], schema=schema)
+
+
+def written(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
+    """Write a step's rows to the shared folder and read them back: cuts the
+    lineage, survives lost executors, and lets Spark drop the shuffle files of
+    the step as soon as it has ended."""
+    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(key, "false")
+    path = scratch_path(spark, name)
+    spark.conf.set(key, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(key, before)
+    return spark.read.schema(df.schema).parquet(path)
