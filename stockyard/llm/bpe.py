@@ -15,16 +15,19 @@ from __future__ import annotations
 import hashlib
 import json
 import re
+import struct
+import uuid
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
-from stockyard.llm.common import prepare, texts
+from stockyard.llm.common import once, prepare, texts
 
 INF = float("inf")
-# Units (space-separated pieces) and token pairs remembered by one worker.
-UNIT_CACHE = 700_000
+# Units (space-separated pieces), pre-tokens and token pairs remembered by one worker.
+UNIT_CACHE = 1_000_000
+PIECE_CACHE = 700_000
 PAIR_CACHE = 1_500_000
 
 # A space with no other white space beside it always starts a new pre-token,
@@ -69,7 +72,7 @@ class BpeModel:
         self.made = made
         self._lefts: dict[int, list] = {}
         self._rights: dict[int, list] = {}
-        self._pairs: dict[int, bool] = {}
+        self.pairs: dict[int, bool] = {}
         # A merged token is usable only if its own two parts may not be split
         # differently; single characters always are.
         self.usable = {t for t, i in self.vocab.items() if len(t) == 1 or self._reachable(i)}
@@ -116,11 +119,11 @@ class BpeModel:
 
     def may_follow(self, a: int, b: int) -> bool:
         key = a << 32 | b
-        got = self._pairs.get(key)
+        got = self.pairs.get(key)
         if got is None:
-            if len(self._pairs) >= PAIR_CACHE:
-                self._pairs.clear()
-            got = self._pairs[key] = self._meets(self._spine(a, 1), self._spine(b, 0))
+            if len(self.pairs) >= PAIR_CACHE:
+                self.pairs.clear()
+            got = self.pairs[key] = self._meets(self._spine(a, 1), self._spine(b, 0))
         return got
 
 
@@ -137,46 +140,50 @@ class PrefixEncoder:
         for t in model.usable:
             self.ends.add_word(t, (len(t), model.vocab[t]))
         self.ends.make_automaton()
-        self.whole = {t: model.vocab[t] for t in model.usable}
+        self.whole = {t: struct.pack("<I", model.vocab[t]) for t in model.usable}
         self.special = re.compile("|".join(
             re.escape(t) for t in sorted(model.special, key=len, reverse=True))) \
             if model.special else None
         self.units: dict[str, bytes] = {}
-        self.pieces: dict[str, list[int]] = {}
+        self.pieces: dict[str, bytes] = {}
         self.letters = {b: c for b, c in byte_alphabet().items() if ord(c) != b}
 
-    def pre_token(self, piece: str) -> list[int]:
-        """Ids of one pre-token, written in the byte alphabet."""
-        if piece in self.whole:
-            return [self.whole[piece]]
-        got = self.pieces.get(piece)
+    def pre_token(self, piece: str) -> bytes:
+        """Packed ids of one pre-token, written in the byte alphabet."""
+        got = self.whole.get(piece) or self.pieces.get(piece)
         if got is not None:
             return got
-        follows = self.model.may_follow
+        pairs, follows = self.model.pairs, self.model.may_follow
         last, size = [-1] * (len(piece) + 1), [0] * (len(piece) + 1)
+        done = 0  # prefixes whose last token is known
         for at, (n, token) in self.ends.iter(piece):
-            end = at + 1
-            if last[end] < 0 and (end == n or last[end - n] >= 0
-                                  and follows(last[end - n], token)):
-                last[end], size[end] = token, n
+            if at < done:
+                continue
+            if n <= at:
+                before = last[at + 1 - n]
+                ok = pairs.get(before << 32 | token)
+                if not (follows(before, token) if ok is None else ok):
+                    continue
+            done = at + 1
+            last[done], size[done] = token, n
         out, at = [], len(piece)
         while at:
             out.append(last[at])
             at -= size[at]
         out.reverse()
-        if len(self.pieces) >= UNIT_CACHE:
+        if len(self.pieces) >= PIECE_CACHE:
             self.pieces.clear()
-        self.pieces[piece] = out
-        return out
+        packed = self.pieces[piece] = struct.pack(f"<{len(out)}I", *out)
+        return packed
 
     def unit(self, text: str) -> bytes:
         if _WORD.fullmatch(text):
-            ids = self.pre_token(text.encode().decode("latin-1").translate(self.letters))
+            packed = self.pre_token(text.encode().decode("latin-1").translate(self.letters))
         else:
-            ids = [i for piece, _ in self.split(text) for i in self.pre_token(piece)]
+            packed = b"".join([self.pre_token(piece) for piece, _ in self.split(text)])
         if len(self.units) >= UNIT_CACHE:
             self.units.clear()
-        packed = self.units[text] = np.asarray(ids, dtype="<u4").tobytes()
+        self.units[text] = packed
         return packed
 
     def _plain(self, text: str) -> list[bytes]:
@@ -192,7 +199,7 @@ class PrefixEncoder:
         out, at = [], 0
         for m in self.special.finditer(text):
             out += self._plain(text[at:m.start()])
-            out.append(np.asarray([self.model.special[m[0]]], dtype="<u4").tobytes())
+            out.append(struct.pack("<I", self.model.special[m[0]]))
             at = m.end()
         return b"".join([*out, *self._plain(text[at:])])
 
@@ -225,9 +232,10 @@ def encode_texts(spark: SparkSession, docs: DataFrame, tokenizer_path: str,
     if with_ids:
         out.add("ids", T.ArrayType(T.IntegerType()))
     n_keep = 1 + len(keep)
+    token = uuid.uuid4().hex
 
     def run(parts):
-        coder = PrefixEncoder(BpeModel(json.loads(spec.value)))
+        coder = once("bpe", token, lambda: PrefixEncoder(BpeModel(json.loads(spec.value))))
         for part in parts:
             packed = [coder.encode(t) for t in texts(part.column(n_keep))]
             cols = [*part.columns[:n_keep],

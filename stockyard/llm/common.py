@@ -69,3 +69,14 @@ def written(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
     finally:
         spark.conf.set(key, before)
     return spark.read.schema(df.schema).parquet(path)
+
+
+_KEPT: dict[str, tuple] = {}
+
+
+def once(name: str, token: str, build):
+    """A task's model, kept by its Python worker for the next tasks of the same
+    call (``token``); one model of each ``name`` is held at a time."""
+    if _KEPT.get(name, ("",))[0] != token:
+        _KEPT[name] = (token, build())
+    return _KEPT[name][1]

@@ -8,6 +8,7 @@ length say, at each word, which windows of test items end there.
 from __future__ import annotations
 
 import hashlib
+import uuid
 
 import numpy as np
 import pyarrow as pa
@@ -15,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from stockyard.llm.common import prepare, utf8
+from stockyard.llm.common import once, prepare, utf8
 
 WINDOW = 10
 # UTF-8 bytes of test items in one automaton. More items are handled in
@@ -189,8 +190,11 @@ def decontaminate(spark: SparkSession, docs: DataFrame, items: DataFrame,
     if with_text:
         out.add("clean_text", T.StringType())
 
+    token = uuid.uuid4().hex
+
     def run(parts):
-        machines = [ItemAutomaton(b.value, window) for b in blocks]
+        machines = once("decontam", token,
+                        lambda: [ItemAutomaton(b.value, window) for b in blocks])
         for part in parts:
             raw = utf8(part.column(n_keep))
             rows = [_one(machines, t, with_text) for t in raw]

@@ -8,6 +8,7 @@ of five characters if any is known, else of four, and so on down to one.
 from __future__ import annotations
 
 import re
+import uuid
 from collections import Counter
 
 import numpy as np
@@ -16,7 +17,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from stockyard.llm.common import batches_of, crc_mod, prepare, texts
+from stockyard.llm.common import batches_of, crc_mod, once, prepare, texts
 
 LONGEST = 5
 SMOOTHING = 0.5
@@ -167,8 +168,10 @@ def identify(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id",
     out = T.StructType([*src.schema.fields[:-1], T.StructField("lang_pred", T.StringType()),
                         T.StructField("score", T.DoubleType())])
 
+    token = uuid.uuid4().hex
+
     def run(parts):
-        m = LanguageModel(*model.value)
+        m = once("langid", token, lambda: LanguageModel(*model.value))
         for part in parts:
             got = [m.predict(t) for t in texts(part.column(2))]
             yield pa.RecordBatch.from_arrays(

@@ -8,13 +8,14 @@ pre-token's count, and texts are sums of terminal counts.
 
 from __future__ import annotations
 
+import uuid
 from collections import Counter
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
-from stockyard.llm.common import prepare, texts
+from stockyard.llm.common import once, prepare, texts
 
 # Terminal counts remembered by one worker between batches.
 TERMINALS = 1_000_000
@@ -118,8 +119,10 @@ def count_tokens(spark: SparkSession, docs: DataFrame, model_path: str,
                         T.StructField("n_pretokens", T.LongType()),
                         T.StructField("n_tokens", T.LongType())])
 
+    token = uuid.uuid4().hex
+
     def run(parts):
-        trie = TrieCounter(pieces.value)
+        trie = once("tokencount", token, lambda: TrieCounter(pieces.value))
         for part in parts:
             counts = trie.count_texts(texts(part.column(n_keep)))
             yield pa.RecordBatch.from_arrays(

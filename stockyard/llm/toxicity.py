@@ -12,6 +12,7 @@ from __future__ import annotations
 
 import math
 import re
+import uuid
 from collections import Counter
 
 import numpy as np
@@ -20,7 +21,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from stockyard.llm.common import batches_of, crc_mod, prepare, texts
+from stockyard.llm.common import batches_of, crc_mod, once, prepare, texts
 
 ORDER = 6           # characters of the longest n-gram
 DISCOUNT = 0.75
@@ -240,8 +241,10 @@ def score_texts(spark: SparkSession, docs: DataFrame, labels: DataFrame, id_col:
     if with_text:
         out.add(src.schema.fields[-1])
 
+    token = uuid.uuid4().hex
+
     def run(parts):
-        scorer = Scorer(*model.value)
+        scorer = once("toxicity", token, lambda: Scorer(*model.value))
         for part in parts:
             s = [scorer.score(t) for t in texts(part.column(len(cols) + 1))]
             yield pa.RecordBatch.from_arrays(
