@@ -5,6 +5,7 @@ from __future__ import annotations
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from stockyard.session import ensure_checkpoint_dir, scratch_path, ship_package
 
@@ -29,6 +30,14 @@ def crc_mod(id_col: str, n: int):
     return F.coalesce(F.crc32(F.col(id_col).cast("string").cast("binary")) % n, F.lit(0))
 
 
+def row_key(df: DataFrame, id_col: str, text_col: str) -> tuple:
+    """Two longs, ``i`` and ``t``, that name a row: its id and its text. Rows
+    equal in both are copies of one another."""
+    integral = isinstance(df.schema[id_col].dataType, (T.LongType, T.IntegerType, T.ShortType))
+    i = F.coalesce(F.col(id_col).cast("long"), F.lit(-1)) if integral else F.xxhash64(id_col)
+    return i.alias("i"), F.xxhash64(text_col).alias("t")
+
+
 def utf8(column: pa.ChunkedArray | pa.Array) -> list[bytes]:
     """The texts of an Arrow string column as UTF-8 bytes; null is empty."""
     return [b"" if x is None else x for x in column.cast(pa.binary()).to_pylist()]

@@ -5,10 +5,30 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from stockyard.llm import bpe, decontam, langid, simhash, tokencount, toxicity
+from stockyard.llm import (
+    ann,
+    bpe,
+    decontam,
+    langid,
+    lm,
+    simhash,
+    suffix_dedup,
+    tokencount,
+    toxicity,
+    urlfilter,
+)
 from stockyard.llm.common import table
 
 
+# The rules of the URL contract.
+URL_RULES = [("allow", "org/"), ("block", "example.org/es/"), ("block", "example.org/en/1"),
+             ("allow", "com/fr/"), ("block", "com/de/")]
+
+
+def op1_nearest_neighbours(spark, sf_dir):
+    return ann.nearest_neighbours(spark, table(spark, sf_dir, "embeddings"))
+
+
 def op2_language_id(spark, sf_dir):
     return langid.identify(spark, table(spark, sf_dir, "documents"))
 
@@ -18,16 +38,28 @@ def op3_bpe_encode_decode(spark, sf_dir):
                             public_tokenizers.path("byte_bpe_50k.json"))
 
 
+def op4_lm_scoring(spark, sf_dir):
+    return lm.score_texts(spark, table(spark, sf_dir, "documents"))
+
+
 def op5_token_counts(spark, sf_dir):
     return tokencount.count_tokens(spark, table(spark, sf_dir, "documents"),
                                    public_tokenizers.path("piece_bpe_32k.model"))
 
 
+def op6_url_filter(spark, sf_dir):
+    return urlfilter.judge(spark, table(spark, sf_dir, "pages"), URL_RULES)
+
+
 def op7_toxicity(spark, sf_dir):
     return toxicity.score_texts(spark, table(spark, sf_dir, "documents"),
                                 table(spark, sf_dir, "labels"))
 
 
+def op8_suffix_array_dedup(spark, sf_dir):
+    return suffix_dedup.remove_repeats(spark, table(spark, sf_dir, "documents"))
+
+
 def op9_benchmark_decontamination(spark, sf_dir):
     return decontam.decontaminate(spark, table(spark, sf_dir, "documents"),
                                   table(spark, sf_dir, "benchmark"))
@@ -35,9 +67,15 @@ def op9_benchmark_decontamination(spark, sf_dir):
 
 def op10_simhash_near_dedup(spark, sf_dir):
     got = simhash.near_groups(spark, table(spark, sf_dir, "documents"))
-    return got.select("doc_id", simhash.hex_fp(F.col("fp")).alias("fingerprint"), "component_id")
+    return got.select(F.col("id").alias("doc_id"), simhash.hex_fp(F.col("fp")).alias("fingerprint"), "component_id")
+
+
+def pipeline(spark, sf_dir):
+    import corpus_pipeline
+    return corpus_pipeline.run(spark, sf_dir)
 
 
 QUERIES = {f.__name__: f for f in (
-    op2_language_id, op3_bpe_encode_decode, op5_token_counts, op7_toxicity,
-    op9_benchmark_decontamination, op10_simhash_near_dedup)}
+    op1_nearest_neighbours, op2_language_id, op3_bpe_encode_decode, op4_lm_scoring,
+    op5_token_counts, op6_url_filter, op7_toxicity, op8_suffix_array_dedup,
+    op9_benchmark_decontamination, op10_simhash_near_dedup, pipeline)}

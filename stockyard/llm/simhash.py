@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from stockyard.llm.common import prepare, utf8
+from stockyard.llm.common import prepare, row_key, utf8, written
 from stockyard.llm.components import components
 
 SEED, SHINGLE, MAX_BITS = 42, 4, 4
@@ -51,15 +51,17 @@ def fingerprint(text: bytes, shingle: int = SHINGLE) -> int:
 
 def fingerprints(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id",
                  text_col: str = "text", shingle: int = SHINGLE) -> DataFrame:
-    """``id_col`` and ``fp`` (long, the fingerprint's 64 bits) for every row."""
+    """The id, ``i`` and ``t`` (the row's key) and ``fp`` (long, the
+    fingerprint's 64 bits) of every row."""
     prepare(spark)
-    src = docs.select(id_col, text_col)
-    out = T.StructType([src.schema[id_col], T.StructField("fp", T.LongType())])
+    src = docs.select(F.col(id_col).alias("id"), *row_key(docs, id_col, text_col),
+                      F.col(text_col).alias("x"))
+    out = T.StructType([*src.schema.fields[:3], T.StructField("fp", T.LongType())])
 
     def run(parts):
         for part in parts:
-            fps = np.array([fingerprint(t, shingle) for t in utf8(part.column(1))], dtype="<u8")
-            yield pa.RecordBatch.from_arrays([part.column(0), pa.array(fps.view("<i8"))],
+            fps = np.array([fingerprint(t, shingle) for t in utf8(part.column(3))], dtype="<u8")
+            yield pa.RecordBatch.from_arrays([*part.columns[:3], pa.array(fps.view("<i8"))],
                                              names=out.names)
 
     return src.mapInArrow(run, out)
@@ -120,19 +122,16 @@ def near_groups(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id",
                 n_segments: int | None = None) -> DataFrame:
     """Fingerprint and component of every row of ``docs``.
 
-    Columns: the id, ``fp`` (long), ``component_id`` (the smallest id
-    reachable over links of ``max_bits`` or fewer differing bits, its own
+    Columns: ``id``, ``i`` and ``t`` (the row's key), ``fp`` (long), ``root``
+    (a fingerprint that names the component) and ``component_id`` (the smallest
+    id reachable over links of ``max_bits`` or fewer differing bits, its own
     included). A null or wordless text has fingerprint 0 and links like any
     other; copies share a fingerprint; a null id counts for no minimum (a group
     of null ids only has a null component); an empty table gives an empty
     result; other columns are ignored.
     """
-    base = fingerprints(spark, docs, id_col, text_col, shingle)
-    from stockyard.session import scratch_path
-    path = scratch_path(spark, "simhash")
-    base.write.parquet(path)
-    base = spark.read.parquet(path)
-    fps = base.groupBy("fp").agg(F.min(id_col).alias("low")).checkpoint()
+    base = written(spark, fingerprints(spark, docs, id_col, text_col, shingle), "simhash")
+    fps = base.groupBy("fp").agg(F.min("id").alias("low")).checkpoint()
     if n_segments is None:
         n_segments = 3 if fps.count() <= THREE_SEGMENTS else 2
     # First the copies that differ within one run of bits, then the links
@@ -145,8 +144,30 @@ def near_groups(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id",
     rooted = marked.join(joined, "label", "left") \
         .select("fp", F.coalesce("root", "label").alias("root"))
     lows = rooted.join(fps, "fp").groupBy("root").agg(F.min("low").alias("component_id"))
-    by_fp = rooted.join(lows, "root").select("fp", "component_id")
-    return base.join(by_fp, "fp").select(id_col, "fp", "component_id")
+    by_fp = rooted.join(lows, "root").select("fp", "root", "component_id")
+    return base.join(by_fp, "fp").select("id", "i", "t", "fp", "root", "component_id")
+
+
+def keep_one(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id",
+             text_col: str = "text", shingle: int = SHINGLE,
+             max_bits: int = MAX_BITS) -> DataFrame:
+    """The rows of ``docs`` without near copies: of each component the row
+    with the smallest id stays (null ids come last; of rows that share an id,
+    that with the smallest text hash; of copies in both, the one whose other
+    columns sort first). All columns are kept."""
+    cells = [f"c{k}" for k in range(len(docs.columns))]
+    groups = near_groups(spark, docs, id_col, text_col, shingle, max_bits)
+    first = groups.groupBy("root", "i", "t").agg(F.min("id").alias("id"), F.count("*").alias("n")) \
+        .groupBy("root").agg(F.min(F.struct(F.col("id").isNull().alias("last"), "id", "t", "i", "n"))
+                             .alias("r"))
+    stay = written(spark, first.select("r.i", "r.t", "r.n"), "simhash-stay")
+    kept = docs.select(*row_key(docs, id_col, text_col),
+                       F.struct(*[F.col(c).alias(x) for c, x in zip(docs.columns, cells, strict=True)])
+                       .alias("row")).join(stay, ["i", "t"])
+    order = F.to_json("row")
+    copies = kept.where("n > 1").groupBy("i", "t").agg(F.min_by("row", order).alias("row"))
+    rows = kept.where("n = 1").select("row").union(copies.select("row"))
+    return rows.select(*[F.col(f"row.{x}").alias(c) for c, x in zip(docs.columns, cells, strict=True)])
 
 
 def hex_fp(col):

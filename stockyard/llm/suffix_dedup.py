@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from stockyard.llm.common import batches_of, prepare, utf8, written
+from stockyard.llm.common import batches_of, prepare, row_key, utf8, written
 
 LENGTH = 200
 GRAM = 32           # bytes of the rolling hash
@@ -119,20 +119,12 @@ _USES = pa.schema([("k", pa.int64()), ("c", pa.int64()), ("i", pa.int64()), ("t"
                    ("s", pa.int64())])
 
 
-def _row_key(df: DataFrame, id_col: str, text_col: str) -> tuple:
-    """Two longs that name a row: its id and its text. Rows equal in both are
-    copies, and what repeats in one repeats in all."""
-    integral = isinstance(df.schema[id_col].dataType, (T.LongType, T.IntegerType, T.ShortType))
-    i = F.coalesce(F.col(id_col).cast("long"), F.lit(-1)) if integral else F.xxhash64(id_col)
-    return i.alias("i"), F.xxhash64(text_col).alias("t")
-
-
 def repeated_spans(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id",
                    text_col: str = "text", length: int = LENGTH, group: int = GROUP) -> DataFrame:
     """Repeated string starts of each text: ``i``, ``t`` (the row's key) and
     ``s``, first << 32 | last start of a run."""
     src = docs.where(F.octet_length(text_col) >= length) \
-        .select(*_row_key(docs, id_col, text_col), F.col(text_col).alias("x"))
+        .select(*row_key(docs, id_col, text_col), F.col(text_col).alias("x"))
 
     def parse(parts):
         import xxhash
@@ -255,7 +247,7 @@ def remove_repeats(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id",
     cols = [id_col, *[c for c in keep if c not in (id_col, text_col)]]
     inner = [f"v{k}" for k in range(len(cols))]
     src = docs.select(*[F.col(c).alias(v) for c, v in zip(cols, inner, strict=True)],
-                      *_row_key(docs, id_col, text_col), F.col(text_col).alias("x")) \
+                      *row_key(docs, id_col, text_col), F.col(text_col).alias("x")) \
         .join(spans, ["i", "t"], "left").select(*inner, "x", "p")
     out = T.StructType([*[T.StructField(c, docs.schema[c].dataType) for c in cols],
                         T.StructField("n_bytes", T.LongType()),
