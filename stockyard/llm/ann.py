@@ -279,6 +279,8 @@ class Index:
         some = [(r["id"], list(r["v"])) for r in some]
         asked = self.spark.createDataFrame(some, "id long, v array<double>")
         exact = _best(brute_force(self.spark, self.rows, some, k), k).collect()
+        if not exact:  # no other row to find
+            return visits, 1.0
         worst: dict = {}
         for r in exact:
             worst[r["query_id"]] = min(r["score"], worst.get(r["query_id"], 2.0))
