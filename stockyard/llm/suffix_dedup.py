@@ -149,10 +149,12 @@ def repeated_spans(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id",
 
     uses = src.mapInArrow(parse, "k long, c long, i long, t long, s long")
     # Triggers that occur more than once; the aggregate combines hot ones
-    # before the shuffle, and the join splits what is left of them.
+    # before the shuffle. It is written, so that the join is one of two plain
+    # shuffles, whose hot partitions Spark can split.
     again = uses.groupBy("k").agg(F.count("*").alias("uses"), F.min("c").alias("lo"),
                                   F.max("c").alias("hi")) \
         .where("uses > 1").select("k", (F.col("lo") != F.col("hi")).alias("mixed"))
+    again = written(spark, again, "pfp-triggers")
     shared = written(spark, uses.join(again, "k"), "pfp-uses")
     # The dictionary: one row for each distinct phrase, one of its places.
     book = shared.groupBy("k", "c").agg(
