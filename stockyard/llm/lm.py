@@ -18,6 +18,7 @@ from __future__ import annotations
 import uuid
 import zlib
 from collections import Counter
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -25,7 +26,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from stockyard.llm.common import batches_of, crc_mod, once, prepare, utf8, written
+from stockyard.llm.common import batches_of, crc_mod, forget, once, prepare, utf8, written
 
 SIZE = 32                 # words of a head class
 HEAD_CLASSES = 16
@@ -35,9 +36,11 @@ CLASSES = HEAD_CLASSES + TAIL_CLASSES
 ROWS = 1 << 15            # hashed rows of the class weights
 WORD_ROWS = 1 << 14       # hashed rows of the word weights
 ROUNDS = 2
-STEP = 0.15
-MINI = 8_192              # tokens of one gradient step
+STEP = 0.8
+MINI = 16_384             # tokens of one gradient step
 BLOCK = 2_048             # rows of one message of weights
+SLICE_BYTES = 1 << 20     # text that is turned into arrays at a time
+COUNT_BYTES = 8 << 20     # text whose words are counted at a time
 # Words whose counts every task holds; the counts of rarer ones are joined.
 FREQUENT = 300_000
 END = b""
@@ -81,20 +84,37 @@ class Vocabulary:
     def read(self, texts: list[bytes]):
         """Flat ids of the tokens of several texts, the first token of each
         text, and the rare words of each."""
-        get, n = self.id.get, self.n
-        ids: list[int] = []
-        starts, rare = [], []
+        flat: list[bytes] = []
+        starts = []
         for t in texts:
-            starts.append(len(ids))
-            seen: dict[bytes, int] = {}
-            for w in tokens(t):
-                k = get(w)
-                if k is None:
-                    k = n + tail_class(w)
-                    seen[w] = seen.get(w, 0) + 1
-                ids.append(k)
-            rare.append(seen)
-        return np.array(ids, dtype=np.int64), np.array(starts, dtype=np.int64), rare
+            starts.append(len(flat))
+            flat += tokens(t)
+        ids = np.fromiter(map(self.id.get, flat, repeat(-1)), dtype=np.int64, count=len(flat))
+        late = np.flatnonzero(ids < 0)
+        rare: list[dict[bytes, int]] = [{} for _ in texts]
+        owner = np.searchsorted(starts, late, side="right") - 1
+        classes = []
+        for k, at in zip(owner.tolist(), late.tolist(), strict=True):
+            w = flat[at]
+            seen = rare[k]
+            seen[w] = seen.get(w, 0) + 1
+            classes.append(tail_class(w))
+        ids[late] = np.array(classes, dtype=np.int64) + self.n
+        return ids, np.array(starts, dtype=np.int64), rare
+
+
+def slices(texts: list[bytes], size: int = SLICE_BYTES):
+    """The texts in runs of about ``size`` bytes (a longer text by itself)."""
+    run: list[bytes] = []
+    held = 0
+    for t in texts:
+        if run and held + len(t) > size:
+            yield run
+            run, held = [], 0
+        run.append(t)
+        held += len(t)
+    if run:
+        yield run
 
 
 def contexts(v: Vocabulary, ids: np.ndarray, starts: np.ndarray):
@@ -109,9 +129,9 @@ def contexts(v: Vocabulary, ids: np.ndarray, starts: np.ndarray):
     with np.errstate(over="ignore"):
         x = [(a + np.uint64(1)) * _MULT[0], (b + np.uint64(1)) * _MULT[1],
              ((a + np.uint64(1)) * _MULT[0] ^ (b + np.uint64(7)) * _MULT[2]) * _MULT[1]]
-        rows = [(h >> shift).astype(np.int64) for h in x]
+        rows = [(h >> shift).astype(np.uint16) for h in x]
         word = (a * np.uint64(CLASSES) + v.cls[ids].astype(np.uint64) + np.uint64(1)) * _MULT[2]
-    return rows, (word >> np.uint64(64 - WORD_ROWS.bit_length() + 1)).astype(np.int64)
+    return rows, (word >> np.uint64(64 - WORD_ROWS.bit_length() + 1)).astype(np.uint16)
 
 
 def softmax(z: np.ndarray) -> np.ndarray:
@@ -121,6 +141,14 @@ def softmax(z: np.ndarray) -> np.ndarray:
     return z
 
 
+def class_logits(v: Vocabulary, table: np.ndarray, rows: list[np.ndarray], s: slice) -> np.ndarray:
+    z = np.take(table, rows[0][s], axis=0, mode="clip")
+    for r in rows[1:]:
+        z += np.take(table, r[s], axis=0, mode="clip")
+    z += v.bias
+    return z
+
+
 class Weights:
     def __init__(self, classes=None, words=None):
         self.classes = np.zeros((ROWS, CLASSES), np.float32) if classes is None else classes
@@ -133,8 +161,7 @@ class Weights:
         for k in range(0, len(ids), MINI):
             s = slice(k, k + MINI)
             mine, cls = ids[s], v.cls[ids[s]]
-            p = softmax(v.bias + self.classes[rows[0][s]] + self.classes[rows[1][s]]
-                        + self.classes[rows[2][s]])
+            p = softmax(class_logits(v, self.classes, rows, s))
             p = p[np.arange(len(mine)), cls].astype(np.float64)
             head = mine < min(HEAD, v.n)
             h = mine[head]
@@ -147,23 +174,25 @@ class Weights:
 
 
 class Trainer:
-    """Gradient steps over one task's texts (Adagrad)."""
+    """Gradient steps over one task's texts (Adagrad, one scale for a row)."""
 
     def __init__(self, v: Vocabulary, start: Weights):
         self.v = v
         self.w = Weights(start.classes.copy(), start.words.copy())
         self.seen = np.zeros(ROWS, np.float32), np.zeros(WORD_ROWS, np.float32)
-        self.squares = np.full((ROWS, CLASSES), 1e-2, np.float32), \
-            np.full((WORD_ROWS, SIZE), 1e-2, np.float32)
+        self.squares = np.full(ROWS, 1e-2, np.float32), np.full(WORD_ROWS, 1e-2, np.float32)
 
     def _update(self, which: int, table: np.ndarray, rows: np.ndarray, slope: np.ndarray) -> None:
+        """One step for several rows of features with the same slopes."""
         order = np.argsort(rows, kind="stable")
         near = rows[order]
         first = np.flatnonzero(np.concatenate(([True], near[1:] != near[:-1])))
-        g, at = np.add.reduceat(slope[order], first, axis=0), near[first]
+        g, at = np.add.reduceat(
+            np.take(slope, order % len(slope), axis=0, mode="clip"), first, axis=0), near[first]
         sq = self.squares[which]
-        sq[at] += g * g
-        table[at] -= STEP * g / np.sqrt(sq[at])
+        sq[at] += np.einsum("ij,ij->i", g, g)
+        g *= (-STEP / np.sqrt(sq[at]))[:, None]
+        table[at] += g
         self.seen[which][at] += np.diff(np.concatenate((first, [len(near)])))
 
     def learn(self, texts: list[bytes]) -> None:
@@ -173,11 +202,9 @@ class Trainer:
         for k in range(0, len(ids), MINI):
             s = slice(k, k + MINI)
             mine, cls = ids[s], v.cls[ids[s]]
-            slope = softmax(v.bias + self.w.classes[rows[0][s]] + self.w.classes[rows[1][s]]
-                            + self.w.classes[rows[2][s]])
+            slope = softmax(class_logits(v, self.w.classes, rows, s))
             slope[np.arange(len(mine)), cls] -= 1
-            for r in rows:
-                self._update(0, self.w.classes, r[s], slope)
+            self._update(0, self.w.classes, np.concatenate([r[s] for r in rows]), slope)
             head = mine < min(HEAD, v.n)
             if head.any():
                 slope = softmax(v.head[cls[head]] + self.w.words[word[s][head]])
@@ -199,11 +226,13 @@ def count_words(spark: SparkSession, train: DataFrame, text_col: str) -> DataFra
     schema = pa.schema([("w", pa.string()), ("n", pa.int64())])
 
     def count(parts):
+        forget()
         for part in parts:
-            seen: Counter = Counter()
-            for t in utf8(part.column(0)):
-                seen.update(tokens(t))
-            yield from batches_of(((w.decode(), n) for w, n in seen.items()), schema)
+            for texts in slices(utf8(part.column(0)), COUNT_BYTES):
+                seen: Counter = Counter()
+                for t in texts:
+                    seen.update(tokens(t))
+                yield from batches_of(((w.decode(), n) for w, n in seen.items()), schema)
 
     return written(spark, train.select(text_col).mapInArrow(count, "w string, n long")
                    .groupBy("w").agg(F.sum("n").alias("c")), "lm-counts")
@@ -255,9 +284,10 @@ def train_weights(spark: SparkSession, train: DataFrame, vocab, text_col: str, i
             trainer = None
             for part in parts:
                 if trainer is None:
-                    trainer = Trainer(once("lm-vocabulary", token, lambda: vocab.value),
+                    trainer = Trainer(once(token, lambda: vocab.value),
                                       Weights(*start.value))
-                trainer.learn(utf8(part.column(0)))
+                for texts in slices(utf8(part.column(0))):
+                    trainer.learn(texts)
             if trainer is not None:
                 for which, b, x, n in trainer.message():
                     yield pa.RecordBatch.from_arrays(
@@ -307,24 +337,25 @@ def score_texts(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id",
             T.StructField("w", T.StringType()), T.StructField("n", T.LongType())])))])
 
     def run(parts):
-        v = once("lm-vocabulary", token, lambda: vocab.value)
+        v = once(token, lambda: vocab.value)
         weights = Weights(*model.value)
         for part in parts:
-            ids, starts, rare = v.read(utf8(part.column(3)))
-            if not len(starts):
-                continue
-            sums = lambda x, starts=starts: np.add.reduceat(x, starts)
-            n = np.diff(np.concatenate((starts, [len(ids)])))
-            known = ids < v.n
-            words = [(x.decode(), k) for r in rare for x, k in r.items()]
-            ends = np.cumsum([0, *map(len, rare)], dtype=np.int32)
-            yield pa.RecordBatch.from_arrays(
-                [*part.columns[:3], pa.array(n), pa.array(sums(known.astype(np.int64))),
-                 pa.array(sums(v.log_c[ids])), pa.array(sums(weights.log10_p(v, ids, starts))),
-                 pa.ListArray.from_arrays(pa.array(ends), pa.StructArray.from_arrays(
-                     [pa.array([a for a, _ in words], pa.string()),
-                      pa.array([b for _, b in words], pa.int64())], names=["w", "n"]))],
-                names=out.names)
+            done = 0
+            for texts in slices(utf8(part.column(3))):
+                ids, starts, rare = v.read(texts)
+                n = np.diff(np.concatenate((starts, [len(ids)])))
+                words = [(x.decode(), k) for r in rare for x, k in r.items()]
+                ends = np.cumsum([0, *map(len, rare)], dtype=np.int32)
+                yield pa.RecordBatch.from_arrays(
+                    [*part.slice(done, len(texts)).columns[:3], pa.array(n),
+                     pa.array(np.add.reduceat((ids < v.n).astype(np.int64), starts)),
+                     pa.array(np.add.reduceat(v.log_c[ids], starts)),
+                     pa.array(np.add.reduceat(weights.log10_p(v, ids, starts), starts)),
+                     pa.ListArray.from_arrays(pa.array(ends), pa.StructArray.from_arrays(
+                         [pa.array([a for a, _ in words], pa.string()),
+                          pa.array([b for _, b in words], pa.int64())], names=["w", "n"]))],
+                    names=out.names)
+                done += len(texts)
 
     got = written(spark, src.mapInArrow(run, out), "lm-scored")
     # The counts of rarer words meet the texts that hold them by a join.
