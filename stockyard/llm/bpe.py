@@ -26,9 +26,9 @@ from stockyard.llm.common import once, prepare, texts
 
 INF = float("inf")
 # Units (space-separated pieces), pre-tokens and token pairs remembered by one worker.
-UNIT_CACHE = 1_000_000
-PIECE_CACHE = 700_000
-PAIR_CACHE = 1_500_000
+UNIT_CACHE = 800_000
+PIECE_CACHE = 500_000
+PAIR_CACHE = 1_000_000
 
 # A space with no other white space beside it always starts a new pre-token,
 # so text may be cut in front of it.
@@ -235,7 +235,7 @@ def encode_texts(spark: SparkSession, docs: DataFrame, tokenizer_path: str,
     token = uuid.uuid4().hex
 
     def run(parts):
-        coder = once("bpe", token, lambda: PrefixEncoder(BpeModel(json.loads(spec.value))))
+        coder = once(token, lambda: PrefixEncoder(BpeModel(json.loads(spec.value))))
         for part in parts:
             packed = [coder.encode(t) for t in texts(part.column(n_keep))]
             cols = [*part.columns[:n_keep],

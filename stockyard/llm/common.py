@@ -80,12 +80,18 @@ def written(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-_KEPT: dict[str, tuple] = {}
+_KEPT: list = ["", None]
 
 
-def once(name: str, token: str, build):
+def once(token: str, build):
     """A task's model, kept by its Python worker for the next tasks of the same
-    call (``token``); one model of each ``name`` is held at a time."""
-    if _KEPT.get(name, ("",))[0] != token:
-        _KEPT[name] = (token, build())
-    return _KEPT[name][1]
+    call (``token``). A worker holds one model at a time."""
+    if _KEPT[0] != token:
+        _KEPT[:] = ["", None]
+        _KEPT[:] = [token, build()]
+    return _KEPT[1]
+
+
+def forget() -> None:
+    """Drop the model of an earlier job; for tasks that need no model."""
+    _KEPT[:] = ["", None]

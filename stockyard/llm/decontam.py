@@ -193,7 +193,7 @@ def decontaminate(spark: SparkSession, docs: DataFrame, items: DataFrame,
     token = uuid.uuid4().hex
 
     def run(parts):
-        machines = once("decontam", token,
+        machines = once(token,
                         lambda: [ItemAutomaton(b.value, window) for b in blocks])
         for part in parts:
             raw = utf8(part.column(n_keep))

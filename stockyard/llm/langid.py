@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from stockyard.llm.common import batches_of, crc_mod, once, prepare, texts
+from stockyard.llm.common import batches_of, crc_mod, forget, once, prepare, texts
 
 LONGEST = 5
 SMOOTHING = 0.5
@@ -26,7 +26,7 @@ SMOOTHING = 0.5
 FIT_ROWS = 3_000
 MODEL_WORDS = 150_000
 MODEL_GRAMS = 200_000
-WORD_CACHE = 600_000
+WORD_CACHE = 400_000
 UNDETERMINED = "und"
 _WORD = re.compile(r"[^\W\d_]+")
 
@@ -115,6 +115,7 @@ def fit(spark: SparkSession, docs: DataFrame, train: Column, id_col: str = "doc_
                         ("n", pa.int64())])
 
     def count(parts):
+        forget()
         for part in parts:
             seen: dict[str, Counter] = {}
             for lang, t in zip(*[c.to_pylist() for c in part.columns], strict=True):
@@ -171,7 +172,7 @@ def identify(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id",
     token = uuid.uuid4().hex
 
     def run(parts):
-        m = once("langid", token, lambda: LanguageModel(*model.value))
+        m = once(token, lambda: LanguageModel(*model.value))
         for part in parts:
             got = [m.predict(t) for t in texts(part.column(2))]
             yield pa.RecordBatch.from_arrays(

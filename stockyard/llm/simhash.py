@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from stockyard.llm.common import prepare, row_key, utf8, written
+from stockyard.llm.common import forget, prepare, row_key, utf8, written
 from stockyard.llm.components import components
 
 SEED, SHINGLE, MAX_BITS = 42, 4, 4
@@ -59,6 +59,7 @@ def fingerprints(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id",
     out = T.StructType([*src.schema.fields[:3], T.StructField("fp", T.LongType())])
 
     def run(parts):
+        forget()
         for part in parts:
             fps = np.array([fingerprint(t, shingle) for t in utf8(part.column(3))], dtype="<u8")
             yield pa.RecordBatch.from_arrays([*part.columns[:3], pa.array(fps.view("<i8"))],

@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from stockyard.llm.common import batches_of, prepare, row_key, utf8, written
+from stockyard.llm.common import batches_of, forget, prepare, row_key, utf8, written
 
 LENGTH = 200
 GRAM = 32           # bytes of the rolling hash
@@ -129,6 +129,7 @@ def repeated_spans(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id",
     def parse(parts):
         import xxhash
         digest = xxhash.xxh3_64_intdigest
+        forget()
         for part in parts:
             cols: list[list] = [[], [], [], [], []]
             for i, t, x in zip(part.column(0).to_pylist(), part.column(1).to_pylist(),

@@ -18,7 +18,7 @@ from pyspark.sql import types as T
 from stockyard.llm.common import once, prepare, texts
 
 # Terminal counts remembered by one worker between batches.
-TERMINALS = 1_000_000
+TERMINALS = 800_000
 UNKNOWN_PENALTY = 10.0
 SPACE = "▁"
 
@@ -122,7 +122,7 @@ def count_tokens(spark: SparkSession, docs: DataFrame, model_path: str,
     token = uuid.uuid4().hex
 
     def run(parts):
-        trie = once("tokencount", token, lambda: TrieCounter(pieces.value))
+        trie = once(token, lambda: TrieCounter(pieces.value))
         for part in parts:
             counts = trie.count_texts(texts(part.column(n_keep)))
             yield pa.RecordBatch.from_arrays(

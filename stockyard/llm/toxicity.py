@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from stockyard.llm.common import batches_of, crc_mod, once, prepare, texts
+from stockyard.llm.common import batches_of, crc_mod, forget, once, prepare, texts
 
 ORDER = 6           # characters of the longest n-gram
 DISCOUNT = 0.75
@@ -29,8 +29,9 @@ PASSAGE = 3         # words of a passage
 # Labelled rows of each class that a fit reads at most (by hash of the id), and
 # n-grams that a model holds at most (those with the highest counts).
 FIT_ROWS = 4_000
-MODEL_GRAMS = 600_000
-WORD_CACHE = 700_000
+MODEL_GRAMS = 300_000
+# Words and n-grams whose ratios one worker remembers.
+WORD_CACHE = 250_000
 _WORD = re.compile(r"[^\W\d_]+")
 
 
@@ -181,6 +182,7 @@ def fit(spark: SparkSession, docs: DataFrame, labels: DataFrame, id_col: str = "
                         ("n", pa.int64())])
 
     def count(parts):
+        forget()
         for part in parts:
             seen: dict = {}
             for f, y, t in zip(*[c.to_pylist() for c in part.columns], strict=True):
@@ -202,9 +204,11 @@ def fit(spark: SparkSession, docs: DataFrame, labels: DataFrame, id_col: str = "
     tops = [{w: (int(a), int(b)) for w, a, b in zip(g, x[:, 0], x[:, 1], strict=True) if a or b}
             for x in (c[:, :2], c[:, 2:], c[:, :2] + c[:, 2:])]
     split = all(x.sum() for x in (c[:, 0], c[:, 1], c[:, 2], c[:, 3]))
-    models = spark.sparkContext.broadcast(tops[:2] if split else tops[2:])
+    whole = tops.pop()
+    models = spark.sparkContext.broadcast(tops if split else [whole])
 
     def judge(parts):
+        forget()
         pairs = [Scorer(top) for top in models.value]
         for part in parts:
             f, y, t = [c.to_pylist() for c in part.columns]
@@ -216,7 +220,8 @@ def fit(spark: SparkSession, docs: DataFrame, labels: DataFrame, id_col: str = "
     seen = rows.mapInArrow(judge, "y int, a double, b double").toPandas().sort_values(["y", "a", "b"])
     if seen["y"].nunique() < 2:
         return {}, (0.0, 0.0, 30.0 if (seen["y"] == 1).any() else -30.0)
-    return tops[2], fit_curve(seen[["a", "b"]].to_numpy(), seen["y"].to_numpy(dtype=float))
+    models.destroy()
+    return whole, fit_curve(seen[["a", "b"]].to_numpy(), seen["y"].to_numpy(dtype=float))
 
 
 def score_texts(spark: SparkSession, docs: DataFrame, labels: DataFrame, id_col: str = "doc_id",
@@ -244,7 +249,7 @@ def score_texts(spark: SparkSession, docs: DataFrame, labels: DataFrame, id_col:
     token = uuid.uuid4().hex
 
     def run(parts):
-        scorer = once("toxicity", token, lambda: Scorer(*model.value))
+        scorer = once(token, lambda: Scorer(*model.value))
         for part in parts:
             s = [scorer.score(t) for t in texts(part.column(len(cols) + 1))]
             yield pa.RecordBatch.from_arrays(
