@@ -2,9 +2,8 @@
 demand and coverage need.
 
 All functions take a ``ranges`` DataFrame with key columns (e.g. ``sku_id``)
-plus ``start`` / ``end`` dates, and work per key: calendars are built from
-column expressions and ``explode`` (no join with a driver-side list), so the
-output size is (#keys x #days) at most.
+plus ``start`` / ``end`` dates. Calendars are keyed by date (a few rows a year)
+and built from column expressions; keys look their days up in them.
 """
 
 from __future__ import annotations
@@ -64,62 +63,48 @@ def _spec(spec) -> dict:
             v = (float(v.get("multiplier", 1.0)), int(v.get("pre_days", 0)),
                  int(v.get("post_days", 0)))
         out[name] = (float(v[0]), int(v[1]), int(v[2]))
-        if not (0 <= out[name][1] < 300 and 0 <= out[name][2] < 300):
-            raise ValueError("pre_days / post_days must be in [0, 300)")
+        if out[name][1] + out[name][2] < 0:  # no day from -pre to +post
+            del out[name]
     return out
 
 
-def with_holiday_map(df: DataFrame, spec=None, out: str = "__hm", as_map: bool = True) -> DataFrame:
-    """Add ``out`` to each row with ``start`` / ``end`` dates: MAP<date,
-    double> from every date within ``pre`` days before to ``post`` days
-    after a holiday of the years year(start)..year(end), inside [start, end],
-    to the largest multiplier of the holidays covering it.
-
-    Built row-locally with higher-order functions (transform / flatten /
-    sort / filter), so a key's calendar never needs a join or a shuffle;
-    its size is (#years in the key's range) x sum(pre + post + 1). The
-    sorted entries are a column of their own before the de-duplication
-    refers to them, so they are computed once per row."""
+def holiday_windows(ranges: DataFrame, spec=None) -> DataFrame:
+    """The date-keyed calendar of all years that ``ranges`` touch: one row per
+    date inside a holiday window, ``event_date`` and ``__windows``, an array of
+    (year of the holiday, multiplier). About 25 rows a year, whatever the
+    number of keys."""
     sp = _spec(spec)
+    years = ranges.agg(F.min(F.year("start")).alias("a"), F.max(F.year("end")).alias("b")) \
+        .where("a IS NOT NULL").select(F.explode(F.sequence("a", "b")).alias("year"))
+    days = F.array(*[F.struct(F.sequence(F.date_sub(d, sp[n][1]), F.date_add(d, sp[n][2])).alias("days"),
+                              F.lit(sp[n][0]).alias("m"))
+                     for n, d in _holiday_dates(F.col("year")) if n in sp]) \
+        .cast("array<struct<days:array<date>,m:double>>")
+    return years.select("year", F.inline(days)).select("year", "m", F.explode("days").alias("event_date")) \
+        .groupBy("event_date").agg(F.collect_list(F.struct("year", "m")).alias("__windows"))
+
 
-    def entry(m):  # one-argument lambda (PySpark reads two arguments as "with index")
-        return lambda x: F.struct(x.alias("d"), F.lit(-m).alias("nm"))
-
-    def per_year(y):
-        parts = []
-        for n, d in _holiday_dates(y):
-            if n not in sp:
-                continue
-            m, pre, post = sp[n]
-            parts.append(F.transform(F.sequence(F.date_sub(d, pre), F.date_add(d, post)), entry(m)))
-        return F.flatten(F.array(*parts))
-
-    if not sp:
-        return df.withColumn(out, F.map_from_entries(F.array().cast("array<struct<d:date,m:double>>")))
-    entries = F.flatten(F.transform(F.sequence(F.year("start"), F.year("end")), per_year))
-    inside = F.filter(entries, lambda e: (e["d"] >= F.col("start")) & (e["d"] <= F.col("end")))
-    srt = df.withColumn("__ord", F.sort_array(inside))  # by date, largest multiplier first
-    ordered = F.col("__ord")
-    first = F.filter(ordered, lambda e, i: (i == 0) | (F.element_at(ordered, i)["d"] != e["d"]))
-    if not as_map:  # the de-duplicated (date, -multiplier) entries, date ascending
-        return srt.withColumn(out, first).drop("__ord")
-    return srt.withColumn(out, F.map_from_entries(
-        F.transform(first, lambda e: F.struct(e["d"], -e["nm"])))).drop("__ord")
+def _factor() -> Column:
+    """Largest multiplier of the windows whose holiday lies in a year of the
+    row's own range; NULL outside of all, and outside the range."""
+    own = F.filter("__windows", lambda w: w["year"].between(F.year("start"), F.year("end")))
+    inside = F.col("event_date").between(F.col("start"), F.col("end"))
+    return F.when(inside, F.array_max(F.transform(own, lambda w: w["m"])))
 
 
 def holiday_multiplier(ranges: DataFrame, spec=None, keys: Sequence[str] = ("sku_id",)) -> DataFrame:
     """(keys, event_date, holiday_mult): every date within ``pre`` days before
     to ``post`` days after a holiday of the years year(start)..year(end) and
     inside [start, end] gets the largest multiplier of the holidays covering
-    it, at least 1.0. Names not in the calendar are ignored. Row-local per
-    key (see :func:`with_holiday_map`): no join, no shuffle."""
-    r = with_holiday_map(ranges.select(*keys, "start", "end"), spec, as_map=False)
-    # inline_outer + filter: a plain inline makes Spark infer a size(...) > 0
-    # filter that re-inlines the whole entry expression
-    return r.select(*keys, F.inline_outer("__hm")) \
-        .filter(F.col("d").isNotNull()) \
-        .select(*keys, F.col("d").alias("event_date"),
-                F.greatest(F.lit(1.0), -F.col("nm")).alias("holiday_mult"))
+    it, at least 1.0. Names not in the calendar are ignored. With one range
+    and ``keys=()`` this is the calendar itself, one row per date."""
+    month = lambda c: F.trunc(c, "month")
+    # Dates meet ranges month by month: an equi-join, no range join.
+    cal = holiday_windows(ranges, spec).withColumn("__month", month("event_date"))
+    spans = ranges.select(*keys, "start", "end", F.explode(F.sequence(
+        month("start"), month("end"), F.expr("INTERVAL 1 MONTH"))).alias("__month"))
+    return spans.join(cal, "__month").withColumn("__m", _factor()).where("__m IS NOT NULL") \
+        .select(*keys, "event_date", F.greatest(F.lit(1.0), F.col("__m")).alias("holiday_mult"))
 
 
 def demand_calendar(ranges: DataFrame, params: C.DemandParams = C.DemandParams(),
@@ -134,16 +119,12 @@ def demand_calendar(ranges: DataFrame, params: C.DemandParams = C.DemandParams()
     Columns: keys, start, end, event_date, weekday, holiday_mult,
     in_holiday_window, expected_orders.
 
-    Plan: each key builds its holiday map once (:func:`with_holiday_map`) and its
-    spine looks dates up in it while being generated - no join, no
-    shuffle; the spine keeps the partitioning of ``ranges`` (by key), which
-    the per-key windows downstream reuse."""
-    r = with_holiday_map(ranges.select(*keys, "start", "end"), params.holidays)
-    days_seq = F.sequence(F.col("start"), F.date_add("end", lookahead_days))
-    d = r.select(*keys, "start", "end", F.inline_outer(F.transform(
-        days_seq, lambda x: F.struct(x.alias("event_date"),
-                                     F.try_element_at(F.col("__hm"), x).alias("__m"))))) \
-        .filter(F.col("event_date").isNotNull())  # _outer: no inferred filter re-inlining the map
+    Plan: the days of each key are generated and looked up in the date-keyed
+    calendar (:func:`holiday_windows`, a few rows a year) by an equi-join on
+    the date, which Spark broadcasts below its size threshold."""
+    d = ranges.select(*keys, "start", "end", F.explode(F.sequence(
+        F.col("start"), F.date_add("end", lookahead_days))).alias("event_date"))
+    d = d.join(holiday_windows(ranges, params.holidays), "event_date", "left").withColumn("__m", _factor())
     wd = weekday_index("event_date")
     factors = F.array(*[F.lit(float(x)) for x in params.weekday_factors])
     days = F.datediff("event_date", "start")

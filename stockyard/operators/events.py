@@ -1,57 +1,48 @@
-"""Sales event hygiene: dedupe, quality flags, controlled perturbation."""
+"""Sales event hygiene: dedupe and quality flags."""
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .. import config as C
-from ..functions.dates import plus_seconds
-from ..functions.hashing import hash_units
+from ..functions.ids import id_number
 from .windows import running
 
 K = "sku_id"
-ELIGIBLE = (C.STATUS_PLACED, C.STATUS_CANCELED)
+# Events that one bucket of the running maximum holds on average.
+BUCKET_ROWS = 100_000
 
 
 def dedupe_events(sales: DataFrame, key: str = "sales_id") -> DataFrame:
     """One row per ``key``: the copy with the earliest time (NULL time
     last), then status (NULL last), quantity, SKU.
 
-    Written as ``groupBy(key).agg(min(struct(...)))`` - an aggregate with a
-    map-side partial step - rather than ``row_number`` over a window, so an
-    id with very many copies is reduced inside each task before the shuffle
-    instead of landing whole in one task. Rows with a NULL id are kept
-    unchanged."""
+    Ids that occur once pass through; only the rows of repeated ids are
+    compared. Counting the ids is a hash aggregate with a partial step, and
+    the smallest copy is an aggregate too, so an id with very many copies is
+    reduced inside each task. Rows with a NULL id are kept unchanged."""
     others = [c for c in sales.columns if c != key]
+    repeated = sales.where(F.col(key).isNotNull()).groupBy(key) \
+        .agg(F.count(F.lit(1)).alias("__n")).where("__n > 1").select(key, F.lit(True).alias("__rep"))
+    marked = sales.join(repeated, key, "left")
     pick = F.struct(
         F.col("event_ts").isNull().alias("__ts_null"), F.col("event_ts").alias("__ts"),
         F.col("status").isNull().alias("__st_null"), F.col("status").alias("__st"),
         F.col("quantity").alias("__q"), F.col(K).alias("__k"),
         *[F.col(c).alias(c) for c in others])
-    keyed = sales.filter(F.col(key).isNotNull())
-    best = keyed.groupBy(key).agg(F.min(pick).alias("__best"))
-    deduped = best.select(key, *[F.col(f"__best.{c}").alias(c) for c in others])
-    # rows without an id are not copies of each other: kept as they are
-    return deduped.unionByName(sales.filter(F.col(key).isNull()).select(key, *others))
+    best = marked.where("__rep").groupBy(key).agg(F.min(pick).alias("__best"))
+    return marked.where("__rep IS NULL").select(key, *others).unionByName(
+        best.select(key, *[F.col(f"__best.{c}").alias(c) for c in others]))
 
 
-def auto_bucket(df: DataFrame, first_order: Column) -> Column | None:
-    """An order-compatible bucket for the first ordering column: id ranges of
-    65,536 for integers, a fixed-length prefix for strings (fixed length
-    keeps it non-decreasing in string order), hours for timestamps."""
-    name = first_order._jc.toString().strip("`")
-    if name not in df.columns:
-        return None
-    t = df.schema[name].dataType.simpleString()
-    c = F.col(name)
-    if t in ("int", "bigint", "smallint", "tinyint"):
-        return F.floor(c / 65536)
-    if t == "string":
-        return F.substring(c, 1, 6)
-    if t.startswith("timestamp"):
-        return F.date_trunc("hour", c)
-    return None
+def id_buckets(sales: DataFrame, number: Column, rows: int = BUCKET_ROWS) -> Column:
+    """Ranges of the id number that hold about ``rows`` events each: the width
+    comes from the numbers' span and count (one aggregate over the ids)."""
+    lo, hi, n = sales.agg(F.min(number), F.max(number), F.count(number)).first()
+    if lo is None:
+        return F.lit(0)
+    width = max(1, (int(hi) - int(lo) + 1) * rows // max(n, 1))
+    return F.coalesce(F.floor((number - F.lit(int(lo))) / F.lit(width)).cast("long"), F.lit(-1))
 
 
 def event_quality(sales: DataFrame, outlier_threshold: int = 50, order=None,
@@ -60,14 +51,17 @@ def event_quality(sales: DataFrame, outlier_threshold: int = 50, order=None,
     null_status, null_event_ts, out_of_order (time below the latest time of
     the SKU's earlier events in id order), quantity_outlier (quantity above
     ``outlier_threshold``), else valid. A +-1 h zone slip looks like a real
-    time and is not flagged. ``bucket`` (non-decreasing along ``order``;
-    "auto" derives one from the first ordering column, None disables it)
-    makes the running max two-level, see ``windows.running``. ``order``
-    (default: sales_id) is the arrival order; add tie-breakers when ids
-    repeat."""
-    order = order or [F.col("sales_id")]
+    time and is not flagged.
+
+    Events arrive in the order of their id's number (``order`` replaces it;
+    add tie-breakers when ids repeat); ids without a number come first.
+    ``bucket`` (non-decreasing along ``order``; "auto" takes
+    ranges of the id number sized from the data, None disables it) makes the
+    running max two-level, see ``windows.running``."""
+    number = id_number(sales, "sales_id")
+    order = order or [number.asc_nulls_first(), F.col("sales_id")]
     if isinstance(bucket, str) and bucket == "auto":
-        bucket = auto_bucket(sales, order[0])
+        bucket = id_buckets(sales, number)
     r = running(sales, [K], order, "event_ts", "__prev_max", "max",
                 bucket=bucket, include_current=False)
     ooo = F.coalesce(F.col("event_ts") < F.col("__prev_max"), F.lit(False))
@@ -81,48 +75,3 @@ def event_quality(sales: DataFrame, outlier_threshold: int = 50, order=None,
         .when(F.col("is_out_of_order"), "out_of_order") \
         .when(F.col("is_outlier"), "quantity_outlier").otherwise("valid")
     return out.withColumn("event_quality_flag", flag)
-
-
-# Index of each per-row number of ``perturb_events`` in ``hash_units``.
-U_DUP, U_NULL_STATUS, U_NULL_TS, U_SHIFT2, U_SHIFT1, U_OUTLIER, V_SHIFT2, V_SHIFT1, V_OUTLIER = range(9)
-
-
-def perturb_events(sales: DataFrame, rates: C.ErrorRates = C.ErrorRates.notebook(),
-                   seed: int = 123, key: str = "sales_id") -> DataFrame:
-    """Inject controlled errors into placed / canceled rows only (approved
-    rows never change, so stock stays consistent):
-
-    duplicate (an exact copy of the original row, taken before the other
-    errors), null status, null time, a shift of up to +-2 h, a shift of
-    +-1 h, an outlier quantity in [1, 500].
-
-    Selection is deterministic per row and error kind: a row is picked when
-    its md5-derived number for that kind (``functions.hashing``) falls below
-    the rate, so the share is the rate on average (not exactly
-    round(rate * n)); the result does not depend on partitioning or on
-    re-execution, and every copy of an id gets the same decision."""
-    st = F.col("status")
-    elig = st.isin(*ELIGIBLE)
-    u = hash_units(F.col(key), seed, 9)
-
-    def pick(i: int, rate: float) -> Column:
-        if rate <= 0:
-            return F.lit(False)
-        return elig & (u[i] < F.lit(float(rate)))
-
-    dup = sales.filter(pick(U_DUP, rates.duplicate_rate))
-    ts = F.col("event_ts")
-    shift2 = F.floor(u[V_SHIFT2] * 14401).cast("int") - 7200
-    shift1 = F.when(u[V_SHIFT1] < 0.5, -3600).otherwise(3600)
-    ts = F.when(pick(U_SHIFT2, rates.out_of_order_rate), plus_seconds(ts, shift2)).otherwise(ts)
-    ts = F.when(pick(U_SHIFT1, rates.tz_inconsistency_rate), plus_seconds(ts, shift1)).otherwise(ts)
-    ts = F.when(pick(U_NULL_TS, rates.null_event_ts_rate), F.lit(None)).otherwise(ts)
-    q = F.when(pick(U_OUTLIER, rates.placed_outlier_rate),
-               (F.lit(1) + F.floor(u[V_OUTLIER] * 500).cast("int")).cast(
-                   sales.schema["quantity"].dataType)).otherwise(F.col("quantity"))
-    s = F.when(pick(U_NULL_STATUS, rates.null_status_rate), F.lit(None)).otherwise(st)
-    changed = sales.select(*[
-        ts.cast(sales.schema["event_ts"].dataType).alias(c) if c == "event_ts"
-        else q.alias(c) if c == "quantity"
-        else s.alias(c) if c == "status" else F.col(c) for c in sales.columns])
-    return changed.unionByName(dup)

@@ -1,8 +1,7 @@
 """Demand forecast per SKU and the weekly inventory depletion report.
 
-``forecast_demand`` is the native model: per SKU a least-squares trend
-(``regr_slope`` / ``regr_intercept``, algebraic aggregates with partial
-aggregation) plus a weekday effect (mean residual per weekday), projected on
+``forecast_demand`` is the native model: per SKU a least-squares trend (sums
+with partial aggregation) plus a weekday effect (mean residual per weekday), projected on
 the ``horizon`` days after the SKU's last day. ``forecast_demand_grouped``
 runs any per-SKU model on the daily series with ``applyInPandas``; the
 series is one row per day, so a group is bounded by the history length, not
@@ -12,13 +11,12 @@ by the number of events.
 from __future__ import annotations
 
 from collections.abc import Callable
-from fractions import Fraction
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import IntegralType
+from pyspark.sql.types import DecimalType, IntegralType
 
 from ..functions.cleaning import round_half_up
 from ..functions.dates import future_spine, week_start, weekday_index
@@ -39,95 +37,91 @@ def season_index(c, season: int):
     return F.pmod(F.datediff(c, F.lit(EPOCH).cast("date")) + 3, F.lit(season))
 
 
+# Decimals of a prediction inside a job; reports round on output.
+FINE = 12
+
+
 def forecast_demand(daily: DataFrame, horizon: int = 28, value: str = "approved_qty",
-                    digits: int = 4, season: int = 7) -> DataFrame:
+                    digits: int = FINE, season: int = 7) -> DataFrame:
     """(sku_id, event_date, demand_prediction) for the ``horizon`` days after
-    each SKU's last day: max(0, a + b * t + seasonal_effect), rounded half
-    up to ``digits`` decimals. ``a + b * t`` is the least-squares line of the
-    series over its day numbers; the seasonal effect is the mean residual
-    per position in a ``season``-day cycle (7: per weekday).
-
-    Plan: only partial aggregates touch the daily series - per (SKU,
-    position) counts and sums of t, y, t*t, t*y - so the series is never
-    shuffled row by row nor joined with its fit; everything after works on
-    one row per SKU and position. For an integer series (unit counts) the
-    sums are exact integers and each prediction is the exact rational
-    N / M, rounded by integer division: the result does not depend on the
-    summation order or on the engine."""
+    each SKU's last day: max(0, a + b * t + seasonal_effect), half up to
+    ``digits`` decimals. ``a + b * t`` is the least-squares line of the series
+    over its day numbers; the seasonal effect is the mean residual per position
+    in a ``season``-day cycle (7: per weekday).
+
+    Plan: one aggregate per SKU holds the totals and, for each position of the
+    cycle, its count and sums; the future days are generated from that row and
+    look their position up in it, so there is one shuffle and no join. For an
+    integer series (unit counts) the sums are exact integers and each
+    prediction is the exact rational N / M, rounded by integer division: the
+    result does not depend on the summation order or on the engine."""
     t = F.datediff("event_date", F.lit(EPOCH).cast("date"))
     exact = isinstance(daily.schema[value].dataType, IntegralType)
     num = "decimal(38,0)" if exact else "double"
     h = daily.select(K, "event_date", F.col(value).cast(num).alias("y"), t.cast(num).alias("t"),
-                     season_index("event_date", season).alias("weekday"))
-    pos = h.groupBy(K, "weekday").agg(
-        F.count(F.lit(1)).cast(num).alias("c"), F.sum("y").alias("sy"), F.sum("t").alias("st"),
-        F.sum(F.col("t") * F.col("t")).alias("stt"), F.sum(F.col("t") * F.col("y")).alias("sty"),
-        F.max("event_date").alias("last_k"))
-    tot = pos.groupBy(K).agg(
-        F.sum("c").alias("n"), F.sum("sy").alias("sy_all"), F.sum("st").alias("st_all"),
-        F.sum("stt").alias("stt_all"), F.sum("sty").alias("sty_all"), F.max("last_k").alias("last_date"))
-    tot = tot.select(K, "last_date", "n", "sy_all", "st_all",
-                     (F.col("n") * F.col("stt_all") - F.col("st_all") * F.col("st_all")).alias("dd"),
-                     (F.col("n") * F.col("sty_all") - F.col("st_all") * F.col("sy_all")).alias("bn"))
-    fut = future_spine(tot, "last_date", horizon)
-    fut = fut.select(K, "event_date", "n", "sy_all", "st_all", "dd", "bn", t.cast(num).alias("t"),
-                     season_index("event_date", season).alias("weekday"))
-    j = fut.join(pos.select(K, "weekday", "c", "sy", "st"), [K, "weekday"], "left")
-    c, has = F.col("c"), F.col("c").isNotNull()
+                     season_index("event_date", season).alias("at"))
+    zero = F.lit(0).cast(num)
+
+    def each(x):
+        return [F.coalesce(F.sum(F.when(F.col("at") == k, x)), zero).cast(num) for k in range(season)]
+
+    fit = h.groupBy(K).agg(
+        F.max("event_date").alias("last_date"), F.count(F.lit(1)).cast(num).alias("n"),
+        F.sum("y").cast(num).alias("sy"), F.sum("t").cast(num).alias("st"),
+        F.sum(F.col("t") * F.col("t")).cast(num).alias("stt"),
+        F.sum(F.col("t") * F.col("y")).cast(num).alias("sty"),
+        F.array(*each(F.lit(1).cast(num))).alias("cs"), F.array(*each(F.col("y"))).alias("sys"),
+        F.array(*each(F.col("t"))).alias("sts"))
+    fit = fit.select(K, "last_date", "n", "sy", "st", "cs", "sys", "sts",
+                     (F.col("n") * F.col("stt") - F.col("st") * F.col("st")).cast(num).alias("dd"),
+                     (F.col("n") * F.col("sty") - F.col("st") * F.col("sy")).cast(num).alias("bn"))
+    j = future_spine(fit, "last_date", horizon)
+    at = season_index("event_date", season) + 1
+    j = j.select(K, "event_date", "n", "sy", "st", "dd", "bn", t.cast(num).alias("t"),
+                 F.element_at("cs", at).alias("c"), F.element_at("sys", at).alias("cy"),
+                 F.element_at("sts", at).alias("ct"))
+    c, has = F.col("c"), F.col("c") > 0
     flat = F.col("dd") == 0  # one distinct day: no slope
     # prediction = avg_y(pos) + b * (t - avg_t(pos)), or a + b * t without
-    # history at that position, with b = bn / dd, a = (sy_all - b * st_all) / n
-    numer = F.when(flat, F.when(has, F.col("sy")).otherwise(F.col("sy_all"))) \
-        .when(has, F.col("sy") * F.col("dd") + F.col("bn") * (F.col("t") * c - F.col("st"))) \
-        .otherwise(F.col("sy_all") * F.col("dd") - F.col("bn") * F.col("st_all")
+    # history at that position, with b = bn / dd, a = (sy - b * st) / n
+    numer = F.when(flat, F.when(has, F.col("cy")).otherwise(F.col("sy"))) \
+        .when(has, F.col("cy") * F.col("dd") + F.col("bn") * (F.col("t") * c - F.col("ct"))) \
+        .otherwise(F.col("sy") * F.col("dd") - F.col("bn") * F.col("st")
                    + F.col("n") * F.col("bn") * F.col("t"))
     denom = F.when(flat, F.when(has, c).otherwise(F.col("n"))) \
         .when(has, c * F.col("dd")).otherwise(F.col("n") * F.col("dd"))
-    numer = F.greatest(numer, F.lit(0).cast(num))
-    scale = 10 ** digits
-    if exact:
-        q = F.expr(f"(2 * __n * {scale} + __m) div (2 * __m)")
-        pred = q.cast("double") / F.lit(float(scale))
-        return j.select(K, "event_date", numer.alias("__n"), denom.alias("__m")) \
-            .select(K, "event_date", pred.alias("demand_prediction"))
-    return j.select(K, "event_date", round_half_up(numer / denom, digits).alias("demand_prediction"))
+    numer = F.greatest(numer, zero)
+    if not exact:
+        return j.select(K, "event_date", round_half_up(numer / denom, digits).alias("demand_prediction"))
+    # Whole part and fraction apart, so that the scaled numerator has room.
+    parts = j.select(K, "event_date", numer.cast(num).alias("__n"), denom.cast(num).alias("__m"))
+    whole, rest = F.expr("__n div __m").cast("decimal(18,0)"), F.expr("__n % __m").cast("decimal(25,0)")
+    pred = parts.select(K, "event_date", whole.alias("__w"), rest.alias("__r"), "__m")
+    frac = F.expr(f"CAST((2 * __r * {10 ** digits} + __m) div (2 * __m) AS DECIMAL(20,0))")
+    return pred.select(K, "event_date", (F.col("__w") + frac / F.lit(10 ** digits).cast("decimal(20,0)"))
+                       .cast(f"decimal(30,{digits})").alias("demand_prediction"))
+
+
+def rounded(pred: DataFrame, digits: int = 4) -> DataFrame:
+    """Predictions as doubles of ``digits`` decimals (half up), for output."""
+    p = F.col("demand_prediction")
+    p = F.round(p, digits).cast("double") if isinstance(pred.schema["demand_prediction"].dataType, DecimalType) \
+        else round_half_up(p, digits)
+    return pred.withColumn("demand_prediction", p)
 
 
 def linear_weekday_model(t: np.ndarray, y: np.ndarray, weekday: np.ndarray,
-                         t_new: np.ndarray, weekday_new: np.ndarray):
-    """The native model in Python (least-squares line over the day numbers
-    + mean residual per position); the default model of
-    ``forecast_demand_grouped``. An integer series is fitted exactly with
-    rationals (``Fraction``), as the native path does; others with floats."""
-    if not np.issubdtype(np.asarray(y).dtype, np.integer):
-        t = t.astype(float)
-        if len(t) > 1 and np.var(t) > 0:
-            b, a = np.polyfit(t, y, 1)
-        else:
-            b, a = 0.0, float(np.mean(y))
-        r = y - (a + b * t)
-        m = int(max(weekday.max(initial=0), weekday_new.max(initial=0))) + 1
-        cnt = np.bincount(weekday, minlength=m)
-        eff = np.divide(np.bincount(weekday, weights=r, minlength=m), cnt,
-                        out=np.zeros(m), where=cnt > 0)
-        return np.maximum(0.0, a + b * t_new + eff[weekday_new])
-    ts, ys, wds = (list(map(int, v)) for v in (t, y, weekday))
-    n, St, Sy = len(ts), sum(ts), sum(ys)
-    D = n * sum(v * v for v in ts) - St * St
-    Bn = n * sum(a * b for a, b in zip(ts, ys)) - St * Sy
-    per = {}
-    for tv, yv, w in zip(ts, ys, wds):
-        c, sy, st = per.get(w, (0, 0, 0))
-        per[w] = (c + 1, sy + yv, st + tv)
-    out = []
-    for tv, w in zip(map(int, t_new), map(int, weekday_new)):
-        if w in per:
-            c, sy, st = per[w]
-            num, den = (sy, c) if D == 0 else (sy * D + Bn * (tv * c - st), c * D)
-        else:
-            num, den = (Sy, n) if D == 0 else (Sy * D - Bn * St + n * Bn * tv, n * D)
-        out.append(Fraction(max(num, 0), den))
-    return np.array(out, dtype=object)
+                         t_new: np.ndarray, weekday_new: np.ndarray) -> np.ndarray:
+    """The native model in numpy (least-squares line over the day numbers +
+    mean residual per position); the default of ``forecast_demand_grouped``."""
+    t, y, t_new = (np.asarray(v, dtype=float) for v in (t, y, t_new))
+    spread = t - t.mean()
+    slope = float(spread @ (y - y.mean()) / (spread @ spread)) if spread.any() else 0.0
+    line = y.mean() + slope * spread
+    m = int(max(weekday.max(initial=0), weekday_new.max(initial=0))) + 1
+    count = np.bincount(weekday, minlength=m)
+    effect = np.bincount(weekday, weights=y - line, minlength=m) / np.maximum(count, 1)
+    return np.maximum(0.0, y.mean() + slope * (t_new - t.mean()) + effect[weekday_new])
 
 
 def holt_winters_model(alpha: float = 0.3, beta: float = 0.05, gamma: float = 0.2):
@@ -183,12 +177,9 @@ def forecast_demand_grouped(daily: DataFrame, horizon: int = 28, value: str = "a
         new_day = day[-1] + np.arange(1, horizon + 1)
         wd = (day + 3) % season  # 1970-01-01 was a Thursday (Monday = 0)
         y_new = model(t, y, wd, new_day - day[0], (new_day + 3) % season)
-        scale = 10 ** digits
-        if len(y_new) and isinstance(y_new[0], Fraction):  # exact: half up by integer division
-            pred = [float((2 * v.numerator * scale + v.denominator) // (2 * v.denominator)) / scale
-                    for v in y_new]
-        else:
-            pred = np.floor(np.asarray(y_new, dtype=float) * scale + 0.5) / scale
+        # A float just beside a tie must not flip it.
+        scaled = np.round(np.asarray(y_new, dtype=float) * 10 ** digits, 6)
+        pred = np.floor(scaled + 0.5) / 10 ** digits
         return pd.DataFrame({K: np.repeat(pdf[K].iloc[0], horizon), "day": new_day,
                              "demand_prediction": pred})
 
@@ -197,11 +188,13 @@ def forecast_demand_grouped(daily: DataFrame, horizon: int = 28, value: str = "a
 
 
 def weekly_demand(pred: DataFrame) -> DataFrame:
-    """ceil(sum(prediction)) per SKU and week (Monday), summed as decimals.
-    A horizon not starting on a Monday gives partial first / last weeks."""
+    """ceil(sum(prediction)) per SKU and week (Monday), over unrounded
+    predictions, summed as decimals; what a sum has beyond nine decimals is
+    the predictions' own rounding and is not rounded up. A horizon not starting
+    on a Monday gives partial first / last weeks."""
+    total = F.sum(F.col("demand_prediction").cast(f"decimal(30,{FINE})"))
     return pred.groupBy(K, week_start("event_date").alias("week_monday")).agg(
-        F.ceil(F.sum(F.col("demand_prediction").cast("decimal(20,6)"))).cast("bigint")
-        .alias("weekly_demand"))
+        F.ceil(F.round(total, 9)).cast("bigint").alias("weekly_demand"))
 
 
 def cumulative_demand(weekly: DataFrame) -> DataFrame:

@@ -1,5 +1,5 @@
 """Per-SKU inventory line: daily movements, end-of-day stock, stock ledger,
-audits, restock rules and stock allocation.
+audits and restock rules.
 
 Inputs (any DataFrame with these columns):
 
@@ -19,17 +19,12 @@ series (bounded by the number of days) or over bucketed event prefixes
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
-import numpy as np
-import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from .. import config as C
 from ..functions.dates import local_date, utc_date, weekday_index
-from ..session import ship_package
 from .calendar import coverage_need, demand_calendar
 from .filters import anti_join_ids, filter_equals
 from .windows import running
@@ -249,122 +244,10 @@ def emergency_restock(ledger: DataFrame, ranges: DataFrame,
                     .alias("quantity_received"))
 
 
-# ---------------------------------------------------------------------------
-# Allocation replay (order dependent)
-# ---------------------------------------------------------------------------
-
-ALLOC_SCHEMA = ("sku_id long, sales_id string, event_ts timestamp_ntz, quantity long, "
-                "status string, approved boolean, stock_after long")
-
-
-def allocate_segment(kind: np.ndarray, qty: np.ndarray, stock: int):
-    """Replay one SKU's events (kind 0 = acquisition, 1 = request) from
-    ``stock``; returns (approved, stock_after, final stock) per event.
-
-    Hybrid scan, exactly the sequential rule: a vector window evaluates its
-    events assuming every request is covered (a cumulative sum) and stops at
-    the first request the stock cannot cover; that request is rejected and a
-    short scalar stretch follows (stock is tight there), then a new window.
-    Windows double while nothing fails, so covered stretches cost a few
-    numpy calls and tight stretches run at plain-loop speed."""
-    n = len(kind)
-    approved = np.zeros(n, dtype=bool)
-    after = np.empty(n, dtype=np.int64)
-    is_req = kind == 1
-    delta = np.where(is_req, -qty, qty).astype(np.int64)
-    i, w = 0, 64
-    while i < n:
-        j = min(n, i + w)
-        cum = stock + np.cumsum(delta[i:j])
-        before = cum - delta[i:j]
-        fail = is_req[i:j] & (before < qty[i:j])
-        if not fail.any():
-            approved[i:j] = is_req[i:j]
-            after[i:j] = cum
-            stock = int(cum[-1])
-            i, w = j, min(w * 2, 1 << 16)
-            continue
-        f = int(np.argmax(fail))
-        approved[i:i + f] = is_req[i:i + f]
-        after[i:i + f] = cum[:f]
-        stock = int(before[f])
-        after[i + f] = stock  # rejected: stock unchanged
-        i, w = i + f + 1, 64
-        # scalar stretch over plain ints
-        j = min(n, i + 256)
-        ok_l, after_l = [], []
-        for k, q in zip(kind[i:j].tolist(), qty[i:j].tolist()):
-            if k == 0:
-                stock += q
-                ok_l.append(False)
-            elif stock >= q:
-                stock -= q
-                ok_l.append(True)
-            else:
-                ok_l.append(False)
-            after_l.append(stock)
-        approved[i:j] = ok_l
-        after[i:j] = after_l
-        i = j
-    return approved, after, stock
-
-
-def _allocate_partition(initial_stock: int):
-    """Replay over one partition's rows, sorted by (sku, time, kind, id);
-    state carried between Arrow batches is the current SKU's stock only."""
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        cur_sku, stock = None, int(initial_stock)
-        for pdf in batches:
-            sku = pdf["sku_id"].to_numpy()
-            kind = pdf["kind"].to_numpy().astype(np.int64)
-            qty = pdf["qty"].to_numpy().astype(np.int64)
-            n = len(pdf)
-            approved = np.zeros(n, dtype=bool)
-            after = np.zeros(n, dtype=np.int64)
-            starts = [0] + (np.flatnonzero(sku[1:] != sku[:-1]) + 1).tolist() if n else []
-            for a, b in zip(starts, starts[1:] + [n]):
-                if sku[a] != cur_sku:
-                    cur_sku, stock = sku[a], int(initial_stock)
-                approved[a:b], after[a:b], stock = allocate_segment(kind[a:b], qty[a:b], stock)
-            req = (kind == 1)
-            sub = pdf[req]
-            yield pd.DataFrame({
-                "sku_id": sub["sku_id"].to_numpy(), "sales_id": sub["rid"].to_numpy(),
-                "event_ts": sub["event_ts"].to_numpy(), "quantity": sub["qty"].to_numpy(),
-                "status": sub["status"].to_numpy(), "approved": approved[req], "stock_after": after[req]})
-    return run
-
-
-def allocate_stock(sales: DataFrame, acq: DataFrame, initial_stock: int = 0,
-                   num_partitions: int | None = None) -> DataFrame:
-    """Replay each SKU's requests in event order: a request is approved only
-    if the stock covers its quantity, then the stock is decremented;
-    acquisitions add stock (before requests of the same instant).
-
-    The rule is order dependent and not associative, so each SKU is one
-    sequential pass. The events are hash-partitioned by SKU and sorted
-    inside partitions (spilling sort), then streamed through
-    ``mapInPandas`` in Arrow batches with O(1) state per task: a hot SKU
-    costs one long task but never sits in memory as a whole, and many SKUs
-    run in parallel. Requests without a time come last.
-
-    Columns: sku_id, sales_id, event_ts, quantity, status, approved,
-    stock_after."""
-    ship_package(sales.sparkSession)
-    ts_t = sales.schema["event_ts"].dataType.simpleString()
-    a = acq.select(K, F.col("event_ts").cast(ts_t).alias("event_ts"), F.lit(0).alias("kind"),
-                   F.col("acquisition_id").cast("string").alias("rid"),
-                   F.col("quantity_received").cast("long").alias("qty"),
-                   F.lit(None).cast("string").alias("status"))
-    s = sales.select(K, "event_ts", F.lit(1).alias("kind"), F.col("sales_id").cast("string").alias("rid"),
-                     F.col("quantity").cast("long").alias("qty"), "status")
-    u = a.unionByName(s)
-    u = u.repartition(num_partitions, K) if num_partitions else u.repartition(K)
-    u = u.sortWithinPartitions(K, F.col("event_ts").asc_nulls_last(), "kind", "rid", "qty",
-                               F.col("status").asc_nulls_last())
-    schema = ALLOC_SCHEMA.replace("timestamp_ntz", ts_t).replace(
-        "sku_id long", f"sku_id {sales.schema[K].dataType.simpleString()}")
-    return u.mapInPandas(_allocate_partition(initial_stock), schema)
+def mean_order_qty(sales: DataFrame) -> DataFrame:
+    """Mean units of an approved sale per SKU, measured from the events."""
+    return filter_equals(sales, "status", C.STATUS_APPROVED).groupBy(K) \
+        .agg(F.avg("quantity").alias("mean_qty"))
 
 
 def event_ranges(events: DataFrame, zone: str = C.DEFAULT_ZONE) -> DataFrame:

@@ -9,7 +9,9 @@ nine rule sets mirror the silver layer. Rules test the *raw* input columns
 Rules that a null-key filter of the same dataset makes unreachable are not
 listed (the silver functions always apply that filter first).
 
-The labels are fixed values (they must equal the source's labels).
+The labels are fixed values (they must equal the source's labels); ``overflow_*``,
+``unparsable_score`` and ``malformed_record`` are additions for values that a cast or
+the reader would lose, tested after the source's rules.
 
 NULL semantics are SQL's: ``NULL NOT IN (...)`` and ``NULL < 0`` are unknown,
 so such a rule does not fire and the row stays ``valid``.
@@ -21,7 +23,8 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from .. import config as C
-from ..functions.cleaning import clean_lower, clean_upper, string_len
+from ..functions.cleaning import cast_money, cast_score, clean_lower, clean_upper, string_len
+from ..sources.files import CORRUPT_RECORD
 from .filters import outside_range
 
 VALID = "valid"
@@ -69,10 +72,25 @@ def order_rules() -> list:
     ]
 
 
+def lost_in_cast(column: str, cast) -> Column:
+    """A value is there, but the cast has no room for it or cannot read it."""
+    return F.col(column).isNotNull() & cast(column).isNull()
+
+
+def malformed_rules(df) -> list:
+    """Rows of which the reader could not parse a field (see
+    ``sources.files.csv_scan_permissive``), where the input says so."""
+    if CORRUPT_RECORD not in df.columns:
+        return []
+    return [(F.col(CORRUPT_RECORD).isNotNull(), "malformed_record")]
+
+
 def order_item_rules() -> list:
     return [
         (F.col("price") < 0, "negative_price"),
         (F.col("freight_value") < 0, "negative_freight"),
+        (lost_in_cast("price", cast_money), "overflow_price"),
+        (lost_in_cast("freight_value", cast_money), "overflow_freight"),
     ]
 
 
@@ -81,16 +99,19 @@ def payment_rules(normalize: bool = False) -> list:
     return [
         (F.col("payment_value") < 0, "invalid_payment_value"),
         (~pt.isin(*C.PAYMENT_TYPES), "invalid_payment_type"),
+        (lost_in_cast("payment_value", cast_money), "overflow_payment_value"),
     ]
 
 
 def review_rules() -> list:
     # The raw score is compared with integers: a numeric string compares by
-    # value, a non-numeric one is unknown (no flag), like the source SQL.
+    # value; a non-numeric one, which the source's cast would fail on, has a
+    # label of its own.
     score = F.col("review_score").try_cast("int")
     return [
         (F.col("order_id").isNull(), "invalid_null_order_id"),
         (~score.isin(*C.REVIEW_SCORES), "invalid_score"),
+        (lost_in_cast("review_score", cast_score), "unparsable_score"),
     ]
 
 

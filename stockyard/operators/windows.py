@@ -23,6 +23,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DataType, DateType, NumericType, TimestampNTZType, TimestampType
 from pyspark.sql.window import Window
 
 _AGG = {"sum": F.sum, "max": F.max, "min": F.min}
@@ -36,13 +37,22 @@ def _combine(op: str, offset: Column, inner: Column) -> Column:
     return F.least(offset, inner)
 
 
+def _filled(c: Column, kind: DataType) -> Column:
+    if isinstance(kind, NumericType):
+        return F.coalesce(c, F.lit(0).cast(kind))
+    if isinstance(kind, (DateType, TimestampType, TimestampNTZType)):
+        return F.coalesce(c, F.lit("1970-01-01").cast(kind))
+    return F.coalesce(c.cast("string"), F.lit(""))
+
+
 def running(df: DataFrame, keys: Sequence[str], order: Sequence, value: str, out: str,
             op: str = "sum", bucket: Column | None = None,
             include_current: bool = True) -> DataFrame:
     """Add ``out`` = ``op`` of ``value`` over the rows of the same ``keys``
     that come before (and, with ``include_current``, at) each row in
     ``order``. ``order`` must be a total order inside a key for a
-    deterministic result; ``bucket`` must be non-decreasing along it."""
+    deterministic result; ``bucket`` must be non-decreasing along it
+    (NULL comes first)."""
     agg = _AGG[op]
     end = Window.currentRow if include_current else -1
     if bucket is None:
@@ -53,21 +63,21 @@ def running(df: DataFrame, keys: Sequence[str], order: Sequence, value: str, out
     # Two passes over the input (as any distributed prefix scan): the bucket
     # totals are a partial + final aggregate, so their shuffle carries one
     # row per (key, bucket) and task; only the in-bucket window shuffles rows.
+    # Keys and bucket get a NULL-free form, so that the join with the offsets
+    # is a plain equi-join on what the window is partitioned by and needs no
+    # shuffle of its own.
     d = df.withColumn(b, bucket)
-    totals = d.groupBy(*keys, b).agg(agg(value).alias("__tot"))
-    w_prev = Window.partitionBy(*keys).orderBy(b).rowsBetween(Window.unboundedPreceding, -1)
-    offsets = totals.select(*keys, b, agg("__tot").over(w_prev).alias("__off"))
-    w_in = Window.partitionBy(*keys, b).orderBy(*order).rowsBetween(Window.unboundedPreceding, end)
+    names = []
+    for i, c in enumerate([*keys, b]):
+        d = d.withColumn(f"__k{i}", _filled(F.col(c), d.schema[c].dataType)) \
+            .withColumn(f"__n{i}", F.col(c).isNull())
+        names += [f"__k{i}", f"__n{i}"]
+    totals = d.groupBy(*names).agg(agg(value).alias("__tot"), F.first(b).alias(b))
+    w_prev = Window.partitionBy(*names[:-2]).orderBy(b).rowsBetween(Window.unboundedPreceding, -1)
+    offsets = totals.select(*names, agg("__tot").over(w_prev).alias("__off"))
+    w_in = Window.partitionBy(*names).orderBy(*order).rowsBetween(Window.unboundedPreceding, end)
     inner = d.withColumn("__in", agg(value).over(w_in))
-    # null-safe equi-join: rows with a NULL key or bucket keep their place
-    # (a window treats NULL as a group of its own, so must the join)
-    names = [*keys, b]
-    o = offsets.select(*[F.col(c).alias(f"__o{i}") for i, c in enumerate(names)], "__off")
-    cond = None
-    for i, c in enumerate(names):
-        e = inner[c].eqNullSafe(o[f"__o{i}"])
-        cond = e if cond is None else cond & e
-    res = inner.join(o, cond, "inner").drop(*[f"__o{i}" for i in range(len(names))])
+    res = inner.join(offsets, names, "inner").drop(*names)
     if op == "sum":
         val = F.when(F.col("__in").isNull() & F.col("__off").isNull(), F.lit(None)) \
             .otherwise(F.coalesce(F.col("__off"), F.lit(0)) + F.coalesce(F.col("__in"), F.lit(0)))

@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from .. import config as C
 from ..sources import standins as S
-from ..session import ensure_checkpoint_dir
+from ..session import scratch_path
 from ..sources.tables import read_table
 from . import gold, silver
 
@@ -39,56 +39,78 @@ def _q(values) -> str:
 # Stand-ins in SQL (same projections as sources.standins)
 # ---------------------------------------------------------------------------
 
-SQL_ORDERS = """SELECT o_orderkey AS order_id, o_custkey AS customer_id,
-  CASE o_orderstatus WHEN 'F' THEN 'delivered' WHEN 'O' THEN 'processing'
-       WHEN 'P' THEN 'canceled' ELSE o_orderstatus END AS order_status,
-  o_orderdate AS order_purchase_timestamp, o_orderdate AS order_approved_at,
+SQL_ORDERS = """SELECT CASE WHEN o_totalprice >= 3000 THEN o_orderkey END AS order_id,
+  o_custkey AS customer_id,
+  CASE WHEN o_orderstatus = 'F' AND o_orderpriority = '5-LOW' THEN 'lost'
+       WHEN o_orderstatus = 'F' THEN ' delivered' WHEN o_orderstatus = 'O' THEN 'processing '
+       WHEN o_orderstatus = 'P' THEN 'canceled' ELSE o_orderstatus END AS order_status,
+  CASE WHEN NOT (o_orderpriority = '4-NOT SPECIFIED' AND o_orderstatus = 'O') THEN o_orderdate END
+    AS order_purchase_timestamp,
+  CASE WHEN NOT (o_orderpriority = '3-MEDIUM' AND o_orderstatus = 'O') THEN o_orderdate END
+    AS order_approved_at,
   CAST(NULL AS TIMESTAMP) AS order_delivered_carrier_date,
   CAST(NULL AS TIMESTAMP) AS order_delivered_customer_date,
   CAST(NULL AS TIMESTAMP) AS order_estimated_delivery_date
 FROM orders"""
 
-SQL_ITEMS = """SELECT l_orderkey AS order_id, l_linenumber AS order_item_id,
-  l_partkey AS product_id, l_suppkey AS seller_id, l_shipdate AS shipping_limit_date,
-  CAST(l_extendedprice AS DECIMAL(12,2)) AS price,
-  CAST(l_extendedprice AS DECIMAL(12,2)) * CAST(l_tax AS DECIMAL(4,2)) AS freight_value
+_PRICE = """CAST(CAST(l_extendedprice AS DECIMAL(16,2)) * CASE WHEN l_quantity = 1 THEN -1
+  WHEN l_quantity = 50 THEN 10000 ELSE 1 END AS DECIMAL(16,2))"""
+SQL_ITEMS = f"""SELECT l_orderkey AS order_id, l_linenumber AS order_item_id,
+  CASE WHEN l_discount < 0.1 THEN l_partkey END AS product_id, l_suppkey AS seller_id,
+  l_shipdate AS shipping_limit_date, {_PRICE} AS price,
+  CAST({_PRICE} * (CAST(l_tax AS DECIMAL(4,2)) - 0.01) AS DECIMAL(18,4)) AS freight_value
 FROM lineitem"""
 
-SQL_PRODUCTS = """SELECT p_partkey AS product_id, p_type AS product_category_name,
+SQL_PRODUCTS = """SELECT CASE WHEN p_retailprice > 905 THEN p_partkey END AS product_id,
+  CASE p_brand WHEN 'Brand#11' THEN '  ' WHEN 'Brand#12' THEN NULL ELSE ' ' || p_type END
+    AS product_category_name,
   CAST(length(p_name) AS INTEGER) AS product_name_lenght,
   CAST(length(p_brand) AS INTEGER) AS product_description_lenght,
   CAST(NULL AS INTEGER) AS product_photos_qty,
-  p_size AS product_weight_g, CAST(length(p_name) AS INTEGER) AS product_length_cm,
-  CAST(NULL AS INTEGER) AS product_height_cm, p_size - 10 AS product_width_cm
+  p_size - 3 AS product_weight_g, CAST(length(p_name) - 8 AS INTEGER) AS product_length_cm,
+  CAST(length(p_brand) - 8 AS INTEGER) AS product_height_cm, p_size - 10 AS product_width_cm
 FROM part"""
 
-SQL_CATEGORIES = """SELECT p_type AS product_category_name,
-  p_brand AS product_category_name_english FROM part"""
+SQL_CATEGORIES = """SELECT CASE p_brand WHEN 'Brand#11' THEN ' ' ELSE p_type || ' ' END
+    AS product_category_name,
+  CASE WHEN p_size = 1 THEN '  ' WHEN p_size > 2 THEN p_brand END AS product_category_name_english
+FROM part"""
 
-SQL_CUSTOMERS = """SELECT c_custkey AS customer_id, c_name AS customer_unique_id,
-  CAST(c_custkey AS VARCHAR) AS customer_zip_code_prefix,
-  c_mktsegment AS customer_city, substring(c_mktsegment, 1, 2) AS customer_state
+SQL_CUSTOMERS = """SELECT CASE WHEN c_nationkey <> 3 THEN c_custkey END AS customer_id,
+  c_name AS customer_unique_id, CAST(c_custkey AS VARCHAR) AS customer_zip_code_prefix,
+  ' ' || c_mktsegment AS customer_city, substring(c_mktsegment, 1, 2) AS customer_state
 FROM customer"""
 
-SQL_GEO = """SELECT CAST(c_nationkey AS VARCHAR) AS geolocation_zip_code_prefix,
-  c_acctbal / 250 - 30 AS geolocation_lat, c_acctbal / -200 - 35 AS geolocation_lng,
+SQL_GEO = """SELECT CASE WHEN c_nationkey <> 3 THEN CAST(c_nationkey AS VARCHAR) END
+    AS geolocation_zip_code_prefix,
+  CASE WHEN c_mktsegment <> 'MACHINERY' THEN c_acctbal / 250 - 30 END AS geolocation_lat,
+  c_acctbal / -200 - 35 AS geolocation_lng,
   c_mktsegment AS geolocation_city, substring(c_name, 1, 2) AS geolocation_state
 FROM customer"""
 
-SQL_SELLERS = """SELECT s_suppkey AS seller_id, CAST(s_suppkey AS VARCHAR) AS seller_zip_code_prefix,
-  s_name AS seller_city, substring(s_name, 1, 2) AS seller_state FROM supplier"""
-
-SQL_PAYMENTS = """SELECT o_orderkey AS order_id, 1 AS payment_sequential,
-  substring(o_orderpriority, 3, 100) AS payment_type,
+SQL_SELLERS = """SELECT CASE WHEN s_nationkey <> 24 THEN s_suppkey END AS seller_id,
+  CAST(CAST(floor(abs(s_acctbal)) AS BIGINT) AS VARCHAR) AS seller_zip_code_prefix,
+  s_name || '  ' AS seller_city,
+  CASE WHEN s_nationkey < 5 THEN 'sp' WHEN s_nationkey < 8 THEN 'XX' WHEN s_nationkey < 16 THEN 'SP'
+       ELSE 'RJ' END AS seller_state FROM supplier"""
+
+SQL_PAYMENTS = """SELECT CASE WHEN o_totalprice >= 3000 THEN o_orderkey END AS order_id,
+  1 AS payment_sequential,
+  CASE o_orderpriority WHEN '1-URGENT' THEN 'credit_card' WHEN '2-HIGH' THEN 'boleto'
+       WHEN '3-MEDIUM' THEN 'debit_card' WHEN '4-NOT SPECIFIED' THEN ' Voucher'
+       WHEN '5-LOW' THEN 'voucher' END AS payment_type,
   CAST(substring(o_orderpriority, 1, 1) AS INTEGER) AS payment_installments,
-  o_totalprice AS payment_value FROM orders"""
-
-SQL_REVIEWS = """SELECT o_orderkey AS review_id, o_orderkey AS order_id,
-  substring(o_orderpriority, 1, 1) AS review_score,
-  o_orderpriority AS review_comment_title, o_orderstatus AS review_comment_message,
-  o_orderdate AS review_creation_date, o_orderdate AS review_answer_timestamp
+  o_totalprice * CASE WHEN o_totalprice < 20000 THEN -1
+       WHEN o_totalprice > 400000 AND o_orderstatus = 'P' THEN 10000 ELSE 1 END AS payment_value
 FROM orders"""
 
+SQL_REVIEWS = """SELECT CASE WHEN source <> 'src7' THEN doc_id END AS review_id,
+  CASE WHEN lang <> 'es' THEN doc_id END AS order_id,
+  CASE WHEN lang = 'de' THEN 'x' ELSE CAST(n_chars % 8 AS VARCHAR) END AS review_score,
+  ' ' || source || ' ' AS review_comment_title, text AS review_comment_message,
+  CAST(NULL AS TIMESTAMP) AS review_creation_date, CAST(NULL AS TIMESTAMP) AS review_answer_timestamp
+FROM documents"""
+
 # ---------------------------------------------------------------------------
 # Silver in SQL
 # ---------------------------------------------------------------------------
@@ -120,15 +142,16 @@ FROM ({SQL_GEO}) WHERE geolocation_zip_code_prefix IS NOT NULL""",
        ELSE 'valid' END AS data_quality_flag
 FROM ({SQL_ORDERS}) WHERE order_id IS NOT NULL""",
     "order_items": f"""SELECT order_id, order_item_id, product_id, seller_id, shipping_limit_date,
-  CAST(price AS DECIMAL(10,2)) AS price, CAST(freight_value AS DECIMAL(10,2)) AS freight_value,
+  TRY_CAST(price AS DECIMAL(10,2)) AS price, TRY_CAST(freight_value AS DECIMAL(10,2)) AS freight_value,
   CASE WHEN price < 0 THEN 'negative_price' WHEN freight_value < 0 THEN 'negative_freight'
-       ELSE 'valid' END AS data_quality_flag
+       WHEN abs(price) >= 99999999.995 THEN 'overflow_price'
+       WHEN abs(freight_value) >= 99999999.995 THEN 'overflow_freight' ELSE 'valid' END AS data_quality_flag
 FROM ({SQL_ITEMS}) WHERE order_id IS NOT NULL AND product_id IS NOT NULL""",
     "order_payments": f"""SELECT order_id, payment_sequential, lower(trim(payment_type)) AS payment_type,
-  payment_installments, CAST(payment_value AS DECIMAL(10,2)) AS payment_value,
+  payment_installments, TRY_CAST(payment_value AS DECIMAL(10,2)) AS payment_value,
   CASE WHEN payment_value < 0 THEN 'invalid_payment_value'
        WHEN payment_type NOT IN ({_q(C.PAYMENT_TYPES)}) THEN 'invalid_payment_type'
-       ELSE 'valid' END AS data_quality_flag
+       WHEN abs(payment_value) >= 99999999.995 THEN 'overflow_payment_value' ELSE 'valid' END AS data_quality_flag
 FROM ({SQL_PAYMENTS}) WHERE order_id IS NOT NULL""",
     "order_reviews": f"""SELECT review_id, order_id, TRY_CAST(review_score AS INTEGER) AS review_score,
   trim(review_comment_title) AS review_comment_title,
@@ -136,7 +159,8 @@ FROM ({SQL_PAYMENTS}) WHERE order_id IS NOT NULL""",
   review_creation_date, review_answer_timestamp,
   CASE WHEN order_id IS NULL THEN 'invalid_null_order_id'
        WHEN TRY_CAST(review_score AS INTEGER) NOT IN (1, 2, 3, 4, 5) THEN 'invalid_score'
-       ELSE 'valid' END AS data_quality_flag
+       WHEN review_score IS NOT NULL AND TRY_CAST(review_score AS INTEGER) IS NULL
+         THEN 'unparsable_score' ELSE 'valid' END AS data_quality_flag
 FROM ({SQL_REVIEWS}) WHERE review_id IS NOT NULL""",
     "products": f"""SELECT product_id, lower(trim(product_category_name)) AS product_category_name,
   COALESCE(product_name_lenght, 0) AS product_name_lenght,
@@ -176,7 +200,7 @@ STANDIN = {
     "orders": ("orders", S.orders),
     "order_items": ("lineitem", S.order_items),
     "order_payments": ("orders", S.order_payments),
-    "order_reviews": ("orders", S.order_reviews),
+    "order_reviews": ("documents", S.order_reviews),
     "products": ("part", S.products),
     "product_category_name_translation": ("part", S.category_translation),
     "sellers": ("supplier", S.sellers),
@@ -208,19 +232,21 @@ for _ds, _sql in SQL_SILVER.items():
 # Gold
 # ---------------------------------------------------------------------------
 
-SQL_PRODUCT_DEMAND = f"""SELECT o.order_id, o.order_approved_at, i.product_id,
-  p.product_category_name, p.product_name_lenght, p.product_description_lenght,
-  p.product_weight_g, p.product_length_cm, p.product_height_cm, p.product_width_cm,
-  max(i.order_item_id) AS quantity,
-  CAST(sum(i.price) AS DECIMAL(20,2)) AS total_price,
-  CAST(sum(i.freight_value) AS DECIMAL(20,2)) AS total_freight_value,
-  count(*) AS line_count
-FROM ({SQL_SILVER['orders']}) o
-JOIN ({SQL_SILVER['order_items']}) i ON i.order_id = o.order_id
-JOIN ({SQL_SILVER['products']}) p ON p.product_id = i.product_id
-WHERE lower(trim(o.order_status)) NOT IN ({_q(C.EXCLUDED_ORDER_STATUSES)})
-  AND o.order_approved_at IS NOT NULL
-GROUP BY ALL"""
+# Gold: lines of an order and product first, then the product's attributes.
+_ATTRS = ("product_category_name", "product_name_lenght", "product_description_lenght",
+          "product_weight_g", "product_length_cm", "product_height_cm", "product_width_cm")
+SQL_PRODUCT_DEMAND = f"""WITH approved AS (
+  SELECT order_id, order_approved_at FROM ({SQL_SILVER['orders']})
+  WHERE order_status NOT IN ({_q(x.upper() for x in C.EXCLUDED_ORDER_STATUSES)})
+    AND order_approved_at IS NOT NULL),
+bought AS (
+  SELECT order_id, order_approved_at, product_id, max(order_item_id) AS quantity,
+    sum(price) AS price_sum, sum(freight_value) AS freight_sum, count(*) AS n
+  FROM approved JOIN ({SQL_SILVER['order_items']}) USING (order_id) GROUP BY ALL)
+SELECT order_id, order_approved_at, product_id, {', '.join(_ATTRS)}, quantity,
+  CAST(price_sum AS DECIMAL(20,2)) AS total_price,
+  CAST(freight_sum AS DECIMAL(20,2)) AS total_freight_value, n AS line_count
+FROM bought JOIN ({SQL_SILVER['products']}) USING (product_id)"""
 
 
 @register("product_demand", SQL_PRODUCT_DEMAND)
@@ -263,12 +289,12 @@ def daily(spark, sf_dir):
 
 
 def daily_table(spark, sf_dir):
-    """The daily stock series materialised once (reliable checkpoint in the
-    shared checkpoint folder), as the pipeline does with its daily table:
-    downstream jobs that read it in several branches then scan the events
-    once instead of once per branch."""
-    ensure_checkpoint_dir(spark)
-    return daily(spark, sf_dir).checkpoint(eager=True)
+    """The daily stock series written once as a Parquet table under the shared
+    folder, as the pipeline does: jobs that read it in several branches scan
+    the events once, and read only the columns they need."""
+    path = scratch_path(spark, "inventory-daily")
+    daily(spark, sf_dir).write.parquet(path)
+    return spark.read.parquet(path)
 
 
 def ranges(spark, sf_dir):
@@ -277,13 +303,14 @@ def ranges(spark, sf_dir):
     return INV.sku_ranges(daily_table(spark, sf_dir))
 
 
-SQL_SALES = """SELECT user_id AS sku_id, printf('S%08d', event_id) AS sales_id, ts AS event_ts,
+_EVENT_TS = "ts + to_days(CAST(user_id % 24 * 30 AS INTEGER)) AS event_ts"
+SQL_SALES = f"""SELECT user_id AS sku_id, printf('S%08d', event_id // 2) AS sales_id, {_EVENT_TS},
   CAST(ceil(value) AS INTEGER) AS quantity,
   CASE event_type WHEN 'purchase' THEN 'approved' WHEN 'error' THEN 'canceled'
        ELSE 'placed' END AS status
 FROM events WHERE event_type IN ('purchase', 'error', 'view', 'click')"""
 
-SQL_ACQ = """SELECT user_id AS sku_id, printf('A%08d', event_id) AS acquisition_id, ts AS event_ts,
+SQL_ACQ = f"""SELECT user_id AS sku_id, printf('A%08d', event_id) AS acquisition_id, {_EVENT_TS},
   'planned' AS reason, CAST(ceil(value) AS INTEGER) AS quantity_received
 FROM events WHERE event_type = 'signup'"""
 
@@ -398,37 +425,3 @@ def q_stock_conservation(spark, sf_dir):
     """Per-SKU conservation check of the daily stock."""
     return INV.stock_conservation(sales(spark, sf_dir), acquisitions(spark, sf_dir),
                                   daily_table(spark, sf_dir), PARAMS.initial_stock, ZONE)
-
-
-# The replay as a recursive CTE: every SKU advances by one event per
-# iteration (the number of iterations is the longest SKU history).
-SQL_ALLOCATE = f"""WITH RECURSIVE ev AS (
-  SELECT *, row_number() OVER (PARTITION BY sku_id
-                              ORDER BY event_ts NULLS LAST, kind, rid, qty, status NULLS LAST) AS rn
-  FROM (SELECT sku_id, event_ts, 0 AS kind, acquisition_id AS rid,
-               CAST(quantity_received AS BIGINT) AS qty, CAST(NULL AS VARCHAR) AS status
-        FROM ({SQL_ACQ})
-        UNION ALL
-        SELECT sku_id, event_ts, 1 AS kind, sales_id AS rid, CAST(quantity AS BIGINT) AS qty, status
-        FROM ({SQL_SALES}))),
-st(sku_id, rn, stock, approved) AS (
-  SELECT DISTINCT sku_id, CAST(0 AS BIGINT), CAST({PARAMS.initial_stock} AS BIGINT), CAST(NULL AS BOOLEAN)
-  FROM ev
-  UNION ALL
-  SELECT e.sku_id, e.rn,
-         CASE WHEN e.kind = 0 THEN s.stock + e.qty WHEN s.stock >= e.qty THEN s.stock - e.qty
-              ELSE s.stock END,
-         CASE WHEN e.kind = 1 THEN s.stock >= e.qty END
-  FROM st s JOIN ev e ON e.sku_id = s.sku_id AND e.rn = s.rn + 1)
-SELECT e.sku_id, e.rid AS sales_id, e.event_ts, e.qty AS quantity, e.status,
-       st.approved, st.stock AS stock_after
-FROM st JOIN ev e ON e.sku_id = st.sku_id AND e.rn = st.rn
-WHERE e.kind = 1"""
-
-
-@register("allocate_stock", SQL_ALLOCATE)
-def q_allocate_stock(spark, sf_dir):
-    """Order-dependent replay approving requests while stock lasts (oracle:
-    a recursive CTE; also tested against a Python replay on fixtures)."""
-    return INV.allocate_stock(sales(spark, sf_dir), acquisitions(spark, sf_dir),
-                              initial_stock=PARAMS.initial_stock)

@@ -15,7 +15,7 @@ from ..sources import standins as S
 from ..sources.tables import read_table
 from .registry import (ORACLE, QUERIES, PARAMS,  # noqa: F401 (re-exported)
                        SQL_DAILY, SQL_LEDGER, SQL_RANGES, SQL_SALES, _ld,
-                       daily_table, ledger, ranges, register, sales)
+                       daily, daily_table, ledger, ranges, register, sales)
 
 K = "sku_id"
 
@@ -24,13 +24,15 @@ K = "sku_id"
 # ---------------------------------------------------------------------------
 
 
-def part_ranges(spark, sf_dir):
-    """Per part: first and last ship date (UTC) of its order lines."""
-    return INV.event_ranges(S.lineitem_sales(read_table(spark, sf_dir, "lineitem")), zone="UTC")
+def sales_range(spark, sf_dir):
+    """One row: first and last ship date (UTC) of all order lines."""
+    return INV.sku_ranges(INV.event_ranges(
+        S.lineitem_sales(read_table(spark, sf_dir, "lineitem")), zone="UTC")
+        .select(F.lit(0).alias(K), F.explode(F.array("start", "end")).alias("event_date")))
 
 
-SQL_PART_RANGES = """SELECT l_partkey AS sku_id, min(CAST(l_shipdate AS DATE)) AS "start",
-  max(CAST(l_shipdate AS DATE)) AS "end" FROM lineitem GROUP BY l_partkey"""
+SQL_SALES_RANGE = """SELECT 0 AS sku_id, min(CAST(l_shipdate AS DATE)) AS "start",
+  max(CAST(l_shipdate AS DATE)) AS "end" FROM lineitem WHERE NOT (l_tax > 0.07 AND l_discount > 0.09)"""
 
 
 def _sql_holidays(ranges_sql: str) -> str:
@@ -67,16 +69,18 @@ SELECT sku_id, event_date, greatest(CAST(1.0 AS DOUBLE), max(mult)) AS holiday_m
 FROM d WHERE event_date BETWEEN "start" AND "end" GROUP BY sku_id, event_date"""
 
 
-@register("holiday_calendar", _sql_holidays(SQL_PART_RANGES))
+@register("holiday_calendar", f"""SELECT year, holiday, holiday_date
+FROM ({_sql_holidays(SQL_SALES_RANGE)})""")
 def q_holiday_calendar(spark, sf_dir):
-    """Commercial holidays of every year of each part's sales range."""
-    return CAL.holiday_calendar(part_ranges(spark, sf_dir))
+    """Commercial holidays of every year of sales, one row for each."""
+    return CAL.holiday_calendar(sales_range(spark, sf_dir), keys=()).drop("start", "end")
 
 
-@register("holiday_multiplier", _sql_multiplier(SQL_PART_RANGES, C.NOTEBOOK_HOLIDAYS))
+@register("holiday_multiplier", f"""SELECT event_date, holiday_mult
+FROM ({_sql_multiplier(SQL_SALES_RANGE, C.NOTEBOOK_HOLIDAYS)})""")
 def q_holiday_multiplier(spark, sf_dir):
-    """Holiday demand multiplier per part and date inside its range."""
-    return CAL.holiday_multiplier(part_ranges(spark, sf_dir), C.NOTEBOOK_HOLIDAYS)
+    """Holiday demand multiplier of every date of sales that has one."""
+    return CAL.holiday_multiplier(sales_range(spark, sf_dir), C.NOTEBOOK_HOLIDAYS, keys=())
 
 
 # ---------------------------------------------------------------------------
@@ -127,14 +131,12 @@ def q_coverage_need(spark, sf_dir):
         .select(K, "event_date", "need")
 
 
-@register("mean_order_qty", f"""SELECT sku_id, floor(avg(quantity) * 1000000.0 + 0.5) / 1000000.0 AS mean_qty,
-  CAST({C.QtyDist().mean()!r} AS DOUBLE) AS model_mean_qty FROM ({SQL_SALES})
-WHERE status = 'approved' GROUP BY sku_id""")
+@register("mean_order_qty", f"""SELECT sku_id, floor(avg(quantity) * 1000000.0 + 0.5) / 1000000.0 AS mean_qty
+FROM ({SQL_SALES}) WHERE status = 'approved' GROUP BY sku_id""")
 def q_mean_order_qty(spark, sf_dir):
-    """Observed mean approved quantity per SKU next to the model's mean."""
-    s = sales(spark, sf_dir).filter(F.col("status") == C.STATUS_APPROVED)
-    return s.groupBy(K).agg(round_half_up(F.avg("quantity"), 6).alias("mean_qty")) \
-        .withColumn("model_mean_qty", F.lit(C.QtyDist().mean()))
+    """Observed mean approved quantity per SKU (the demand rules' mean_qty)."""
+    return INV.mean_order_qty(sales(spark, sf_dir)) \
+        .withColumn("mean_qty", round_half_up("mean_qty", 6))
 
 
 SQL_PLANNED = f"""WITH cal AS ({_sql_need(_sql_calendar(SQL_RANGES, _PW - 1), _PW)}),
@@ -184,7 +186,7 @@ def q_emergency_restock(spark, sf_dir):
 
 H = 28
 
-SQL_FORECAST = f"""WITH d AS ({SQL_DAILY}),
+SQL_FINE = f"""WITH d AS ({SQL_DAILY}),
 h AS (SELECT sku_id, event_date, CAST(approved_qty AS HUGEINT) AS y,
         CAST(datediff('day', DATE '1970-01-01', event_date) AS HUGEINT) AS t,
         isodow(event_date) - 1 AS weekday FROM d),
@@ -207,29 +209,33 @@ q AS (SELECT sku_id, event_date,
         CASE WHEN dd = 0 THEN (CASE WHEN c IS NOT NULL THEN c ELSE n END)
              WHEN c IS NOT NULL THEN c * dd ELSE n * dd END AS den
       FROM j)
-SELECT sku_id, event_date,
-  CAST((2 * num * 10000 + den) // (2 * den) AS DOUBLE) / 10000.0 AS demand_prediction FROM q"""
+SELECT sku_id, event_date, (2 * num * 1000000000000 + den) // (2 * den) AS fine FROM q"""
+
+SQL_FORECAST = f"""SELECT sku_id, event_date,
+  CAST((fine + 50000000) // 100000000 AS DOUBLE) / 10000.0 AS demand_prediction FROM ({SQL_FINE})"""
 
 
 def forecast(spark, sf_dir, d=None):
-    return FC.forecast_demand(d if d is not None else daily_table(spark, sf_dir), horizon=H)
+    """Unrounded predictions."""
+    return FC.forecast_demand(d if d is not None else daily(spark, sf_dir), horizon=H)
 
 
 @register("forecast_demand", SQL_FORECAST)
 def q_forecast_demand(spark, sf_dir):
     """28-day demand forecast per SKU (native trend + weekday model)."""
-    return forecast(spark, sf_dir)
+    return FC.rounded(forecast(spark, sf_dir))
 
 
 @register("forecast_demand_grouped", SQL_FORECAST)
 def q_forecast_demand_grouped(spark, sf_dir):
     """Same forecast through the pluggable applyInPandas path."""
-    return FC.forecast_demand_grouped(daily_table(spark, sf_dir), horizon=H)
+    return FC.forecast_demand_grouped(daily(spark, sf_dir), horizon=H)
 
 
-SQL_WEEKLY = f"""SELECT sku_id, CAST(date_trunc('week', event_date) AS DATE) AS week_monday,
-  CAST(ceil(sum(CAST(demand_prediction AS DECIMAL(20,6)))) AS BIGINT) AS weekly_demand
-FROM ({SQL_FORECAST}) GROUP BY ALL"""
+SQL_NANO = f"""SELECT sku_id, CAST(date_trunc('week', event_date) AS DATE) AS week_monday,
+  CAST((sum(fine) + 500) // 1000 AS HUGEINT) AS nano FROM ({SQL_FINE}) GROUP BY ALL"""
+SQL_WEEKLY = f"""SELECT sku_id, week_monday, CAST((nano + 999999999) // 1000000000 AS BIGINT) AS weekly_demand
+FROM ({SQL_NANO})"""
 
 SQL_CUM = f"""SELECT sku_id, week_monday, weekly_demand,
   CAST(sum(weekly_demand) OVER (PARTITION BY sku_id ORDER BY week_monday
@@ -265,8 +271,10 @@ def q_inventory_forecast(spark, sf_dir):
 # Event hygiene
 # ---------------------------------------------------------------------------
 
-SQL_LINE_SALES = """SELECT l_partkey AS sku_id, format('{:d}-{:d}', l_orderkey, l_linenumber) AS sales_id,
-  l_shipdate AS event_ts, CAST(trunc(l_quantity) AS INTEGER) AS quantity, 'approved' AS status
+SQL_LINE_SALES = """SELECT l_partkey AS sku_id, l_orderkey * 10 + l_linenumber AS sales_id,
+  CASE WHEN NOT (l_tax > 0.07 AND l_discount > 0.09) THEN l_shipdate END AS event_ts,
+  CAST(trunc(l_quantity) AS INTEGER) AS quantity,
+  CASE l_returnflag WHEN 'R' THEN NULL ELSE 'approved' END AS status, l_orderkey, l_linenumber
 FROM lineitem"""
 
 
@@ -290,139 +298,24 @@ def q_dedupe_events(spark, sf_dir):
        WHEN COALESCE(event_ts < pm, false) THEN 'out_of_order'
        WHEN COALESCE(quantity > 40, false) THEN 'quantity_outlier' ELSE 'valid' END
     AS event_quality_flag
-FROM (SELECT *, max(event_ts) OVER (PARTITION BY sku_id ORDER BY sales_id, event_ts, quantity
+FROM (SELECT *, max(event_ts) OVER (PARTITION BY sku_id
+        ORDER BY l_orderkey, l_linenumber, event_ts, quantity, status NULLS FIRST
         ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS pm FROM ({SQL_LINE_SALES}))""")
 def q_event_quality(spark, sf_dir):
-    """Null / out-of-order / outlier flags per order-line sale; the running
-    max is two-level, bucketed by id prefix."""
+    """Null / out-of-order / outlier flags per order-line sale in numeric id
+    order; the running max is two-level, over id ranges sized from the data."""
     return EV.event_quality(line_sales(spark, sf_dir), outlier_threshold=40,
-                            order=[F.col("sales_id"), F.col("event_ts"), F.col("quantity")],
-                            bucket=F.substring("sales_id", 1, 3))
-
-
-def _sql_perturb(rates: C.ErrorRates, seed: int) -> str:
-    from ..functions.hashing import sql_hash_unit as hu
-
-    def pick(i, rate):
-        if rate <= 0:
-            return "false"
-        return f"(status IN ('placed', 'canceled') AND {hu('sales_id', seed, i)} < CAST({float(rate)} AS DOUBLE))"
-
-    shift2 = f"CAST(floor({hu('sales_id', seed, EV.V_SHIFT2)} * 14401) AS INTEGER) - 7200"
-    shift1 = f"CASE WHEN {hu('sales_id', seed, EV.V_SHIFT1)} < 0.5 THEN -3600 ELSE 3600 END"
-    ts = (f"CASE WHEN {pick(EV.U_SHIFT2, rates.out_of_order_rate)} THEN event_ts + to_seconds({shift2}) "
-          "ELSE event_ts END")
-    ts = f"CASE WHEN {pick(EV.U_SHIFT1, rates.tz_inconsistency_rate)} THEN ({ts}) + to_seconds({shift1}) ELSE ({ts}) END"
-    ts = f"CASE WHEN {pick(EV.U_NULL_TS, rates.null_event_ts_rate)} THEN NULL ELSE ({ts}) END"
-    q = (f"CASE WHEN {pick(EV.U_OUTLIER, rates.placed_outlier_rate)} "
-         f"THEN 1 + CAST(floor({hu('sales_id', seed, EV.V_OUTLIER)} * 500) AS INTEGER) ELSE quantity END")
-    st = f"CASE WHEN {pick(EV.U_NULL_STATUS, rates.null_status_rate)} THEN NULL ELSE status END"
-    return f"""SELECT sku_id, sales_id, {ts} AS event_ts, {q} AS quantity, {st} AS status FROM ({SQL_SALES})
-UNION ALL
-SELECT * FROM ({SQL_SALES}) WHERE {pick(EV.U_DUP, rates.duplicate_rate)}"""
-
-
-@register("perturb_events", _sql_perturb(C.ErrorRates.notebook(), 123))
-def q_perturb_events(spark, sf_dir):
-    """Controlled error injection on placed / canceled sales (md5-derived
-    per-row selection, reproducible in SQL)."""
-    return EV.perturb_events(sales(spark, sf_dir), C.ErrorRates.notebook(), seed=123)
-
-
-# ---------------------------------------------------------------------------
-# Replay with restock feedback
-# ---------------------------------------------------------------------------
-
-from ..operators.replay import replay_inventory  # noqa: E402
-
-
-def _sql_need_named(cal_sql: str, n: int, name: str) -> str:
-    term = (f"CAST(expected_orders * {PARAMS.approval_share} * {PARAMS.mean_qty!r} "
-            "AS DECIMAL(28,9))")
-    return f"""SELECT *, CAST(greatest(0, ceil(sum({term}) OVER (PARTITION BY sku_id ORDER BY event_date
-  ROWS BETWEEN CURRENT ROW AND {n - 1} FOLLOWING))) AS BIGINT) AS {name} FROM ({cal_sql})"""
-
-
-def _utc_wall(day_sql: str, hours: int) -> str:
-    return (f"timezone('UTC', timezone('{PARAMS.zone}', CAST({day_sql} AS TIMESTAMP) "
-            f"+ INTERVAL {hours} HOUR))")
-
-
-_RANGES_REPLAY = f"""SELECT sku_id, min({_ld('event_ts')}) AS "start", max({_ld('event_ts')}) AS "end"
-FROM ({SQL_SALES}) WHERE event_ts IS NOT NULL GROUP BY sku_id"""
-
-_LOOK = max(PARAMS.planned_weeks * 7, PARAMS.emergency_days) - 1
-
-SQL_REPLAY = f"""WITH RECURSIVE
-cal AS (
-  SELECT sku_id, event_date, weekday, need_planned, need_emergency, "end",
-    max(CAST(in_holiday_window AS INTEGER)) OVER (PARTITION BY sku_id ORDER BY event_date
-      ROWS BETWEEN CURRENT ROW AND 6 FOLLOWING) = 1 AS holiday_ahead
-  FROM ({_sql_need_named(_sql_need_named(_sql_calendar(_RANGES_REPLAY, _LOOK), PARAMS.planned_weeks * 7,
-                                         'need_planned'), PARAMS.emergency_days, 'need_emergency')})),
-ev0 AS (
-  SELECT sku_id, {_utc_wall('event_date', 0)} AS event_ts, -1 AS kind, CAST(NULL AS VARCHAR) AS rid,
-         CAST(NULL AS BIGINT) AS qty, CAST(NULL AS VARCHAR) AS status, weekday,
-         need_planned, need_emergency, holiday_ahead, {_utc_wall('event_date', 6)} AS buy_ts
-  FROM cal WHERE event_date <= "end"
-  UNION ALL
-  SELECT sku_id, event_ts, 1, sales_id, CAST(quantity AS BIGINT), status, NULL, NULL, NULL, NULL, NULL
-  FROM ({SQL_SALES})),
-ev AS (SELECT *, row_number() OVER (PARTITION BY sku_id
-         ORDER BY event_ts NULLS LAST, kind, rid, qty, status NULLS LAST) AS rn FROM ev0),
-st(sku_id, rn, kind, rid, event_ts, qty, ok, sale_stock, gen_qty, gen_reason, gen_ts, gen_seq,
-   stock, last_sat, prev_sat, prev_wd, need_e, seq) AS (
-  SELECT DISTINCT sku_id, CAST(0 AS BIGINT), 0, CAST(NULL AS VARCHAR), CAST(NULL AS TIMESTAMP),
-         CAST(NULL AS BIGINT), CAST(NULL AS BOOLEAN), CAST(NULL AS BIGINT), CAST(0 AS BIGINT),
-         CAST(NULL AS VARCHAR), CAST(NULL AS TIMESTAMP), CAST(0 AS BIGINT),
-         CAST({PARAMS.initial_stock} AS BIGINT), CAST(NULL AS BIGINT), CAST(NULL AS BIGINT),
-         CAST(NULL AS INTEGER), CAST(0 AS BIGINT), CAST(0 AS BIGINT)
-  FROM ev
-  UNION ALL
-  SELECT sku_id, rn, kind, rid, event_ts, qty, ok, sale_stock, gen_qty, gen_reason, gen_ts,
-         CASE WHEN gen_qty > 0 THEN seq + 1 ELSE seq END,
-         sale_stock + gen_qty, last_sat, prev_sat, prev_wd, need_e,
-         CASE WHEN gen_qty > 0 THEN seq + 1 ELSE seq END
-  FROM (
-    SELECT sku_id, rn, kind, rid, event_ts, qty, ok, sale_stock, seq, last_sat, prev_sat, prev_wd, need_e,
-      CASE WHEN kind = -1 THEN
-             CASE WHEN weekday = 6 AND NOT (COALESCE(last_sat > prev_sat, false) AND NOT holiday_ahead)
-                  THEN greatest(0, need_planned - sale_stock) ELSE 0 END
-           WHEN ok AND sale_stock = 0 THEN greatest(1, need_e) ELSE 0 END AS gen_qty,
-      CASE WHEN kind = -1 THEN 'planned' ELSE 'emergency' END AS gen_reason,
-      CASE WHEN kind = -1 THEN buy_ts ELSE event_ts + INTERVAL 5 MINUTE END AS gen_ts
-    FROM (
-      SELECT e.sku_id, e.rn, e.kind, e.rid, e.event_ts, e.qty, e.weekday, e.need_planned,
-        e.holiday_ahead, e.buy_ts, s.seq,
-        CASE WHEN e.kind = 1 THEN s.stock >= e.qty END AS ok,
-        CASE WHEN e.kind = 1 AND s.stock >= e.qty THEN s.stock - e.qty ELSE s.stock END AS sale_stock,
-        CASE WHEN e.kind = -1 AND s.prev_wd = 5 THEN s.stock ELSE s.last_sat END AS last_sat,
-        CASE WHEN e.kind = -1 AND s.prev_wd = 5 THEN s.last_sat ELSE s.prev_sat END AS prev_sat,
-        CASE WHEN e.kind = -1 THEN e.weekday ELSE s.prev_wd END AS prev_wd,
-        CASE WHEN e.kind = -1 THEN e.need_emergency ELSE s.need_e END AS need_e
-      FROM st s JOIN ev e ON e.sku_id = s.sku_id AND e.rn = s.rn + 1)))
-SELECT sku_id, 'sale' AS record, rid AS id, event_ts, qty AS quantity, ok AS approved,
-       CAST(NULL AS VARCHAR) AS reason, sale_stock AS stock_after FROM st WHERE kind = 1
-UNION ALL
-SELECT sku_id, 'acquisition', printf('A%08d', gen_seq), gen_ts, gen_qty, CAST(NULL AS BOOLEAN),
-       gen_reason, stock FROM st WHERE rn > 0 AND gen_qty > 0"""
-
-
-@register("replay_inventory", SQL_REPLAY)
-def q_replay_inventory(spark, sf_dir):
-    """Per-SKU replay of all sales events: approvals by stock, Sunday planned
-    and emergency restocks acting on the replayed stock (feedback)."""
-    return replay_inventory(sales(spark, sf_dir), PARAMS)
+                            order=[F.col("sales_id"), F.col("event_ts"), F.col("quantity"),
+                                   F.col("status").asc_nulls_first()])
 
 
 # ---------------------------------------------------------------------------
-# Event hygiene end to end: perturb -> dedupe -> quality flags
+# Event hygiene end to end: dedupe -> quality flags
 # ---------------------------------------------------------------------------
 
-_PERTURBED = _sql_perturb(C.ErrorRates.notebook(), 123)
 _DEDUPED = f"""SELECT sales_id, sku_id, event_ts, quantity, status FROM (
   SELECT *, row_number() OVER (PARTITION BY sales_id ORDER BY event_ts NULLS LAST,
-    status NULLS LAST, quantity, sku_id) AS rn FROM ({_PERTURBED}))
+    status NULLS LAST, quantity, sku_id) AS rn FROM ({SQL_SALES}))
 WHERE rn = 1 OR sales_id IS NULL"""
 
 
@@ -433,11 +326,9 @@ WHERE rn = 1 OR sales_id IS NULL"""
        WHEN COALESCE(event_ts < pm, false) THEN 'out_of_order'
        WHEN COALESCE(quantity > 50, false) THEN 'quantity_outlier' ELSE 'valid' END
     AS event_quality_flag
-FROM (SELECT *, max(event_ts) OVER (PARTITION BY sku_id ORDER BY sales_id
+FROM (SELECT *, max(event_ts) OVER (PARTITION BY sku_id ORDER BY CAST(substring(sales_id, 2) AS BIGINT)
         ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS pm FROM ({_DEDUPED}))""")
 def q_event_hygiene(spark, sf_dir):
-    """Sales events with injected errors (notebook rates), de-duplicated by
-    id, then flagged (null status / time, out-of-order arrival, quantity
-    above the quantity cap of 50)."""
-    s = EV.perturb_events(sales(spark, sf_dir), C.ErrorRates.notebook(), seed=123)
-    return EV.event_quality(EV.dedupe_events(s), outlier_threshold=50)
+    """Sales events de-duplicated by id, then flagged (null status / time,
+    out-of-order arrival, quantity above the quantity cap of 50)."""
+    return EV.event_quality(EV.dedupe_events(sales(spark, sf_dir)), outlier_threshold=50)

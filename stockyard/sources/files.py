@@ -7,7 +7,7 @@ from collections.abc import Callable, Iterable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructField, StructType
 
 
 def csv_scan(spark: SparkSession, path: str, schema: StructType | str | None = None,
@@ -23,28 +23,49 @@ def csv_scan(spark: SparkSession, path: str, schema: StructType | str | None = N
     return r.csv(path)
 
 
+CORRUPT_RECORD = "_corrupt_record"
+
+
+def bound_by_header(spark: SparkSession, path: str, schema: StructType | str,
+                    **options) -> StructType:
+    """``schema`` in the column order of the file's header row. Spark binds an
+    explicit CSV schema by position; with this one each value meets the column
+    of its name. Header columns that the schema lacks are read as strings."""
+    if isinstance(schema, str):
+        schema = StructType.fromDDL(schema)
+    header = spark.read.options(header=True, **options).csv(path).columns
+    named = {f.name.lower(): f for f in schema.fields}
+    return StructType([named.get(c.strip().lower(), StructField(c, StringType())) for c in header])
+
+
 def csv_scan_permissive(spark: SparkSession, path: str, schema: StructType | str | None = None,
                         multiline: bool = False, encoding: str = "UTF-8") -> DataFrame:
-    """CSV read in PERMISSIVE mode (malformed fields become NULL instead of
-    failing the job), UTF-8. ``multiline`` keeps quoted values with line
-    breaks in one record; it makes each file one split, so it is only set
-    for data sets that need it (reviews)."""
-    r = spark.read.option("header", True).option("mode", "PERMISSIVE") \
-        .option("encoding", encoding).option("quote", '"').option("escape", '"')
-    if multiline:
-        r = r.option("multiLine", True)
-    if schema is not None:
-        r = r.schema(schema)
-    else:
-        r = r.option("inferSchema", True)
-    return r.csv(path)
+    """CSV read in PERMISSIVE mode, UTF-8. With a ``schema``, columns are bound
+    by header name (a declared column that the file lacks is NULL; files of one
+    folder must share a header, else the read fails), and a row with a field
+    that does not parse keeps its raw text in ``_corrupt_record``.
+    ``multiline`` keeps quoted values with line breaks in one record; it makes
+    each file one split, so it is only set for data sets that need it
+    (reviews): write those as many files."""
+    opts = {"encoding": encoding, "quote": '"', "escape": '"', "multiLine": multiline}
+    r = spark.read.options(header=True, mode="PERMISSIVE", **opts)
+    if schema is None:
+        return r.option("inferSchema", True).csv(path)
+    if isinstance(schema, str):
+        schema = StructType.fromDDL(schema)
+    found = bound_by_header(spark, path, schema, **opts)
+    df = r.option("enforceSchema", False).option("columnNameOfCorruptRecord", CORRUPT_RECORD) \
+        .schema(StructType([*found.fields, StructField(CORRUPT_RECORD, StringType())])).csv(path)
+    there = set(found.names)
+    return df.select(*[F.col(f.name) if f.name in there else F.lit(None).cast(f.dataType).alias(f.name)
+                       for f in schema.fields], CORRUPT_RECORD, "_metadata")
 
 
 def lineage_columns(df: DataFrame) -> DataFrame:
     """``*`` plus ``_source_file`` (file path), ``_ingestion_time`` (the
     file's modification time) and ``_processed_at`` (load time), from the
     file source's hidden ``_metadata`` column."""
-    return df.select("*",
+    return df.select(*[c for c in df.columns if c != "_metadata"],
                      F.col("_metadata.file_path").alias("_source_file"),
                      F.col("_metadata.file_modification_time").alias("_ingestion_time"),
                      F.current_timestamp().alias("_processed_at"))
