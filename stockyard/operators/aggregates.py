@@ -36,21 +36,27 @@ def product_demand(orders: DataFrame, items: DataFrame, products: DataFrame,
     * ``total_price`` / ``total_freight_value`` = sums (decimal, exact).
 
     Plan: the status / NULL filter and the column pruning reach the orders
-    scan; each join is an equi-join that Spark plans as a broadcast when the
-    measured side is under the broadcast threshold, else a sort-merge join
-    (with AQE splitting skewed key partitions); the aggregate is partial
-    before its exchange. The status test is case- and blank-insensitive, so
-    it works on raw (lower-case) and silver (upper-case) spellings.
+    scan. Lines are reduced per order, approval time and product right after
+    the join with the orders, so the join with the products (a few products
+    can hold most lines) sees one narrow row for each of these, and nothing is
+    shuffled by the product's attributes. Products are reduced to one row per
+    id and attribute values with its number of copies, by which sums and
+    counts are multiplied, as a join with each copy would. The status test is
+    case- and blank-insensitive, so it works on raw (lower-case) and silver
+    (upper-case) spellings.
     """
     o = filter_not_in(orders, "order_status", excluded_statuses) \
         .filter(F.col("order_approved_at").isNotNull()) \
         .select("order_id", "order_approved_at")
     i = items.select("order_id", "product_id", "order_item_id", "price", "freight_value")
-    p = products.select("product_id", *PRODUCT_ATTRS)
-    j = o.join(i, "order_id", "inner").join(p, "product_id", "inner")
-    return j.groupBy("order_id", "order_approved_at", "product_id", *PRODUCT_ATTRS).agg(
-        F.max("order_item_id").alias("quantity"),
-        F.sum("price").alias("total_price"),
-        F.sum("freight_value").alias("total_freight_value"),
-        F.count(F.lit(1)).alias("line_count"),
-    )
+    bought = o.join(i, "order_id", "inner") \
+        .groupBy("order_id", "order_approved_at", "product_id").agg(
+            F.max("order_item_id").alias("quantity"),
+            F.sum("price").alias("total_price"),
+            F.sum("freight_value").alias("total_freight_value"),
+            F.count(F.lit(1)).alias("line_count"))
+    p = products.groupBy("product_id", *PRODUCT_ATTRS).agg(F.count(F.lit(1)).alias("__copies"))
+    times = {c: bought.schema[c].dataType for c in ("total_price", "total_freight_value", "line_count")}
+    return bought.join(p, "product_id", "inner").select(
+        "order_id", "order_approved_at", "product_id", *PRODUCT_ATTRS, "quantity",
+        *[(F.col(c) * F.col("__copies")).cast(t).alias(c) for c, t in times.items()])

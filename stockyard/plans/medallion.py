@@ -17,9 +17,19 @@ from ..sources.tables import table_scan
 from . import bronze, gold, silver, sql_jobs
 
 
+# One row of each silver table stands for one of these.
+GRAINS = {
+    "customers": "customer_id", "geolocation": "geolocation_zip_code_prefix", "orders": "order_id",
+    "order_items": "order_id, order_item_id", "order_payments": "order_id, payment_sequential",
+    "order_reviews": "review_id", "products": "product_id",
+    "product_category_name_translation": "product_category_name", "sellers": "seller_id",
+}
+
+
 def silver_properties(dataset: str) -> dict:
     domain, sub = bronze.DOMAINS[dataset]
-    p = {"quality": "silver", "domain": domain, "type": "entity"}
+    p = {"quality": "silver", "domain": domain, "type": "entity", "grain": GRAINS[dataset],
+         "description": f"Cleaned {dataset.replace('_', ' ')} with a data quality flag"}
     if sub:
         p["subdomain"] = sub
     return p

@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import TimestampNTZType
 
 from .. import config as C
+from ..operators.aggregates import PRODUCT_ATTRS
 
 
 def _q(values) -> str:
@@ -23,21 +24,24 @@ def _q(values) -> str:
 
 def product_demand_sql(spark: SparkSession, orders: DataFrame, items: DataFrame,
                        products: DataFrame, excluded=C.EXCLUDED_ORDER_STATUSES) -> DataFrame:
-    """orders x items x products grouped with GROUP BY ALL."""
+    """Product demand with GROUP BY ALL: lines are added up per order and
+    product before they meet the product's attributes."""
     return spark.sql(f"""
-        SELECT o.order_id, o.order_approved_at, i.product_id, p.product_category_name,
-               p.product_name_lenght, p.product_description_lenght, p.product_weight_g,
-               p.product_length_cm, p.product_height_cm, p.product_width_cm,
-               max(i.order_item_id) AS quantity,
-               sum(i.price) AS total_price,
-               sum(i.freight_value) AS total_freight_value,
-               count(*) AS line_count
-        FROM {{o}} o
-        JOIN {{i}} i ON i.order_id = o.order_id
-        JOIN {{p}} p ON p.product_id = i.product_id
-        WHERE lower(trim(o.order_status)) NOT IN ({_q(v.lower() for v in excluded)})
-          AND o.order_approved_at IS NOT NULL
-        GROUP BY ALL""", o=orders, i=items, p=products)
+        WITH bought AS (
+          SELECT order_id, order_approved_at, product_id, max(order_item_id) AS quantity,
+                 sum(price) AS price_sum, sum(freight_value) AS freight_sum, count(*) AS lines
+          FROM {{items}} JOIN {{orders}} USING (order_id)
+          WHERE order_approved_at IS NOT NULL
+            AND lower(trim(order_status)) NOT IN ({_q(v.lower() for v in excluded)})
+          GROUP BY ALL),
+        kinds AS (
+          SELECT product_id, {', '.join(PRODUCT_ATTRS)}, count(*) AS copies
+          FROM {{products}} GROUP BY ALL)
+        SELECT order_id, order_approved_at, product_id, {', '.join(PRODUCT_ATTRS)}, quantity,
+               CAST(price_sum * copies AS DECIMAL(20,2)) AS total_price,
+               CAST(freight_sum * copies AS DECIMAL(20,2)) AS total_freight_value,
+               lines * copies AS line_count
+        FROM bought JOIN kinds USING (product_id)""", orders=orders, items=items, products=products)
 
 
 def _local_date(df: DataFrame, zone: str) -> str:
@@ -48,41 +52,34 @@ def _local_date(df: DataFrame, zone: str) -> str:
 
 def inventory_daily_sql(spark: SparkSession, sales: DataFrame, acq: DataFrame,
                         initial_stock: int = 0, zone: str = C.DEFAULT_ZONE) -> DataFrame:
-    """Daily received / approved and end-of-day stock per SKU: a per-SKU
-    date spine (sequence + explode), two daily aggregates grouped by
-    ordinal, two left joins, one shared running-sum window."""
+    """Daily received / approved and end-of-day stock per SKU. Both event
+    streams are one signed union, grouped by ordinal; a movement day then
+    repeats itself up to the day before the next one, with its running stock,
+    so days without movement need no spine to join."""
     return spark.sql(f"""
-        WITH received_by_day AS (
-          SELECT sku_id, {_local_date(acq, zone)} AS day, sum(quantity_received) AS units_in
-          FROM {{a}} GROUP BY 1, 2),
-        approved_by_day AS (
-          SELECT sku_id, {_local_date(sales, zone)} AS day, sum(quantity) AS units_out
-          FROM {{s}} WHERE status = '{C.STATUS_APPROVED}' GROUP BY 1, 2),
-        bounds AS (
-          SELECT sku_id, min(day) AS first_day, max(day) AS last_day FROM (
-            SELECT sku_id, day FROM received_by_day UNION ALL SELECT sku_id, day FROM approved_by_day)
-          GROUP BY 1),
-        spine AS (
-          SELECT sku_id, explode(sequence(first_day, last_day, INTERVAL 1 DAY)) AS day FROM bounds),
-        filled AS (
-          SELECT sp.sku_id, sp.day,
-                 CAST(coalesce(r.units_in, 0) AS BIGINT) AS units_in,
-                 CAST(coalesce(o.units_out, 0) AS BIGINT) AS units_out
-          FROM spine sp
-          LEFT JOIN received_by_day r ON r.sku_id = sp.sku_id AND r.day = sp.day
-          LEFT JOIN approved_by_day o ON o.sku_id = sp.sku_id AND o.day = sp.day)
-        SELECT sku_id, day AS event_date, units_in AS received_qty, units_out AS approved_qty,
-               CAST({int(initial_stock)} + sum(units_in) OVER upto - sum(units_out) OVER upto AS BIGINT)
-                 AS inventory_eod
-        FROM filled
-        WINDOW upto AS (PARTITION BY sku_id ORDER BY day ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)
-        """, a=acq, s=sales)
+        SELECT sku_id, event_date, if(event_date = moved_on, got, 0L) AS received_qty,
+               if(event_date = moved_on, sold, 0L) AS approved_qty, stock AS inventory_eod
+        FROM (
+          SELECT *, explode(sequence(moved_on, until)) AS event_date FROM (
+            SELECT sku_id, moved_on, got, sold,
+                   coalesce(date_sub(lead(moved_on) OVER by_day, 1), moved_on) AS until,
+                   CAST({int(initial_stock)} + sum(got - sold) OVER by_day AS BIGINT) AS stock
+            FROM (
+              SELECT sku_id, moved_on, sum(got) AS got, sum(sold) AS sold FROM (
+                SELECT sku_id, {_local_date(sales, zone)} AS moved_on, 0L AS got,
+                       CAST(quantity AS BIGINT) AS sold
+                FROM {{sales}} WHERE status = '{C.STATUS_APPROVED}'
+                UNION ALL
+                SELECT sku_id, {_local_date(acq, zone)}, CAST(quantity_received AS BIGINT), 0L FROM {{acq}})
+              WHERE moved_on IS NOT NULL GROUP BY 1, 2)
+            WINDOW by_day AS (PARTITION BY sku_id ORDER BY moved_on)))
+        """, acq=acq, sales=sales)
 
 
 def daily_approved_utc_sql(spark: SparkSession, sales: DataFrame) -> DataFrame:
     """Approved units per SKU and UTC date, minus ids also canceled."""
     return spark.sql(f"""
-        SELECT sku_id, to_date(event_ts) AS event_date, sum(quantity) AS approved_qty
+        SELECT sku_id, {_local_date(sales, 'UTC')} AS event_date, sum(quantity) AS approved_qty
         FROM {{s}} s
         WHERE status = '{C.STATUS_APPROVED}'
           AND NOT EXISTS (SELECT 1 FROM {{s}} c
@@ -94,27 +91,22 @@ def daily_approved_utc_sql(spark: SparkSession, sales: DataFrame) -> DataFrame:
 # relation {pred}: table names for a persistent view, DataFrame arguments
 # for spark.sql.
 INVENTORY_FORECAST_SQL = """
-        WITH latest_stock AS (
-          SELECT d.sku_id, d.inventory_eod AS initial_inventory FROM {daily} d
-          WHERE d.event_date = (SELECT max(d2.event_date) FROM {daily} d2 WHERE d2.sku_id = d.sku_id)),
-        week_totals AS (
-          SELECT sku_id, CAST(date_trunc('week', event_date) AS DATE) AS week_monday,
-                 CAST(ceiling(sum(CAST(demand_prediction AS DECIMAL(20,6)))) AS BIGINT) AS weekly_demand
-          FROM {pred} GROUP BY 1, 2),
-        running AS (
-          SELECT sku_id, week_monday, weekly_demand,
-                 CAST(sum(weekly_demand) OVER (PARTITION BY sku_id ORDER BY week_monday
-                      ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS BIGINT) AS weekly_demand_cum
-          FROM week_totals)
-        SELECT r.sku_id, r.week_monday, r.weekly_demand, r.weekly_demand_cum,
-               s.initial_inventory - r.weekly_demand_cum AS remaining_inventory
-        FROM running r JOIN latest_stock s ON s.sku_id = r.sku_id
-        ORDER BY r.sku_id, r.week_monday"""
+        SELECT sku_id, week_monday, weekly_demand,
+               sum(weekly_demand) OVER up_to_week AS weekly_demand_cum,
+               stock - sum(weekly_demand) OVER up_to_week AS remaining_inventory
+        FROM (SELECT sku_id, CAST(date_trunc('week', event_date) AS DATE) AS week_monday,
+                     CAST(ceil(round(sum(CAST(demand_prediction AS DECIMAL(30,12))), 9)) AS BIGINT)
+                       AS weekly_demand
+              FROM {pred} GROUP BY ALL)
+        JOIN (SELECT sku_id, max_by(inventory_eod, event_date) AS stock FROM {daily} GROUP BY ALL)
+        USING (sku_id)
+        WINDOW up_to_week AS (PARTITION BY sku_id ORDER BY week_monday)
+        ORDER BY sku_id, week_monday"""
 
 
 def inventory_forecast_sql(spark: SparkSession, daily: DataFrame, pred: DataFrame) -> DataFrame:
-    """Weekly depletion: latest stock per SKU (correlated scalar subquery
-    on max date) minus the running sum of rounded-up weekly demand."""
+    """Weekly depletion: latest stock per SKU (``max_by``) minus the running
+    sum of rounded-up weekly demand."""
     return spark.sql(INVENTORY_FORECAST_SQL.format(daily="{d}", pred="{p}"), d=daily, p=pred)
 
 

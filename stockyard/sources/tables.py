@@ -26,8 +26,11 @@ def list_tables(spark: SparkSession, database: str | None = None) -> DataFrame:
 
 
 def session_namespace(spark: SparkSession, database: str | None = None,
-                      zone: str | None = "UTC") -> None:
-    """Set current schema and session time zone (instants are kept in UTC)."""
+                      zone: str | None = "UTC", catalog: str | None = None) -> None:
+    """Set current catalog, schema and session time zone (instants are kept in
+    UTC). The schema is made if it is missing; the catalog must exist."""
+    if catalog:
+        spark.catalog.setCurrentCatalog(catalog)
     if database:
         spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
         spark.catalog.setCurrentDatabase(database)
