@@ -28,15 +28,17 @@ RECOMMENDED_CONF = {
 }
 
 
-def build_session(master: str | None = None, shuffle_partitions: int = 8,
+def build_session(master: str | None = None, shuffle_partitions: int | None = 8,
                   app_name: str = "stockyard", extra: dict | None = None) -> SparkSession:
     """Session for local runs and tests; on a cluster pass ``master=None`` and
-    size ``shuffle_partitions`` to the data (about 128-256 MB per partition)."""
+    size ``shuffle_partitions`` to the data (about 128-256 MB per partition;
+    None keeps the cluster's setting)."""
     b = SparkSession.builder.appName(app_name)
     if master:
         b = b.master(master)
     conf = dict(RECOMMENDED_CONF)
-    conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
+    if shuffle_partitions:
+        conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     conf["spark.sql.session.timeZone"] = "UTC"
     conf.update(extra or {})
     for k, v in conf.items():
@@ -59,13 +61,17 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder for lineage cuts and scratch tables.
 
     Read from ``spark.checkpoint.dir`` (set by the cluster). Only when it is
-    unset (local runs and tests) a folder under the local temp dir is chosen.
+    unset on a local master (tests), a folder under the local temp dir is
+    chosen; on a cluster, whose machines do not share one, that is an error.
     """
     sc = _context(spark)
     d = spark.conf.get("spark.checkpoint.dir", None)
     if not d and sc is not None:
         d = sc.getCheckpointDir()
     if not d:
+        master = sc.master if sc is not None else spark.conf.get("spark.master", "")
+        if not (master == "local" or master.startswith("local[")):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all machines share")
         d = tempfile.mkdtemp(prefix="stockyard-ckpt-")
         spark.conf.set("spark.checkpoint.dir", d)
     if sc is not None and not sc.getCheckpointDir():
@@ -76,15 +82,27 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh folder under the shared checkpoint folder."""
     base = ensure_checkpoint_dir(spark).rstrip("/")
-    return f"{base}/{name}-{uuid.uuid4().hex[:12]}"
+    path = f"{base}/{name}-{uuid.uuid4().hex[:12]}"
+    _SCRATCH.append(path)
+    return path
 
 
-def local_path(p: str) -> str:
-    return p[len("file:"):] if p.startswith("file:") else p
+_SCRATCH: list[str] = []
 
 
-def exists(p: str) -> bool:
-    return os.path.exists(local_path(p))
+def remove_scratch(spark: SparkSession, since: int = 0) -> int:
+    """Delete the scratch folders that this process has made, but for the first
+    ``since``; for the end of a job, when nothing reads them any more."""
+    gone = _SCRATCH[since:]
+    del _SCRATCH[since:]
+    for name in gone:
+        path = spark._jvm.org.apache.hadoop.fs.Path(name)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+    return len(gone)
+
+
+def scratch_count() -> int:
+    return len(_SCRATCH)
 
 
 def ship_package(spark: SparkSession) -> None:
