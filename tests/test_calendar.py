@@ -112,10 +112,6 @@ def test_spine_size(spark, ranges):
     assert counts == {1: 1085, 2: 42}
 
 
-def test_mean_qty_default():
-    assert C.QtyDist().mean() == pytest.approx(0.96 * 1.5 + 0.04 * (2.5 * 4 / 1.5))
-
-
 @pytest.mark.parametrize("spec", [C.NOTEBOOK_HOLIDAYS,
                                   {"natal": (2.0, 1, 12), "dia_das_criancas": (1.5, 2, 0)},
                                   {"black_friday": (0.8, 2, 2)}])

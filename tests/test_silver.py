@@ -104,7 +104,7 @@ def test_payments_reviews(spark):
     assert out["r1"]["review_comment_title"] == "t" and out["r1"]["review_score"] == 1
     assert out["r3"]["data_quality_flag"] == "invalid_score"
     assert out["r4"]["data_quality_flag"] == "invalid_score"
-    assert out["r5"]["review_score"] is None and out["r5"]["data_quality_flag"] == "valid"
+    assert out["r5"]["review_score"] is None and out["r5"]["data_quality_flag"] == "unparsable_score"
     assert out["r6"]["data_quality_flag"] == "invalid_null_order_id"
     assert out["r7"]["data_quality_flag"] == "valid"
 
