@@ -143,11 +143,14 @@ class Scorer:
         return 1.0 / (1.0 + math.exp(-min(max(a * x + b * y + c, -30.0), 30.0)))
 
 
-def fit_curve(x: np.ndarray, y: np.ndarray, steps: int = 50) -> tuple[float, ...]:
+def fit_curve(x: np.ndarray, y: np.ndarray, toxic: float = 0.5,
+              steps: int = 50) -> tuple[float, ...]:
     """Logistic regression of ``y`` on two features, by Newton steps with a
-    small ridge; classes count alike."""
+    small ridge; the rows are weighted so that ``toxic`` is the share of the
+    toxic class, as among all labelled rows. Texts without evidence then stay
+    ordinary, also where some of them bear a toxic label."""
     z = np.column_stack([x, np.ones(len(x))])
-    share = np.where(y == 1, 0.5 / max(y.sum(), 1), 0.5 / max((1 - y).sum(), 1)) * len(y)
+    share = np.where(y == 1, toxic / max(y.sum(), 1), (1 - toxic) / max((1 - y).sum(), 1)) * len(y)
     w = np.zeros(3)
     for _ in range(steps):
         p = 1 / (1 + np.exp(-np.clip(z @ w, -30, 30)))
@@ -221,7 +224,8 @@ def fit(spark: SparkSession, docs: DataFrame, labels: DataFrame, id_col: str = "
     if seen["y"].nunique() < 2:
         return {}, (0.0, 0.0, 30.0 if (seen["y"] == 1).any() else -30.0)
     models.destroy()
-    return whole, fit_curve(seen[["a", "b"]].to_numpy(), seen["y"].to_numpy(dtype=float))
+    return whole, fit_curve(seen[["a", "b"]].to_numpy(), seen["y"].to_numpy(dtype=float),
+                            n[1] / (n[0] + n[1]))
 
 
 def score_texts(spark: SparkSession, docs: DataFrame, labels: DataFrame, id_col: str = "doc_id",

