@@ -6,7 +6,6 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 
 def drop_null_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -54,14 +53,6 @@ def latest_rows(df: DataFrame, keys: Sequence[str], order_col: str) -> DataFrame
     return df.join(o, cond, "inner").drop("__max", *[f"__k{i}" for i in range(len(keys))])
 
 
-def latest_rows_window(df: DataFrame, keys: Sequence[str], order_col: str) -> DataFrame:
-    """Same as :func:`latest_rows` with a window (one sort, no join); use when
-    rows per key are bounded (e.g. a daily series)."""
-    w = Window.partitionBy(*keys)
-    return (df.withColumn("__max", F.max(order_col).over(w))
-              .filter(F.col(order_col) == F.col("__max")).drop("__max"))
-
-
 def anti_join_ids(df: DataFrame, other: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Rows of ``df`` whose key does not occur in ``other`` (NOT IN / NOT
     EXISTS). Written as ``left_anti`` on not-null keys so Spark may shuffle

@@ -30,6 +30,8 @@ from .filters import anti_join_ids, filter_equals
 from .windows import running
 
 K = "sku_id"
+# Days without movement (ten years) beyond which a time is taken for corrupt.
+MAX_GAP_DAYS = 3_660
 
 
 def daily_received(acq: DataFrame, zone: str = C.DEFAULT_ZONE) -> DataFrame:
@@ -77,7 +79,8 @@ def sku_ranges(daily: DataFrame, start=None, end=None) -> DataFrame:
 
 
 def inventory_daily(sales: DataFrame, acq: DataFrame, initial_stock: int = 0,
-                    zone: str = C.DEFAULT_ZONE, start=None, end=None) -> DataFrame:
+                    zone: str = C.DEFAULT_ZONE, start=None, end=None,
+                    max_gap_days: int = MAX_GAP_DAYS) -> DataFrame:
     """End-of-day stock per SKU and local day, one row per day of the range
     (days without movement included):
 
@@ -91,7 +94,11 @@ def inventory_daily(sales: DataFrame, acq: DataFrame, initial_stock: int = 0,
     movement day expands to itself plus the empty days up to the next one
     (``lead`` + ``explode(sequence)``), so the raw events are scanned and
     shuffled once and no spine join is needed. Both running sums share one
-    window over a per-SKU daily series (length = number of days)."""
+    window over a per-SKU daily series (length = number of days).
+
+    A SKU without movement for more than ``max_gap_days`` fails the job with a
+    message naming the dates: one corrupt far-off time would else fill millions
+    of days."""
     mv = _daily_movements(sales, acq, zone)
     explicit = start is not None and end is not None
     first = last = None
@@ -106,7 +113,12 @@ def inventory_daily(sales: DataFrame, acq: DataFrame, initial_stock: int = 0,
     g = mv.select(K, F.col("event_date").alias("__mv_date"), "received_qty", "approved_qty",
                   gap_start.alias("__g0"), gap_end.alias("__g1"))
     x = g.select(K, "__mv_date", "received_qty", "approved_qty",
-                 F.explode(F.sequence("__g0", "__g1")).alias("event_date"))
+                 F.explode(F.sequence("__g0", F.when(
+                     F.datediff("__g1", "__g0") <= max_gap_days, F.col("__g1")).otherwise(
+                     F.raise_error(F.concat(F.lit("no movement of a SKU between "), F.col("__g0").cast("string"),
+                                            F.lit(" and "), F.col("__g1").cast("string"),
+                                            F.lit(": check the event times"))).cast("date"))))
+                 .alias("event_date"))
     hit = F.col("event_date") == F.col("__mv_date")
     d = x.select(K, "event_date",
                  F.when(hit, F.col("received_qty")).otherwise(F.lit(0)).cast("bigint").alias("received_qty"),

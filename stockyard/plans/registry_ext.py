@@ -6,11 +6,13 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from .. import config as C
-from ..functions.cleaning import round_half_up
+from ..functions.cleaning import rename_cast, round_half_up
+from ..functions.dates import date_spine
 from ..operators import calendar as CAL
 from ..operators import events as EV
 from ..operators import forecast as FC
 from ..operators import inventory as INV
+from ..operators.filters import latest_rows
 from ..sources import standins as S
 from ..sources.tables import read_table
 from .registry import (ORACLE, QUERIES, PARAMS,  # noqa: F401 (re-exported)
@@ -332,3 +334,32 @@ def q_event_hygiene(spark, sf_dir):
     """Sales events de-duplicated by id, then flagged (null status / time,
     out-of-order arrival, quantity above the quantity cap of 50)."""
     return EV.event_quality(EV.dedupe_events(sales(spark, sf_dir)), outlier_threshold=50)
+
+
+# ---------------------------------------------------------------------------
+# Small operators on their own
+# ---------------------------------------------------------------------------
+
+@register("latest_stock_rows", f"""WITH d AS ({SQL_DAILY})
+SELECT * FROM d WHERE (sku_id, event_date) IN (SELECT (sku_id, max(event_date)) FROM d GROUP BY sku_id)""")
+def q_latest_stock_rows(spark, sf_dir):
+    """The daily rows of each SKU's last day (equality with a per-SKU max)."""
+    return latest_rows(daily_table(spark, sf_dir), [K], "event_date")
+
+
+@register("order_line_days", """SELECT sku_id, CAST(unnest(generate_series(a, b, INTERVAL 1 DAY)) AS DATE) AS event_date
+FROM (SELECT l_suppkey AS sku_id, min(CAST(l_shipdate AS DATE)) AS a, max(CAST(l_shipdate AS DATE)) AS b
+      FROM lineitem GROUP BY l_suppkey)""")
+def q_order_line_days(spark, sf_dir):
+    """Date spine: every day from a supplier's first to its last order line."""
+    lines = read_table(spark, sf_dir, "lineitem").select(F.col("l_suppkey").alias(K),
+                                                         F.to_date("l_shipdate").alias("event_date"))
+    return date_spine(INV.sku_ranges(lines), "start", "end")
+
+
+@register("forecast_input", f"""SELECT sku_id, CAST(event_date AS TIMESTAMP) AS ds,
+  CAST(approved_qty AS DOUBLE) AS y FROM ({SQL_DAILY})""")
+def q_forecast_input(spark, sf_dir):
+    """The daily series cast and renamed to a model's shape (ds, y)."""
+    return daily(spark, sf_dir).select(K, rename_cast("event_date", "timestamp_ntz", "ds"),
+                                       rename_cast("approved_qty", "double", "y"))

@@ -171,6 +171,7 @@ def q_bronze_lineage_check(spark, sf_dir):
 
 from .. import sinks as SK  # noqa: E402
 from ..sources.files import batch_load, csv_scan  # noqa: E402
+from ..sources.tables import list_tables  # noqa: E402
 from .registry import SQL_CUSTOMERS, SQL_SELLERS  # noqa: E402
 
 
@@ -235,3 +236,24 @@ def q_save_table_append(spark, sf_dir):
     SK.save_table(df, t, "overwrite", path=p)
     SK.save_table(df, t, "append", path=p)
     return spark.read.table(t)
+
+
+@register("write_mode_view", _O["silver_sellers"])
+def q_write_mode_view(spark, sf_dir):
+    """Silver sellers written in mode 'view' into a schema of its own (a table
+    and a persistent view over it), found in the schema's list, read back."""
+    db = _table("stockyard_ns")
+    SK.ensure_schema(spark, db, location=scratch_path(spark, db))
+    name = SK.write_dataset(spark, silver_table(spark, sf_dir, "sellers"), f"{db}.sellers", "view")
+    if list_tables(spark, db).where(F.col("tableName") == "sellers").isEmpty():
+        raise RuntimeError(f"{name} is not listed")
+    return spark.read.table(name)
+
+
+@register("temp_view_orders", f"""SELECT order_status, count(*) AS n
+FROM ({SQL_SILVER['orders']}) GROUP BY order_status""")
+def q_temp_view_orders(spark, sf_dir):
+    """Silver orders registered as a temporary view and counted in SQL."""
+    view = _table("stockyard_tv_orders")
+    SK.temp_view(silver_table(spark, sf_dir, "orders"), view)
+    return spark.sql(f"SELECT order_status, count(*) AS n FROM {view} GROUP BY order_status")

@@ -33,9 +33,9 @@ def resolve_format(spark: SparkSession, fmt: str = "auto") -> str:
     return "delta" if format_available(spark, "delta") else "parquet"
 
 
-def ensure_schema(spark: SparkSession, database: str) -> None:
-    """CREATE SCHEMA IF NOT EXISTS."""
-    spark.sql(f"CREATE SCHEMA IF NOT EXISTS {database}")
+def ensure_schema(spark: SparkSession, database: str, location: str | None = None) -> None:
+    """CREATE SCHEMA IF NOT EXISTS, with its tables under ``location``."""
+    spark.sql(f"CREATE SCHEMA IF NOT EXISTS {database}" + (f" LOCATION '{location}'" if location else ""))
 
 
 def write_overwrite_schema(df: DataFrame, table: str, fmt: str = "parquet",

@@ -116,3 +116,20 @@ def test_scratch_is_removed(spark):
     assert remove_scratch(spark, before) == 1
     with pytest.raises(Exception, match="PATH_NOT_FOUND"):
         spark.read.parquet(path)
+
+
+def test_far_off_time_is_rejected(spark):
+    from stockyard.operators import inventory as INV
+    sales = spark.createDataFrame([(1, "S1", dt.datetime(2024, 1, 1), 1, "approved"),
+                                   (1, "S2", dt.datetime(9024, 1, 1), 1, "approved")],
+                                  "sku_id long, sales_id string, event_ts timestamp_ntz, quantity int, status string")
+    acq = spark.createDataFrame([], "sku_id long, acquisition_id string, event_ts timestamp_ntz, reason string, "
+                                    "quantity_received int")
+    with pytest.raises(Exception, match="check the event times"):
+        INV.inventory_daily(sales, acq).collect()
+
+
+def test_catalog_namespace(spark):
+    from stockyard.sources.tables import session_namespace
+    session_namespace(spark, "default", catalog="spark_catalog")
+    assert spark.catalog.currentDatabase() == "default"

@@ -153,10 +153,9 @@ def test_flag_labels_partition_rows(spark):
 
 
 def test_latest_rows_ties_and_null_keys(spark):
-    from stockyard.operators.filters import latest_rows, latest_rows_window
+    from stockyard.operators.filters import latest_rows
     df = spark.createDataFrame([(1, 1, "a"), (1, 3, "b"), (1, 3, "c"), (None, 2, "d"), (None, 1, "e"), (2, 5, "f")],
                                "k long, d long, v string")
     want = {("b",), ("c",), ("d",), ("f",)}
     assert {(r["v"],) for r in latest_rows(df, ["k"], "d").collect()} == want
-    assert {(r["v"],) for r in latest_rows_window(df, ["k"], "d").collect()} == want
     assert latest_rows(df, ["k"], "d").columns == ["k", "d", "v"]
