@@ -249,6 +249,25 @@ def test_repeats(spark, group):
         assert tuple(got[i][c] for c in ("n_bytes", "n_removed", "n_spans", "kept_sha256")) == want
 
 
+def test_phrases_cover_each_start_once(monkeypatch):
+    rng = random.Random(11)
+    text = bytes(rng.choice(b"abcd") for _ in range(5000)) + b"a" * 1500 + b"xyz" * 400
+
+    def triggers():
+        key, off, first, last = suffix_dedup.phrases(text)
+        out = {}
+        for k, o, a, b in zip(key.tolist(), off.tolist(), first.tolist(), last.tolist(), strict=True):
+            for start in range(a, b + 1):
+                assert start not in out and start <= a + o <= start + 200 - suffix_dedup.GRAM
+                out[start] = (k, a + o)
+        return out
+
+    whole = triggers()
+    assert sorted(whole) == list(range(len(text) - 199))
+    monkeypatch.setattr(suffix_dedup, "CHUNK", 700)
+    assert triggers() == whole
+
+
 def test_repeats_edge_tables(spark):
     assert suffix_dedup.remove_repeats(spark, empty(spark)).count() == 0
     t = "".join(chr(97 + (k * k + k // 7) % 26) for k in range(300))
