@@ -30,33 +30,44 @@ def summarise(plan: str) -> dict:
     return out
 
 
+def executed(fn, spark, sf_dir) -> tuple[dict, int, float]:
+    """Shape of the executed plan, tables written while it was built, seconds."""
+    from stockyard.session import scratch_count
+    t0, before = time.time(), scratch_count()
+    df = fn(spark, sf_dir)
+    wrote = scratch_count() - before
+    df.write.format("noop").mode("overwrite").save()
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    return summarise(plan), wrote, time.time() - t0
+
+
 def main(argv):
     sf_dir = argv[1] if len(argv) > 1 else "/root/testdata/sf0.1"
-    import __spark_entry__ as E
+    from stockyard.plans.registry_io import QUERIES as qs
     from stockyard.session import build_session
     spark = build_session("local[8]", 16)
-    qs = E.queries()
     print(f"# Executed plans at `{sf_dir}`\n")
-    print("Final adaptive plans (after AQE re-planning) of every registered query, "
-          "local[8], 16 shuffle partitions. Counts are operator occurrences; "
-          "`bnlj` counts nested-loop / cartesian joins, `single_partition` any "
-          "exchange to one partition (only the final step of a global aggregate, "
-          "which moves one partial row per task). Generated by "
-          "`tools/plan_summary.py`.\n")
-    cols = ["scans", "exchanges", "bhj", "smj", "shj", "bnlj", "windows", "python",
-            "single_partition", "pushed"]
-    print("| query | " + " | ".join(cols) + " | warm s |")
-    print("| --- | " + " | ".join("---" for _ in cols) + " | --- |")
+    print("Final adaptive plans (after AQE re-planning) of every registered query of the library, "
+          "local[8], 16 shuffle partitions. The tables are small here, so joins are broadcast by "
+          "their measured size; the columns named `large` come from a run with broadcasts switched "
+          "off, as for tables beyond the threshold. Counts are operator occurrences; `bnlj` counts "
+          "nested-loop / cartesian joins, `single` exchanges to one partition (only the last step "
+          "of a global aggregate), `tables` those written before the query itself runs (their "
+          "plans are those of the queries they hold). Generated by `tools/plan_summary.py`.\n")
+    cols = ["scans", "exchanges", "bhj", "smj", "bnlj", "windows", "python", "single_partition", "pushed"]
+    head = [c.replace("single_partition", "single") for c in cols]
+    print("| query | " + " | ".join(head) + " | large: exchanges | large: smj | tables | warm s |")
+    print("| --- | " + " | ".join("---" for _ in range(len(cols) + 4)) + " |")
+    key = "spark.sql.autoBroadcastJoinThreshold"
+    small = spark.conf.get(key)
     for name in sorted(qs):
-        df = qs[name](spark, sf_dir)
-        df.write.format("noop").mode("overwrite").save()
-        t0 = time.time()
-        df = qs[name](spark, sf_dir)
-        df.write.format("noop").mode("overwrite").save()
-        dt = time.time() - t0
-        plan = df._jdf.queryExecution().executedPlan().toString()
-        s = summarise(plan)
-        print(f"| {name} | " + " | ".join(str(s[c]) for c in cols) + f" | {dt:.2f} |")
+        executed(qs[name], spark, sf_dir)
+        a, wrote, seconds = executed(qs[name], spark, sf_dir)
+        spark.conf.set(key, "-1")
+        b, _, _ = executed(qs[name], spark, sf_dir)
+        spark.conf.set(key, small)
+        print(f"| {name} | " + " | ".join(str(a[c]) for c in cols)
+              + f" | {b['exchanges']} | {b['smj']} | {wrote} | {seconds:.2f} |")
     spark.stop()
 
 
