@@ -281,16 +281,33 @@ class Index:
         exact = _best(brute_force(self.spark, self.rows, some, k), k).collect()
         if not exact:  # no other row to find
             return visits, 1.0
+        reached = self._ranks(some, exact)
         worst: dict = {}
         for r in exact:
             worst[r["query_id"]] = min(r["score"], worst.get(r["query_id"], 2.0))
         while True:
+            # Widen until the leaves of enough exact neighbours are visited,
+            # then measure the search itself.
+            while (reached < visits).mean() < recall and visits < self.n_leaves:
+                visits += (visits + 1) // 2
             got = self.search(asked, k, visits).collect()
             share = sum(r["score"] >= worst[r["query_id"]] - 1e-12 for r in got) / len(exact)
             if share >= recall or visits >= self.n_leaves:
                 return visits, share
             visits += (visits + 1) // 2
 
+    def _ranks(self, queries: list, exact: list) -> np.ndarray:
+        """For each exact neighbour, how many leaves its query visits before
+        the neighbour's own (a bounded set of queries and neighbours)."""
+        ids = self.spark.createDataFrame([(r["vec_id"],) for r in exact], "id long").distinct()
+        leaf = {r["id"]: r["leaf"] for r in
+                self.filed.join(F.broadcast(ids), "id").select("id", "leaf").collect()}
+        tree = self.tree.value
+        order = {i: {b: k for k, b in enumerate(tree.best_bins(v, self.n_leaves))}
+                 for i, v in zip([q[0] for q in queries], unit(np.array([q[1] for q in queries])),
+                                 strict=True)}
+        return np.array([order[r["query_id"]][leaf[r["vec_id"]]] for r in exact])
+
 
 def nearest_neighbours(spark: SparkSession, rows: DataFrame, query_mod: int = 50, k: int = 5,
                        id_col: str = "vec_id", vec_col: str = "embedding",
