@@ -15,6 +15,7 @@ averaged by how often each task met them.
 
 from __future__ import annotations
 
+import math
 import uuid
 import zlib
 from collections import Counter
@@ -40,7 +41,7 @@ STEP = 0.8
 MINI = 16_384             # tokens of one gradient step
 BLOCK = 2_048             # rows of one message of weights
 SLICE_BYTES = 1 << 20     # text that is turned into arrays at a time
-COUNT_BYTES = 8 << 20     # text whose words are counted at a time
+COUNT_BYTES = 16 << 20    # text whose words are counted at a time
 # Words whose counts every task holds; the counts of rarer ones are joined.
 FREQUENT = 300_000
 END = b""
@@ -295,10 +296,15 @@ def train_weights(spark: SparkSession, train: DataFrame, vocab, text_col: str, i
                          pa.array([n], pa.binary())], names=["which", "b", "x", "n"])
 
         sent = train.where(lot == k).select(text_col) \
-            .mapInArrow(learn, "which long, b long, x binary, n binary")
-        merged = sent.rdd.map(lambda r: ((r[0], r[1]), (np.frombuffer(r[2], np.float32),
-                                                        np.frombuffer(r[3], np.float32)))) \
-            .reduceByKey(lambda a, b: (a[0] + b[0], a[1] + b[1]), 24).collect()
+            .mapInArrow(learn, "which long, b long, x binary, n binary").rdd
+        # Added up in two steps, so that no task reads a message of every task.
+        groups = math.isqrt(sent.getNumPartitions()) + 1
+        add = lambda a, b: (a[0] + b[0], a[1] + b[1])
+        merged = sent.mapPartitionsWithIndex(lambda task, rows, groups=groups: (
+            ((r[0], r[1], task % groups), (np.frombuffer(r[2], np.float32),
+                                           np.frombuffer(r[3], np.float32))) for r in rows)) \
+            .reduceByKey(add, 24 * groups).map(lambda r: (r[0][:2], r[1])) \
+            .reduceByKey(add, 24).collect()
         for (which, b), (x, n) in merged:
             table = w.words if which else w.classes
             met = n > 0

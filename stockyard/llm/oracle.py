@@ -1,5 +1,58 @@
-"""DuckDB SQL of the queries that SQL can express."""
+"""DuckDB SQL of the queries that SQL can express. The others learn a model,
+apply a tokenizer file, or hash with a function that SQL lacks."""
 
 from __future__ import annotations
 
-ORACLE: dict[str, str] = {}
+_LOWER = "translate(coalesce({}, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+_WORDS = r"regexp_extract_all({}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+
+ORACLE: dict[str, str] = {
+    # Equal strings found by their digest; starts at most a string's length
+    # apart belong to one removed run.
+    "op8_suffix_array_dedup": """WITH bytes AS (
+  SELECT doc_id, hex(encode(coalesce(text, ''))) AS x FROM documents),
+starts AS (
+  SELECT doc_id, pos, md5(substr(x, CAST(2 * pos + 1 AS BIGINT), 400)) AS digest
+  FROM (SELECT doc_id, x, unnest(range(0, length(x) // 2 - 199)) AS pos FROM bytes)),
+again AS (SELECT digest FROM starts GROUP BY digest HAVING count(*) > 1),
+hits AS (SELECT doc_id, pos FROM starts SEMI JOIN again USING (digest)),
+marked AS (
+  SELECT *, pos - lag(pos, 1, -1000) OVER (PARTITION BY doc_id ORDER BY pos) > 200 AS fresh FROM hits),
+runs AS (
+  SELECT doc_id, min(pos) AS a, max(pos) + 200 AS b FROM (
+    SELECT *, sum(CAST(fresh AS INTEGER)) OVER (PARTITION BY doc_id ORDER BY pos) AS run FROM marked)
+  GROUP BY doc_id, run),
+pieces AS (
+  SELECT doc_id, a, b, lag(b, 1, 0) OVER (PARTITION BY doc_id ORDER BY a) AS since FROM runs),
+kept AS (
+  SELECT doc_id, sum(b - a) AS gone, count(*) AS n, max(b) AS tail,
+    string_agg(substr(x, CAST(2 * since + 1 AS BIGINT), CAST(2 * (a - since) AS BIGINT)), '' ORDER BY a) AS head
+  FROM pieces JOIN bytes USING (doc_id) GROUP BY doc_id)
+SELECT doc_id, CAST(length(x) // 2 AS BIGINT) AS n_bytes, CAST(coalesce(gone, 0) AS BIGINT) AS n_removed,
+  CAST(coalesce(n, 0) AS BIGINT) AS n_spans,
+  sha256(unhex(coalesce(head, '') || substr(x, CAST(2 * coalesce(tail, 0) + 1 AS BIGINT)))) AS kept_sha256
+FROM bytes LEFT JOIN kept USING (doc_id)""",
+    "op9_benchmark_decontamination": f"""WITH d AS (
+  SELECT doc_id, {_WORDS.format(_LOWER.format('text'))} AS w FROM documents),
+q AS (SELECT CAST(item_id AS VARCHAR) AS item, {_WORDS.format(_LOWER.format('text'))} AS w FROM benchmark),
+windows AS (
+  SELECT DISTINCT item, k, array_to_string(w[pos:pos + k - 1], ' ') AS t
+  FROM (SELECT *, unnest(range(1, len(w) - k + 2)) AS pos
+        FROM (SELECT *, least(10, len(w)) AS k FROM q WHERE len(w) > 0))),
+sizes AS (SELECT DISTINCT k FROM windows),
+places AS (
+  SELECT doc_id, k, pos, array_to_string(w[pos:pos + k - 1], ' ') AS t
+  FROM (SELECT doc_id, w, k, unnest(range(1, len(w) - k + 2)) AS pos FROM d CROSS JOIN sizes)),
+found AS (SELECT doc_id, pos, k, item FROM places JOIN windows USING (k, t)),
+hit AS (
+  SELECT doc_id, count(DISTINCT p) AS n FROM (
+    SELECT doc_id, unnest(range(pos, pos + k)) AS p FROM (SELECT DISTINCT doc_id, pos, k FROM found))
+  GROUP BY doc_id),
+items AS (
+  SELECT doc_id, count(*) AS n, string_agg(item, ',' ORDER BY item) AS names
+  FROM (SELECT DISTINCT doc_id, item FROM found) GROUP BY doc_id)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(hit.n, 0) AS BIGINT) AS n_hit,
+  CAST(coalesce(items.n, 0) AS BIGINT) AS n_items, sha256(coalesce(names, '')) AS items_sha256,
+  coalesce(hit.n, 0) > 0 AS contaminated
+FROM d LEFT JOIN hit USING (doc_id) LEFT JOIN items USING (doc_id)""",
+}
