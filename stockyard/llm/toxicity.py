@@ -203,12 +203,17 @@ def fit(spark: SparkSession, docs: DataFrame, labels: DataFrame, id_col: str = "
         .groupBy("g").agg(F.sum("n").alias("n"), *[cell(f, y) for f in (0, 1) for y in (0, 1)]) \
         .orderBy(F.desc("n"), "g").limit(MODEL_GRAMS).select("g", "n00", "n01", "n10", "n11")
     got = table.toPandas()
-    g, c = got["g"].tolist(), got[["n01", "n00", "n11", "n10"]].to_numpy()
-    tops = [{w: (int(a), int(b)) for w, a, b in zip(g, x[:, 0], x[:, 1], strict=True) if a or b}
-            for x in (c[:, :2], c[:, 2:], c[:, :2] + c[:, 2:])]
-    split = all(x.sum() for x in (c[:, 0], c[:, 1], c[:, 2], c[:, 3]))
-    whole = tops.pop()
-    models = spark.sparkContext.broadcast(tops if split else [whole])
+    g = got["g"].tolist()
+    # Toxic and ordinary counts of both halves.
+    c = got[["n01", "n00", "n11", "n10"]].to_numpy()
+    del got
+
+    def model(x: np.ndarray) -> dict[str, tuple[int, int]]:
+        return {w: (a, b) for w, (a, b) in zip(g, x.tolist(), strict=True) if a or b}
+
+    # Without both classes in both halves, the whole judges itself.
+    halves = [c[:, :2], c[:, 2:]] if (c.sum(axis=0) > 0).all() else [c[:, :2] + c[:, 2:]]
+    models = spark.sparkContext.broadcast([model(x) for x in halves])
 
     def judge(parts):
         forget()
@@ -224,7 +229,7 @@ def fit(spark: SparkSession, docs: DataFrame, labels: DataFrame, id_col: str = "
     if seen["y"].nunique() < 2:
         return {}, (0.0, 0.0, 30.0 if (seen["y"] == 1).any() else -30.0)
     models.destroy()
-    return whole, fit_curve(seen[["a", "b"]].to_numpy(), seen["y"].to_numpy(dtype=float),
+    return model(c[:, :2] + c[:, 2:]), fit_curve(seen[["a", "b"]].to_numpy(), seen["y"].to_numpy(dtype=float),
                             n[1] / (n[0] + n[1]))
 
 
