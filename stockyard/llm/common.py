@@ -12,6 +12,8 @@ from stockyard.session import ensure_checkpoint_dir, scratch_path, ship_package
 # Bytes of one Arrow batch handed to a Python task. Very long texts thus come
 # in batches of few rows; a single longer text is a batch of its own.
 BATCH_BYTES = 24 << 20
+# Stands for a null id in row keys; no ordinary id is that low.
+NO_ID = -(1 << 62) - 1
 
 
 def prepare(spark: SparkSession) -> None:
@@ -34,7 +36,7 @@ def row_key(df: DataFrame, id_col: str, text_col: str) -> tuple:
     """Two longs, ``i`` and ``t``, that name a row: its id and its text. Rows
     equal in both are copies of one another."""
     integral = isinstance(df.schema[id_col].dataType, (T.LongType, T.IntegerType, T.ShortType))
-    i = F.coalesce(F.col(id_col).cast("long"), F.lit(-1)) if integral else F.xxhash64(id_col)
+    i = F.coalesce(F.col(id_col).cast("long"), F.lit(NO_ID)) if integral else F.xxhash64(id_col)
     return i.alias("i"), F.xxhash64(text_col).alias("t")
 
 
