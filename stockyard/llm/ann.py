@@ -121,14 +121,17 @@ def top(q_ids: np.ndarray, q: np.ndarray, ids: np.ndarray, x: np.ndarray, k: int
     of the components, alike for equal rows."""
     order = np.argsort(ids, kind="stable")
     ids, x = ids[order], x[order]
-    for i, v in zip(q_ids.tolist(), q, strict=True):
-        s = np.minimum(np.maximum((x * v).sum(axis=1), -1.0), 1.0)
-        s[ids == i] = -2.0
-        # All rows as near as the k-th, so that ties are settled by id.
-        cut = np.partition(s, len(s) - k)[len(s) - k] if len(s) > k else -2.0
-        near = np.flatnonzero(s >= cut)
-        near = near[np.argsort(-s[near], kind="stable")][:k]
-        yield from ((i, int(ids[j]), float(s[j])) for j in near if s[j] > -2.0)
+    for start in range(0, len(q), 64):  # bounded products
+        rough = q[start:start + 64] @ x.T
+        for i, v, s in zip(q_ids[start:start + 64].tolist(), q[start:start + 64], rough, strict=True):
+            s[ids == i] = -2.0
+            # The product rounds as it likes: all rows about as near as the k-th
+            # get their exact cosine, so that ties are settled by id.
+            cut = np.partition(s, len(s) - k)[len(s) - k] - 1e-9 if len(s) > k else -1.5
+            near = np.flatnonzero(s >= max(cut, -1.5))
+            exact = np.minimum(np.maximum((x[near] * v).sum(axis=1), -1.0), 1.0)
+            best = np.argsort(-exact, kind="stable")[:k]
+            yield from ((i, int(ids[near[j]]), float(exact[j])) for j in best)
 
 
 def usable(rows: DataFrame, id_col: str, vec_col: str) -> DataFrame:
@@ -254,11 +257,12 @@ class Index:
             ids = r["id"].to_numpy()
             # The shard's own tree: one leaf, unless the shard is large.
             small = KMeansTree(x, inner_rows)
-            at = small.file(x)
-            out = []
-            vectors = matrix(q["v"].combine_chunks())
-            for i, v in zip(q["id"].to_numpy(), vectors, strict=True):
-                near = np.isin(at, small.best_bins(v, visits)) if small.n_leaves > 1 else slice(None)
+            asked, vectors = q["id"].to_numpy(), matrix(q["v"].combine_chunks())
+            if small.n_leaves <= visits:
+                return pa.Table.from_batches([_pairs(list(top(asked, vectors, ids, x, k)))])
+            at, out = small.file(x), []
+            for i, v in zip(asked, vectors, strict=True):
+                near = np.isin(at, small.best_bins(v, visits))
                 out += top(np.array([i]), v[None], ids[near], x[near], k)
             return pa.Table.from_batches([_pairs(out)])
 
