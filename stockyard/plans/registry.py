@@ -389,7 +389,7 @@ SQL_LEDGER = f"""WITH m AS (
   FROM ({SQL_SALES}) WHERE status = 'approved')
 SELECT sku_id, event_ts, kind, movement_id, reason, delta,
   CAST({PARAMS.initial_stock} + sum(delta) OVER (PARTITION BY sku_id
-       ORDER BY event_ts NULLS LAST, kind, movement_id
+       ORDER BY event_ts NULLS LAST, kind, CAST(substring(movement_id, 2) AS BIGINT), movement_id
        ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS BIGINT) AS balance
 FROM m"""
 
