@@ -6,9 +6,10 @@ so far by their distance, and the nearest one is opened next, until a number of
 leaves is reached. That number is widened until the recall measured against
 brute force, on a sample of queries, reaches the target.
 
-A leaf's rows are dealt to shards of bounded size, and each shard sorts its
-rows into a small tree of its own that is searched in the same way, so a leaf
-with a third of all rows is neither one task nor one long scan.
+Neighbouring leaves form a block, whose rows are dealt to shards of bounded size;
+a query meets each shard once, with the leaves it visits there. A crowded leaf
+gets a tree of its own inside a shard, searched in the same way, so a leaf with
+a third of all rows is neither one task nor one long scan.
 """
 
 from __future__ import annotations
@@ -27,7 +28,8 @@ from stockyard.llm.common import prepare, written
 BRANCH = 8
 LEAF_ROWS = 256           # rows of a leaf, on average
 SAMPLE_ROWS = 20_000      # rows that the tree is fitted on
-SHARD_ROWS = 8_192        # rows of a leaf that one group holds
+BLOCK_LEAVES = 16         # neighbouring leaves that are searched together
+SHARD_ROWS = 16_384       # rows of a block that one group holds
 TEST_QUERIES = 200        # queries of the calibration
 RECALL = 0.93             # recall that the calibration asks for
 BLOCK = 2_048
@@ -115,14 +117,19 @@ def unit(x: np.ndarray) -> np.ndarray:
     return x / np.sqrt((x * x).sum(axis=1, keepdims=True))
 
 
-def top(q_ids: np.ndarray, q: np.ndarray, ids: np.ndarray, x: np.ndarray, k: int):
+def top(q_ids: np.ndarray, q: np.ndarray, ids: np.ndarray, x: np.ndarray, k: int,
+        label: np.ndarray | None = None, asked: np.ndarray | None = None):
     """(query id, row id, cosine) of the ``k`` nearest rows of each query but
-    itself; ties to smaller ids. The sum of each cosine is taken in the order
-    of the components, alike for equal rows."""
+    itself; ties to smaller ids. With ``label`` (of a row) and ``asked`` (query
+    x label) a query sees only rows of the labels it asks for. The sum of each
+    cosine is taken in the order of the components, alike for equal rows."""
     order = np.argsort(ids, kind="stable")
     ids, x = ids[order], x[order]
+    label = None if label is None else label[order]
     for start in range(0, len(q), 64):  # bounded products
         rough = q[start:start + 64] @ x.T
+        if label is not None:
+            rough[~asked[start:start + 64][:, label]] = -2.0
         for i, v, s in zip(q_ids[start:start + 64].tolist(), q[start:start + 64], rough, strict=True):
             s[ids == i] = -2.0
             # The product rounds as it likes: all rows about as near as the k-th
@@ -216,57 +223,73 @@ class Index:
         self_tree = self.tree
         filed = self.rows.mapInArrow(file, "id long, v array<double>, leaf long")
         self.filed = written(spark, filed, "ann-leaves")
-        # Shards of each leaf; at most as many rows as the tree has leaves.
-        self.shards = {r["leaf"]: max(1, math.ceil(r["n"] / shard_rows)) for r in
-                       self.filed.groupBy("leaf").agg(F.count("*").alias("n")).collect()}
+        # Shards of each block of leaves; no more rows than the tree has leaves.
+        self.shards = {r["block"]: max(1, math.ceil(r["n"] / shard_rows)) for r in
+                       self.filed.groupBy(F.floor(F.col("leaf") / BLOCK_LEAVES).alias("block"))
+                       .agg(F.count("*").alias("n")).collect()}
 
     def search(self, queries: DataFrame, k: int, visits: int) -> DataFrame:
         """The ``k`` nearest rows found of each query (``id``, ``v``)."""
         tree = self.tree
         shards = self.spark.sparkContext.broadcast(self.shards)
-        inner_rows = self.leaf_rows
+        large = 4 * self.leaf_rows
 
         def route(parts):
             for part in parts:
-                q = matrix(part.column(1))
-                at, leaf, shard = [], [], []
-                for i, v in enumerate(q):
+                at, block, shard, leaves = [], [], [], []
+                for i, v in enumerate(matrix(part.column(1))):
+                    mine: dict[int, list[int]] = {}
                     for b in tree.value.best_bins(v, visits):
-                        for s in range(shards.value.get(b, 0)):
+                        mine.setdefault(b // BLOCK_LEAVES, []).append(b)
+                    for b, found in mine.items():
+                        for n in range(shards.value.get(b, 0)):
                             at.append(i)
-                            leaf.append(b)
-                            shard.append(s)
+                            block.append(b)
+                            shard.append(n)
+                            leaves.append(found)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(leaf, pa.int64()), pa.array(shard, pa.int64()),
+                    [pa.array(block, pa.int64()), pa.array(shard, pa.int64()),
+                     pa.array(leaves, pa.list_(pa.int64())),
                      part.column(0).take(pa.array(at, pa.int64())),
                      part.column(1).take(pa.array(at, pa.int64()))],
-                    names=["leaf", "shard", "id", "v"])
+                    names=["block", "shard", "leaves", "id", "v"])
 
-        asked = queries.select("id", "v") \
-            .mapInArrow(route, "leaf long, shard long, id long, v array<double>")
-        dealt = F.create_map(*[F.lit(x) for leaf, n in self.shards.items() if n > 1
-                               for x in (leaf, n)]) if max(self.shards.values()) > 1 else None
-        count = F.lit(1) if dealt is None else \
-            F.coalesce(F.try_element_at(dealt, F.col("leaf")), F.lit(1))
-        held = self.filed.withColumn("shard", F.pmod(F.xxhash64("id"), count).cast("long"))
+        asked = queries.select("id", "v").mapInArrow(
+            route, "block long, shard long, leaves array<long>, id long, v array<double>")
+        many = {b: n for b, n in self.shards.items() if n > 1}
+        block = F.floor(F.col("leaf") / BLOCK_LEAVES).cast("long")
+        count = F.lit(1) if not many else F.coalesce(F.try_element_at(
+            F.create_map(*[F.lit(x) for pair in many.items() for x in pair]), block), F.lit(1))
+        held = self.filed.withColumn("block", block) \
+            .withColumn("shard", F.pmod(F.xxhash64("id"), count).cast("long"))
 
         def look(q, r):
             if not q.num_rows or not r.num_rows:
                 return _PAIRS.empty_table()
-            x = matrix(r["v"].combine_chunks())
-            ids = r["id"].to_numpy()
-            # The shard's own tree: one leaf, unless the shard is large.
-            small = KMeansTree(x, inner_rows)
-            asked, vectors = q["id"].to_numpy(), matrix(q["v"].combine_chunks())
-            if small.n_leaves <= visits:
-                return pa.Table.from_batches([_pairs(list(top(asked, vectors, ids, x, k)))])
-            at, out = small.file(x), []
-            for i, v in zip(asked, vectors, strict=True):
-                near = np.isin(at, small.best_bins(v, visits))
-                out += top(np.array([i]), v[None], ids[near], x[near], k)
-            return pa.Table.from_batches([_pairs(out)])
-
-        pairs = asked.groupBy("leaf", "shard").cogroup(held.groupBy("leaf", "shard")) \
+            x, vectors = matrix(r["v"].combine_chunks()), matrix(q["v"].combine_chunks())
+            leaf, label = r["leaf"].to_numpy(), np.zeros(r.num_rows, dtype=np.int64)
+            wanted = q["leaves"].to_pylist()
+            opens, n = [], 0  # labels that each query opens
+            for b in np.unique(leaf).tolist():
+                rows = np.flatnonzero(leaf == b)
+                askers = [i for i, found in enumerate(wanted) if b in found]
+                if len(rows) <= large:
+                    label[rows] = n
+                    opens += [(i, n) for i in askers]
+                    n += 1
+                    continue
+                # A crowded leaf gets a tree of its own, walked in the same way.
+                small = KMeansTree(x[rows], large // 4)
+                label[rows] = n + small.file(x[rows])
+                opens += [(i, n + c) for i in askers for c in small.best_bins(vectors[i], visits)]
+                n += small.n_leaves
+            table = np.zeros((len(wanted), n), dtype=bool)
+            if opens:
+                table[tuple(np.array(opens).T)] = True
+            return pa.Table.from_batches([_pairs(list(top(
+                q["id"].to_numpy(), vectors, r["id"].to_numpy(), x, k, label, table)))])
+
+        pairs = asked.groupBy("block", "shard").cogroup(held.groupBy("block", "shard")) \
             .applyInArrow(look, "query_id long, vec_id long, score double")
         return _best(pairs, k)
 
