@@ -26,9 +26,9 @@ from stockyard.llm.common import once, prepare, texts
 
 INF = float("inf")
 # Units (space-separated pieces), pre-tokens and token pairs remembered by one worker.
-UNIT_CACHE = 800_000
-PIECE_CACHE = 500_000
-PAIR_CACHE = 1_000_000
+UNIT_CACHE = 400_000
+PIECE_CACHE = 300_000
+PAIR_CACHE = 500_000
 
 # A space with no other white space beside it always starts a new pre-token,
 # so text may be cut in front of it.

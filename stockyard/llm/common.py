@@ -11,7 +11,7 @@ from stockyard.session import ensure_checkpoint_dir, scratch_path, ship_package
 
 # Bytes of one Arrow batch handed to a Python task. Very long texts thus come
 # in batches of few rows; a single longer text is a batch of its own.
-BATCH_BYTES = 24 << 20
+BATCH_BYTES = 12 << 20
 # Stands for a null id in row keys; no ordinary id is that low.
 NO_ID = -(1 << 62) - 1
 
