@@ -26,7 +26,7 @@ from stockyard.llm.common import once, prepare, texts
 
 INF = float("inf")
 # Units (space-separated pieces), pre-tokens and token pairs remembered by one worker.
-UNIT_CACHE = 400_000
+UNIT_CACHE = 500_000
 PIECE_CACHE = 300_000
 PAIR_CACHE = 500_000
 

@@ -29,9 +29,9 @@ PASSAGE = 3         # words of a passage
 # Labelled rows of each class that a fit reads at most (by hash of the id), and
 # n-grams that a model holds at most (those with the highest counts).
 FIT_ROWS = 4_000
-MODEL_GRAMS = 300_000
+MODEL_GRAMS = 200_000
 # Words and n-grams whose ratios one worker remembers.
-WORD_CACHE = 250_000
+WORD_CACHE = 150_000
 _WORD = re.compile(r"[^\W\d_]+")
 
 
