@@ -7,7 +7,6 @@ from __future__ import annotations
 import os
 import re
 import sys
-import time
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
@@ -30,15 +29,15 @@ def summarise(plan: str) -> dict:
     return out
 
 
-def executed(fn, spark, sf_dir) -> tuple[dict, int, float]:
-    """Shape of the executed plan, tables written while it was built, seconds."""
+def executed(fn, spark, sf_dir) -> tuple[dict, int]:
+    """Shape of the executed plan, and tables written while it was built."""
     from stockyard.session import scratch_count
-    t0, before = time.time(), scratch_count()
+    before = scratch_count()
     df = fn(spark, sf_dir)
     wrote = scratch_count() - before
     df.write.format("noop").mode("overwrite").save()
     plan = df._jdf.queryExecution().executedPlan().toString()
-    return summarise(plan), wrote, time.time() - t0
+    return summarise(plan), wrote
 
 
 def main(argv):
@@ -56,18 +55,17 @@ def main(argv):
           "plans are those of the queries they hold). Generated by `tools/plan_summary.py`.\n")
     cols = ["scans", "exchanges", "bhj", "smj", "bnlj", "windows", "python", "single_partition", "pushed"]
     head = [c.replace("single_partition", "single") for c in cols]
-    print("| query | " + " | ".join(head) + " | large: exchanges | large: smj | tables | warm s |")
-    print("| --- | " + " | ".join("---" for _ in range(len(cols) + 4)) + " |")
+    print("| query | " + " | ".join(head) + " | large: exchanges | large: smj | tables |")
+    print("| --- | " + " | ".join("---" for _ in range(len(cols) + 3)) + " |")
     key = "spark.sql.autoBroadcastJoinThreshold"
     small = spark.conf.get(key)
     for name in sorted(qs):
-        executed(qs[name], spark, sf_dir)
-        a, wrote, seconds = executed(qs[name], spark, sf_dir)
+        a, wrote = executed(qs[name], spark, sf_dir)
         spark.conf.set(key, "-1")
-        b, _, _ = executed(qs[name], spark, sf_dir)
+        b, _ = executed(qs[name], spark, sf_dir)
         spark.conf.set(key, small)
         print(f"| {name} | " + " | ".join(str(a[c]) for c in cols)
-              + f" | {b['exchanges']} | {b['smj']} | {wrote} | {seconds:.2f} |")
+              + f" | {b['exchanges']} | {b['smj']} | {wrote} |")
     spark.stop()
 
 
