@@ -93,6 +93,45 @@ def test_toxicity_without_labels(spark):
     assert toxicity.score_texts(spark, docs.limit(0), labels).count() == 0
 
 
+def packed(words):
+    """PackedPair and KneserNeyPair of (word, toxic count, ordinary count)."""
+    top = {}
+    for w, *n in words:
+        for g in toxicity.grams(w, toxicity.ORDER):
+            top[g] = tuple(np.add(top.get(g, (0, 0)), n).tolist())
+    codes = np.array([[0] * (toxicity.ORDER - len(g)) + [ord(c) for c in g] for g in top], dtype="u4")
+    assert (toxicity.unpack(*toxicity.pack(codes)) == codes).all()
+    return toxicity.PackedPair(codes, np.array(list(top.values()))), toxicity.KneserNeyPair(top)
+
+
+def test_packed_pair_is_kneser_ney_pair():
+    rng = random.Random(4)
+    word = lambda: "".join(rng.choice("abcdé中𐐨") for _ in range(rng.randint(1, 9)))
+    pair, plain = packed([(word(), rng.randrange(3), rng.randrange(1, 4)) for _ in range(300)]
+                         + [("zorky", 2, 0)])
+    ws = [*(word() for _ in range(300)), "zorky", "zorkyx", "unseen", "a"]
+    assert pair.ratios(ws) == pytest.approx([plain.ratio(w) for w in ws], abs=1e-9)
+    assert toxicity.PackedPair(np.zeros((0, 6), dtype="u4"), np.zeros((0, 2), dtype=int)) \
+        .ratios(["any", "word"]) == [0.0, 0.0]
+
+
+def test_toxicity_keeps_rare_grams(spark):
+    """A toxic expression counts however many ordinary n-grams are as frequent."""
+    rng = random.Random(8)
+    letters = [chr(0x4E00 + k) for k in range(3000)]
+    plain = [" ".join("".join(rng.choices(letters, k=8)) for _ in range(400)) for _ in range(240)]
+    docs = [(k, t) for k, t in enumerate(plain)]
+    # One expression in each toxic text, in two texts each.
+    marks = ["zz" + "".join(rng.choices("abcdefghij", k=8)) for _ in range(12)]
+    docs += [(1000 + k, marks[k % 12]) for k in range(24)]
+    labels = [(k, int(k >= 1000)) for k, _ in docs]
+    pair, _ = toxicity.fit(spark, spark.createDataFrame(docs, "doc_id long, text string"),
+                           spark.createDataFrame(labels, "doc_id long, toxic int"))
+    known = {t for k, t in docs if k >= 1000 and crc(k, 5)}
+    assert len(pair.top.keys) > 600_000
+    assert all(x > 0 for x in pair.ratios(sorted(known)))
+
+
 def test_kneser_ney_sums_to_one():
     words = Counter({"abc": 3, "abd": 1, "b": 2})
     top = {}
