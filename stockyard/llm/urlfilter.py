@@ -1,13 +1,12 @@
 """URL filters: host and path rules, and gradient-boosted trees for the rest.
 
 URLs that a rule decides are the labelled ones; the trees learn from lexical
-features of a bounded sample of them and judge the URLs that no rule fits.
+features of a bounded sample of them, and from suffix and domain counts of all
+of them, and judge the URLs that no rule fits.
 """
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -17,6 +16,7 @@ from stockyard.llm.common import prepare, written
 FIT_ROWS = 20_000
 TREES, DEPTH, STEP = 16, 4, 0.3
 SMOOTHING = 5.0
+FOLDS = 5  # of labelled URLs; a sample row's counts leave out its own fold
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 _PARTS = "(?s)^.*?://([^/?#]*)([^?#]*)"
 FEATURES = ("n_url", "n_host", "n_path", "n_query", "depth", "labels", "digits", "host_digits",
@@ -74,17 +74,21 @@ def lexical(pages: DataFrame) -> DataFrame:
         "domain": F.array_join(F.slice(labels, F.greatest(F.size(labels) - 1, F.lit(1)), 2), ".")})
 
 
-def _rates(df: DataFrame, stats: DataFrame, name: str, own: Column) -> DataFrame:
-    """Share of blocked labelled URLs with the same suffix, and their number,
-    both without the row's own label (``own``, null where it has none)."""
-    s = stats.where(F.col("kind") == name).select(F.col("value").alias(name), "n", "blocked")
-    mine = F.when(own.isNull(), 0).otherwise(1)
-    n = F.coalesce("n", F.lit(0)) - F.least(mine, F.coalesce("n", F.lit(0)))
-    bad = F.greatest(F.coalesce("blocked", F.lit(0)) - F.coalesce(own, F.lit(0)), F.lit(0))
-    # At most one row for each labelled URL of the bounded sample.
-    return df.join(F.broadcast(s), name, "left") \
-        .withColumn(f"{name}_rate", (bad + SMOOTHING / 2) / (n + SMOOTHING)) \
-        .withColumn(f"{name}_log_n", F.log1p(n.cast("double"))).drop("n", "blocked")
+def _rates(df: DataFrame, stats: DataFrame, name: str, folds: DataFrame | None) -> DataFrame:
+    """Share of blocked labelled URLs with the same suffix or domain, and their
+    number; with ``folds``, without those of the row's own fold. (Without the
+    row's own label alone, the share would tell that label.)"""
+    # One row for each suffix or domain of all labelled URLs: no broadcast hint,
+    # Spark goes by the size of the written table.
+    df = df.join(stats.select(name, "n", "blocked"), name, "left")
+    n, bad = F.coalesce("n", F.lit(0)), F.coalesce("blocked", F.lit(0))
+    if folds is not None:
+        df = df.join(folds.select(name, "fold", F.col("n").alias("n_own"),
+                                  F.col("blocked").alias("bad_own")), [name, "fold"], "left")
+        n, bad = n - F.coalesce("n_own", F.lit(0)), bad - F.coalesce("bad_own", F.lit(0))
+    return df.withColumn(f"{name}_rate", (bad + SMOOTHING / 2) / (n + SMOOTHING)) \
+        .withColumn(f"{name}_log_n", F.log1p(n.cast("double"))) \
+        .drop("n", "blocked", "n_own", "bad_own")
 
 
 def judge(spark: SparkSession, pages: DataFrame, rules: list[tuple[str, str]],
@@ -106,28 +110,51 @@ def judge(spark: SparkSession, pages: DataFrame, rules: list[tuple[str, str]],
     rule, verdict = rule_of(F.col("host"), F.col("path"), rules)
     base = lexical(base.withColumn("rule", rule).withColumn("given", verdict)) \
         .withColumn("y", F.when(F.col("given") == "block", 1).when(F.col("given") == "allow", 0))
-    known = base.where(F.col("y").isNotNull())
-    n = {r["y"]: r["n"] for r in known.groupBy("y").agg(F.count("*").alias("n")).collect()}
-    if len(n) < 2:
-        same = "block" if n.get(1) else "allow"
-        return _result(base.withColumn("p", F.lit(1.0 if n.get(1) else 0.0)), id_col, same)
-    spot = F.pmod(F.xxhash64("page", "url"), F.lit(1_000_000)) / 1_000_000
-    sample = written(spark, known.where(spot < fit_rows / sum(n.values())).limit(2 * fit_rows),
-                     "url-sample")
-    if sample.select("y").distinct().count() < 2:
-        sample = written(spark, known.where("y = 1").limit(fit_rows).union(
-            known.where("y = 0").limit(fit_rows)), "url-sample")
-    stats = written(spark, reduce(DataFrame.union, [
-        sample.groupBy(F.col(c).alias("value")).agg(F.count("*").alias("n"),
-                                                    F.sum("y").alias("blocked"))
-        .select(F.lit(c).alias("kind"), "value", "n", "blocked") for c in ("suffix", "domain")]),
-        "url-suffixes")
-    rated = lambda df, own: _rates(_rates(df, stats, "suffix", own), stats, "domain", own)
-    model = fit(rated(sample, F.col("y")))
-    rest = rated(base, F.lit(None).cast("int"))
+    known = base.where(F.col("y").isNotNull()).withColumn(
+        "fold", F.pmod(F.xxhash64("page", "url", F.lit("fold")), F.lit(FOLDS)))
+    # Partial aggregates of all labelled URLs; a domain lies within one suffix.
+    sums = [F.sum(c).alias(c) for c in ("n", "blocked")]
+    domain_folds = written(spark, known.groupBy("suffix", "domain", "fold").agg(
+        F.count("*").alias("n"), F.sum("y").alias("blocked")), "url-domain-folds")
+    suffix_folds = written(spark, domain_folds.groupBy("suffix", "fold").agg(*sums),
+                           "url-suffix-folds")
+    domains = written(spark, domain_folds.groupBy("domain").agg(*sums), "url-domains")
+    suffixes = written(spark, suffix_folds.groupBy("suffix").agg(*sums), "url-suffixes")
+    total = suffixes.agg(F.sum("n").alias("n"), F.sum("blocked").alias("bad")).first()
+    n = {1: total["bad"] or 0, 0: (total["n"] or 0) - (total["bad"] or 0)}
+    if not n[0] or not n[1]:
+        same = "block" if n[1] else "allow"
+        return _result(base.withColumn("p", F.lit(1.0 if n[1] else 0.0)), id_col, same)
+    sample = draw(spark, known, n, fit_rows)
+    model = fit(_rates(_rates(sample, suffixes, "suffix", suffix_folds),
+                       domains, "domain", domain_folds))
+    rest = _rates(_rates(base.where(F.col("y").isNull()), suffixes, "suffix", None),
+                  domains, "domain", None)
     scored = model.transform(_features(rest)) \
         .withColumn("p", _second(F.col("probability")))
-    return _result(scored, id_col)
+    return _result(scored, id_col).union(_result(known.withColumn("p", F.lit(None).cast("double")),
+                                                 id_col))
+
+
+def draw(spark: SparkSession, known: DataFrame, n: dict[int, int], fit_rows: int) -> DataFrame:
+    """About ``fit_rows`` labelled URLs, those of the lowest hashes of each class
+    (half of them, or all of a smaller class), with ``weight``: the classes weigh
+    as they do among all ``n`` labelled URLs."""
+    hashed = known.withColumn("h", F.pmod(F.xxhash64("page", "url"), F.lit(1 << 52)))
+    most = {y: max(1, fit_rows - min(n[1 - y], fit_rows // 2)) for y in n}
+    parts = {}
+    for y, k in most.items():
+        mine = hashed.where(F.col("y") == y)
+        # The hash of copies is one: where few URLs repeat, none may lie below.
+        low = mine.where(F.col("h") < min(1.0, 2 * k / n[y]) * (1 << 52))
+        for some in (low, mine):
+            parts[y] = written(spark, some.orderBy("h").limit(k).drop("h"), "url-sample")
+            if held := parts[y].count():
+                break
+        parts[y] = parts[y].withColumn("weight", F.lit(n[y] / held))
+    both = parts[0].union(parts[1])
+    mean = sum(n.values()) / both.count()
+    return both.withColumn("weight", F.col("weight") / mean)
 
 
 def _features(df: DataFrame) -> DataFrame:
@@ -143,7 +170,7 @@ def _second(probability: Column) -> Column:
 def fit(sample: DataFrame):
     """Gradient-boosted trees on the features of labelled URLs."""
     from pyspark.ml.classification import GBTClassifier
-    return GBTClassifier(labelCol="y", featuresCol="features", maxIter=TREES, maxDepth=DEPTH,
+    return GBTClassifier(labelCol="y", featuresCol="features", weightCol="weight", maxIter=TREES, maxDepth=DEPTH,
                          stepSize=STEP, seed=7).fit(_features(sample))
 
 

@@ -253,6 +253,32 @@ def test_url_trees_learn(spark):
     assert [got[k] for k in range(18)] == ["allow"] * 9 + ["block"] * 9
 
 
+def test_url_counts_cover_all_labelled(spark):
+    """The domain alone tells the classes apart, and most domains are not in the
+    fit sample."""
+    rows = [(f"d{k:03}", ("de", "fr")[k % 2], j) for k in range(300) for j in range(12)]
+    df = [(k, f"http://{d}.com/{x}/{j:02}") for k, (d, x, j) in enumerate(rows)]
+    df += [(10_000 + k, f"http://d{k:03}.com/zz/00") for k in range(300)]
+    got = {r["page_id"]: r["verdict"] for r in urlfilter.judge(
+        spark, spark.createDataFrame(df, "page_id long, url string"), URL_RULES,
+        fit_rows=200).collect()}
+    assert len(got) == len(df)
+    assert np.mean([got[10_000 + k] == ("block", "allow")[k % 2] for k in range(300)]) > 0.97
+
+
+def test_url_sample_holds_the_rare_class(spark):
+    df = spark.range(5000).selectExpr("id as page", "concat('u', id) as url",
+                                      "cast(id % 1000 = 7 as int) as y")
+    got = urlfilter.draw(spark, df, {0: 4995, 1: 5}, 100).collect()
+    assert sorted(r["page"] for r in got if r["y"] == 1) == [7, 1007, 2007, 3007, 4007]
+    assert len(got) == 100
+    share = sum(r["weight"] for r in got if r["y"] == 1) / sum(r["weight"] for r in got)
+    assert share == pytest.approx(5 / 5000)
+    copies = spark.range(5000).selectExpr("1L as page", "'u' as url", "cast(id = 0 as int) as y")
+    got = urlfilter.draw(spark, copies, {0: 4999, 1: 1}, 100).collect()
+    assert sorted(r["y"] for r in got) == [0] * 99 + [1]
+
+
 def test_url_one_sided(spark):
     df = spark.createDataFrame([(1, "http://a.net/"), (2, "http://a.com/de/")], "page_id long, url string")
     one = {r["page_id"]: r["verdict"] for r in urlfilter.judge(spark, df, URL_RULES).collect()}
