@@ -8,7 +8,9 @@ length say, at each word, which windows of test items end there.
 from __future__ import annotations
 
 import hashlib
+import math
 import uuid
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -16,12 +18,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from stockyard.llm.common import once, prepare, utf8
+from stockyard.llm.common import once, prepare, row_key, to_batch, utf8, written
 
 WINDOW = 10
-# UTF-8 bytes of test items in one automaton. More items are handled in
-# further passes over the documents, so no broadcast grows past this.
-BLOCK_BYTES = 4 << 20
+# UTF-8 bytes of test items in one automaton (a longer item has one of its own),
+# which takes far more memory than they do. More items are handled in further
+# passes over the documents: a worker holds one automaton, a job one broadcast.
+BLOCK_BYTES = 1 << 20
 
 # A word is a run of digits, letters a-z and non-ASCII characters. Mapping all
 # other bytes to a space, and A-Z to a-z, leaves the words to bytes.split().
@@ -135,26 +138,24 @@ class ItemAutomaton:
         return np.cumsum(hit[:-1]) > 0, {self.items[k] for k in seen}
 
 
-def item_blocks(items: DataFrame, id_col: str, text_col: str,
-                block_bytes: int = BLOCK_BYTES) -> list[list[tuple[str, bytes]]]:
-    """The test items with words, in blocks of bounded size.
+def item_blocks(spark: SparkSession, items: DataFrame, id_col: str, text_col: str,
+                block_bytes: int = BLOCK_BYTES) -> tuple[DataFrame, list[int]]:
+    """The test items (``i``, ``t``) dealt by hash to blocks (``block``) of bounded
+    size, and the numbers of the blocks that hold any.
 
-    Test sets are the stated side of this join: they are read once, in id
-    order, and each block is broadcast by itself. A null id is written as an
-    empty string; repeated rows count as one item.
+    A null id is written as an empty string; repeated rows count as one item.
     """
-    blocks: list[list[tuple[str, bytes]]] = [[]]
-    size = 0
-    rows = items.select(F.col(id_col).cast("string").alias("i"), F.col(text_col).alias("t")) \
-        .where(F.col("t").isNotNull()).orderBy("i", "t")
-    for r in rows.toLocalIterator(prefetchPartitions=False):
-        raw = r["t"].encode()
-        if blocks[-1] and size + len(raw) > block_bytes:
-            blocks.append([])
-            size = 0
-        blocks[-1].append((r["i"] or "", raw))
-        size += len(raw)
-    return blocks
+    rows = written(spark, items.select(
+        F.coalesce(F.col(id_col).cast("string"), F.lit("")).alias("i"),
+        F.col(text_col).alias("t")).where(F.col("t").isNotNull()).distinct(), "test-items")
+    size = F.sum(F.octet_length("t")).alias("size")
+    n = max(1, math.ceil((rows.agg(size).first()["size"] or 0) / block_bytes))
+    while True:
+        dealt = rows.withColumn("block", F.pmod(F.xxhash64("i", "t"), F.lit(n)))
+        sizes = dealt.groupBy("block").agg(size, F.count("*").alias("items")).collect()
+        if all(r["size"] <= block_bytes or r["items"] == 1 for r in sizes):
+            return dealt, sorted(r["block"] for r in sizes)
+        n *= 2
 
 
 RESULT = T.StructType([
@@ -178,14 +179,36 @@ def decontaminate(spark: SparkSession, docs: DataFrame, items: DataFrame,
     repeated rows stay as they are; with no items nothing is hit; other
     columns are ignored.
 
-    All blocks of items are held against a document in one pass, one
-    broadcast each.
+    Items of one block are held against the documents in one pass. Of more
+    blocks, each has a pass of its own that writes the hits by row key; they are
+    joined to the documents in the end.
     """
     prepare(spark)
-    blocks = [spark.sparkContext.broadcast(b)
-              for b in item_blocks(items, item_id, item_text, block_bytes)]
+    dealt, blocks = item_blocks(spark, items, item_id, item_text, block_bytes)
+
+    def held(block: int):
+        found = dealt.where(F.col("block") == block).orderBy("i", "t").collect()
+        return spark.sparkContext.broadcast([(r["i"], r["t"].encode()) for r in found])
+
     src = docs.select(id_col, *keep, text_col)
     n_keep = 1 + len(keep)
+    if len(blocks) > 1:
+        passes = []
+        for block in blocks:
+            one = held(block)
+            passes.append(written(spark, _hits(src, id_col, text_col, one, window), "item-hits"))
+            one.destroy()
+        # At most one row of a key from each pass.
+        hits = reduce(DataFrame.union, passes).groupBy("i", "t").agg(
+            F.flatten(F.collect_list("spans")).alias("spans"),
+            F.flatten(F.collect_list("items")).alias("items"))
+        key = row_key(src, id_col, text_col)
+        src = src.withColumns({"_key_i": key[0], "_key_t": key[1]}) \
+            .join(hits.select(F.col("i").alias("_key_i"), F.col("t").alias("_key_t"),
+                              F.col("spans").alias("_spans"), F.col("items").alias("_items")),
+                  ["_key_i", "_key_t"], "left") \
+            .select(*src.columns, "_spans", "_items")
+    single = held(blocks[0]) if len(blocks) == 1 else None
     out = T.StructType([*[src.schema[c] for c in (id_col, *keep)], *RESULT.fields])
     if with_text:
         out.add("clean_text", T.StringType())
@@ -193,11 +216,16 @@ def decontaminate(spark: SparkSession, docs: DataFrame, items: DataFrame,
     token = uuid.uuid4().hex
 
     def run(parts):
-        machines = once(token,
-                        lambda: [ItemAutomaton(b.value, window) for b in blocks])
+        machine = once(token, lambda: ItemAutomaton(single.value, window)) if single else None
         for part in parts:
             raw = utf8(part.column(n_keep))
-            rows = [_one(machines, t, with_text) for t in raw]
+            if part.num_columns > n_keep + 1:
+                found = zip(*[part.column(n_keep + k).to_pylist() for k in (1, 2)], strict=True)
+                rows = [_row(t, w := words(t), _flags(len(w), spans), set(items or ()), with_text)
+                        for t, (spans, items) in zip(raw, found, strict=True)]
+            else:
+                rows = [_row(t, w := words(t), *(machine.scan(w) if machine else (
+                    np.zeros(len(w), dtype=bool), set())), with_text) for t in raw]
             cols = list(zip(*rows, strict=True)) or [[]] * (len(RESULT) + with_text)
             if with_text:
                 old = part.column(n_keep).to_pylist()
@@ -213,13 +241,39 @@ def decontaminate(spark: SparkSession, docs: DataFrame, items: DataFrame,
 _TYPES = (pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.bool_(), pa.string())
 
 
-def _one(machines: list[ItemAutomaton], text: bytes, with_text: bool) -> tuple:
-    tokens = words(text)
-    hit, found = np.zeros(len(tokens), dtype=bool), set()
-    for m in machines:
-        more, items = m.scan(tokens)
-        hit |= more
-        found |= items
+def _hits(src: DataFrame, id_col: str, text_col: str, block, window: int) -> DataFrame:
+    """For each row key with hits: the runs of hit words (from, to, from, ...)
+    and the items found."""
+    token = uuid.uuid4().hex
+    schema = pa.schema([("i", pa.int64()), ("t", pa.int64()), ("spans", pa.list_(pa.int32())),
+                        ("items", pa.list_(pa.string()))])
+
+    def run(parts):
+        machine = once(token, lambda: ItemAutomaton(block.value, window))
+        for part in parts:
+            out = []
+            for i, t, raw in zip(part.column(0).to_pylist(), part.column(1).to_pylist(),
+                                 utf8(part.column(2)), strict=True):
+                hit, found = machine.scan(words(raw))
+                if found:
+                    edge = np.flatnonzero(np.diff(np.concatenate(([0], hit, [0]))))
+                    out.append((i, t, edge.tolist(), sorted(found)))
+            yield to_batch(out, schema)
+
+    return src.select(*row_key(src, id_col, text_col), F.col(text_col).alias("raw")) \
+        .mapInArrow(run, "i long, t long, spans array<int>, items array<string>") \
+        .dropDuplicates(["i", "t"])
+
+
+def _flags(n: int, spans: list[int] | None) -> np.ndarray:
+    hit = np.zeros(n, dtype=bool)
+    for lo, hi in np.reshape(spans or [], (-1, 2)).astype(int).tolist():
+        hit[lo:hi] = True
+    return hit
+
+
+def _row(text: bytes, tokens: list[bytes], hit: np.ndarray, found: set[str],
+         with_text: bool) -> tuple:
     n = int(hit.sum())
     row = (len(tokens), n, len(found), hashlib.sha256(",".join(sorted(found)).encode()).hexdigest(),
            n > 0)

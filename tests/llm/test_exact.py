@@ -321,3 +321,36 @@ def test_decontamination(spark, block):
     assert not any(r["contaminated"] for r in by_id(
         decontam.decontaminate(spark, docs(spark, TEXTS), none)).values())
     assert decontam.decontaminate(spark, empty(spark), table).count() == 0
+
+
+def test_decontamination_holds_one_block(spark, monkeypatch):
+    """Each pass broadcasts one bounded block, and none is left when the next comes."""
+    from pyspark.core.broadcast import Broadcast
+    words = [f"w{k}" for k in range(400)]
+    rng = random.Random(2)
+    items = [(k, " ".join(rng.choices(words, k=12))) for k in range(60)]
+    texts = [f"aa {items[k][1]} {items[59 - k][1]} bb" for k in range(30)] + ["", None, "nothing"]
+    sizes, alive = [], set()
+    broadcast, destroy = type(spark.sparkContext).broadcast, Broadcast.destroy
+
+    def held(self, value):
+        assert not alive
+        sizes.append(sum(len(t) for _, t in value))
+        out = broadcast(self, value)
+        alive.add(id(out))
+        return out
+
+    def gone(self, *a):
+        alive.discard(id(self))
+        return destroy(self, *a)
+
+    monkeypatch.setattr(type(spark.sparkContext), "broadcast", held)
+    monkeypatch.setattr(Broadcast, "destroy", gone)
+    # A repeated row gets its result once for each copy.
+    twice = docs(spark, texts).union(docs(spark, texts).where("doc_id = 3"))
+    got = decontam.decontaminate(spark, twice, spark.createDataFrame(items, "item_id long, text string"),
+                                 block_bytes=1200).collect()
+    assert len(got) == len(texts) + 1
+    assert len(sizes) > 2 and max(sizes) <= 1200 and not alive
+    assert sorted(r["n_hit"] for r in got) == [0] * 3 + [24] * 31
+    assert {r["n_items"] for r in got if r["n_hit"]} == {2}
