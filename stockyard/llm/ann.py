@@ -7,7 +7,8 @@ leaves is reached. That number is widened until the recall measured against
 brute force, on a sample of queries, reaches the target.
 
 Neighbouring leaves form a block, whose rows are dealt to shards of bounded size;
-a query meets each shard once, with the leaves it visits there. A crowded leaf
+a query meets each shard once, with the leaves it visits there, and the queries
+of a shard are streamed past its rows, however many they are. A crowded leaf
 gets a tree of its own inside a shard, searched in the same way, so a leaf with
 a third of all rows is neither one task nor one long scan.
 """
@@ -263,34 +264,31 @@ class Index:
         held = self.filed.withColumn("block", block) \
             .withColumn("shard", F.pmod(F.xxhash64("id"), count).cast("long"))
 
-        def look(q, r):
-            if not q.num_rows or not r.num_rows:
-                return _PAIRS.empty_table()
-            x, vectors = matrix(r["v"].combine_chunks()), matrix(q["v"].combine_chunks())
-            leaf, label = r["leaf"].to_numpy(), np.zeros(r.num_rows, dtype=np.int64)
-            wanted = q["leaves"].to_pylist()
-            opens, n = [], 0  # labels that each query opens
-            for b in np.unique(leaf).tolist():
-                rows = np.flatnonzero(leaf == b)
-                askers = [i for i, found in enumerate(wanted) if b in found]
-                if len(rows) <= large:
-                    label[rows] = n
-                    opens += [(i, n) for i in askers]
-                    n += 1
-                    continue
-                # A crowded leaf gets a tree of its own, walked in the same way.
-                small = KMeansTree(x[rows], large // 4)
-                label[rows] = n + small.file(x[rows])
-                opens += [(i, n + c) for i in askers for c in small.best_bins(vectors[i], visits)]
-                n += small.n_leaves
-            table = np.zeros((len(wanted), n), dtype=bool)
-            if opens:
-                table[tuple(np.array(opens).T)] = True
-            return pa.Table.from_batches([_pairs(list(top(
-                q["id"].to_numpy(), vectors, r["id"].to_numpy(), x, k, label, table)))])
-
-        pairs = asked.groupBy("block", "shard").cogroup(held.groupBy("block", "shard")) \
-            .applyInArrow(look, "query_id long, vec_id long, score double")
+        def look(parts):
+            # Sorted by group, rows before queries: the rows of a group are held
+            # (a bounded shard), its queries are streamed past them.
+            key, rows, shard = None, [], None
+            for part in parts:
+                group = np.stack([part.column(k).to_numpy() for k in range(3)], axis=1)
+                cuts = np.flatnonzero((group[1:] != group[:-1]).any(axis=1)) + 1
+                for lo, hi in zip([0, *cuts], [*cuts, len(group)], strict=True):
+                    if lo == hi:
+                        continue
+                    some, now = part.slice(lo, hi - lo), tuple(group[lo, :2])
+                    if now != key:
+                        key, rows, shard = now, [], None
+                    if not group[lo, 2]:
+                        rows.append(some)
+                    elif rows:
+                        shard = shard or Shard(pa.Table.from_batches(rows), large)
+                        yield _pairs(list(shard.search(some, k, visits)))
+
+        both = held.select("block", "shard", F.lit(0).alias("asks"), "leaf",
+                           F.lit(None).cast("array<long>").alias("leaves"), "id", "v").union(
+            asked.select("block", "shard", F.lit(1), F.lit(None).cast("long"), "leaves", "id", "v"))
+        pairs = both.repartition("block", "shard") \
+            .sortWithinPartitions("block", "shard", "asks", "id") \
+            .mapInArrow(look, "query_id long, vec_id long, score double")
         return _best(pairs, k)
 
     def calibrate(self, queries: DataFrame, k: int, recall: float = RECALL,
@@ -336,6 +334,35 @@ class Index:
         return np.array([order[r["query_id"]][leaf[r["vec_id"]]] for r in exact])
 
 
+class Shard:
+    """Rows of a block, labelled by leaf; a crowded leaf gets a tree of its own."""
+
+    def __init__(self, rows: pa.Table, large: int):
+        self.ids, self.x = rows["id"].to_numpy(), matrix(rows["v"].combine_chunks())
+        leaf = rows["leaf"].to_numpy()
+        self.label = np.zeros(len(leaf), dtype=np.int64)
+        self.leaves: list[tuple[int, int, KMeansTree | None]] = []  # leaf, first label, its tree
+        self.n = 0
+        for b in np.unique(leaf).tolist():
+            at = np.flatnonzero(leaf == b)
+            tree = KMeansTree(self.x[at], large // 4) if len(at) > large else None
+            self.label[at] = self.n + (tree.file(self.x[at]) if tree else 0)
+            self.leaves.append((b, self.n, tree))
+            self.n += tree.n_leaves if tree else 1
+
+    def search(self, queries: pa.RecordBatch, k: int, visits: int):
+        """(query id, row id, cosine) of the rows found for a batch of queries."""
+        vectors = matrix(queries.column("v"))
+        wanted = [set(x) for x in queries.column("leaves").to_pylist()]
+        table = np.zeros((len(wanted), self.n), dtype=bool)
+        for b, first, tree in self.leaves:
+            for i in [i for i, found in enumerate(wanted) if b in found]:
+                # The own tree of a crowded leaf is walked in the same way.
+                opens = tree.best_bins(vectors[i], visits) if tree else [0]
+                table[i, [first + c for c in opens]] = True
+        return top(queries.column("id").to_numpy(), vectors, self.ids, self.x, k, self.label, table)
+
+
 def nearest_neighbours(spark: SparkSession, rows: DataFrame, query_mod: int = 50, k: int = 5,
                        id_col: str = "vec_id", vec_col: str = "embedding",
                        recall: float = RECALL) -> DataFrame:

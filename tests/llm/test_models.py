@@ -332,6 +332,23 @@ def test_nearest_neighbours_small(spark):
     assert ann.nearest_neighbours(spark, three.where("vec_id = 0")).count() == 0
 
 
+def test_queries_are_streamed(spark):
+    """A shard's queries come in batches, not as one group."""
+    x = np.random.RandomState(6).randn(900, 8)
+    df = spark.createDataFrame([(k, v.tolist()) for k, v in enumerate(x)],
+                               "vec_id long, embedding array<double>")
+    before = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "7")
+    try:
+        index = ann.Index(spark, df, "vec_id", "embedding", leaf_rows=32, shard_rows=200)
+        found = index.search(index.rows, 3, index.n_leaves)
+        got = [(r["query_id"], r["vec_id"]) for r in found.orderBy("query_id", "rank").collect()]
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", before)
+    assert got == [(q, i) for q in range(900) for i, _ in exact(np.arange(900), x, q, 3)]
+    assert "CoGroup" not in found._jdf.queryExecution().toString()
+
+
 def test_tree_visits_every_leaf_once():
     x = np.random.RandomState(0).randn(500, 8)
     tree = ann.KMeansTree(x, 20)
