@@ -16,6 +16,7 @@ a third of all rows is neither one task nor one long scan.
 from __future__ import annotations
 
 import heapq
+import logging
 import math
 
 import numpy as np
@@ -26,6 +27,8 @@ from pyspark.sql import types as T
 
 from stockyard.llm.common import prepare, written
 
+_LOG = logging.getLogger(__name__)
+
 BRANCH = 8
 LEAF_ROWS = 256           # rows of a leaf, on average
 SAMPLE_ROWS = 20_000      # rows that the tree is fitted on
@@ -229,6 +232,10 @@ class Index:
                        self.filed.groupBy(F.floor(F.col("leaf") / BLOCK_LEAVES).alias("block"))
                        .agg(F.count("*").alias("n")).collect()}
 
+        # Visits at which the trees of crowded leaves are searched whole, too.
+        self.widest = max(self.n_leaves, self.filed.groupBy("leaf").count()
+                          .agg(F.max("count")).first()[0])
+
     def search(self, queries: DataFrame, k: int, visits: int) -> DataFrame:
         """The ``k`` nearest rows found of each query (``id``, ``v``)."""
         tree = self.tree
@@ -317,7 +324,7 @@ class Index:
                 visits += (visits + 1) // 2
             got = self.search(asked, k, visits).collect()
             share = sum(r["score"] >= worst[r["query_id"]] - 1e-12 for r in got) / len(exact)
-            if share >= recall or visits >= self.n_leaves:
+            if share >= recall or visits >= self.widest:
                 return visits, share
             visits += (visits + 1) // 2
 
@@ -379,6 +386,9 @@ def nearest_neighbours(spark: SparkSession, rows: DataFrame, query_mod: int = 50
     if not index.n:
         return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
     queries = index.rows.where(F.col("id") % query_mod == 0)
-    visits, _ = index.calibrate(queries, k, recall)
+    visits, reached = index.calibrate(queries, k, recall)
+    if reached < recall:
+        _LOG.warning("recall %.3f of %d leaf visits is below the %.3f asked for",
+                     reached, visits, recall)
     return index.search(queries, k, visits) \
         .select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")

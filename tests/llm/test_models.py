@@ -332,6 +332,20 @@ def test_nearest_neighbours_small(spark):
     assert ann.nearest_neighbours(spark, three.where("vec_id = 0")).count() == 0
 
 
+def test_recall_of_a_crowded_leaf(spark, caplog, monkeypatch):
+    """One leaf holds all rows: its own tree is opened until the recall is reached."""
+    x = np.random.RandomState(5).randn(1200, 24)
+    df = spark.createDataFrame([(k, v.tolist()) for k, v in enumerate(x)],
+                               "vec_id long, embedding array<double>")
+    index = ann.Index(spark, df, "vec_id", "embedding", leaf_rows=8, sample_rows=6)
+    assert index.n_leaves < 8
+    visits, reached = index.calibrate(index.rows, 5, 0.99, test_queries=40)
+    assert reached >= 0.99 and visits > index.n_leaves
+    monkeypatch.setattr(ann.Index, "calibrate", lambda *a, **b: (4, 0.5))
+    ann.nearest_neighbours(spark, df)
+    assert "recall 0.500" in caplog.text
+
+
 def test_queries_are_streamed(spark):
     """A shard's queries come in batches, not as one group."""
     x = np.random.RandomState(6).randn(900, 8)
