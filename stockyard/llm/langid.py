@@ -10,6 +10,7 @@ from __future__ import annotations
 import re
 import uuid
 from collections import Counter
+from hashlib import blake2b
 
 import numpy as np
 import pyarrow as pa
@@ -22,10 +23,8 @@ from stockyard.llm.common import batches_of, crc_mod, forget, once, prepare, tex
 LONGEST = 5
 SMOOTHING = 0.5
 # Training texts of each language that a fit reads at most (by hash of the
-# id), and words and n-grams that a model holds at most (the most frequent).
+# id); a model holds all words and n-grams of these texts.
 FIT_ROWS = 3_000
-MODEL_WORDS = 150_000
-MODEL_GRAMS = 200_000
 WORD_CACHE = 400_000
 UNDETERMINED = "und"
 _WORD = re.compile(r"[^\W\d_]+")
@@ -42,33 +41,68 @@ def grams(word: str, n: int) -> list[str]:
     return [w[i:i + n] for i in range(len(w) - n + 1)] if n > 1 else list(word)
 
 
+def key_of(g: str) -> int:
+    return int.from_bytes(blake2b(g.encode(), digest_size=8).digest(), "little", signed=True)
+
+
+class LogCounts:
+    """Log frequencies by language of words or n-grams, which are keyed by hash:
+    sorted arrays that hold only the languages with a count."""
+
+    def __init__(self, key: np.ndarray, lang: np.ndarray, count: np.ndarray, n_langs: int):
+        order = np.lexsort((lang, key))
+        key = key[order]
+        first = np.flatnonzero(np.concatenate(([True], key[1:] != key[:-1]))) if len(key) else order
+        self.keys, self.ends = key[first], np.append(first, len(key))
+        self.lang = lang[order].astype(np.int32)
+        count = count[order]
+        self.count = count.astype(np.int32) if not len(count) or count.max() < 1 << 31 else count
+        self.total = np.bincount(lang, weights=count, minlength=n_langs) \
+            + SMOOTHING * len(self.keys)
+        self.absent = np.log(SMOOTHING / self.total) if len(key) else self.total
+
+    @staticmethod
+    def of(counts: dict[str, list[int]], n_langs: int) -> LogCounts:
+        held = [(key_of(g), k, n) for g, row in counts.items() for k, n in enumerate(row) if n]
+        return LogCounts(*np.array(held, dtype=np.int64).reshape(-1, 3).T, n_langs)
+
+    def rows(self, found: list[str]) -> np.ndarray:
+        """A row for each of ``found`` that is held."""
+        if not len(self.keys) or not found:
+            return np.zeros((0, len(self.total)))
+        key = np.array([key_of(g) for g in found], dtype=np.int64)
+        at = np.minimum(np.searchsorted(self.keys, key), len(self.keys) - 1)
+        at = at[self.keys[at] == key]
+        out = np.tile(self.absent, (len(at), 1))
+        for row, lo, hi in zip(out, self.ends[at].tolist(), self.ends[at + 1].tolist(), strict=True):
+            lang = self.lang[lo:hi]
+            row[lang] = np.log((self.count[lo:hi] + SMOOTHING) / self.total[lang])
+        return out
+
+
 class LanguageModel:
-    """Log frequencies of words and n-grams by language."""
+    """Log frequencies of words and n-grams by language, from dicts or, for
+    n-grams of one character, two and so on, ``LogCounts``."""
 
-    def __init__(self, langs: list[str], word_counts: dict[str, list[int]],
-                 gram_counts: dict[str, list[int]]):
+    def __init__(self, langs: list[str], word_counts: dict[str, list[int]] | LogCounts,
+                 gram_counts: dict[str, list[int]] | list[LogCounts]):
         self.langs = langs
-        self.words = self._logs(word_counts)
-        self.grams: dict[str, np.ndarray] = {}
-        for n in range(1, LONGEST + 1):
-            self.grams |= self._logs({g: c for g, c in gram_counts.items() if len(g) == n})
+        if isinstance(word_counts, dict):
+            word_counts = LogCounts.of(word_counts, len(langs))
+            gram_counts = [LogCounts.of({g: c for g, c in gram_counts.items() if len(g) == n},
+                                        len(langs)) for n in range(1, LONGEST + 1)]
+        self.words, self.grams = word_counts, gram_counts
         self.row: dict[str, int] = {}
         self.rows = np.zeros((1024, len(langs)), dtype=np.float64)
 
-    def _logs(self, counts: dict[str, list[int]]) -> dict[str, np.ndarray]:
-        if not counts:
-            return {}
-        c = np.array(list(counts.values()), dtype=np.float64) + SMOOTHING
-        return dict(zip(counts, np.log(c / c.sum(axis=0)), strict=True))
-
     def word(self, w: str) -> np.ndarray:
-        got = self.words.get(w)
-        if got is not None:
-            return got
+        got = self.words.rows([w])
+        if len(got):
+            return got[0]
         for n in range(LONGEST, 0, -1):
-            known = [self.grams[g] for g in grams(w, n) if g in self.grams]
-            if known:
-                return np.mean(known, axis=0)
+            known = self.grams[n - 1].rows(grams(w, n))
+            if len(known):
+                return known.mean(axis=0)
         return np.zeros(len(self.langs))
 
     def _add(self, w: str) -> int:
@@ -99,8 +133,8 @@ def fit(spark: SparkSession, docs: DataFrame, train: Column, id_col: str = "doc_
         text_col: str = "text", lang_col: str = "lang", fit_rows: int = FIT_ROWS) -> tuple:
     """Languages and the counts of their words and n-grams, from the rows that
     ``train`` selects. At most about ``fit_rows`` texts of each language are
-    read, chosen by a hash of the id; they are counted where they lie, and only
-    the model (bounded) comes to the driver."""
+    read, chosen by a hash of the id; they are counted where they lie, and all
+    counts of this sample come to the driver, by hash."""
     rows = docs.where(train & F.col(lang_col).isNotNull() & F.col(text_col).isNotNull())
     n = {r["lang"]: r["n"] for r in rows.groupBy(F.col(lang_col).alias("lang"))
          .agg(F.count("*").alias("n")).collect()}
@@ -111,7 +145,8 @@ def fit(spark: SparkSession, docs: DataFrame, train: Column, id_col: str = "doc_
     spot = F.pmod(F.xxhash64(id_col, F.lit("fit")), F.lit(1_000_000)) / 1_000_000
     picked = rows.where(spot < F.try_element_at(share, F.col(lang_col))) \
         .select(F.col(lang_col).alias("l"), F.col(text_col).alias("t"))
-    schema = pa.schema([("l", pa.string()), ("k", pa.int32()), ("g", pa.string()),
+    number = {lang: k for k, lang in enumerate(langs)}
+    schema = pa.schema([("l", pa.int32()), ("k", pa.int32()), ("g", pa.int64()),
                         ("n", pa.int64())])
 
     def count(parts):
@@ -121,32 +156,23 @@ def fit(spark: SparkSession, docs: DataFrame, train: Column, id_col: str = "doc_
             for lang, t in zip(*[c.to_pylist() for c in part.columns], strict=True):
                 seen.setdefault(lang, Counter()).update(words(t))
             for lang, w in seen.items():
-                total: Counter = Counter()
-                for word, k in w.items():
-                    for size in range(1, LONGEST + 1):
+                at = number[lang]
+                yield from batches_of(((at, 0, key_of(x), k) for x, k in w.items()), schema)
+                for size in range(1, LONGEST + 1):
+                    total: Counter = Counter()
+                    for word, k in w.items():
                         for g in grams(word, size):
                             total[g] += k
-                yield from batches_of(((lang, 0, x, k) for x, k in w.items()), schema)
-                yield from batches_of(((lang, 1, x, k) for x, k in total.items()), schema)
-
-    counts = picked.mapInArrow(count, "l string, k int, g string, n long") \
-        .groupBy("k", "g").pivot("l", langs).sum("n").fillna(0, langs)
-    path = _written(spark, counts.toDF("k", "g", *[f"c{i}" for i in range(len(langs))]))
-    cols = [f"c{i}" for i in range(len(langs))]
-    total = sum((F.col(c) for c in cols), F.lit(0))
-    out = []
-    for kind, most in ((0, MODEL_WORDS), (1, MODEL_GRAMS)):
-        top = spark.read.parquet(path).where(F.col("k") == kind) \
-            .orderBy(total.desc(), "g").limit(most).toPandas()
-        out.append(dict(zip(top["g"], top[cols].to_numpy().tolist(), strict=True)))
-    return langs, *out
-
-
-def _written(spark: SparkSession, df: DataFrame) -> str:
-    from stockyard.session import scratch_path
-    path = scratch_path(spark, "langid")
-    df.write.parquet(path)
-    return path
+                    yield from batches_of(((at, size, key_of(x), k) for x, k in total.items()),
+                                          schema)
+
+    # All words and n-grams of the bounded sample: 24 bytes each and language.
+    got = picked.mapInArrow(count, "l int, k int, g long, n long") \
+        .groupBy("k", "g", "l").agg(F.sum("n").alias("n")).toPandas()
+    kind = got["k"].to_numpy()
+    held = [LogCounts(*[got[c].to_numpy()[kind == k] for c in ("g", "l", "n")], len(langs))
+            for k in range(LONGEST + 1)]
+    return langs, held[0], held[1:]
 
 
 def identify(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id",

@@ -51,6 +51,24 @@ def test_language_backs_off():
     assert m.predict("ü")[0] == "a"       # nothing known: a tie
 
 
+def test_language_keeps_rare_words(spark):
+    """The words of a small language count beside many more frequent ones, though
+    their n-grams belong to words of another language."""
+    rng = random.Random(11)
+    word = lambda: "".join(rng.choices("abcdefgh", k=9))
+    ids = [k for k in range(400) if crc(k, 3) != 1]
+    own = [word() for _ in range(60)]
+    rows = [(ids[k], " ".join([word() for _ in range(1800)] * 2
+                              + [f"q{w}q" for w in own] * 10 * (k % 2)), "xy"[k % 2])
+            for k in range(100)]
+    rows.append((ids[100], " ".join(own), "z"))
+    held = [k for k in range(400) if crc(k, 3) == 1][:20]
+    rows += [(k, " ".join(rng.sample(own, 5)), None) for k in held]
+    got = {r["doc_id"]: r["lang_pred"] for r in langid.identify(spark, spark.createDataFrame(
+        rows, "doc_id long, text string, lang string")).collect()}
+    assert [got[k] for k in held] == ["z"] * 20
+
+
 def test_language_without_training(spark):
     nothing = spark.createDataFrame([(1, "some text", None)], "doc_id long, text string, lang string")
     assert [tuple(r)[2:] for r in langid.identify(spark, nothing).collect()] == [("und", 0.0)]
