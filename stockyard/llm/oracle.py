@@ -4,6 +4,7 @@ apply a tokenizer file, or hash with a function that SQL lacks."""
 from __future__ import annotations
 
 _LOWER = "translate(coalesce({}, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+_PIECE_END, _PIECE_WORD = r"[.,;:!?\x0A-\x0D]", r"[^\x20\x09]+"
 _WORDS = r"regexp_extract_all({}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
 
 ORACLE: dict[str, str] = {
@@ -55,4 +56,34 @@ SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(hit.n, 0) AS BIG
   CAST(coalesce(items.n, 0) AS BIGINT) AS n_items, sha256(coalesce(names, '')) AS items_sha256,
   coalesce(hit.n, 0) > 0 AS contaminated
 FROM d LEFT JOIN hit USING (doc_id) LEFT JOIN items USING (doc_id)""",
+    # All phrases of one to three words, counted as strings.
+    "op11_phrase_collocations": f"""WITH pieces AS (
+  SELECT coalesce(lang, 'und') AS lang,
+    regexp_extract_all(unnest(string_split_regex({_LOWER.format('text')}, '{_PIECE_END}')), '{_PIECE_WORD}') AS w
+  FROM documents),
+totals AS (SELECT lang, CAST(sum(len(w)) AS BIGINT) AS n FROM pieces GROUP BY lang),
+places AS (SELECT lang, w, k, unnest(range(1, len(w) - k + 2)) AS p
+  FROM pieces CROSS JOIN (VALUES (1), (2), (3)) AS sizes(k)),
+f AS (
+  SELECT lang, k, array_to_string(w[p:p + k - 1], ' ') AS phrase, count(*) AS a FROM places GROUP BY ALL),
+found AS (
+  SELECT *, string_split(phrase, ' ') AS w FROM f WHERE k > 1 AND a >= 10),
+cuts AS (SELECT *, unnest(range(1, k)) AS cut FROM found),
+scored AS (
+  SELECT c.lang, c.phrase, c.a, c.w, c.k, c.cut, x.a AS l, y.a AS r,
+    CAST((CAST(1000000 AS HUGEINT) * c.a * c.a) // (CAST(x.a AS HUGEINT) * y.a) AS BIGINT) AS score
+  FROM cuts c JOIN f x ON x.lang = c.lang AND x.phrase = array_to_string(c.w[1:c.cut], ' ')
+    JOIN f y ON y.lang = c.lang AND y.phrase = array_to_string(c.w[c.cut + 1:c.k], ' ')),
+best AS (
+  SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, cut) = 1),
+inside AS (
+  SELECT lang, phrase, max(a) AS most FROM (
+    SELECT lang, a, unnest([array_to_string(w[1:2], ' '), array_to_string(w[2:3], ' ')]) AS phrase
+    FROM found WHERE k = 3) GROUP BY lang, phrase),
+kept AS (
+  SELECT best.* FROM best LEFT JOIN inside USING (lang, phrase)
+  WHERE most IS NULL OR 100 * most < 50 * a)
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank,
+  phrase, a, l, r, n, score
+FROM kept JOIN totals USING (lang) QUALIFY rank <= 2000""",
 }

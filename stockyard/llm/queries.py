@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from stockyard.llm import (
     ann,
     bpe,
+    collocation,
     decontam,
     langid,
     lm,
@@ -80,6 +81,11 @@ def op10_simhash_near_dedup(spark, sf_dir):
     return got.select(F.col("id").alias("doc_id"), simhash.hex_fp(F.col("fp")).alias("fingerprint"), "component_id")
 
 
+def op11_phrase_collocations(spark, sf_dir):
+    """The best two- and three-word collocations of each language."""
+    return collocation.mine(spark, table(spark, sf_dir, "documents"))
+
+
 def pipeline(spark, sf_dir):
     """The corpus pipeline over all documents."""
     import corpus_pipeline
@@ -89,4 +95,5 @@ def pipeline(spark, sf_dir):
 QUERIES = {f.__name__: f for f in (
     op1_nearest_neighbours, op2_language_id, op3_bpe_encode_decode, op4_lm_scoring,
     op5_token_counts, op6_url_filter, op7_toxicity, op8_suffix_array_dedup,
-    op9_benchmark_decontamination, op10_simhash_near_dedup, pipeline)}
+    op9_benchmark_decontamination, op10_simhash_near_dedup,
+    op11_phrase_collocations, pipeline)}

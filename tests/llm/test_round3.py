@@ -1,0 +1,99 @@
+"""Collocations, importance resampling and MinHash groups, against brute force."""
+
+import re
+from collections import Counter
+
+import pytest
+
+from stockyard.llm import collocation, words
+
+
+def docs(spark, rows, schema="doc_id long, text string, lang string, a string, rank long, bucket int"):
+    return spark.createDataFrame([(*r, "x", 7, 1) for r in rows], schema)
+
+
+# --- collocations ----------------------------------------------------------
+
+def lower(text):
+    return re.sub("[A-Z]+", lambda m: m[0].lower(), text or "")
+
+
+def brute_phrases(rows, max_words=3, min_count=10, pct=50, top=2000):
+    f, n = {}, Counter()
+    for _, text, lang in rows:
+        lang = "und" if lang is None else lang
+        for piece in re.split(r"[.,;:!?\x0A-\x0D]", lower(text)):
+            w = re.findall(r"[^\x20\x09]+", piece)
+            n[lang] += len(w)
+            for k in range(1, max_words + 1):
+                for i in range(len(w) - k + 1):
+                    key = lang, tuple(w[i:i + k])
+                    f[key] = f.get(key, 0) + 1
+    found = {}
+    for (g, p), a in f.items():
+        if len(p) > 1 and a >= min_count:
+            cuts = [(10 ** 6 * a * a // (f[g, p[:k]] * f[g, p[k:]]), k) for k in range(1, len(p))]
+            score, k = min(cuts)
+            found[g, p] = (score, a, f[g, p[:k]], f[g, p[k:]])
+    gone = set()
+    for (g, p), (_, a, _, _) in found.items():
+        for k in range(2, len(p)):
+            for i in range(len(p) - k + 1):
+                if 100 * a >= pct * found[g, p[i:i + k]][1]:
+                    gone.add((g, p[i:i + k]))
+    out = []
+    for g in n:
+        mine = sorted((-v[0], -v[1], " ".join(p).encode(), v) for (h, p), v in found.items()
+                      if h == g and (h, p) not in gone)
+        out += [(g, r, key.decode(), v[1], v[2], v[3], n[g], v[0])
+                for r, (_, _, key, v) in enumerate(mine[:top], 1)]
+    return sorted(out)
+
+
+def phrase_rows():
+    import random
+    rng = random.Random(5)
+    vocab = ["New", "york", "CITY", "élan", "a", "b", "c", "ÀB", "x y", "中文"]
+    rows = [(k, " ".join(rng.choices(vocab, weights=range(10, 0, -1), k=30)) + rng.choice([".", "", "\n", "?!"])
+             + "\tnew york city", rng.choice(["en", "de", None, "a b%"])) for k in range(120)]
+    rows += [(1000, None, "en"), (1001, "", None), (1002, " .;,\t", "en"), (1003, "lone", "zz")]
+    rows += [(7, "again and again. again and again", "en")] * 12
+    rows += [(2000, "very long text " * 3000 + "end." + " b" * 500, "de"), (None, "a b c", "en")]
+    return rows
+
+
+@pytest.mark.parametrize("max_words, block", [(3, 1 << 19), (3, 100), (4, 64), (2, 1 << 10)])
+def test_phrases_equal_brute_force(spark, max_words, block):
+    rows = phrase_rows()
+    got = collocation.mine(spark, docs(spark, rows).repartition(3), max_words=max_words, block_size=block)
+    assert sorted(tuple(r) for r in got.collect()) == brute_phrases(rows, max_words)
+
+
+def test_phrases_top_ties_and_empty(spark):
+    rows = [(k, "a b. c d. e f. g h. i j", "en") for k in range(10)]
+    got = collocation.mine(spark, docs(spark, rows), top=3).collect()
+    assert [tuple(r)[1:4] for r in sorted(got)] == [(1, "a b", 10), (2, "c d", 10), (3, "e f", 10)]
+    assert collocation.mine(spark, docs(spark, [])).count() == 0
+    assert collocation.mine(spark, docs(spark, [(1, None, None)] * 20)).count() == 0
+    with pytest.raises(ValueError):
+        collocation.mine(spark, docs(spark, rows), max_words=1)
+
+
+def test_scores_past_64_bits(spark):
+    a, low, high = 3_000_000_000, 3_000_000_001, 9_000_000_000
+    L = spark.createDataFrame([(1, [high])], "id long, pre array<long>").alias("L")
+    R = spark.createDataFrame([(2, [low])], "id long, suf array<long>").alias("R")
+    C = spark.createDataFrame([(1, 2, a)], "left long, right long, a long").alias("C")
+    from pyspark.sql import functions as F
+    got = C.join(L, F.col("left") == F.col("L.id")).join(R, F.col("right") == F.col("R.id")) \
+        .select(collocation._cut_score(2).alias("cut")).first().cut
+    assert got.score == 10 ** 6 * a * a // (low * high) and (got.l, got.r) == (high, low)
+
+
+def test_chunks_keep_words():
+    data = ("wörd " * 300 + "x" * 500 + " tail\nend").encode()
+    for size in (7, 64, 10_000):
+        parts = list(words.chunks(data, size))
+        assert b"".join(parts) == data
+        assert [w for p in parts for w in words.space_words(p)] == words.space_words(data)
+        assert [w for p in parts for w in words.piece_tokens(p)] == words.piece_tokens(data)
