@@ -86,4 +86,64 @@ kept AS (
 SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank,
   phrase, a, l, r, n, score
 FROM kept JOIN totals USING (lang) QUALIFY rank <= 2000""",
+    # crc32 byte by byte over the distinct features, with its table made by rule.
+    "op12_importance_resampling": f"""WITH RECURSIVE bits(n, step, c) AS (
+  SELECT n, 0, CAST(n AS BIGINT) FROM range(256) AS t(n)
+  UNION ALL SELECT n, step + 1, CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END
+  FROM bits WHERE step < 8),
+crc AS (SELECT list(c ORDER BY n) AS t FROM bits WHERE step = 8),
+docs AS MATERIALIZED (
+  SELECT row_number() OVER () AS k, doc_id, {_WORDS.format(_LOWER.format('text'))} AS w FROM documents),
+texts AS (
+  SELECT 'd' AS side, k, w FROM docs
+  UNION ALL SELECT 'b', row_number() OVER (), {_WORDS.format(_LOWER.format('text'))} FROM benchmark),
+features AS (
+  SELECT side, k, array_to_string(w[p:p + m - 1], ' ') AS f FROM (
+    SELECT *, unnest(range(1, len(w) - m + 2)) AS p FROM texts CROSS JOIN (VALUES (1), (2), (3)) AS runs(m))),
+bytes AS (
+  SELECT f, list_transform(range(0, length(hex(encode(f))) // 2), lambda i:
+      CAST(instr('123456789ABCDEF', substr(hex(encode(f)), CAST(2 * i + 1 AS BIGINT), 1)) * 16
+        + instr('123456789ABCDEF', substr(hex(encode(f)), CAST(2 * i + 2 AS BIGINT), 1)) AS BIGINT)) AS x
+  FROM (SELECT DISTINCT f FROM features)),
+buckets AS (
+  SELECT f, xor(list_reduce(x, lambda c, b: xor(c >> 8, t[CAST(xor(c, b) & 255 AS BIGINT) + 1]),
+    CAST(4294967295 AS BIGINT)), 4294967295) % 10000 AS bucket FROM bytes CROSS JOIN crc),
+counts AS (
+  SELECT bucket, count(*) FILTER (side = 'd') AS s, count(*) FILTER (side = 'b') AS t
+  FROM features JOIN buckets USING (f) GROUP BY bucket),
+sums AS (SELECT CAST(sum(s) AS DOUBLE) AS s_all, CAST(sum(t) AS DOUBLE) AS t_all FROM counts),
+gains AS (
+  SELECT bucket, CAST(floor(1000 * ln(((t + 1.0::DOUBLE) * (s_all + 10000))
+    / ((s + 1.0::DOUBLE) * (t_all + 10000)))) AS BIGINT) AS gain FROM counts CROSS JOIN sums),
+weights AS (
+  SELECT k, CAST(count(*) AS BIGINT) AS n_features, CAST(sum(gain) AS BIGINT) AS weight
+  FROM features JOIN buckets USING (f) JOIN gains USING (bucket) WHERE side = 'd' GROUP BY k),
+scored AS (
+  SELECT doc_id, coalesce(n_features, 0) AS n_features, coalesce(weight, 0) AS weight,
+    coalesce(weight, 0) + CAST(floor(-1000 * ln(-ln((CAST('0x' || substr(sha256('42:' || doc_id), 1, 8)
+      AS BIGINT) + 0.5::DOUBLE) / 4294967296))) AS BIGINT) AS score, len(w) >= 20 AS able
+  FROM docs LEFT JOIN weights USING (k)),
+ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY able ORDER BY score DESC, doc_id) AS place,
+    count(*) FILTER (able) OVER () AS n FROM scored)
+SELECT doc_id, n_features, weight, score,
+  CASE WHEN able AND place <= 5 * n // 100 THEN CAST(place AS BIGINT) END AS rank FROM ranked""",
+    # Common shingles of all pairs that share one, then all that can be reached.
+    "op13_minhash_near_dedup": f"""WITH RECURSIVE texts AS (
+  SELECT doc_id, regexp_extract_all({_LOWER.format('text')}, '[^\\x20\\x09-\\x0D]+') AS w FROM documents),
+sets AS (
+  SELECT doc_id, list_sort(list_distinct(CASE WHEN len(w) < 2 THEN w ELSE
+    list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[CAST(i + 1 AS BIGINT)]) END)) AS s FROM texts),
+kinds AS (SELECT min(doc_id) AS d, s, len(s) AS n FROM sets WHERE len(s) > 0 GROUP BY s),
+shingles AS (SELECT d, n, unnest(s) AS x FROM kinds),
+pairs AS (
+  SELECT a.d AS a, b.d AS b FROM shingles a JOIN shingles b ON a.x = b.x AND a.d < b.d
+    AND 100 * least(a.n, b.n) >= 80 * greatest(a.n, b.n)
+  GROUP BY a.d, b.d HAVING 100 * count(*) >= 80 * (min(a.n) + min(b.n) - count(*))),
+links AS (SELECT a, b FROM pairs UNION ALL SELECT b, a FROM pairs),
+reached(a, b) AS (
+  SELECT d, d FROM kinds UNION SELECT reached.a, links.b FROM reached JOIN links ON reached.b = links.a),
+roots AS (SELECT s, min(b) AS component_id FROM reached JOIN kinds ON reached.a = kinds.d GROUP BY s)
+SELECT doc_id, CAST(len(s) AS BIGINT) AS n_shingles, coalesce(component_id, doc_id) AS component_id,
+  doc_id = coalesce(component_id, doc_id) AS kept FROM sets LEFT JOIN roots USING (s)""",
 }

@@ -12,6 +12,8 @@ from stockyard.llm import (
     decontam,
     langid,
     lm,
+    minhash,
+    resample,
     simhash,
     suffix_dedup,
     tokencount,
@@ -86,6 +88,17 @@ def op11_phrase_collocations(spark, sf_dir):
     return collocation.mine(spark, table(spark, sf_dir, "documents"))
 
 
+def op12_importance_resampling(spark, sf_dir):
+    """The twentieth of the documents that is most like the benchmark, drawn with noise."""
+    return resample.resample(spark, table(spark, sf_dir, "documents"),
+                             table(spark, sf_dir, "benchmark"))
+
+
+def op13_minhash_near_dedup(spark, sf_dir):
+    """Near-duplicate component of every document, by MinHash bands and exact links."""
+    return minhash.near_groups(spark, table(spark, sf_dir, "documents"))
+
+
 def pipeline(spark, sf_dir):
     """The corpus pipeline over all documents."""
     import corpus_pipeline
@@ -96,4 +109,4 @@ QUERIES = {f.__name__: f for f in (
     op1_nearest_neighbours, op2_language_id, op3_bpe_encode_decode, op4_lm_scoring,
     op5_token_counts, op6_url_filter, op7_toxicity, op8_suffix_array_dedup,
     op9_benchmark_decontamination, op10_simhash_near_dedup,
-    op11_phrase_collocations, pipeline)}
+    op11_phrase_collocations, op12_importance_resampling, op13_minhash_near_dedup, pipeline)}

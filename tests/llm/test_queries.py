@@ -19,6 +19,8 @@ COLUMNS = {
     "op9": ("documents", "doc_id n_words n_hit n_items items_sha256 contaminated"),
     "op10": ("documents", "doc_id fingerprint component_id"),
     "op11": ("documents", "lang rank phrase a l r n score"),
+    "op12": ("documents", "doc_id n_features weight score rank"),
+    "op13": ("documents", "doc_id n_shingles component_id kept"),
 }
 
 

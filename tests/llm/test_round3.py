@@ -1,11 +1,16 @@
 """Collocations, importance resampling and MinHash groups, against brute force."""
 
+import hashlib
+import math
+import random
 import re
+import zlib
 from collections import Counter
 
+import numpy as np
 import pytest
 
-from stockyard.llm import collocation, words
+from stockyard.llm import collocation, minhash, resample, words
 
 
 def docs(spark, rows, schema="doc_id long, text string, lang string, a string, rank long, bucket int"):
@@ -51,7 +56,6 @@ def brute_phrases(rows, max_words=3, min_count=10, pct=50, top=2000):
 
 
 def phrase_rows():
-    import random
     rng = random.Random(5)
     vocab = ["New", "york", "CITY", "élan", "a", "b", "c", "ÀB", "x y", "中文"]
     rows = [(k, " ".join(rng.choices(vocab, weights=range(10, 0, -1), k=30)) + rng.choice([".", "", "\n", "?!"])
@@ -97,3 +101,145 @@ def test_chunks_keep_words():
         assert b"".join(parts) == data
         assert [w for p in parts for w in words.space_words(p)] == words.space_words(data)
         assert [w for p in parts for w in words.piece_tokens(p)] == words.piece_tokens(data)
+
+
+# --- importance resampling -------------------------------------------------
+
+def brute_resample(rows, target, min_words=20, percent=5):
+    def features(text):
+        w = re.findall(rb"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", (text or "").encode().lower())
+        return w, [zlib.crc32(b" ".join(w[i:i + k])) % 10000
+                   for k in (1, 2, 3) for i in range(len(w) - k + 1)]
+
+    s = Counter(b for _, t in rows for b in features(t)[1])
+    t = Counter(b for x in target for b in features(x)[1])
+    S, T = sum(s.values()), sum(t.values())
+    out = []
+    for i, text in rows:
+        w, fs = features(text)
+        weight = sum(math.floor(1000 * math.log((t[b] + 1.0) * (S + 10000.0) / ((s[b] + 1.0) * (T + 10000.0))))
+                     for b in fs)
+        h = int(hashlib.sha256(f"42:{'' if i is None else i}".encode()).hexdigest()[:8], 16)
+        score = weight + math.floor(-1000 * math.log(-math.log((h + 0.5) / 4294967296)))
+        out.append([i, len(fs), weight, score, None, len(w)])
+    able = sorted((r for r in out if r[5] >= min_words), key=lambda r: (-r[3], r[0] is None, r[0] or 0))
+    for k, r in enumerate(able[:percent * len(able) // 100], 1):
+        r[4] = k
+    return sorted((tuple(r[:5]) for r in out), key=str)
+
+
+def resample_rows():
+    rng = random.Random(6)
+    vocab = ["Law", "court", "élan", "a", "b2", "zoo", "MIX", "q", "中文"]
+    rows = [(k, " ".join(rng.choices(vocab, k=rng.choice([3, 19, 20, 21, 60])))) for k in range(-200, 200)]
+    rows += [(5, rows[205][1]), (5, rows[205][1])]  # repeated rows
+    rows += [(1000, None), (1001, ""), (1002, "--- !"), (None, "law court " * 20),
+             (1 << 62, "court, law-" * 40_000 + "end"), (-(1 << 62), "law " * 25)]
+    return rows, ["Law court zoo " * 30, None, "court of law", ""]
+
+
+@pytest.mark.parametrize("bits, part_rows", [(12, 1 << 17), (3, 7), (16, 64)])
+def test_resample_equals_brute_force(spark, bits, part_rows):
+    rows, target = resample_rows()
+    got = resample.resample(
+        spark, spark.createDataFrame([(*r, 1, "x") for r in rows], "doc_id long, text string, rank int, score string")
+        .repartition(5), spark.createDataFrame([(t,) for t in target], "text string"),
+        percent=40, bits=bits, part_rows=part_rows)
+    assert got.columns == ["doc_id", "n_features", "weight", "score", "rank"]
+    assert sorted((tuple(r) for r in got.collect()), key=str) == brute_resample(rows, target, percent=40)
+
+
+def test_resample_small_cases(spark):
+    none = spark.createDataFrame([], "text string")
+    schema = "doc_id long, text string"
+    assert resample.resample(spark, spark.createDataFrame([], schema), none).count() == 0
+    rows = [(1, "a " * 30)] * 40
+    got = resample.resample(spark, spark.createDataFrame(rows, schema), none).collect()
+    assert len(got) == 40 and sorted(r.rank for r in got if r.rank) == [1, 2]
+    got = resample.resample(spark, spark.createDataFrame([(None, "a " * 30), (2, None)], schema), none)
+    assert {tuple(r)[0]: r.rank for r in got.collect()} == {None: None, 2: None}
+    with pytest.raises(TypeError):
+        resample.resample(spark, spark.createDataFrame([("x", "y")], "doc_id string, text string"), none)
+
+
+def test_radix_ranks_with_ties(spark):
+    rng = random.Random(7)
+    rows = [(rng.randrange(-50, 50), 1, 2, rng.randrange(-3, 3)) for _ in range(500)]
+    df = spark.createDataFrame(rows, "doc_id long, n_features long, weight long, score long")
+    got = sorted((r.place, r.score, r.doc_id) for r in resample.radix_ranks(spark, df, 4, 16).collect())
+    assert [p for p, _, _ in got] == list(range(500))
+    assert [(s, i) for _, s, i in got] == sorted(((r[3], r[0]) for r in rows), key=lambda x: (-x[0], x[1]))
+
+
+# --- MinHash ---------------------------------------------------------------
+
+def brute_groups(rows, percent=80):
+    sets = []
+    for _, text in rows:
+        w = re.findall(rb"[^\x20\x09-\x0D]+", (text or "").encode().lower())
+        sets.append({b" ".join(w[i:i + 2]) for i in range(len(w) - 1)} or {b" ".join(w)} - {b""})
+    root = list(range(len(rows)))
+
+    def find(k):
+        while root[k] != k:
+            k = root[k]
+        return k
+
+    for i, a in enumerate(sets):
+        for j in range(i):
+            if a and 100 * len(a & sets[j]) >= percent * len(a | sets[j]):
+                root[find(i)] = find(j)
+    low = {}
+    for k, (i, _) in enumerate(rows):
+        r = find(k)
+        low[r] = min((x for x in (low.get(r), i) if x is not None), default=None)
+    return sorted(((i, len(sets[k]), low[find(k)], i == low[find(k)])
+                   for k, (i, _) in enumerate(rows)), key=str)
+
+
+def near_rows():
+    rng = random.Random(8)
+    vocab = [f"w{k}é" for k in range(400)]
+    rows = []
+    for g in range(12):
+        text = rng.choices(vocab, k=rng.choice([2, 5, 12, 60, 200]))
+        for _ in range(rng.choice([1, 4, 30])):  # copies of which some are far from the others
+            t = list(text)
+            for _ in range(rng.randrange(0, max(1, len(t) // 12))):
+                t[rng.randrange(len(t))] = rng.choice(vocab)
+            rows.append((1000 * g + rng.randrange(500), " ".join(t)))
+    rows += rows[:3]  # repeated rows
+    rows += [(7, None), (8, None), (9, ""), (10, " \n"), (11, "One"), (12, "one"), (13, "one two"),
+             (None, rows[0][1]), (None, "alone in the world of words"), (50, "a b\x0bc\x0cd"), (51, "a b c d")]
+    rows += [(60, "long text " * 20_000 + "x"), (61, "long text " * 20_000)]
+    return rows
+
+
+@pytest.mark.parametrize("pivots, slice_size", [(4, 4096), (1, 2)])
+def test_minhash_equals_brute_force(spark, monkeypatch, pivots, slice_size):
+    monkeypatch.setattr(minhash, "SLICE", slice_size)
+    rows = near_rows()
+    df = spark.createDataFrame([(*r, 1.5, "x") for r in rows], "doc_id long, text string, n double, node string")
+    got = minhash.near_groups(spark, df.repartition(4), pivots=pivots, checks=1)
+    assert got.columns == ["doc_id", "n_shingles", "component_id", "kept"]
+    assert sorted((tuple(r) for r in got.collect()), key=str) == brute_groups(rows)
+
+
+def test_minhash_empty_and_chain(spark):
+    schema = "doc_id long, text string"
+    assert minhash.near_groups(spark, spark.createDataFrame([], schema)).count() == 0
+    words_ = [f"v{k}" for k in range(100)]
+    chain = [(100 - k, " ".join(words_[k:k + 60])) for k in range(0, 40, 4)]  # each near the next only
+    got = minhash.near_groups(spark, spark.createDataFrame(chain, schema)).collect()
+    assert sorted((tuple(r) for r in got), key=str) == brute_groups(chain)
+    assert len({r.component_id for r in got}) == 1
+
+
+def test_signatures_estimate_similarity():
+    odd, add = minhash.universal(1024, 3)
+    a, b = (minhash.shingle_hashes(" ".join(f"w{k}" for k in range(s, s + 1000)).encode(), 2) for s in (0, 111))
+    same = (minhash.signature(a, odd, add) == minhash.signature(b, odd, add)).mean()
+    assert abs(same - len(np.intersect1d(a, b)) / len(np.union1d(a, b))) < 0.06
+    assert minhash.signature(a[:10], odd, add).max() < 1 << 32
+    long = ("word " + "x y z " * 400_000).encode()
+    assert minhash.shingle_hashes(long, 2).tolist() == minhash.shingle_hashes(long[:200], 2).tolist()
