@@ -9,9 +9,11 @@ nine rule sets mirror the silver layer. Rules test the *raw* input columns
 Rules that a null-key filter of the same dataset makes unreachable are not
 listed (the silver functions always apply that filter first).
 
-The labels are fixed values (they must equal the source's labels); ``overflow_*``,
-``unparsable_score`` and ``malformed_record`` are additions for values that a cast or
-the reader would lose, tested after the source's rules.
+The labels are fixed values (they must equal the source's labels); ``overflow_*`` and
+``unparsable_score`` are additions for values that a cast would lose, tested after the
+source's rules. ``malformed_record``, for what the reader could not parse, comes before
+them all: the fields of such a row are NULL or out of place, so a rule on NULL would
+name the wrong fault.
 
 NULL semantics are SQL's: ``NULL NOT IN (...)`` and ``NULL < 0`` are unknown,
 so such a rule does not fire and the row stays ``valid``.

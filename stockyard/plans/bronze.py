@@ -8,6 +8,7 @@ zone, so they are read as ``timestamp_ntz`` wall-clock values.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -78,10 +79,11 @@ def spec(dataset: str) -> BronzeSpec:
                       properties=tuple(props.items()))
 
 
-def bronze_dataset(spark: SparkSession, raw_dir: str, dataset: str, path: str | None = None,
-                   schema: str | None = None) -> DataFrame:
+def bronze_dataset(spark: SparkSession, raw_dir: str, dataset: str,
+                   path: str | Sequence[str] | None = None, schema: str | None = None) -> DataFrame:
     """Raw rows of one data set plus ``_source_file``, ``_ingestion_time``,
-    ``_processed_at``. ``schema=None`` uses the explicit schema above; pass
+    ``_processed_at``, from ``path`` (a file, a folder or a list of them) or the
+    data set's file in ``raw_dir``. ``schema=None`` uses the explicit schema above; pass
     ``schema=""`` to infer types from the file instead."""
     s = spec(dataset)
     p = path or f"{raw_dir.rstrip('/')}/{s.file}"

@@ -108,18 +108,22 @@ IMPERATIVE_DATASETS = ("customers", "geolocation", "order_items", "order_payment
 def run_imperative(spark: SparkSession, raw_dir: str, db: str = "raw_silver", gold_db: str = "gold",
                    fmt: str = "parquet", infer: bool = True, location: str | None = None) -> str:
     """The imperative flavour: each CSV file straight to a table (header,
-    inferred types unless ``infer=False``, schema overwritten on every
-    load, no cleaning), then the typed product-demand table from those raw
+    inferred types, or with ``infer=False`` the declared ones bound by header
+    name; schema overwritten on every load, no cleaning), then the typed product-demand table from those raw
     tables. The status filter is case-insensitive, so the raw lower-case
     spellings are excluded as intended."""
-    from ..sources.files import batch_load, csv_scan
+    from ..sources.files import CORRUPT_RECORD, INGESTION_TIME, SOURCE_FILE, batch_load, csv_scan, \
+        csv_scan_permissive
 
     sinks.ensure_schema(spark, db)
     paths = {f"{raw_dir.rstrip('/')}/{bronze.FILES[d]}": d for d in IMPERATIVE_DATASETS}
     items = [(p, f"{db}.{d}") for p, d in paths.items()]
 
     def read(s, p):
-        return csv_scan(s, p) if infer else csv_scan(s, p, bronze.SCHEMAS[paths[p]])
+        if infer:
+            return csv_scan(s, p)
+        return csv_scan_permissive(s, p, bronze.SCHEMAS[paths[p]]) \
+            .drop(CORRUPT_RECORD, SOURCE_FILE, INGESTION_TIME)
 
     batch_load(spark, items, lambda df, t: sinks.write_overwrite_schema(df, t, fmt), read)
     sinks.ensure_schema(spark, gold_db)

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from .. import sinks
 from ..session import scratch_path
-from ..streaming.ingest import refresh_silver
+from ..streaming.ingest import read_refreshed, refresh_silver
 from . import bronze, gold, silver
 from .registry import SQL_PRODUCT_DEMAND, SQL_SILVER, register, silver_table, standin
 from .registry_ext import ORACLE, QUERIES  # noqa: F401  (registers part 2)
@@ -90,15 +90,54 @@ def q_gold_product_demand_table(spark, sf_dir):
     return spark.read.table(name)
 
 
-@register("stream_silver_customers", _sql_as_strings(SQL_SILVER["customers"], ["customer_id"]))
+# Customers whose raw rows hold a stray field, so that they do not parse.
+BROKEN_MARK, SQL_BROKEN = 17, "CAST(customer_id AS BIGINT) % 50 = 17"
+_CUSTOMERS_STREAM = f"""SELECT * REPLACE (
+  CASE WHEN {SQL_BROKEN} THEN 'malformed_record' ELSE data_quality_flag END AS data_quality_flag)
+FROM ({_sql_as_strings(SQL_SILVER["customers"], ["customer_id"])})"""
+
+
+def mixed_customers(spark, sf_dir) -> str:
+    """Raw customers as one folder of files with three column orders, one of
+    them with a column of its own, another with rows that have a field too many."""
+    path = scratch_path(spark, "raw-customers-mixed")
+    rows = standin(spark, sf_dir, "customers")
+    number = F.coalesce(F.col("customer_id"), F.lit(0))
+    broken = number % 50 == BROKEN_MARK
+    names = rows.columns
+    put = {"header": True, "escape": '"', "ignoreLeadingWhiteSpace": False,
+           "ignoreTrailingWhiteSpace": False}
+
+    def add(df):
+        df.write.mode("append").options(**put).csv(path)
+
+    add(rows.where((number % 3 == 0) & ~broken))
+    add(rows.where((number % 3 == 1) & ~broken).select(*reversed(names)))
+    add(rows.where((number % 3 == 2) & ~broken).select(*names[2:], F.lit("?").alias("note"), *names[:2]))
+    # Lines as text, the first of each file under the header.
+    first = F.monotonically_increasing_id().bitwiseAND((1 << 33) - 1) == 0
+    line = F.concat_ws(",", *names, F.lit("stray"))
+    rows.where(broken).select(F.when(first, F.concat(F.lit(",".join(names) + "\n"), line)).otherwise(line)) \
+        .write.mode("append").text(path)
+    return path
+
+
+@register("stream_silver_customers", _CUSTOMERS_STREAM)
 def q_stream_silver_customers(spark, sf_dir):
-    """Customers CSV folder refreshed incrementally into silver with a
-    Structured Streaming availableNow run, then read back."""
-    raw = _to_csv(spark, sf_dir, "customers")
+    """Customers CSV folder with files of several column orders and rows that
+    do not parse, refreshed incrementally into silver with a Structured
+    Streaming availableNow run, then read back."""
+    raw = mixed_customers(spark, sf_dir)
     out = scratch_path(spark, "silver-customers")
-    q = refresh_silver(spark, raw, "customers", out, scratch_path(spark, "ckpt-customers"))
-    q.awaitTermination()
-    return spark.read.parquet(out).drop(*LINEAGE)
+    refresh_silver(spark, raw, "customers", out, scratch_path(spark, "ckpt-customers")).awaitTermination()
+    return read_refreshed(spark, out).drop(*LINEAGE)
+
+
+@register("bronze_csv_mixed_headers", _CUSTOMERS_STREAM)
+def q_bronze_csv_mixed_headers(spark, sf_dir):
+    """The same folder read by the batch reader and cleaned: the same rows."""
+    raw = mixed_customers(spark, sf_dir)
+    return silver.customers(bronze.bronze_dataset(spark, raw, "customers", path=raw)).drop(*LINEAGE)
 
 
 # ---------------------------------------------------------------------------
@@ -150,7 +189,7 @@ def q_stream_bronze_silver_orders(spark, sf_dir):
     refresh_bronze(spark, raw, "orders", bz, scratch_path(spark, "ckpt-bronze-orders")).awaitTermination()
     refresh_silver_from_bronze(spark, bz, "orders", sv,
                                scratch_path(spark, "ckpt-silver-orders")).awaitTermination()
-    return spark.read.parquet(sv).drop(*LINEAGE)
+    return read_refreshed(spark, sv).drop(*LINEAGE)
 
 
 @register("bronze_lineage_check", """SELECT count(*) AS rows, true AS all_have_source_file,

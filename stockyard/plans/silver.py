@@ -30,7 +30,7 @@ def customers(bronze: DataFrame, normalize: bool = False) -> DataFrame:
         "customer_id", "customer_unique_id", "customer_zip_code_prefix",
         clean_lower("customer_city").alias("customer_city"),
         clean_upper("customer_state").alias("customer_state"),
-        Q.quality_flag(Q.customer_rules(normalize) + Q.malformed_rules(df)).alias(FLAG),
+        Q.quality_flag(Q.malformed_rules(df) + Q.customer_rules(normalize)).alias(FLAG),
         *_lineage(df))
 
 
@@ -42,7 +42,7 @@ def geolocation(bronze: DataFrame) -> DataFrame:
         cast_coordinates("geolocation_lng").alias("geolocation_lng"),
         clean_lower("geolocation_city").alias("geolocation_city"),
         clean_upper("geolocation_state").alias("geolocation_state"),
-        Q.quality_flag(Q.geolocation_rules() + Q.malformed_rules(df)).alias(FLAG),
+        Q.quality_flag(Q.malformed_rules(df) + Q.geolocation_rules()).alias(FLAG),
         *_lineage(df))
 
 
@@ -54,7 +54,7 @@ def orders(bronze: DataFrame) -> DataFrame:
         "order_purchase_timestamp", "order_approved_at",
         "order_delivered_carrier_date", "order_delivered_customer_date",
         "order_estimated_delivery_date",
-        Q.quality_flag(Q.order_rules() + Q.malformed_rules(df)).alias(FLAG),
+        Q.quality_flag(Q.malformed_rules(df) + Q.order_rules()).alias(FLAG),
         *_lineage(df))
 
 
@@ -64,7 +64,7 @@ def order_items(bronze: DataFrame) -> DataFrame:
         "order_id", "order_item_id", "product_id", "seller_id", "shipping_limit_date",
         cast_money("price").alias("price"),
         cast_money("freight_value").alias("freight_value"),
-        Q.quality_flag(Q.order_item_rules() + Q.malformed_rules(df)).alias(FLAG),
+        Q.quality_flag(Q.malformed_rules(df) + Q.order_item_rules()).alias(FLAG),
         *_lineage(df))
 
 
@@ -75,7 +75,7 @@ def order_payments(bronze: DataFrame, normalize: bool = False) -> DataFrame:
         clean_lower("payment_type").alias("payment_type"),
         "payment_installments",
         cast_money("payment_value").alias("payment_value"),
-        Q.quality_flag(Q.payment_rules(normalize) + Q.malformed_rules(df)).alias(FLAG),
+        Q.quality_flag(Q.malformed_rules(df) + Q.payment_rules(normalize)).alias(FLAG),
         *_lineage(df))
 
 
@@ -87,7 +87,7 @@ def order_reviews(bronze: DataFrame) -> DataFrame:
         clean_trim("review_comment_title").alias("review_comment_title"),
         clean_trim("review_comment_message").alias("review_comment_message"),
         "review_creation_date", "review_answer_timestamp",
-        Q.quality_flag(Q.review_rules() + Q.malformed_rules(df)).alias(FLAG),
+        Q.quality_flag(Q.malformed_rules(df) + Q.review_rules()).alias(FLAG),
         *_lineage(df))
 
 
@@ -103,7 +103,7 @@ def products(bronze: DataFrame) -> DataFrame:
         "product_id",
         clean_lower("product_category_name").alias("product_category_name"),
         *[default_zero(m).alias(m) for m in PRODUCT_MEASURES],
-        Q.quality_flag(Q.product_rules() + Q.malformed_rules(df)).alias(FLAG),
+        Q.quality_flag(Q.malformed_rules(df) + Q.product_rules()).alias(FLAG),
         *_lineage(df))
 
 
@@ -112,7 +112,7 @@ def category_translation(bronze: DataFrame) -> DataFrame:
     return df.select(
         clean_lower("product_category_name").alias("product_category_name"),
         clean_lower("product_category_name_english").alias("product_category_name_english"),
-        Q.quality_flag(Q.category_rules() + Q.malformed_rules(df)).alias(FLAG),
+        Q.quality_flag(Q.malformed_rules(df) + Q.category_rules()).alias(FLAG),
         *_lineage(df))
 
 
@@ -122,7 +122,7 @@ def sellers(bronze: DataFrame, normalize: bool = False) -> DataFrame:
         "seller_id", "seller_zip_code_prefix",
         clean_lower("seller_city").alias("seller_city"),
         clean_upper("seller_state").alias("seller_state"),
-        Q.quality_flag(Q.seller_rules(normalize) + Q.malformed_rules(df)).alias(FLAG),
+        Q.quality_flag(Q.malformed_rules(df) + Q.seller_rules(normalize)).alias(FLAG),
         *_lineage(df))
 
 

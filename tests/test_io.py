@@ -10,7 +10,7 @@ from stockyard.plans import bronze, medallion
 from stockyard.session import scratch_path
 from stockyard.sources.files import batch_load, csv_scan, csv_scan_permissive, lineage_columns
 from stockyard.sources.tables import list_tables, session_namespace
-from stockyard.streaming.ingest import refresh_silver
+from stockyard.streaming.ingest import read_refreshed, refresh_silver
 
 RAW = {
     "customers": "customer_id,customer_unique_id,customer_zip_code_prefix,customer_city,customer_state\n"
@@ -118,12 +118,12 @@ def test_streaming_refresh_is_incremental(spark, raw_dir):
     with open(os.path.join(src, "part1.csv"), "w") as f:
         f.write(RAW["customers"])
     refresh_silver(spark, src, "customers", out, ck).awaitTermination()
-    assert spark.read.parquet(out).count() == 2
+    assert read_refreshed(spark, out).count() == 2
     with open(os.path.join(src, "part2.csv"), "w") as f:
         f.write("customer_id,customer_unique_id,customer_zip_code_prefix,customer_city,customer_state\n"
                 "c9,u9,55555,x,RJ\n")
     refresh_silver(spark, src, "customers", out, ck).awaitTermination()
-    df = spark.read.parquet(out)
+    df = read_refreshed(spark, out)
     assert df.count() == 3  # old file not re-read, no duplicates
     assert {r["customer_id"] for r in df.collect()} == {"c1", "c2", "c9"}
 
@@ -172,14 +172,14 @@ def test_streaming_bronze_then_silver_chain(spark, raw_dir):
         f.write(RAW["orders"])
     refresh_bronze(spark, src, "orders", bz, ckb).awaitTermination()
     refresh_silver_from_bronze(spark, bz, "orders", sv, cks).awaitTermination()
-    assert spark.read.parquet(bz).count() == 3
-    s = spark.read.parquet(sv)
+    assert read_refreshed(spark, bz).count() == 3
+    s = read_refreshed(spark, sv)
     assert s.count() == 3 and "_source_file" in s.columns
     with open(os.path.join(src, "b.csv"), "w") as f:
         f.write(RAW["orders"].splitlines()[0] + "\no9,c9,shipped,2018-02-01 10:00:00,,,,\n")
     refresh_bronze(spark, src, "orders", bz, ckb).awaitTermination()
     refresh_silver_from_bronze(spark, bz, "orders", sv, cks).awaitTermination()
-    flags = {r["order_id"]: (r["order_status"], r["data_quality_flag"]) for r in spark.read.parquet(sv).collect()}
+    flags = {r["order_id"]: (r["order_status"], r["data_quality_flag"]) for r in read_refreshed(spark, sv).collect()}
     assert len(flags) == 4 and flags["o9"] == ("SHIPPED", "valid") and flags["o3"][1] == "missing_purchase_date"
 
 
@@ -210,7 +210,7 @@ def test_cli(spark, raw_dir, capsys):
     if os.path.exists("/root/testdata/sf0.001"):
         out = scratch_path(spark, "cli-query")
         assert main(["query", "--name", "silver_sellers", "--data", "/root/testdata/sf0.001", "--out", out]) == 0
-        assert spark.read.parquet(out).count() > 0
+        assert read_refreshed(spark, out).count() > 0
 
 
 def test_typed_table_comments_and_insert_overwrite(spark, raw_dir):
@@ -265,7 +265,7 @@ def test_streaming_bounded_batches(spark):
     out, ck = scratch_path(spark, "batches-out"), scratch_path(spark, "batches-ck")
     q = refresh_silver(spark, src, "sellers", out, ck, max_files_per_trigger=1)
     q.awaitTermination()
-    assert spark.read.parquet(out).count() == 15
+    assert read_refreshed(spark, out).count() == 15
     assert len(q.recentProgress) >= 3  # one micro-batch per file
 
 
