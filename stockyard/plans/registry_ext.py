@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from .. import config as C
 from ..functions.cleaning import rename_cast, round_half_up
 from ..functions.dates import date_spine
+from ..operators import arima as AR
 from ..operators import calendar as CAL
 from ..operators import events as EV
 from ..operators import forecast as FC
@@ -234,6 +235,33 @@ def q_forecast_demand_grouped(spark, sf_dir):
     return FC.forecast_demand_grouped(daily(spark, sf_dir), horizon=H)
 
 
+def supplier_months(spark, sf_dir):
+    """Monthly units of every supplier's order lines."""
+    return AR.monthly_demand(read_table(spark, sf_dir, "lineitem").select(
+        F.col("l_suppkey").alias(K), F.col("l_shipdate").alias("event_ts"),
+        F.col("l_quantity").cast("long").alias("quantity")))
+
+
+@register("monthly_demand", """WITH q AS (
+  SELECT l_suppkey AS sku_id, CAST(date_trunc('month', l_shipdate) AS DATE) AS event_date,
+    sum(CAST(trunc(l_quantity) AS BIGINT)) AS q FROM lineitem GROUP BY ALL),
+spine AS (
+  SELECT sku_id, CAST(unnest(generate_series(min(event_date), max(event_date), INTERVAL 1 MONTH)) AS DATE)
+    AS event_date FROM q GROUP BY sku_id)
+SELECT sku_id, event_date, CAST(coalesce(q, 0) AS BIGINT) AS approved_qty
+FROM spine LEFT JOIN q USING (sku_id, event_date)""")
+def q_monthly_demand(spark, sf_dir):
+    """Monthly units per supplier, months without a line included."""
+    return supplier_months(spark, sf_dir)
+
+
+@register("forecast_arima", None)
+def q_forecast_arima(spark, sf_dir):
+    """Twelve months ahead per supplier by seasonal ARIMA (m = 12), orders
+    searched stepwise by AIC."""
+    return AR.forecast_arima(supplier_months(spark, sf_dir), horizon=12, months=True)
+
+
 SQL_NANO = f"""SELECT sku_id, CAST(date_trunc('week', event_date) AS DATE) AS week_monday,
   CAST((sum(fine) + 500) // 1000 AS HUGEINT) AS nano FROM ({SQL_FINE}) GROUP BY ALL"""
 SQL_WEEKLY = f"""SELECT sku_id, week_monday, CAST((nano + 999999999) // 1000000000 AS BIGINT) AS weekly_demand
