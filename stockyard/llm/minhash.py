@@ -6,11 +6,14 @@ that agree in all minima of a band share a bucket. Copies of one set are one
 node; nodes of a bucket are compared by size and signature, and a link counts
 only when the full sets confirm it.
 
-A bucket may hold thousands of variants of one text, so its pairs are not all
-tried: first every node meets a few pivots of its buckets and is checked
-against the best of them, which links most of the group; afterwards only nodes
-that still lie in different components are compared, those of the bucket's
-main component on one side only, in slices.
+A bucket may hold thousands of variants of one text, so its pairs are never
+listed: inside a bucket, arrays of signatures are compared, and every node of a
+group that may be linked is joined to the group's centre only. First a node is
+checked against the likeliest of its centres, which links most of a group. What
+may be linked at all forms families; where a family still has several
+components, nodes outside of the largest are compared with all others by matrix
+products over their full sets, in tiles of bounded size, of which only links
+between components leave the task.
 """
 
 from __future__ import annotations
@@ -31,11 +34,10 @@ SHINGLE, PERCENT = 2, 80
 # A pair at the threshold shares no bucket with a chance of
 # (1 - 0.8^4)^32 = 5e-8.
 BANDS, ROWS, SEED = 32, 4, 42
-# Pivots of a bucket, and how many of the best of all its pivots a node is
-# checked against before the rest is compared.
-PIVOTS, CHECKS = 4, 2
-# Nodes of a bucket's slice.
-SLICE = 4096
+# Against how many centres of its buckets a node is checked at first.
+CHECKS = 2
+# Nodes of a bucket's slice, hashes of a family's slice, columns of a matrix.
+SLICE, TILE_HASHES, _COLUMNS = 1024, 1 << 18, 4096
 # Signatures may differ from what the threshold lets expect by this many
 # standard deviations.
 SIGMAS = 5
@@ -141,31 +143,105 @@ def signatures(docs: DataFrame, id_col: str, text_col: str, shingle: int, bands:
     return src.mapInArrow(run, out)
 
 
-def likely(pairs: DataFrame, nodes: DataFrame, n_sketch: int, percent: int, most: int) -> DataFrame:
-    """``pairs`` (``a``, ``b``) that sizes and signatures allow, with ``miss``
-    (positions in which their sketches differ)."""
-    cells = ["n", *[f"s{k}" for k in range(n_sketch)]]
+def groups_of(parts, n_keys: int):
+    """The runs of rows that agree in the first ``n_keys`` columns (longs), as
+    Arrow tables, from batches sorted by them."""
+    held: list[pa.RecordBatch] = []
+    for part in parts:
+        if not part.num_rows:
+            continue
+        keys = np.stack([np.asarray(part.column(k)) for k in range(n_keys)])
+        cuts = np.flatnonzero((keys[:, 1:] != keys[:, :-1]).any(axis=0)) + 1
+        if held:
+            last = held[-1]
+            if any(last.column(k)[-1].as_py() != keys[k, 0] for k in range(n_keys)):
+                yield pa.Table.from_batches(held)
+                held = []
+        for a, b in zip([0, *cuts.tolist()], cuts.tolist(), strict=False):
+            yield pa.Table.from_batches([*held, part.slice(a, b - a)])
+            held = []
+        held.append(part.slice(int(cuts[-1]) if len(cuts) else 0))
+    if held:
+        yield pa.Table.from_batches(held)
+
+
+def mismatches(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """In how many positions each sketch of ``a`` differs from each of ``b``
+    (rows of longs)."""
+    low, out = np.uint64(0x5555555555555555), 0
+    for k in range(a.shape[1]):
+        diff = a[:, k, None] ^ b[None, :, k]
+        out = out + np.bitwise_count((diff | diff >> np.uint64(1)) & low).astype(np.int32)
+    return out
 
-    def side(name):
-        return nodes.select(F.col("node").alias(name), *[F.col(c).alias(f"{c}{name}") for c in cells])
 
-    return pairs.join(side("a"), "a").join(side("b"), "b") \
-        .where(_sizes("na", "nb", percent)) \
-        .withColumn("miss", _misses([(f"s{k}a", f"s{k}b") for k in range(n_sketch)])) \
-        .where(F.col("miss") <= most)
+def least_labels(near: np.ndarray) -> np.ndarray:
+    """The least index reachable from each over a symmetric relation."""
+    label = np.arange(len(near))
+    while True:
+        low = np.where(near, label[None, :], len(near)).min(axis=1)
+        low = np.minimum(label, low)[np.minimum(label, low)]
+        if (low == label).all():
+            return label
+        label = low
+
+
+def stars(node: np.ndarray, size: np.ndarray, sketches: np.ndarray, percent: int, most: int):
+    """In a bucket: (node, centre, mismatches) for every node of a group whose
+    sizes and sketches allow links, the centre being the node that is likely
+    to link with most others. Mismatches are negative where node and centre
+    themselves do not look alike."""
+    miss = mismatches(sketches, sketches)
+    near = (miss <= most) & (100 * np.minimum.outer(size, size) >= percent * np.maximum.outer(size, size))
+    np.fill_diagonal(near, True)
+    degree, total = near.sum(axis=1), np.where(near, miss, 0).sum(axis=1)
+    if not (degree > 1).any():
+        return
+    label = least_labels(near)
+    for g in np.unique(label[degree > 1]):
+        mine = np.flatnonzero(label == g)
+        # Most likely partners, then the closest ones, then the smallest node.
+        centre = mine[np.lexsort((node[mine], total[mine], -degree[mine]))[0]]
+        for k in mine.tolist():
+            if k != centre:
+                yield int(node[k]), int(node[centre]), int(miss[k, centre]) if near[k, centre] else -1
+
+
+def bucket_stars(crowd: DataFrame, nodes: DataFrame, n_sketch: int, percent: int, most: int) -> DataFrame:
+    """The stars of all buckets. A bucket of more than :data:`SLICE` nodes is
+    dealt to tiles, each of two of its slices (or one with itself), so that any
+    two of its nodes meet in some tile."""
+    slices = crowd.groupBy("key").agg(F.ceil(F.count("*") / SLICE).alias("of")).where("of > 1")
+    dealt = crowd.join(slices, "key", "left").withColumn("of", F.coalesce("of", F.lit(1))) \
+        .withColumn("s", F.pmod(F.xxhash64("node"), F.col("of")))
+    other = F.explode(F.sequence(F.lit(0).cast("long"), F.col("of") - 1))
+    tiles = dealt.select("key", "node", "s", other.alias("o")).select(
+        "key", F.least("s", "o").alias("i"), F.greatest("s", "o").alias("j"), "node") \
+        if slices.count() else dealt.select("key", F.lit(0).cast("long").alias("i"),
+                                            F.lit(0).cast("long").alias("j"), "node")
+    src = tiles.join(nodes, "node").select("key", "i", "j", "node", "n",
+                                           *[f"s{k}" for k in range(n_sketch)]) \
+        .repartition("key", "i", "j").sortWithinPartitions("key", "i", "j", "node")
+    out = T.StructType([T.StructField(c, T.LongType()) for c in ("a", "b", "miss")])
 
+    def run(parts):
+        forget()
+        rows: list[tuple] = []
+        for t in groups_of(parts, 3):
+            if t.num_rows > 1:
+                cols = [np.asarray(t.column(k)) for k in range(3, len(t.schema))]
+                rows += stars(cols[0], cols[1], np.stack(cols[2:], axis=1).view(np.uint64), percent, most)
+            if len(rows) > 50_000:
+                yield _longs(rows, out.names)
+                rows = []
+        yield _longs(rows, out.names)
 
-def _sizes(x: str, y: str, percent: int):
-    return 100 * F.least(x, y) >= percent * F.greatest(x, y)
+    return src.mapInArrow(run, out)
 
 
-def _misses(pairs):
-    low = F.lit(0x5555555555555555)
-    out = F.lit(0)
-    for x, y in pairs:
-        diff = F.col(x).bitwiseXOR(F.col(y))
-        out = out + F.bit_count(diff.bitwiseOR(F.shiftrightunsigned(diff, 1)).bitwiseAND(low))
-    return out
+def _longs(rows: list[tuple], names: list[str]) -> pa.RecordBatch:
+    cols = list(zip(*rows, strict=True)) or [[] for _ in names]
+    return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in cols], names=names)
 
 
 def confirmed(base: DataFrame, pairs: DataFrame, shingle: int, percent: int) -> DataFrame:
@@ -198,12 +274,6 @@ def confirmed(base: DataFrame, pairs: DataFrame, shingle: int, percent: int) ->
     return both.mapInArrow(run, out)
 
 
-def pivot_pairs(crowd: DataFrame, pivots: DataFrame) -> DataFrame:
-    """Each node with the pivots of its buckets."""
-    return crowd.join(pivots.select("key", F.explode("pivots").alias("b")), "key") \
-        .where("node <> b").select(F.col("node").alias("a"), "b").distinct()
-
-
 def best_checks(pairs: DataFrame, checks: int) -> DataFrame:
     """For each ``a`` its ``checks`` likeliest partners."""
     order = Window.partitionBy("a").orderBy("miss", "b")
@@ -211,38 +281,90 @@ def best_checks(pairs: DataFrame, checks: int) -> DataFrame:
         .select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
 
 
-def rest_pairs(crowd: DataFrame, nodes: DataFrame, labels: DataFrame, n_sketch: int, percent: int,
-               most: int) -> DataFrame:
-    """Pairs of a bucket that lie in different components and that sizes and
-    signatures allow. One side leaves out the component of the bucket's least
-    node, whose members need not meet each other; the other side is dealt to
-    slices."""
-    cells = ["n", *[f"s{k}" for k in range(n_sketch)]]
-    marked = crowd.select("key", "node").join(labels, "node", "left") \
-        .select("key", "node", F.coalesce("label", "node").alias("label"))
-    mixed = marked.groupBy("key").agg(
-        F.min("label").alias("lo"), F.max("label").alias("hi"), F.count("*").alias("m"),
-        F.min("node").alias("first")).where("lo <> hi")
-    main = marked.select("key", F.col("node").alias("first"), F.col("label").alias("main"))
-    mixed = mixed.join(main, ["key", "first"]) \
-        .select("key", "main", F.ceil(F.col("m") / SLICE).cast("int").alias("slices"))
-    rows = marked.join(mixed, "key").join(nodes.select("node", *cells), "node")
-    asks = rows.where("label <> main").select(
-        "key", F.col("node").alias("a"), F.col("label").alias("la"),
-        *[F.col(c).alias(f"{c}a") for c in cells],
-        F.explode(F.sequence(F.lit(0), F.col("slices") - 1)).alias("slice"))
-    held = rows.select("key", F.pmod(F.xxhash64("node"), F.col("slices")).cast("int").alias("slice"),
-                       F.col("node").alias("b"), F.col("label").alias("lb"),
-                       *[F.col(c).alias(f"{c}b") for c in cells])
-    miss = _misses([(f"s{k}a", f"s{k}b") for k in range(n_sketch)])
-    return asks.join(held, ["key", "slice"]) \
-        .where((F.col("la") != F.col("lb")) & _sizes("na", "nb", percent) & (miss <= most)) \
-        .select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
+def tile_links(asks: list[np.ndarray], ask_label: np.ndarray, held: list[np.ndarray],
+               held_label: np.ndarray, percent: int):
+    """Index pairs of linked sets of different labels: enough of them to tell
+    what all such links connect. Common sizes are products of 0/1 matrices over
+    the hashes that occur on both sides."""
+    common = np.zeros((len(asks), len(held)), dtype=np.int64)
+    words = np.intersect1d(np.concatenate(asks), np.concatenate(held))
+    places = [[np.searchsorted(words, s[np.isin(s, words, assume_unique=True)]) for s in side]
+              for side in (asks, held)]
+    for start in range(0, len(words), _COLUMNS):
+        dense = []
+        for side in places:
+            block = np.zeros((len(side), min(_COLUMNS, len(words) - start)), dtype=np.float32)
+            for k, at in enumerate(side):
+                lo, hi = np.searchsorted(at, [start, start + _COLUMNS])
+                block[k, at[lo:hi] - start] = 1
+            dense.append(block)
+        common += (dense[0] @ dense[1].T).astype(np.int64)
+    sizes = np.add.outer([len(s) for s in asks], [len(s) for s in held])
+    linked = (100 * common >= percent * (sizes - common)) & (ask_label[:, None] != held_label[None, :])
+    for k in np.flatnonzero(linked.any(axis=1)).tolist():
+        at = np.flatnonzero(linked[k])
+        _, first = np.unique(held_label[at], return_index=True)  # one link a label
+        for j in at[first].tolist():
+            yield k, j
+
+
+def tiles_of(base: DataFrame, families: DataFrame, labels: DataFrame) -> DataFrame:
+    """Rows (``family``, ``i``, ``j``, ``asks``, ``node``, ``label``, ``text``)
+    of the families in which not all is linked: nodes outside of the family's
+    largest component ask all nodes. Both sides are dealt to slices of bounded
+    size, and each pair of slices is a tile."""
+    marked = families.join(labels, "node", "left") \
+        .select("family", "node", "n", F.coalesce("label", "node").alias("label"))
+    parts = marked.groupBy("family", "label").agg(F.count("*").alias("m"), F.sum("n").alias("n"))
+    # Two nodes of a family have been compared already.
+    mixed = parts.groupBy("family").agg(
+        F.max_by("label", F.struct("m", "label")).alias("main"), F.sum("n").alias("n"),
+        F.max_by("n", F.struct("m", "label")).alias("main_n"), F.count("*").alias("labels"),
+        F.sum("m").alias("m")).where("labels > 1 AND m > 2")
+    dealt = marked.join(mixed.select(
+        "family", "main", F.ceil(F.col("n") / TILE_HASHES).alias("held_of"),
+        F.ceil((F.col("n") - F.col("main_n")) / TILE_HASHES).alias("ask_of")), "family")
+
+    def slice_of(of):
+        return F.pmod(F.xxhash64("node"), F.col(of))
+
+    def others(of):
+        return F.explode(F.sequence(F.lit(0).cast("long"), F.col(of) - 1))
+
+    cells = [F.col("node"), F.col("label")]
+    asks = dealt.where("label <> main").select(
+        "family", slice_of("ask_of").alias("i"), others("held_of").alias("j"), F.lit(1).alias("asks"), *cells)
+    held = dealt.select(
+        "family", others("ask_of").alias("i"), slice_of("held_of").alias("j"), F.lit(0).alias("asks"), *cells)
+    texts = base.select(F.col("row").alias("node"), "text")
+    return asks.union(held).join(texts, "node").select("family", "i", "j", "asks", "node", "label", "text")
+
+
+def family_links(base: DataFrame, families: DataFrame, labels: DataFrame, shingle: int,
+                 percent: int) -> DataFrame:
+    """Links between different components of a family, on full sets."""
+    src = tiles_of(base, families, labels).repartition("family", "i", "j") \
+        .sortWithinPartitions("family", "i", "j", "asks", "node")
+    out = T.StructType([T.StructField("a", T.LongType()), T.StructField("b", T.LongType())])
+
+    def run(parts):
+        forget()
+        for t in groups_of(parts, 3):
+            asks = np.asarray(t.column("asks")).astype(bool)
+            node, label = np.asarray(t.column("node")), np.asarray(t.column("label"))
+            sets = [shingle_hashes(x.as_py().encode(), shingle) for x in t.column("text")]
+            side = [np.flatnonzero(asks), np.flatnonzero(~asks)]
+            if len(side[0]) and len(side[1]):
+                found = tile_links([sets[k] for k in side[0]], label[side[0]],
+                                   [sets[k] for k in side[1]], label[side[1]], percent)
+                yield _longs([(int(node[side[0][k]]), int(node[side[1][j]])) for k, j in found], out.names)
+
+    return src.mapInArrow(run, out)
 
 
 def near_groups(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id",
                 text_col: str = "text", shingle: int = SHINGLE, percent: int = PERCENT,
-                bands: int = BANDS, rows: int = ROWS, seed: int = SEED, pivots: int = PIVOTS,
+                bands: int = BANDS, rows: int = ROWS, seed: int = SEED,
                 checks: int = CHECKS) -> DataFrame:
     """Near-duplicate component of every row.
 
@@ -265,22 +387,19 @@ def near_groups(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id",
                    .agg(F.min("row").alias("node"), F.min("id").alias("low")), "minhash-sets")
     nodes = base.join(sets.select(F.col("node").alias("row")), "row").withColumnRenamed("row", "node")
     keyed = nodes.select("node", F.explode("keys").alias("key"))
-    salted = F.struct(*[F.min_by("node", F.xxhash64("node", F.lit(k))).alias(f"p{k}")
-                        for k in range(pivots)])
     buckets = keyed.groupBy("key").agg(F.min("node").alias("first"), F.max("node").alias("last")) \
         .where("first <> last").select("key")
     crowd = written(spark, keyed.join(buckets, "key"), "minhash-buckets")
-    few = written(spark, nodes.select("node", "n", *[f"s{k}" for k in range(n_sketch)])
-                  .join(crowd.select("node").distinct(), "node"), "minhash-nodes")
-    chosen = crowd.groupBy("key").agg(salted.alias("p")).select(
-        "key", F.array_distinct(F.array(*[F.col(f"p.p{k}") for k in range(pivots)])).alias("pivots"))
-    first = written(spark, best_checks(likely(pivot_pairs(crowd, chosen), few, n_sketch, percent, most),
-                                       checks), "minhash-pairs")
+    cells = ["node", "n", *[f"s{k}" for k in range(n_sketch)]]
+    found = written(spark, bucket_stars(crowd, nodes.select(*cells), n_sketch, percent, most),
+                    "minhash-stars").groupBy("a", "b").agg(F.max("miss").alias("miss"))
+    found = written(spark, found, "minhash-pairs")
+    first = best_checks(found.where("miss >= 0"), checks)
     links = written(spark, confirmed(base, first, shingle, percent), "minhash-links")
     labels = components(spark, links)
-    rest = written(spark, rest_pairs(crowd, few, labels, n_sketch, percent, most)
-                   .join(first, ["a", "b"], "left_anti"), "minhash-rest")
-    more = written(spark, confirmed(base, rest, shingle, percent), "minhash-links")
+    families = components(spark, found.select("a", "b")) \
+        .select("node", F.col("label").alias("family")).join(nodes.select("node", "n"), "node")
+    more = written(spark, family_links(base, families, labels, shingle, percent), "minhash-links")
     labels = components(spark, links.union(more))
     rooted = sets.join(labels, "node", "left") \
         .select("d1", "d2", "low", F.coalesce("label", "node").alias("root"))

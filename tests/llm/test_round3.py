@@ -8,6 +8,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from stockyard.llm import collocation, minhash, resample, words
@@ -215,12 +216,13 @@ def near_rows():
     return rows
 
 
-@pytest.mark.parametrize("pivots, slice_size", [(4, 4096), (1, 2)])
-def test_minhash_equals_brute_force(spark, monkeypatch, pivots, slice_size):
+@pytest.mark.parametrize("slice_size, hashes", [(1024, 1 << 18), (3, 200)])
+def test_minhash_equals_brute_force(spark, monkeypatch, slice_size, hashes):
     monkeypatch.setattr(minhash, "SLICE", slice_size)
+    monkeypatch.setattr(minhash, "TILE_HASHES", hashes)
     rows = near_rows()
     df = spark.createDataFrame([(*r, 1.5, "x") for r in rows], "doc_id long, text string, n double, node string")
-    got = minhash.near_groups(spark, df.repartition(4), pivots=pivots, checks=1)
+    got = minhash.near_groups(spark, df.repartition(4), checks=1)
     assert got.columns == ["doc_id", "n_shingles", "component_id", "kept"]
     assert sorted((tuple(r) for r in got.collect()), key=str) == brute_groups(rows)
 
@@ -243,3 +245,25 @@ def test_signatures_estimate_similarity():
     assert minhash.signature(a[:10], odd, add).max() < 1 << 32
     long = ("word " + "x y z " * 400_000).encode()
     assert minhash.shingle_hashes(long, 2).tolist() == minhash.shingle_hashes(long[:200], 2).tolist()
+
+
+@pytest.mark.parametrize("columns", [7, 4096])
+def test_links_of_a_tile_equal_set_arithmetic(monkeypatch, columns):
+    monkeypatch.setattr(minhash, "_COLUMNS", columns)
+    rng = np.random.default_rng(9)
+    sets = [np.unique(rng.integers(0, 30, rng.integers(1, 25))).astype(np.uint64) for _ in range(60)]
+    label = rng.integers(0, 8, 60)
+    got = set(minhash.tile_links(sets[:20], label[:20], sets[20:], label[20:], 60))
+    for k in range(20):
+        want = {int(label[20 + j]) for j in range(40) if label[20 + j] != label[k]
+                and 100 * len(np.intersect1d(sets[k], sets[20 + j])) >= 60 * len(np.union1d(sets[k], sets[20 + j]))}
+        assert {int(label[20 + j]) for i, j in got if i == k} == want
+
+
+def test_groups_of_sorted_batches():
+    rng = np.random.default_rng(3)
+    keys = np.sort(rng.integers(0, 9, 200))
+    table = pa.table({"k": keys, "v": np.arange(200)})
+    for size in (1, 7, 200):
+        got = [(t.column("k")[0].as_py(), t.num_rows) for t in minhash.groups_of(table.to_batches(size), 1)]
+        assert got == [(int(k), int((keys == k).sum())) for k in np.unique(keys)]
