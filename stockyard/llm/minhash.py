@@ -19,6 +19,7 @@ between components leave the task.
 from __future__ import annotations
 
 import math
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
@@ -35,7 +36,7 @@ SHINGLE, PERCENT = 2, 80
 # (1 - 0.8^4)^32 = 5e-8.
 BANDS, ROWS, SEED = 32, 4, 42
 # Against how many centres of its buckets a node is checked at first.
-CHECKS = 2
+CHECKS = 1
 # Nodes of a bucket's slice, hashes of a family's slice, columns of a matrix.
 SLICE, TILE_HASHES, _COLUMNS = 1024, 1 << 18, 4096
 # Signatures may differ from what the threshold lets expect by this many
@@ -244,13 +245,35 @@ def _longs(rows: list[tuple], names: list[str]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in cols], names=names)
 
 
-def confirmed(base: DataFrame, pairs: DataFrame, shingle: int, percent: int) -> DataFrame:
-    """The ``pairs`` whose full sets reach the threshold."""
-    needed = pairs.select(F.col("a").alias("node")).union(pairs.select(F.col("b").alias("node"))).distinct()
-    texts = base.select(F.col("row").alias("node"), "text").join(needed, "node")
-    both = pairs.select("a", "b") \
-        .join(texts.select(F.col("node").alias("b"), F.col("text").alias("tb")), "b") \
-        .join(texts.select(F.col("node").alias("a"), F.col("text").alias("ta")), "a") \
+@contextmanager
+def few_rows_shuffled(spark: SparkSession):
+    """Lets Spark drop rows without a partner, by a Bloom filter, before a join
+    shuffles them, for tables of any size."""
+    base = "spark.sql.optimizer.runtime.bloomFilter."
+    ours = {"enabled": "true", "applicationSideScanSizeThreshold": "0", "creationSideThreshold": "1GB",
+            "expectedNumItems": "4000000", "numBits": str(1 << 26)}
+    before = {k: spark.conf.get(base + k) for k in ours}
+    try:
+        for k, v in ours.items():
+            spark.conf.set(base + k, v)
+        yield
+    finally:
+        for k, v in before.items():
+            spark.conf.set(base + k, v)
+
+
+def confirmed(spark: SparkSession, base: DataFrame, pairs: DataFrame, shingle: int,
+              percent: int) -> DataFrame:
+    """The ``pairs`` (a stored table with ``miss``) whose full sets reach the
+    threshold; many ``a`` share a ``b``."""
+    def texts(name, text):
+        return base.select(F.col("row").alias(name), F.col("text").alias(text))
+
+    # All rows meet the conditions; they let the planner filter the texts by them.
+    centres = written(spark, pairs.groupBy("b").agg(F.max("miss").alias("miss")), "minhash-centres")
+    held = written(spark, centres.where("miss >= 0").join(texts("b", "tb"), "b").select("b", "tb"),
+                   "minhash-centre-texts")
+    both = pairs.where("miss >= 0").select("a", "b").join(texts("a", "ta"), "a").join(held, "b") \
         .select("a", "b", "ta", "tb")
     out = T.StructType([T.StructField("a", T.LongType()), T.StructField("b", T.LongType())])
 
@@ -278,7 +301,7 @@ def best_checks(pairs: DataFrame, checks: int) -> DataFrame:
     """For each ``a`` its ``checks`` likeliest partners."""
     order = Window.partitionBy("a").orderBy("miss", "b")
     return pairs.withColumn("nth", F.row_number().over(order)).where(F.col("nth") <= checks) \
-        .select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
+        .select("a", "b", "miss")
 
 
 def tile_links(asks: list[np.ndarray], ask_label: np.ndarray, held: list[np.ndarray],
@@ -308,11 +331,11 @@ def tile_links(asks: list[np.ndarray], ask_label: np.ndarray, held: list[np.ndar
             yield k, j
 
 
-def tiles_of(base: DataFrame, families: DataFrame, labels: DataFrame) -> DataFrame:
-    """Rows (``family``, ``i``, ``j``, ``asks``, ``node``, ``label``, ``text``)
-    of the families in which not all is linked: nodes outside of the family's
-    largest component ask all nodes. Both sides are dealt to slices of bounded
-    size, and each pair of slices is a tile."""
+def tiles_of(families: DataFrame, labels: DataFrame) -> DataFrame:
+    """Rows (``family``, ``i``, ``j``, ``asks``, ``node``, ``label``) of the
+    families in which not all is linked: nodes outside of the family's largest
+    component ask all nodes. Both sides are dealt to slices of bounded size, and
+    each pair of slices is a tile."""
     marked = families.join(labels, "node", "left") \
         .select("family", "node", "n", F.coalesce("label", "node").alias("label"))
     parts = marked.groupBy("family", "label").agg(F.count("*").alias("m"), F.sum("n").alias("n"))
@@ -336,14 +359,15 @@ def tiles_of(base: DataFrame, families: DataFrame, labels: DataFrame) -> DataFra
         "family", slice_of("ask_of").alias("i"), others("held_of").alias("j"), F.lit(1).alias("asks"), *cells)
     held = dealt.select(
         "family", others("ask_of").alias("i"), slice_of("held_of").alias("j"), F.lit(0).alias("asks"), *cells)
-    texts = base.select(F.col("row").alias("node"), "text")
-    return asks.union(held).join(texts, "node").select("family", "i", "j", "asks", "node", "label", "text")
+    return asks.union(held)
 
 
-def family_links(base: DataFrame, families: DataFrame, labels: DataFrame, shingle: int,
-                 percent: int) -> DataFrame:
-    """Links between different components of a family, on full sets."""
-    src = tiles_of(base, families, labels).repartition("family", "i", "j") \
+def family_links(base: DataFrame, tiles: DataFrame, shingle: int, percent: int) -> DataFrame:
+    """Links between different components of a family, on full sets; ``tiles``
+    is a stored table."""
+    texts = base.select(F.col("row").alias("node"), "text")
+    src = tiles.where("asks >= 0").join(texts, "node") \
+        .select("family", "i", "j", "asks", "node", "label", "text").repartition("family", "i", "j") \
         .sortWithinPartitions("family", "i", "j", "asks", "node")
     out = T.StructType([T.StructField("a", T.LongType()), T.StructField("b", T.LongType())])
 
@@ -394,12 +418,15 @@ def near_groups(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id",
     found = written(spark, bucket_stars(crowd, nodes.select(*cells), n_sketch, percent, most),
                     "minhash-stars").groupBy("a", "b").agg(F.max("miss").alias("miss"))
     found = written(spark, found, "minhash-pairs")
-    first = best_checks(found.where("miss >= 0"), checks)
-    links = written(spark, confirmed(base, first, shingle, percent), "minhash-links")
+    first = written(spark, best_checks(found.where("miss >= 0"), checks), "minhash-checks")
+    with few_rows_shuffled(spark):
+        links = written(spark, confirmed(spark, base, first, shingle, percent), "minhash-links")
     labels = components(spark, links)
     families = components(spark, found.select("a", "b")) \
         .select("node", F.col("label").alias("family")).join(nodes.select("node", "n"), "node")
-    more = written(spark, family_links(base, families, labels, shingle, percent), "minhash-links")
+    tiles = written(spark, tiles_of(families, labels), "minhash-tiles")
+    with few_rows_shuffled(spark):
+        more = written(spark, family_links(base, tiles, shingle, percent), "minhash-links")
     labels = components(spark, links.union(more))
     rooted = sets.join(labels, "node", "left") \
         .select("d1", "d2", "low", F.coalesce("label", "node").alias("root"))
