@@ -28,7 +28,7 @@ from ..functions.dates import local_date, utc_date, weekday_index
 from ..functions.ids import id_number
 from .calendar import coverage_need, demand_calendar
 from .filters import anti_join_ids, filter_equals
-from .windows import running
+from .windows import even_buckets, running
 
 K = "sku_id"
 # Days without movement (ten years) beyond which a time is taken for corrupt.
@@ -152,21 +152,27 @@ def ledger_movements(sales: DataFrame, acq: DataFrame) -> DataFrame:
 
 
 def stock_ledger(sales: DataFrame, acq: DataFrame, initial_stock: int = 0,
-                 bucket: str | None = "hour") -> DataFrame:
+                 bucket: str | None = "even") -> DataFrame:
     """Running balance after every movement, per SKU in event order
     (time, then acquisitions before sales, then the id's number). Movements without a
-    time come last. ``bucket`` ("hour", "day" or None) sets the two-level
-    prefix granularity that keeps a hot SKU parallel.
+    time come last. ``bucket`` sets the two-level prefix that keeps a hot SKU
+    parallel: "even" takes buckets of equal size from the data, so that a busy
+    hour is no longer task than others; "hour" and "day" cut by the clock and
+    need no pass over the data; None is one window a SKU.
 
     Columns: sku_id, event_ts, kind, movement_id, reason, delta, balance."""
     m = ledger_movements(sales, acq)
     far = F.lit("9999-12-31 00:00:00").cast(m.schema["event_ts"].dataType)
     order = [F.col("event_ts").asc_nulls_last(), F.col("kind"),
              id_number(m, "movement_id").asc_nulls_first(), F.col("movement_id")]
-    b = None if bucket is None else F.coalesce(F.date_trunc(bucket, "event_ts"), far)
+    if bucket == "even":
+        m, name = even_buckets(m, [K], order)
+        b = None if name is None else F.col(name)
+    else:
+        b = None if bucket is None else F.coalesce(F.date_trunc(bucket, "event_ts"), far)
     r = running(m, [K], order, "delta", "__cum", "sum", bucket=b)
     return r.withColumn("balance", (F.lit(int(initial_stock)) + F.col("__cum")).cast("bigint")) \
-        .drop("__cum")
+        .drop("__cum", "__even")
 
 
 def negative_stock_audit(ledger: DataFrame) -> DataFrame:

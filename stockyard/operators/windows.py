@@ -29,6 +29,35 @@ from pyspark.sql.window import Window
 _AGG = {"sum": F.sum, "max": F.max, "min": F.min}
 
 
+# Rows that one bucket holds on average; buckets at most.
+BUCKET_ROWS, MAX_BUCKETS = 500_000, 10_000
+
+
+def even_buckets(df: DataFrame, keys: Sequence[str], order: Sequence,
+                 rows: int | None = None) -> tuple[DataFrame, str | None]:
+    """``df`` with a column ``__even`` of about ``rows`` rows each, which never
+    decreases along ``order`` within ``keys``, and the column's name.
+
+    The bounds come from the data: rows are dealt by ranges of (keys, order),
+    whose splitters Spark takes from a sample, so a key with a third of all rows,
+    an hour that holds most events of a key, or one far-off id make no bucket
+    longer than others (rows equal in keys and order stay together). The rows are
+    written once under the shared folder, so every later step sees the same
+    buckets. Few rows need none: then ``df`` and None are returned, and a window
+    over the key does."""
+    from ..session import scratch_path
+
+    spark, rows = df.sparkSession, rows or BUCKET_ROWS
+    n = df.count()
+    if n <= 2 * rows:
+        return df, None
+    parts = min(MAX_BUCKETS, -(-n // rows))
+    path = scratch_path(spark, "buckets")
+    df.repartitionByRange(parts, *keys, *order).withColumn("__even", F.spark_partition_id()) \
+        .write.parquet(path)
+    return spark.read.parquet(path), "__even"
+
+
 def _combine(op: str, offset: Column, inner: Column) -> Column:
     """max / min of the earlier buckets' value and the in-bucket value
     (``greatest`` / ``least`` skip NULLs, like the aggregates)."""

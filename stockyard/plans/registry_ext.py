@@ -339,6 +339,101 @@ def q_event_quality(spark, sf_dir):
                                    F.col("status").asc_nulls_first()])
 
 
+# Lengths of chains that end at each event, by plain search over all pairs; of
+# the longest, that which ends last and steps back over the latest events.
+SQL_LATE = f"""WITH RECURSIVE e AS (
+  SELECT *, row_number() OVER (PARTITION BY sku_id
+    ORDER BY sales_id, event_ts, quantity, status NULLS FIRST) AS i
+  FROM ({SQL_LINE_SALES}) WHERE event_ts IS NOT NULL),
+reach(sku_id, i, t, k) AS (
+  SELECT sku_id, i, event_ts, 1 FROM e
+  UNION SELECT e.sku_id, e.i, e.event_ts, k + 1 FROM reach r
+    JOIN e ON e.sku_id = r.sku_id AND e.i > r.i AND e.event_ts >= r.t),
+longest AS (SELECT sku_id, i, max(k) AS k FROM reach GROUP BY ALL),
+steps AS (
+  SELECT b.sku_id, b.i, max(a.i) AS p FROM longest b
+    LEFT JOIN longest a ON a.sku_id = b.sku_id AND a.k = b.k - 1 AND a.i < b.i GROUP BY ALL),
+kept(sku_id, i) AS (
+  SELECT sku_id, max(i) FROM longest
+  WHERE (sku_id, k) IN (SELECT (sku_id, max(k)) FROM longest GROUP BY sku_id) GROUP BY sku_id
+  UNION ALL SELECT s.sku_id, s.p FROM kept JOIN steps s ON s.sku_id = kept.sku_id AND s.i = kept.i
+    WHERE s.p IS NOT NULL),
+marked AS (
+  SELECT e.*, kept.i IS NULL AS late,
+    max(CASE WHEN kept.i IS NOT NULL THEN event_ts END) OVER (PARTITION BY e.sku_id ORDER BY e.i
+      ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS a,
+    min(CASE WHEN kept.i IS NOT NULL THEN event_ts END) OVER (PARTITION BY e.sku_id ORDER BY e.i
+      ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING) AS b
+  FROM e LEFT JOIN kept ON kept.sku_id = e.sku_id AND kept.i = e.i),
+slips AS (
+  SELECT sku_id, sales_id, event_ts, quantity, status, late, CASE WHEN late THEN
+    CASE WHEN (coalesce(event_ts - INTERVAL 1 HOUR >= a, true) AND coalesce(event_ts - INTERVAL 1 HOUR <= b, true))
+      OR (coalesce(event_ts + INTERVAL 1 HOUR >= a, true) AND coalesce(event_ts + INTERVAL 1 HOUR <= b, true))
+      THEN 'hour_slip'
+    WHEN coalesce(event_ts + INTERVAL 2 HOUR >= a, true) AND coalesce(event_ts - INTERVAL 2 HOUR <= b, true)
+      THEN 'near' ELSE 'far' END END AS late_kind FROM marked
+  UNION ALL SELECT sku_id, sales_id, event_ts, quantity, status, false, NULL
+    FROM ({SQL_LINE_SALES}) WHERE event_ts IS NULL)
+SELECT sku_id, sales_id, event_ts, quantity, status, late_kind, status IS NULL AS is_null_status,
+  event_ts IS NULL AS is_null_ts, late AS is_out_of_order, COALESCE(quantity > 40, false) AS is_outlier,
+  CASE WHEN status IS NULL THEN 'null_status' WHEN event_ts IS NULL THEN 'null_event_ts'
+       WHEN late THEN 'out_of_order' WHEN COALESCE(quantity > 40, false) THEN 'quantity_outlier'
+       ELSE 'valid' END AS event_quality_flag
+FROM slips"""
+
+
+@register("event_quality_smallest", SQL_LATE)
+def q_event_quality_smallest(spark, sf_dir):
+    """The flags with the smallest set of late events of each part instead of
+    a running maximum, and the kind of their slip."""
+    return EV.event_quality(line_sales(spark, sf_dir), outlier_threshold=40, late="smallest",
+                            order=[F.col("sales_id"), F.col("event_ts"), F.col("quantity"),
+                                   F.col("status").asc_nulls_first()])
+
+
+def _sql_merged(rows: str, cap: int) -> str:
+    near = "event_ts IS NULL, gap, event_ts NULLS FIRST"
+
+    def first(column, order):
+        return f"first({column} ORDER BY {order}) AS {column}"
+
+    return f"""WITH t AS ({rows}),
+ids AS (
+  SELECT sales_id, count(*) AS n, CASE WHEN min(event_ts) = max(event_ts) THEN min(event_ts) END AS sure,
+    min(sku_id) AS sku FROM t WHERE sales_id IS NOT NULL GROUP BY sales_id),
+around AS (
+  SELECT sales_id, n,
+    last_value(sure IGNORE NULLS) OVER (PARTITION BY sku ORDER BY sales_id
+      ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS a,
+    first_value(sure IGNORE NULLS) OVER (PARTITION BY sku ORDER BY sales_id
+      ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING) AS b FROM ids),
+copies AS (
+  SELECT t.*, greatest(coalesce(epoch_us(a) - epoch_us(event_ts), 0),
+    coalesce(epoch_us(event_ts) - epoch_us(b), 0), 0) AS gap
+  FROM t JOIN around USING (sales_id) WHERE n > 1)
+SELECT sales_id, sku_id, event_ts, quantity, status FROM t
+WHERE sales_id IS NULL OR sales_id IN (SELECT sales_id FROM ids WHERE n = 1)
+UNION ALL
+SELECT sales_id, {first('sku_id', f'status IS NULL, {near}, sku_id')},
+  first(event_ts ORDER BY {near}) AS event_ts,
+  {first('quantity', f'NOT coalesce(quantity <= {cap}, false), {near}, quantity NULLS FIRST')},
+  {first('status', f'status IS NULL, {near}, status')}
+FROM copies GROUP BY sales_id"""
+
+
+@register("merge_copies", _sql_merged(SQL_LINE_SALES, 40))
+def q_merge_copies(spark, sf_dir):
+    """One row per sales id of the order lines, each field from the copy that
+    can be trusted with it."""
+    return EV.merge_copies(line_sales(spark, sf_dir), cap=40)
+
+
+@register("merge_copies_events", _sql_merged(SQL_SALES, 50))
+def q_merge_copies_events(spark, sf_dir):
+    """The same over the sales events, whose ids are strings."""
+    return EV.merge_copies(sales(spark, sf_dir))
+
+
 # ---------------------------------------------------------------------------
 # Event hygiene end to end: dedupe -> quality flags
 # ---------------------------------------------------------------------------
