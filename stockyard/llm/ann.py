@@ -123,13 +123,14 @@ def unit(x: np.ndarray) -> np.ndarray:
 
 def top(q_ids: np.ndarray, q: np.ndarray, ids: np.ndarray, x: np.ndarray, k: int,
         label: np.ndarray | None = None, asked: np.ndarray | None = None):
-    """(query id, row id, cosine) of the ``k`` nearest rows of each query but
-    itself; ties to smaller ids. With ``label`` (of a row) and ``asked`` (query
+    """(query id, row id, cosine) of the ``k`` nearest ids of each query but its
+    own, an id of several rows by the nearest of them; ties to smaller ids. With ``label`` (of a row) and ``asked`` (query
     x label) a query sees only rows of the labels it asks for. The sum of each
     cosine is taken in the order of the components, alike for equal rows."""
     order = np.argsort(ids, kind="stable")
     ids, x = ids[order], x[order]
     label = None if label is None else label[order]
+    firsts = np.flatnonzero(np.concatenate(([True], ids[1:] != ids[:-1]))) if len(ids) else order
     for start in range(0, len(q), 64):  # bounded products
         rough = q[start:start + 64] @ x.T
         if label is not None:
@@ -138,17 +139,20 @@ def top(q_ids: np.ndarray, q: np.ndarray, ids: np.ndarray, x: np.ndarray, k: int
             s[ids == i] = -2.0
             # The product rounds as it likes: all rows about as near as the k-th
             # get their exact cosine, so that ties are settled by id.
-            cut = np.partition(s, len(s) - k)[len(s) - k] - 1e-9 if len(s) > k else -1.5
+            each = s if len(firsts) == len(s) else np.maximum.reduceat(s, firsts)
+            cut = np.partition(each, len(each) - k)[len(each) - k] - 1e-9 if len(each) > k else -1.5
             near = np.flatnonzero(s >= max(cut, -1.5))
             exact = np.minimum(np.maximum((x[near] * v).sum(axis=1), -1.0), 1.0)
-            best = np.argsort(-exact, kind="stable")[:k]
-            yield from ((i, int(ids[near[j]]), float(exact[j])) for j in best)
+            best = np.argsort(-exact, kind="stable")
+            if len(each) < len(s):  # the nearest row of each id
+                best = best[np.sort(np.unique(ids[near[best]], return_index=True)[1])]
+            yield from ((i, int(ids[near[j]]), float(exact[j])) for j in best[:k])
 
 
 def usable(rows: DataFrame, id_col: str, vec_col: str) -> DataFrame:
     """``id`` and ``v`` (array<double>) of the vectors that take part: of the
-    most frequent length, without null or non-finite components, not zero; one
-    row for each id and vector."""
+    most frequent length, without null or non-finite components, not zero. Rows
+    may repeat an id, with the same vector or another."""
     d = rows.select(F.col(id_col).cast("long").alias("id"),
                     F.col(vec_col).cast("array<double>").alias("v")) \
         .where(F.col("id").isNotNull() & F.col("v").isNotNull()) \
@@ -174,6 +178,8 @@ def _pairs(rows) -> pa.RecordBatch:
 
 
 def _best(pairs: DataFrame, k: int) -> DataFrame:
+    """The ``k`` nearest ids of each query id; pairs may repeat."""
+    pairs = pairs.groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
     w = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     return pairs.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k) \
         .select("query_id", "rank", "vec_id", "score")
@@ -332,8 +338,8 @@ class Index:
         """For each exact neighbour, how many leaves its query visits before
         the neighbour's own (a bounded set of queries and neighbours)."""
         ids = self.spark.createDataFrame([(r["vec_id"],) for r in exact], "id long").distinct()
-        leaf = {r["id"]: r["leaf"] for r in
-                self.filed.join(F.broadcast(ids), "id").select("id", "leaf").collect()}
+        leaf = {r["id"]: r["leaf"] for r in self.filed.join(F.broadcast(ids), "id")
+                .groupBy("id").agg(F.min("leaf").alias("leaf")).collect()}
         tree = self.tree.value
         order = {i: {b: k for k, b in enumerate(tree.best_bins(v, self.n_leaves))}
                  for i, v in zip([q[0] for q in queries], unit(np.array([q[1] for q in queries])),
@@ -378,9 +384,10 @@ def nearest_neighbours(spark: SparkSession, rows: DataFrame, query_mod: int = 50
 
     Null ids and vectors that are null, zero or hold null or non-finite
     components take no part, nor do vectors of another length than the most
-    frequent one; rows that repeat an id are candidates each, but never of a
-    query with that id; ties go to smaller ids; an empty table gives an empty
-    result; other columns are ignored.
+    frequent one. Ids stand for all their rows: of a query id or a candidate id
+    with several vectors (or copies of one) the nearest pair counts, so each
+    candidate id is there once, and never for its own id. Ties go to smaller
+    ids; an empty table gives an empty result; other columns are ignored.
     """
     index = Index(spark, rows, id_col, vec_col)
     if not index.n:
