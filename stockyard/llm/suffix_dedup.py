@@ -174,10 +174,15 @@ def repeated_spans(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id",
         schema = pa.schema([("k", pa.int64()), ("m", pa.int64()), ("n", pa.int64()),
                             ("i", pa.int64()), ("t", pa.int64()), ("s", pa.int64()),
                             ("x", pa.binary())])
+        last = None
         for part in parts:
             for i, t, x, p in zip(part.column("i").to_pylist(), part.column("t").to_pylist(),
                                   utf8(part.column("x")), part.column("p").to_pylist(),
                                   strict=True):
+                # Copies of a row come one after another; one of them is enough.
+                if (i, t) == last:
+                    continue
+                last = i, t
                 yield from batches_of(
                     ((r["k"], r["m"], r["n"], i, t, r["s"],
                       x[r["s"] >> 32:(r["s"] & 0xFFFFFFFF) + length]) for r in p), schema)
@@ -227,7 +232,7 @@ def repeated_spans(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id",
     twice = each.groupBy("a", "b").agg(F.sum("n").alias("uses")).where("uses > 1")
     many = each.join(twice, ["a", "b"]).where("n = 1") \
         .select("i", "t", F.col("s").bitwiseOR(F.shiftleft("s", 32)).alias("s"))
-    return written(spark, whole.union(found).union(many), "pfp-spans")
+    return written(spark, whole.union(found).union(many).distinct(), "pfp-spans")
 
 
 def remove_repeats(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id",
@@ -245,8 +250,9 @@ def remove_repeats(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id",
     columns are ignored.
     """
     prepare(spark)
+    # Copies of a row have the same spans: they fall together before the shuffle.
     spans = repeated_spans(spark, docs, id_col, text_col, length, group) \
-        .groupBy("i", "t").agg(F.collect_list("s").alias("p"))
+        .groupBy("i", "t").agg(F.collect_set("s").alias("p"))
     cols = [id_col, *[c for c in keep if c not in (id_col, text_col)]]
     inner = [f"v{k}" for k in range(len(cols))]
     src = docs.select(*[F.col(c).alias(v) for c, v in zip(cols, inner, strict=True)],

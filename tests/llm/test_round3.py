@@ -11,7 +11,7 @@ import numpy as np
 import pyarrow as pa
 import pytest
 
-from stockyard.llm import collocation, minhash, resample, words
+from stockyard.llm import ann, collocation, minhash, resample, suffix_dedup, words
 
 
 def docs(spark, rows, schema="doc_id long, text string, lang string, a string, rank long, bucket int"):
@@ -267,3 +267,70 @@ def test_groups_of_sorted_batches():
     for size in (1, 7, 200):
         got = [(t.column("k")[0].as_py(), t.num_rows) for t in minhash.groups_of(table.to_batches(size), 1)]
         assert got == [(int(k), int((keys == k).sum())) for k in np.unique(keys)]
+
+
+# --- repeated rows in earlier operators --------------------------------------
+
+def test_neighbours_of_repeated_rows(spark):
+    rng = np.random.default_rng(12)
+    x = rng.normal(size=(400, 8))
+    rows = [(k, v.tolist()) for k, v in enumerate(x)]
+    rows += [rows[50]] * 3 + [rows[k] for k in range(0, 400, 7)]     # copies of queries and candidates
+    rows += [(50, x[3].tolist()), (100, (-x[8]).tolist()), (9, x[300].tolist())]  # ids with two vectors
+    got = {}
+    for r in ann.nearest_neighbours(spark, spark.createDataFrame(rows, "vec_id long, embedding array<double>")) \
+            .orderBy("query_id", "rank").collect():
+        got.setdefault(r.query_id, []).append((r.rank, r.vec_id, r.score))
+    ids = np.array([i for i, _ in rows])
+    unit = np.array([v for _, v in rows])
+    unit /= np.linalg.norm(unit, axis=1, keepdims=True)
+    cosine = unit @ unit.T
+    assert sorted(got) == list(range(0, 400, 50))
+    for q, found in got.items():
+        best = {}
+        for a in np.flatnonzero(ids == q):
+            for b in np.flatnonzero(ids != q):
+                best[int(ids[b])] = max(best.get(int(ids[b]), -2.0), cosine[a, b])
+        want = sorted(best.items(), key=lambda t: (-t[1], t[0]))[:5]
+        assert [r for r, _, _ in found] == [1, 2, 3, 4, 5]
+        assert len({i for _, i, _ in found}) == 5
+        for (_, i, s), (j, t) in zip(found, want, strict=True):
+            assert i == j and abs(s - t) < 1e-12
+
+
+def test_top_takes_the_nearest_row_of_an_id():
+    q = np.array([[1.0, 0.0]])
+    x = ann.unit(np.array([[1.0, 0.1], [1.0, 0.2], [1.0, 0.1], [0.0, 1.0], [1.0, 0.0]]))
+    got = list(ann.top(np.array([7]), q, np.array([3, 3, 2, 1, 7]), x, 3))
+    assert [i for _, i, _ in got] == [2, 3, 1]
+
+
+def test_spans_do_not_grow_with_copies_of_a_row(spark):
+    rng = random.Random(13)
+    text = "".join(rng.choice("abcdefghij klmnop") for _ in range(3000))
+    other = text[:700] + "".join(rng.choice("qrstuvw") for _ in range(600)) + text[1500:2200]
+    sizes = {}
+    for copies in (2, 300):
+        rows = [(1, text)] * copies + [(None, text)] * copies + [(2, other), (None, other), (None, None), (3, "")]
+        df = spark.createDataFrame(rows, "doc_id long, text string").repartition(6)
+        suffix_dedup.prepare(spark)
+        sizes[copies] = suffix_dedup.repeated_spans(spark, df).count()
+        got = suffix_dedup.remove_repeats(spark, df).collect()
+        assert Counter((r.doc_id, r.n_bytes, r.n_removed, r.n_spans) for r in got) == Counter(
+            {(1, 3000, 3000, 1): copies, (None, 3000, 3000, 1): copies, (2, 2000, 2000, 1): 1,
+             (None, 2000, 2000, 1): 1, (None, 0, 0, 0): 1, (3, 0, 0, 0): 1})
+    assert sizes[2] == sizes[300]
+
+
+def test_copies_share_a_trigger_with_other_phrases(spark):
+    """Copies of one row beside a text that shares passages at other offsets."""
+    rng = random.Random(14)
+    text = "".join(rng.choice("abcdefghij klmnop") for _ in range(2500))
+    near = "".join(rng.choice("qrstuvw") for _ in range(130)) + text[300:900] + "tail " * 30
+    rows = [(1, text)] * 40 + [(2, near)]
+    got = {r.doc_id: (r.n_removed, r.n_spans) for r in suffix_dedup.remove_repeats(
+        spark, spark.createDataFrame(rows, "doc_id long, text string").repartition(5)).collect()}
+    assert got == {1: (2500, 1), 2: (600, 1)}
+    once = {r.doc_id: (r.n_removed, r.n_spans) for r in suffix_dedup.remove_repeats(
+        spark, spark.createDataFrame(rows[39:], "doc_id long, text string")).collect()}
+    assert once == {1: (600, 1), 2: (600, 1)}
