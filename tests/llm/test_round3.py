@@ -11,7 +11,7 @@ import numpy as np
 import pyarrow as pa
 import pytest
 
-from stockyard.llm import ann, collocation, minhash, resample, suffix_dedup, words
+from stockyard.llm import ann, collocation, langid, minhash, resample, suffix_dedup, words
 
 
 def docs(spark, rows, schema="doc_id long, text string, lang string, a string, rank long, bucket int"):
@@ -334,3 +334,82 @@ def test_copies_share_a_trigger_with_other_phrases(spark):
     once = {r.doc_id: (r.n_removed, r.n_spans) for r in suffix_dedup.remove_repeats(
         spark, spark.createDataFrame(rows[39:], "doc_id long, text string")).collect()}
     assert once == {1: (600, 1), 2: (600, 1)}
+
+
+# --- language id against a plain scorer -------------------------------------
+
+def plain_scores(model_words, model_grams, langs, text):
+    """Log posterior sums word by word, from the counts themselves."""
+    sizes = {0: len(model_words), **{n: sum(len(g) == n for g in model_grams) for n in range(1, 6)}}
+
+    def logs(counts, kind, table):
+        total = [sum(c[k] for g, c in table.items() if kind == 0 or len(g) == kind) + 0.5 * sizes[kind]
+                 for k in range(len(langs))]
+        return np.array([math.log((counts[k] + 0.5) / total[k]) for k in range(len(langs))])
+
+    out = np.zeros(len(langs))
+    for w in langid.words(text):
+        if w in model_words:
+            out += logs(model_words[w], 0, model_words)
+            continue
+        for n in range(5, 0, -1):
+            marked = f"^{w}$" if n > 1 else w
+            known = [marked[i:i + n] for i in range(len(marked) - n + 1) if marked[i:i + n] in model_grams]
+            if known:
+                out += np.mean([logs(model_grams[g], n, model_grams) for g in known], axis=0)
+                break
+    return out
+
+
+def test_language_scores_equal_plain_scorer():
+    rng = random.Random(15)
+    langs = ["a", "b", "c"]
+    letters = "abcdeéç中ß"
+    some = lambda: "".join(rng.choices(letters, k=rng.randint(1, 7)))
+    row = lambda: [rng.choice([0, 0, 1, 5, 40]) for _ in langs[:-1]] + [rng.randint(1, 9)]
+    words_ = {some(): row() for _ in range(30)}
+    grams_ = {}
+    for w in [some() for _ in range(60)]:
+        for n in range(1, 6):
+            for g in langid.grams(w, n):
+                if rng.random() < 0.5:
+                    grams_.setdefault(g, row())
+    model = langid.LanguageModel(langs, words_, grams_)
+    texts = [" ".join(rng.choice([some(), rng.choice(list(words_))]) for _ in range(rng.randint(1, 40)))
+             for _ in range(80)] + ["", "123 !", "ÄÖ Ü"]
+    for t, (lang, score) in zip(texts, model.predict_all(texts), strict=True):
+        if not langid.words(t):
+            assert (lang, score) == ("und", 0.0)
+            continue
+        want = plain_scores(words_, grams_, langs, t)
+        best = int(want.argmax())
+        assert abs(score - 1 / np.exp(want - want[best]).sum()) < 1e-9
+        assert lang == langs[best] or abs(want[langs.index(lang)] - want[best]) < 1e-9
+
+
+def test_language_of_very_long_text_stays_small(monkeypatch):
+    import tracemalloc
+    rng = random.Random(16)
+    langs = [f"l{k:02d}" for k in range(20)]
+    words_ = {"".join(rng.choices("abcdefghij", k=5)): [rng.randint(0, 9) for _ in langs] for _ in range(5000)}
+    model = langid.LanguageModel(langs, words_, {"a": [1] * 20})
+    text = " ".join(rng.choices(list(words_), k=2_000_000))  # 12 MB
+    tracemalloc.start()
+    got = model.predict(text)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 100 << 20
+    monkeypatch.setattr(langid, "SLICE_CHARS", 1 << 12)
+    again = model.predict(text)
+    assert got[0] == again[0] and abs(got[1] - again[1]) < 1e-6
+    parts = list(langid.slices(text[:50_000] + "ab12c" * 5000, 1000))
+    assert [w for p in parts for w in langid.words(p)] == langid.words("".join(parts))
+
+
+def test_language_with_null_ids_and_repeated_rows(spark):
+    rows = [(k, "der die das und " * 5, "de") for k in range(30)] + [(k, "the of and to " * 5, "en") for k in range(30, 60)]
+    rows += [(None, "der das", None)] * 3 + [(None, None, "de"), (7, "the of", None), (7, "the of", None)]
+    got = langid.identify(spark, spark.createDataFrame(rows, "doc_id long, text string, lang string")).collect()
+    assert len(got) == len(rows)
+    last = Counter((r.doc_id, r.lang_pred) for r in got if r.doc_id in (None, 7))
+    assert last[(None, "de")] == 3 and last[(None, "und")] == 1 and last[(7, "en")] == 2
