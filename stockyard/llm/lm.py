@@ -6,8 +6,12 @@ before, the word before that (a skip), and both together. The ``HEAD`` most
 frequent words share classes by rank, and a second softmax with hashed features
 of its own tells the words of such a class apart. All other words, seen or not,
 belong to a class by their ending and have their smoothed share of its counts.
+As context every word counts by itself, rare or not.
 
-Word counts come from all training texts. The weights are trained on all of
+Texts are split once: each is written as the numbers of its words, which the
+rounds of training and the scoring read. Word counts come from all training
+texts, and the weight tables have a row for every ``WORDS_A_ROW`` distinct words,
+so the model grows with the corpus. The weights are trained on all of
 them too, by distributed updates: in each round every task takes gradient steps
 over its own texts from the same start, and the rows of the weight tables are
 averaged by how often each task met them.
@@ -34,13 +38,16 @@ HEAD_CLASSES = 16
 HEAD = SIZE * HEAD_CLASSES
 TAIL_CLASSES = 16
 CLASSES = HEAD_CLASSES + TAIL_CLASSES
-ROWS = 1 << 15            # hashed rows of the class weights
-WORD_ROWS = 1 << 14       # hashed rows of the word weights
+# Distinct words for each hashed row of the class weights (the word weights have
+# half as many rows); the fewest rows, and the most, which take 64 MB.
+WORDS_A_ROW, LEAST_ROWS, MOST_ROWS = 64, 1 << 15, 1 << 19
 ROUNDS = 2
 STEP = 0.8
 MINI = 16_384             # tokens of one gradient step
 BLOCK = 2_048             # rows of one message of weights
 SLICE_BYTES = 1 << 20     # text that is turned into arrays at a time
+SLICE_TOKENS = 1 << 18    # tokens that are trained on or scored at a time
+RARE_BITS = 22            # of the hash that tells rare words apart as context
 COUNT_BYTES = 16 << 20    # text whose words are counted at a time
 # Words whose counts every task holds; the counts of rarer ones are joined.
 FREQUENT = 300_000
@@ -57,22 +64,28 @@ def tail_class(word: bytes) -> int:
     return zlib.crc32(word[-2:]) % TAIL_CLASSES
 
 
+def table_rows(distinct: int) -> int:
+    """Rows of the class weights for so many distinct words: a power of two."""
+    return min(MOST_ROWS, max(LEAST_ROWS, 1 << (distinct // WORDS_A_ROW).bit_length()))
+
+
 class Vocabulary:
-    """The frequent words by rank with their counts, and the class totals."""
+    """The frequent words by rank with their counts, the class totals and the
+    sizes of the weight tables. A rarer word has a number past the frequent
+    ones that tells its class and a hash."""
 
     def __init__(self, words: list[bytes], counts: list[int], tail_n: list[int],
                  tail_v: list[int], total: int, distinct: int):
         self.id = {w: k for k, w in enumerate(words)}
         self.n = len(words)
         self.total, self.distinct = total, distinct
+        self.rows = table_rows(distinct)
+        self.word_rows = self.rows // 2
         c = np.array(counts, dtype=np.float64)
-        self.log_c = np.concatenate([np.log10(c + 0.5), np.zeros(TAIL_CLASSES + 1)])
-        # Ids past the frequent words: one for each ending of a rarer word,
-        # then the start of a text.
-        self.start = self.n + TAIL_CLASSES
-        self.cls = np.array([k // SIZE if k < HEAD else HEAD_CLASSES + tail_class(w)
-                             for k, w in enumerate(words)]
-                            + [HEAD_CLASSES + k for k in range(TAIL_CLASSES)] + [0], dtype=np.int64)
+        self._log_c = np.append(np.log10(c + 0.5), 0.0)
+        self.start = self.n + (TAIL_CLASSES << RARE_BITS)
+        self._cls = np.array([k // SIZE if k < HEAD else HEAD_CLASSES + tail_class(w)
+                              for k, w in enumerate(words)] + [0], dtype=np.int64)
         self.norm = np.log10(np.array(tail_n) + 0.5 * (np.array(tail_v) + 1.0))
         head = np.zeros(HEAD)
         head[:min(HEAD, len(c))] = c[:HEAD]
@@ -82,6 +95,14 @@ class Vocabulary:
         self.bias = np.concatenate([np.where(mass > 0, np.log(np.maximum(mass, 1)), -1e9),
                                     np.log(np.array(tail_n) + 0.5)]).astype(np.float32)
 
+    def cls(self, ids: np.ndarray) -> np.ndarray:
+        rare = HEAD_CLASSES + (ids - self.n) % TAIL_CLASSES
+        return np.where(ids < self.n, self._cls[np.minimum(ids, self.n)], rare)
+
+    def log_c(self, ids: np.ndarray) -> np.ndarray:
+        """Log of the smoothed count of frequent words, 0 for rarer ones."""
+        return self._log_c[np.minimum(ids, self.n)]
+
     def read(self, texts: list[bytes]):
         """Flat ids of the tokens of several texts, the first token of each
         text, and the rare words of each."""
@@ -94,13 +115,13 @@ class Vocabulary:
         late = np.flatnonzero(ids < 0)
         rare: list[dict[bytes, int]] = [{} for _ in texts]
         owner = np.searchsorted(starts, late, side="right") - 1
-        classes = []
+        numbers = []
         for k, at in zip(owner.tolist(), late.tolist(), strict=True):
             w = flat[at]
             seen = rare[k]
             seen[w] = seen.get(w, 0) + 1
-            classes.append(tail_class(w))
-        ids[late] = np.array(classes, dtype=np.int64) + self.n
+            numbers.append((zlib.crc32(w) >> (32 - RARE_BITS)) * TAIL_CLASSES + tail_class(w))
+        ids[late] = np.array(numbers, dtype=np.int64) + self.n
         return ids, np.array(starts, dtype=np.int64), rare
 
 
@@ -118,7 +139,7 @@ def slices(texts: list[bytes], size: int = SLICE_BYTES):
         yield run
 
 
-def contexts(v: Vocabulary, ids: np.ndarray, starts: np.ndarray):
+def contexts(v: Vocabulary, ids: np.ndarray, starts: np.ndarray, cls: np.ndarray):
     """Hashed rows of the class features (three a token), and of the word
     features of each token's own class."""
     one = np.concatenate(([v.start], ids[:-1]))
@@ -126,13 +147,13 @@ def contexts(v: Vocabulary, ids: np.ndarray, starts: np.ndarray):
     two = np.concatenate(([v.start], one[:-1]))
     two[starts] = v.start
     a, b = one.astype(np.uint64), two.astype(np.uint64)
-    shift = np.uint64(64 - ROWS.bit_length() + 1)
+    shift = np.uint64(64 - v.rows.bit_length() + 1)
     with np.errstate(over="ignore"):
         x = [(a + np.uint64(1)) * _MULT[0], (b + np.uint64(1)) * _MULT[1],
              ((a + np.uint64(1)) * _MULT[0] ^ (b + np.uint64(7)) * _MULT[2]) * _MULT[1]]
-        rows = [(h >> shift).astype(np.uint16) for h in x]
-        word = (a * np.uint64(CLASSES) + v.cls[ids].astype(np.uint64) + np.uint64(1)) * _MULT[2]
-    return rows, (word >> np.uint64(64 - WORD_ROWS.bit_length() + 1)).astype(np.uint16)
+        rows = [(h >> shift).astype(np.int32) for h in x]
+        word = (a * np.uint64(CLASSES) + cls.astype(np.uint64) + np.uint64(1)) * _MULT[2]
+    return rows, (word >> np.uint64(64 - v.word_rows.bit_length() + 1)).astype(np.int32)
 
 
 def softmax(z: np.ndarray) -> np.ndarray:
@@ -151,17 +172,18 @@ def class_logits(v: Vocabulary, table: np.ndarray, rows: list[np.ndarray], s: sl
 
 
 class Weights:
-    def __init__(self, classes=None, words=None):
-        self.classes = np.zeros((ROWS, CLASSES), np.float32) if classes is None else classes
-        self.words = np.zeros((WORD_ROWS, SIZE), np.float32) if words is None else words
+    def __init__(self, v: Vocabulary, classes=None, words=None):
+        self.classes = np.zeros((v.rows, CLASSES), np.float32) if classes is None else classes
+        self.words = np.zeros((v.word_rows, SIZE), np.float32) if words is None else words
 
     def log10_p(self, v: Vocabulary, ids: np.ndarray, starts: np.ndarray) -> np.ndarray:
         """log10 probability of each token, without the counts of rare words."""
-        rows, word = contexts(v, ids, starts)
+        all_cls = v.cls(ids)
+        rows, word = contexts(v, ids, starts, all_cls)
         out = np.empty(len(ids))
         for k in range(0, len(ids), MINI):
             s = slice(k, k + MINI)
-            mine, cls = ids[s], v.cls[ids[s]]
+            mine, cls = ids[s], all_cls[s]
             p = softmax(class_logits(v, self.classes, rows, s))
             p = p[np.arange(len(mine)), cls].astype(np.float64)
             head = mine < min(HEAD, v.n)
@@ -169,7 +191,7 @@ class Weights:
             q = softmax(v.head[cls[head]] + self.words[word[s][head]])
             p[head] *= q[np.arange(len(h)), h % SIZE]
             got = np.log10(np.maximum(p, 1e-30))
-            got[~head] += v.log_c[mine[~head]] - v.norm[cls[~head] - HEAD_CLASSES]
+            got[~head] += v.log_c(mine[~head]) - v.norm[cls[~head] - HEAD_CLASSES]
             out[s] = got
         return out
 
@@ -179,38 +201,42 @@ class Trainer:
 
     def __init__(self, v: Vocabulary, start: Weights):
         self.v = v
-        self.w = Weights(start.classes.copy(), start.words.copy())
-        self.seen = np.zeros(ROWS, np.float32), np.zeros(WORD_ROWS, np.float32)
-        self.squares = np.full(ROWS, 1e-2, np.float32), np.full(WORD_ROWS, 1e-2, np.float32)
-
-    def _update(self, which: int, table: np.ndarray, rows: np.ndarray, slope: np.ndarray) -> None:
-        """One step for several rows of features with the same slopes."""
-        order = np.argsort(rows, kind="stable")
-        near = rows[order]
-        first = np.flatnonzero(np.concatenate(([True], near[1:] != near[:-1])))
-        g, at = np.add.reduceat(
-            np.take(slope, order % len(slope), axis=0, mode="clip"), first, axis=0), near[first]
+        self.w = Weights(v, start.classes.copy(), start.words.copy())
+        sizes = v.rows, v.word_rows
+        self.seen = tuple(np.zeros(n, np.float32) for n in sizes)
+        self.squares = tuple(np.full(n, 1e-2, np.float32) for n in sizes)
+
+    def _update(self, which: int, table: np.ndarray, rows: list[np.ndarray], slope: np.ndarray) -> None:
+        """One step for sets of rows, each with the same slopes."""
+        used = sum(np.bincount(r, minlength=len(table)) for r in rows)
+        at = np.flatnonzero(used)
+        place = np.zeros(len(table), dtype=np.int64)
+        place[at] = np.arange(len(at))
+        sets, columns = [place[r] for r in rows], np.ascontiguousarray(slope.T, dtype=np.float64)
+        g = np.empty((len(at), slope.shape[1]), dtype=np.float32)
+        for c, x in enumerate(columns):
+            g[:, c] = sum(np.bincount(r, x, len(at)) for r in sets)
         sq = self.squares[which]
         sq[at] += np.einsum("ij,ij->i", g, g)
         g *= (-STEP / np.sqrt(sq[at]))[:, None]
         table[at] += g
-        self.seen[which][at] += np.diff(np.concatenate((first, [len(near)])))
+        self.seen[which][at] += used[at]
 
-    def learn(self, texts: list[bytes]) -> None:
+    def learn(self, ids: np.ndarray, starts: np.ndarray) -> None:
         v = self.v
-        ids, starts, _ = v.read(texts)
-        rows, word = contexts(v, ids, starts)
+        all_cls = v.cls(ids)
+        rows, word = contexts(v, ids, starts, all_cls)
         for k in range(0, len(ids), MINI):
             s = slice(k, k + MINI)
-            mine, cls = ids[s], v.cls[ids[s]]
+            mine, cls = ids[s], all_cls[s]
             slope = softmax(class_logits(v, self.w.classes, rows, s))
             slope[np.arange(len(mine)), cls] -= 1
-            self._update(0, self.w.classes, np.concatenate([r[s] for r in rows]), slope)
+            self._update(0, self.w.classes, [r[s] for r in rows], slope)
             head = mine < min(HEAD, v.n)
             if head.any():
                 slope = softmax(v.head[cls[head]] + self.w.words[word[s][head]])
                 slope[np.arange(int(head.sum())), mine[head] % SIZE] -= 1
-                self._update(1, self.w.words, word[s][head], slope)
+                self._update(1, self.w.words, [word[s][head]], slope)
 
     def message(self):
         """(table, block, rows times uses, uses) of what was met."""
@@ -272,11 +298,66 @@ def vocabulary(spark: SparkSession, counts: DataFrame, frequent: int = FREQUENT)
                       sum(r["v"] for r in sizes)), least
 
 
-def train_weights(spark: SparkSession, train: DataFrame, vocab, text_col: str, id_col: str,
-                  rounds: int = ROUNDS) -> Weights:
-    """Weights after ``rounds`` rounds, each over its own share of the texts."""
-    w = Weights()
-    lot = F.pmod(F.xxhash64(id_col, F.lit("round")), F.lit(rounds))
+def packed(ids: np.ndarray) -> bytes:
+    return pa.compress(ids.astype("<i4").tobytes(), codec="zstd", asbytes=True)
+
+
+def runs_of(sizes: list[int], data: list[bytes]):
+    """Token numbers of several texts in a row, the first token of each text,
+    and how many texts; about ``SLICE_TOKENS`` at a time."""
+    k = 0
+    while k < len(sizes):
+        some, starts, held, first = [], [], 0, k
+        while k < len(sizes) and (not some or held + sizes[k] <= SLICE_TOKENS):
+            some.append(np.frombuffer(pa.decompress(data[k], 4 * sizes[k], codec="zstd", asbytes=True), "<i4"))
+            starts.append(held)
+            held += sizes[k]
+            k += 1
+        yield np.concatenate(some).astype(np.int64), np.array(starts, dtype=np.int64), k - first
+
+
+def encoded(spark: SparkSession, docs: DataFrame, held, vocab, id_col: str, text_col: str,
+            rounds: int) -> DataFrame:
+    """Every text as the numbers of its words (``ids``), with what the words
+    give without the model: ``n_tokens``, ``n_known``, ``base`` and the rare
+    words. ``r`` numbers the rows, ``lot`` is the round a text is trained in."""
+    lot = F.pmod(F.xxhash64(id_col, F.lit("round")), F.lit(rounds)).cast("long")
+    src = docs.select(F.monotonically_increasing_id().alias("r"), F.col(id_col).alias("d"),
+                      held.alias("held_out"), lot.alias("lot"), F.col(text_col).alias("x"))
+    out = T.StructType([*src.schema.fields[:4], *[
+        T.StructField(c, T.LongType()) for c in ("n_tokens", "n_known")],
+        T.StructField("base", T.DoubleType()), T.StructField("ids", T.BinaryType()),
+        T.StructField("rare", T.ArrayType(T.StructType([
+            T.StructField("w", T.StringType()), T.StructField("n", T.LongType())])))])
+    token = uuid.uuid4().hex
+
+    def run(parts):
+        v = once(token, lambda: vocab.value)
+        for part in parts:
+            done = 0
+            for texts in slices(utf8(part.column(4))):
+                ids, starts, rare = v.read(texts)
+                bounds = [*starts.tolist(), len(ids)]
+                words = [(x.decode(), k) for r in rare for x, k in r.items()]
+                ends = np.cumsum([0, *map(len, rare)], dtype=np.int32)
+                yield pa.RecordBatch.from_arrays(
+                    [*part.slice(done, len(texts)).columns[:4], pa.array(np.diff(bounds)),
+                     pa.array(np.add.reduceat((ids < v.n).astype(np.int64), starts)),
+                     pa.array(np.add.reduceat(v.log_c(ids), starts)),
+                     pa.array([packed(ids[a:b]) for a, b in zip(bounds, bounds[1:], strict=False)], pa.binary()),
+                     pa.ListArray.from_arrays(pa.array(ends), pa.StructArray.from_arrays(
+                         [pa.array([a for a, _ in words], pa.string()),
+                          pa.array([b for _, b in words], pa.int64())], names=["w", "n"]))],
+                    names=out.names)
+                done += len(texts)
+
+    return written(spark, src.mapInArrow(run, out), "lm-encoded")
+
+
+def train_weights(spark: SparkSession, train: DataFrame, vocab, rounds: int = ROUNDS) -> Weights:
+    """Weights after ``rounds`` rounds, each over its own share of the texts
+    (``lot``, ``n_tokens``, ``ids``)."""
+    w = Weights(vocab.value)
     for k in range(rounds):
         start = spark.sparkContext.broadcast((w.classes, w.words))
         token = uuid.uuid4().hex
@@ -285,17 +366,17 @@ def train_weights(spark: SparkSession, train: DataFrame, vocab, text_col: str, i
             trainer = None
             for part in parts:
                 if trainer is None:
-                    trainer = Trainer(once(token, lambda: vocab.value),
-                                      Weights(*start.value))
-                for texts in slices(utf8(part.column(0))):
-                    trainer.learn(texts)
+                    v = once(token, lambda: vocab.value)
+                    trainer = Trainer(v, Weights(v, *start.value))
+                for ids, starts, _ in runs_of(part.column(0).to_pylist(), part.column(1).to_pylist()):
+                    trainer.learn(ids, starts)
             if trainer is not None:
                 for which, b, x, n in trainer.message():
                     yield pa.RecordBatch.from_arrays(
                         [pa.array([which]), pa.array([b]), pa.array([x], pa.binary()),
                          pa.array([n], pa.binary())], names=["which", "b", "x", "n"])
 
-        sent = train.where(lot == k).select(text_col) \
+        sent = train.where(F.col("lot") == k).select("n_tokens", "ids") \
             .mapInArrow(learn, "which long, b long, x binary, n binary").rdd
         # Added up in two steps, so that no task reads a message of every task.
         groups = math.isqrt(sent.getNumPartitions()) + 1
@@ -331,37 +412,25 @@ def score_texts(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id",
     counts = count_words(spark, train, text_col)
     v, least = vocabulary(spark, counts, frequent)
     vocab = spark.sparkContext.broadcast(v)
-    w = train_weights(spark, train, vocab, text_col, id_col)
+    read = encoded(spark, docs, held, vocab, id_col, text_col, ROUNDS)
+    w = train_weights(spark, read.where(~F.col("held_out")), vocab)
     model = spark.sparkContext.broadcast((w.classes, w.words))
     token = uuid.uuid4().hex
-    src = docs.select(F.monotonically_increasing_id().alias("r"), F.col(id_col).alias("d"),
-                      held.alias("held_out"), F.col(text_col).alias("x"))
-    out = T.StructType([*src.schema.fields[:3], *[
-        T.StructField(c, T.LongType()) for c in ("n_tokens", "n_known")], *[
-        T.StructField(c, T.DoubleType()) for c in ("base", "score")],
-        T.StructField("rare", T.ArrayType(T.StructType([
-            T.StructField("w", T.StringType()), T.StructField("n", T.LongType())])))])
+    src = read.drop("lot")
+    out = T.StructType([*[f for f in src.schema.fields if f.name != "ids"],
+                        T.StructField("score", T.DoubleType())])
+    kept = out.names[:-1]
 
     def run(parts):
         v = once(token, lambda: vocab.value)
-        weights = Weights(*model.value)
+        weights = Weights(v, *model.value)
         for part in parts:
-            done = 0
-            for texts in slices(utf8(part.column(3))):
-                ids, starts, rare = v.read(texts)
-                n = np.diff(np.concatenate((starts, [len(ids)])))
-                words = [(x.decode(), k) for r in rare for x, k in r.items()]
-                ends = np.cumsum([0, *map(len, rare)], dtype=np.int32)
-                yield pa.RecordBatch.from_arrays(
-                    [*part.slice(done, len(texts)).columns[:3], pa.array(n),
-                     pa.array(np.add.reduceat((ids < v.n).astype(np.int64), starts)),
-                     pa.array(np.add.reduceat(v.log_c[ids], starts)),
-                     pa.array(np.add.reduceat(weights.log10_p(v, ids, starts), starts)),
-                     pa.ListArray.from_arrays(pa.array(ends), pa.StructArray.from_arrays(
-                         [pa.array([a for a, _ in words], pa.string()),
-                          pa.array([b for _, b in words], pa.int64())], names=["w", "n"]))],
-                    names=out.names)
-                done += len(texts)
+            scores = []
+            for ids, starts, _ in runs_of(part.column("n_tokens").to_pylist(), part.column("ids").to_pylist()):
+                scores.append(np.add.reduceat(weights.log10_p(v, ids, starts), starts))
+            yield pa.RecordBatch.from_arrays(
+                [*[part.column(c) for c in kept],
+                 pa.array(np.concatenate(scores) if scores else np.zeros(0))], names=out.names)
 
     got = written(spark, src.mapInArrow(run, out), "lm-scored")
     # The counts of rarer words meet the texts that hold them by a join.

@@ -204,8 +204,8 @@ def test_lm_is_a_distribution():
         tail[:, lm.tail_class(w)] += (c, 1)
     v = lm.Vocabulary(words, counts, tail[0].tolist(), tail[1].tolist(), sum(counts), len(words))
     rng = np.random.RandomState(0)
-    w = lm.Weights(rng.randn(lm.ROWS, lm.CLASSES).astype("f4"),
-                   rng.randn(lm.WORD_ROWS, lm.SIZE).astype("f4"))
+    w = lm.Weights(v, rng.randn(v.rows, lm.CLASSES).astype("f4"),
+                   rng.randn(v.word_rows, lm.SIZE).astype("f4"))
     ids = np.arange(len(words) + lm.TAIL_CLASSES)
     flat = np.stack([np.full_like(ids, 5), ids], axis=1).ravel()
     p = 10 ** w.log10_p(v, flat, np.arange(0, len(flat), 2))[1::2]

@@ -11,7 +11,7 @@ import numpy as np
 import pyarrow as pa
 import pytest
 
-from stockyard.llm import ann, collocation, langid, minhash, resample, suffix_dedup, words
+from stockyard.llm import ann, collocation, langid, lm, minhash, resample, suffix_dedup, words
 
 
 def docs(spark, rows, schema="doc_id long, text string, lang string, a string, rank long, bucket int"):
@@ -413,3 +413,56 @@ def test_language_with_null_ids_and_repeated_rows(spark):
     assert len(got) == len(rows)
     last = Counter((r.doc_id, r.lang_pred) for r in got if r.doc_id in (None, 7))
     assert last[(None, "de")] == 3 and last[(None, "und")] == 1 and last[(7, "en")] == 2
+
+
+# --- language model --------------------------------------------------------
+
+def vocabulary(words_, distinct):
+    return lm.Vocabulary(words_, list(range(len(words_) + 10, 10, -1)), [9] * lm.TAIL_CLASSES,
+                         [3] * lm.TAIL_CLASSES, 10 ** 6, distinct)
+
+
+def test_weight_tables_grow_with_the_vocabulary():
+    sizes = [lm.table_rows(n) for n in (0, 10 ** 6, 4 * 10 ** 6, 10 ** 7, 2 * 10 ** 7, 10 ** 9)]
+    assert sizes[0] == lm.LEAST_ROWS and sizes[-1] == lm.MOST_ROWS and sizes == sorted(sizes)
+    assert len(set(sizes)) == 5
+    for n in (4 * 10 ** 6, 10 ** 7):
+        assert n / 64 <= lm.table_rows(n) <= n / 32
+    v = vocabulary([b"a", b"b"], 10 ** 7)
+    assert lm.Weights(v).classes.shape == (lm.table_rows(10 ** 7), lm.CLASSES)
+
+
+def test_rare_words_are_contexts_of_their_own():
+    v = vocabulary([b"the", b"of"], 1000)
+    rare_ = [f"rare{k}".encode() for k in range(500)]
+    ids, starts, rare = v.read([b" ".join(rare_), b"the Rare7 of", b""])
+    assert len(set(ids[:500].tolist())) == 500 and ids[500] == v.id[lm.END] if lm.END in v.id else True
+    assert starts.tolist()[:2] == [0, 501] and rare[1][b"rare7"] == 1
+    at = starts[1] + 1
+    assert ids[at] == ids[7]  # the same word has the same number everywhere
+    cls = v.cls(ids)
+    assert cls[7] == lm.HEAD_CLASSES + lm.tail_class(b"rare7") and v.log_c(ids)[7] == 0.0
+    rows, _ = lm.contexts(v, ids, starts, cls)
+    assert len(set(rows[0][1:500].tolist())) > 450  # hashed rows, few of which fall together
+
+
+def test_texts_come_back_as_written():
+    rng = np.random.default_rng(17)
+    texts = [rng.integers(0, 1 << 30, n) for n in (1, 5, 300, 2, 1000)]
+    got = list(lm.runs_of([len(t) for t in texts], [lm.packed(t) for t in texts]))
+    assert np.concatenate([i for i, _, _ in got]).tolist() == np.concatenate(texts).tolist()
+    assert sum(n for _, _, n in got) == 5 and got[0][1].tolist() == [0, 1, 6, 306, 308]
+
+
+def test_gradient_step_equals_plain_sums():
+    v = vocabulary([f"w{k}".encode() for k in range(600)], 600)
+    rng = np.random.default_rng(18)
+    rows = [rng.integers(0, 50, 200), rng.integers(0, 50, 200)]
+    slope = rng.normal(size=(200, lm.CLASSES)).astype("f4")
+    t = lm.Trainer(v, lm.Weights(v))
+    t._update(0, t.w.classes, rows, slope)
+    for r in range(50):
+        g = sum(slope[at == r].sum(axis=0) for at in rows)
+        want = -lm.STEP * g / np.sqrt(1e-2 + (g * g).sum())
+        np.testing.assert_allclose(t.w.classes[r], want, atol=1e-5)
+        assert t.seen[0][r] == sum((at == r).sum() for at in rows)
