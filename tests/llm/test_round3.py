@@ -425,7 +425,7 @@ def vocabulary(words_, distinct):
 def test_weight_tables_grow_with_the_vocabulary():
     sizes = [lm.table_rows(n) for n in (0, 10 ** 6, 4 * 10 ** 6, 10 ** 7, 2 * 10 ** 7, 10 ** 9)]
     assert sizes[0] == lm.LEAST_ROWS and sizes[-1] == lm.MOST_ROWS and sizes == sorted(sizes)
-    assert len(set(sizes)) == 5
+    assert len(set(sizes)) == 4
     for n in (4 * 10 ** 6, 10 ** 7):
         assert n / 64 <= lm.table_rows(n) <= n / 32
     v = vocabulary([b"a", b"b"], 10 ** 7)
