@@ -1,11 +1,13 @@
 """Sinks: table writes, typed tables, insert-overwrite, views, publishing.
 
 Writes are whole-table overwrites or appends of a DataFrame; Spark writes
-the files from the executors in parallel and commits on the driver.
+the files from the executors in parallel and commits on the driver. An
+overwrite goes to a fresh folder, and the table's name passes to it at the end.
 """
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -38,33 +40,126 @@ def ensure_schema(spark: SparkSession, database: str, location: str | None = Non
     spark.sql(f"CREATE SCHEMA IF NOT EXISTS {database}" + (f" LOCATION '{location}'" if location else ""))
 
 
+# Formats that replace a table's content in one commit of their own.
+TRANSACTIONAL = ("delta", "iceberg", "hudi")
+PREVIOUS = "stockyard.previous_version"
+
+
+def table_location(spark: SparkSession, table: str) -> str | None:
+    """Where a table's files lie; None if there is no such table."""
+    if not spark.catalog.tableExists(table):
+        return None
+    rows = spark.sql(f"DESCRIBE TABLE EXTENDED {table}").collect()
+    return next((r["data_type"] for r in rows if r["col_name"] == "Location"), None)
+
+
+def _home(spark: SparkSession, table: str) -> str:
+    """The folder under which a table's versions are kept by default."""
+    db, _, name = table.rpartition(".")
+    rows = spark.sql(f"DESCRIBE DATABASE {db or spark.catalog.currentDatabase()}").collect()
+    base = next(r[1] for r in rows if r[0] in ("Location", "Namespace Location"))
+    return f"{base.rstrip('/')}/{name}__versions"
+
+
+def _remove(spark: SparkSession, path: str) -> None:
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
+
+
+def _sibling(table: str, name: str) -> str:
+    return f"{table}__{name}"
+
+
+def recover_table(spark: SparkSession, table: str) -> bool:
+    """Bring back a table whose replacement broke off between taking the old
+    entry aside and naming the new one. True if there was something to do."""
+    aside = _sibling(table, "old")
+    if not spark.catalog.tableExists(aside):
+        return False
+    if spark.catalog.tableExists(table):
+        spark.sql(f"DROP TABLE {aside}")
+    else:
+        spark.sql(f"ALTER TABLE {aside} RENAME TO {table}")
+    return True
+
+
 def write_overwrite_schema(df: DataFrame, table: str, fmt: str = "parquet",
                            partition_by: Sequence[str] = (), bucket_by: Sequence[str] = (),
                            buckets: int = 0, path: str | None = None) -> None:
     """Replace the table's content and schema with ``df``. With
     ``bucket_by`` / ``buckets`` the table is hash-bucketed (and sorted) on
     those columns, so joins of tables bucketed the same way on the same key
-    need no shuffle. ``path`` makes it an external table at that location."""
-    w = df.write.format(fmt).mode("overwrite").option("overwriteSchema", "true")
-    if path:
-        w = w.option("path", path)
+    need no shuffle.
+
+    The rows are first written to a fresh folder (under ``path``, or beside the
+    other tables of the schema) and read back; only then does the table's name
+    pass to them. A job that fails leaves the old rows in place, and a table may
+    be rebuilt from itself. The version before stays on disk for readers that
+    have begun with it, until the next overwrite. The table is external: dropping
+    it leaves its files. Formats with commits of their own do all this
+    themselves."""
+    spark = df.sparkSession
+    w = df.write.format(fmt)
     if partition_by:
         w = w.partitionBy(*partition_by)
     if bucket_by and buckets:
         w = w.bucketBy(int(buckets), *bucket_by).sortBy(*bucket_by)
-    w.saveAsTable(table)
+    if fmt in TRANSACTIONAL:
+        w = w.mode("overwrite").option("overwriteSchema", "true")
+        (w.option("path", path) if path else w).saveAsTable(table)
+        return
+    recover_table(spark, table)
+    before = table_location(spark, table)
+    oldest = spark.sql(f"SHOW TBLPROPERTIES {table}").where(f"key = '{PREVIOUS}'").collect() if before else []
+    fresh, stage = f"{(path or _home(spark, table)).rstrip('/')}/v-{uuid.uuid4().hex[:12]}", _sibling(table, "new")
+    if spark.catalog.tableExists(stage):  # of a job that broke off
+        spark.sql(f"DROP TABLE {stage}")
+    w.option("path", fresh).saveAsTable(stage)
+    _check_written(spark, df, stage)
+    if before:
+        spark.sql(f"ALTER TABLE {stage} SET TBLPROPERTIES ('{PREVIOUS}' = '{before}')")
+        managed = _is_managed(spark, table)
+        aside = _sibling(table, "old")
+        spark.sql(f"ALTER TABLE {table} RENAME TO {aside}")
+        spark.sql(f"ALTER TABLE {stage} RENAME TO {table}")
+        if not managed:  # a managed table's files would go with it
+            spark.sql(f"DROP TABLE {aside}")
+        for r in oldest:
+            if r["value"] not in (before, fresh):
+                _remove(spark, r["value"])
+    else:
+        spark.sql(f"ALTER TABLE {stage} RENAME TO {table}")
+    spark.catalog.refreshTable(table)
+
+
+def _is_managed(spark: SparkSession, table: str) -> bool:
+    rows = spark.sql(f"DESCRIBE TABLE EXTENDED {table}").collect()
+    return any(r["col_name"] == "Type" and r["data_type"] == "MANAGED" for r in rows)
+
+
+def _check_written(spark: SparkSession, df: DataFrame, stage: str) -> None:
+    """The new version can be read and has the columns asked for."""
+    got = spark.read.table(stage)
+    if sorted(c.lower() for c in got.columns) != sorted(c.lower() for c in df.columns):
+        raise RuntimeError(f"{stage} has columns {got.columns} instead of {df.columns}")
+    got.limit(1).collect()
 
 
 def save_table(df: DataFrame, table: str, mode: str = "overwrite", fmt: str = "parquet",
                path: str | None = None) -> None:
-    """Save as a table with ``overwrite`` or ``append``; anything else is an
-    error. ``path`` makes it an external table at that location."""
+    """Save as a table with ``overwrite`` (see :func:`write_overwrite_schema`)
+    or ``append`` (columns matched by name); anything else is an error. ``path``
+    is the folder its files lie under."""
     if mode not in SAVE_MODES:
         raise ValueError(f"save mode must be one of {list(SAVE_MODES)}")
-    w = df.write.format(fmt).mode(mode)
-    if path:
-        w = w.option("path", path)
-    w.saveAsTable(table)
+    if mode == "overwrite":
+        write_overwrite_schema(df, table, fmt, path=path)
+        return
+    recover_table(df.sparkSession, table)
+    if df.sparkSession.catalog.tableExists(table):
+        df.select(*df.sparkSession.read.table(table).columns).write.insertInto(table)
+    else:
+        write_overwrite_schema(df, table, fmt, path=path)
 
 
 def set_properties(spark: SparkSession, table: str, properties: Mapping[str, str]) -> None:
