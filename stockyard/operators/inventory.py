@@ -270,6 +270,36 @@ def mean_order_qty(sales: DataFrame) -> DataFrame:
         .agg(F.avg("quantity").alias("mean_qty"))
 
 
+def fitted_order_qty(sales: DataFrame, xm: int = C.TAIL_START, cap: int = C.TAIL_CAP,
+                     least: int = 30) -> DataFrame:
+    """Mean units of an approved sale per SKU by a mixture: small sales (below
+    ``xm``) and a Pareto tail from ``xm`` on that is cut at ``cap``.
+
+    The tail's index is its maximum-likelihood estimate, sales at the cap
+    counting as at least that large. Its mean is alpha xm / (alpha - 1), at most
+    nine tenths of the cap, and ten times ``xm`` for an index of 1 or less.
+    SKUs with fewer than ``least`` sales have their plain mean. Columns: sku_id,
+    n, small_share, tail_index (NULL without a tail), mean_qty."""
+    q = F.col("quantity")
+    tail, capped = q >= xm, F.least(q, F.lit(cap))
+    sums = filter_equals(sales, "status", C.STATUS_APPROVED).where(q.isNotNull()).groupBy(K).agg(
+        F.count("*").alias("n"), F.sum(q).alias("all"),
+        F.count(F.when(~tail, 1)).alias("small"), F.sum(F.when(~tail, q)).alias("small_sum"),
+        F.count(F.when(tail & (q < cap), 1)).alias("open"), F.count(F.when(tail, 1)).alias("large"),
+        F.sum(F.when(tail, F.ln(capped / F.lit(float(xm))))).alias("logs"))
+    index = F.when((F.col("large") > 0) & (F.col("logs") > 0), F.col("open") / F.col("logs"))
+    d = sums.withColumn("tail_index", index)
+    mean_tail = F.when(F.col("large") == 0, F.lit(0.0)) \
+        .when(F.col("tail_index").isNull(), F.lit(float(xm))) \
+        .when(F.col("tail_index") <= 1, F.lit(C.HEAVY_TAIL_FACTOR * xm)) \
+        .otherwise(F.least(F.col("tail_index") * xm / (F.col("tail_index") - 1), F.lit(C.TAIL_CAP_SHARE * cap)))
+    share = F.col("small") / F.col("n")
+    small = F.when(F.col("small") > 0, F.col("small_sum") / F.col("small")).otherwise(F.lit(0.0))
+    return d.select(K, "n", share.alias("small_share"), "tail_index",
+                    F.when(F.col("n") < least, F.col("all") / F.col("n"))
+                    .otherwise(share * small + (F.lit(1.0) - share) * mean_tail).alias("mean_qty"))
+
+
 def event_ranges(events: DataFrame, zone: str = C.DEFAULT_ZONE) -> DataFrame:
     """(sku_id, start, end): each SKU's first and last local day with an
     event (partial + final min / max aggregate)."""

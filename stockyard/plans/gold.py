@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.aggregates import count_by, product_demand
+from ..sinks import publish_changes
 
 # Column types of the typed product-demand feature table.
 PRODUCT_DEMAND_DDL = (
@@ -39,3 +40,32 @@ def order_status_counts(orders: DataFrame) -> DataFrame:
 def conform(df: DataFrame, ddl=PRODUCT_DEMAND_DDL) -> DataFrame:
     """Project onto a typed table's columns in order (store assignment casts)."""
     return df.select(*[F.col(n).cast(t).alias(n) for n, t, _ in ddl])
+
+
+def touched_orders(items: DataFrame, orders: DataFrame | None = None,
+                   order_items: DataFrame | None = None,
+                   products: DataFrame | None = None) -> DataFrame:
+    """Ids of the orders whose product demand may have changed, given the
+    changed rows of silver tables: the orders themselves, those of changed
+    items, and those that hold a changed product (``items``: all order items)."""
+    found = [df.select("order_id") for df in (orders, order_items) if df is not None]
+    if products is not None:
+        found.append(items.join(products.select("product_id").distinct(), "product_id", "left_semi")
+                     .select("order_id"))
+    if not found:
+        raise ValueError("no changed table is given")
+    out = found[0]
+    for df in found[1:]:
+        out = out.union(df)
+    return out.where(F.col("order_id").isNotNull()).distinct()
+
+
+def refresh_product_demand(spark: SparkSession, table: str, keys: DataFrame, orders: DataFrame,
+                           items: DataFrame, products: DataFrame) -> list[int]:
+    """Recompute the product demand of the orders in ``keys`` alone and replace
+    their partitions of the published table; returns these."""
+    def only(df):
+        return df.join(keys.select("order_id"), "order_id", "left_semi")
+
+    rows = conform(product_demand_features(only(orders), only(items), products))
+    return publish_changes(spark, rows, keys, table)

@@ -142,6 +142,38 @@ def q_mean_order_qty(spark, sf_dir):
         .withColumn("mean_qty", round_half_up("mean_qty", 6))
 
 
+SQL_LINE_SALES = """SELECT l_partkey AS sku_id, l_orderkey * 10 + l_linenumber AS sales_id,
+  CASE WHEN NOT (l_tax > 0.07 AND l_discount > 0.09) THEN l_shipdate END AS event_ts,
+  CAST(trunc(l_quantity) AS INTEGER) AS quantity,
+  CASE l_returnflag WHEN 'R' THEN NULL ELSE 'approved' END AS status, l_orderkey, l_linenumber
+FROM lineitem"""
+
+
+def line_sales(spark, sf_dir):
+    return S.lineitem_sales(read_table(spark, sf_dir, "lineitem"))
+
+
+@register("fitted_order_qty", f"""WITH s AS (
+  SELECT sku_id, count(*) AS n, sum(quantity) AS total, count(*) FILTER (quantity < 4) AS small,
+    sum(quantity) FILTER (quantity < 4) AS small_sum, count(*) FILTER (quantity >= 4) AS large,
+    count(*) FILTER (quantity >= 4 AND quantity < 50) AS open,
+    sum(ln(least(quantity, 50) / 4.0::DOUBLE)) FILTER (quantity >= 4) AS logs
+  FROM ({SQL_LINE_SALES}) WHERE status = 'approved' AND quantity IS NOT NULL GROUP BY sku_id),
+a AS (SELECT *, CASE WHEN large > 0 AND logs > 0 THEN open / logs END AS alpha, small / n AS share FROM s),
+m AS (
+  SELECT *, CASE WHEN large = 0 THEN 0.0::DOUBLE WHEN alpha IS NULL THEN 4.0::DOUBLE
+    WHEN alpha <= 1 THEN 40.0::DOUBLE ELSE least(alpha * 4 / (alpha - 1), 45.0::DOUBLE) END AS tail,
+    CASE WHEN small > 0 THEN small_sum / small ELSE 0.0::DOUBLE END AS few FROM a)
+SELECT sku_id, n, share AS small_share, floor(alpha * 1000000.0 + 0.5) / 1000000.0 AS tail_index,
+  floor((CASE WHEN n < 15 THEN total / n ELSE share * few + (1.0::DOUBLE - share) * tail END)
+    * 1000000.0 + 0.5) / 1000000.0 AS mean_qty FROM m""")
+def q_fitted_order_qty(spark, sf_dir):
+    """Mean order quantity per part by a mixture of small sales and a tail."""
+    return INV.fitted_order_qty(line_sales(spark, sf_dir), least=15) \
+        .withColumn("tail_index", round_half_up("tail_index", 6)) \
+        .withColumn("mean_qty", round_half_up("mean_qty", 6))
+
+
 SQL_PLANNED = f"""WITH cal AS ({_sql_need(_sql_calendar(SQL_RANGES, _PW - 1), _PW)}),
 c AS (SELECT sku_id, event_date, weekday, need,
         max(CAST(in_holiday_window AS INTEGER)) OVER (PARTITION BY sku_id ORDER BY event_date
@@ -301,17 +333,6 @@ def q_inventory_forecast(spark, sf_dir):
 # Event hygiene
 # ---------------------------------------------------------------------------
 
-SQL_LINE_SALES = """SELECT l_partkey AS sku_id, l_orderkey * 10 + l_linenumber AS sales_id,
-  CASE WHEN NOT (l_tax > 0.07 AND l_discount > 0.09) THEN l_shipdate END AS event_ts,
-  CAST(trunc(l_quantity) AS INTEGER) AS quantity,
-  CASE l_returnflag WHEN 'R' THEN NULL ELSE 'approved' END AS status, l_orderkey, l_linenumber
-FROM lineitem"""
-
-
-def line_sales(spark, sf_dir):
-    return S.lineitem_sales(read_table(spark, sf_dir, "lineitem"))
-
-
 @register("dedupe_events", f"""SELECT sales_id, sku_id, event_ts, quantity, status FROM (
   SELECT *, row_number() OVER (PARTITION BY sales_id ORDER BY event_ts NULLS LAST,
     status NULLS LAST, quantity, sku_id) AS rn FROM ({SQL_LINE_SALES}))

@@ -11,6 +11,9 @@ import uuid
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from ..session import scratch_path
 
 SAVE_MODES = ("overwrite", "append")
 WRITE_MODES = ("none", "table", "view")
@@ -177,6 +180,76 @@ def publish_dataset(spark: SparkSession, df: DataFrame, table: str,
     set_properties(spark, table, properties or {})
 
 
+# Partition column and property of tables that are published by changed keys.
+KEY_PART, KEY_PARTS, KEY_NAME = "key_part", "stockyard.key_parts", "stockyard.key"
+
+
+def key_part(key: str, parts: int):
+    """The partition of a key: a hash of its text, modulo ``parts``."""
+    return F.pmod(F.xxhash64(F.col(key).cast("string")), F.lit(parts)).cast("int")
+
+
+def publish_by_key(spark: SparkSession, df: DataFrame, table: str, key: str, parts: int = 64,
+                   properties: Mapping[str, str] | None = None, fmt: str = "parquet",
+                   path: str | None = None) -> None:
+    """Publish a dataset whole, partitioned by a hash of ``key`` (column
+    ``key_part``), so that :func:`publish_changes` can replace parts of it."""
+    write_overwrite_schema(df.withColumn(KEY_PART, key_part(key, parts)), table, fmt,
+                           partition_by=[KEY_PART], path=path)
+    set_properties(spark, table, {**(properties or {}), KEY_PARTS: str(parts), KEY_NAME: key})
+
+
+def replace_partitions(df: DataFrame, table: str) -> None:
+    """Replace the partitions of a table that ``df`` (its columns in order) has
+    rows for; the other partitions stay."""
+    mode = "spark.sql.sources.partitionOverwriteMode"
+    spark = df.sparkSession
+    before = spark.conf.get(mode, "STATIC")
+    spark.conf.set(mode, "DYNAMIC")
+    try:
+        df.write.insertInto(table, overwrite=True)
+    finally:
+        spark.conf.set(mode, before)
+
+
+def publish_changes(spark: SparkSession, rows: DataFrame, keys: DataFrame, table: str) -> list[int]:
+    """Replace the rows of the changed ``keys`` (one column, named like the
+    table's key) by ``rows``, which holds what these keys give now and may lack
+    keys that are gone. Only the partitions of changed keys are rewritten: their
+    other rows are taken over as they are, all other files stay. Returns the
+    partitions replaced.
+
+    The new partitions are written aside first, then swapped in by one dynamic
+    overwrite; a job that fails before that leaves the table as it was, and may
+    run again."""
+    props = {r["key"]: r["value"] for r in spark.sql(f"SHOW TBLPROPERTIES {table}").collect()}
+    if KEY_PARTS not in props:
+        raise ValueError(f"{table} is not published by key")
+    parts, key = int(props[KEY_PARTS]), props[KEY_NAME]
+    held = spark.read.table(table)
+    kind = held.schema[key].dataType
+    keys = keys.select(F.col(key).cast(kind).alias(key)).where(F.col(key).isNotNull()).distinct() \
+        .withColumn(KEY_PART, key_part(key, parts))
+    touched = sorted(r[0] for r in keys.select(KEY_PART).distinct().collect())  # at most `parts`
+    if not touched:
+        return []
+    same = held.where(F.col(KEY_PART).isin(touched)).join(keys.select(key), key, "left_anti")
+    new = rows.withColumn(key, F.col(key).cast(kind)).withColumn(KEY_PART, key_part(key, parts)) \
+        .join(keys.select(key), key, "left_semi")
+    path = scratch_path(spark, "changes")
+    same.select(*held.columns).unionByName(new.select(*held.columns)) \
+        .repartition(KEY_PART).write.parquet(path)
+    staged = spark.read.schema(held.schema).parquet(path)
+    left = {r[0] for r in staged.select(KEY_PART).distinct().collect()}
+    location = table_location(spark, table)
+    replace_partitions(staged.select(*held.columns), table)
+    for p in sorted(set(touched) - left):  # nothing is left of these
+        spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION ({KEY_PART} = {p})")
+        _remove(spark, f"{location}/{KEY_PART}={p}")
+    spark.catalog.refreshTable(table)
+    return touched
+
+
 def create_typed_table(spark: SparkSession, table: str, columns: Sequence[tuple[str, str, str]],
                        comment: str | None = None, fmt: str = "parquet",
                        location: str | None = None) -> None:

@@ -1,6 +1,7 @@
 """Inventory line against plain-Python replays on fixtures."""
 
 import datetime as dt
+import math
 import random
 from zoneinfo import ZoneInfo
 
@@ -244,3 +245,29 @@ def test_conservation_flags_sale_without_time(spark):
     r = INV.stock_conservation(s, a, daily, 0).first()
     assert (r["total_received"], r["total_approved"], r["final_stock"]) == (10, 5, 8)
     assert r["conserved"] is False  # the untimed sale is in the totals but on no day
+
+
+def test_fitted_order_quantity(spark):
+    rng = random.Random(3)
+
+    def sale():
+        if rng.random() < 0.9:
+            return rng.choice([1, 2, 3])
+        return min(50, int(4 * (1 - rng.random()) ** (-1 / 2.5)))
+
+    rows = [(1, sale(), "approved") for _ in range(4000)]
+    rows += [(2, 2, "approved")] * 40 + [(3, 7, "approved"), (3, 9, "approved")]      # no tail; too few
+    rows += [(4, 4, "approved")] * 40 + [(5, 50, "approved")] * 40                     # all at its start, at the cap
+    rows += [(1, 40, "placed"), (2, None, "approved")]
+    got = {r.sku_id: r for r in INV.fitted_order_qty(
+        spark.createDataFrame(rows, "sku_id long, quantity int, status string")).collect()}
+    q = [r[1] for r in rows if r[0] == 1 and r[2] == "approved"]
+    tail = [x for x in q if x >= 4]
+    alpha = sum(x < 50 for x in tail) / sum(math.log(min(x, 50) / 4) for x in tail)
+    share = 1 - len(tail) / len(q)
+    small = [x for x in q if x < 4]
+    want = share * sum(small) / len(small) + (1 - share) * min(alpha * 4 / (alpha - 1), 45)
+    assert abs(got[1].tail_index - alpha) < 1e-9 and abs(got[1].mean_qty - want) < 1e-9
+    assert got[2].mean_qty == 2 and got[2].tail_index is None
+    assert got[3].mean_qty == 8 and got[4].mean_qty == 4
+    assert got[5].tail_index == 0 and got[5].mean_qty == 40

@@ -93,3 +93,87 @@ def test_views_follow_the_table(spark):
     sinks.create_view(spark, v, f"SELECT * FROM {t}")
     sinks.save_table(spark.range(5), t)
     assert spark.read.table(v).count() == 5
+
+
+# --- changed keys ------------------------------------------------------------
+
+def files_of(spark, t):
+    root = sinks.table_location(spark, t).replace("file:", "")
+    return {os.path.relpath(os.path.join(d, f), root) for d, _, fs in os.walk(root)
+            for f in fs if f.endswith(".parquet")}
+
+
+def test_only_partitions_of_changed_keys_are_rewritten(spark):
+    t = name("bykey")
+    df = spark.range(400).select(F.col("id").cast("string").alias("k"), (F.col("id") % 7).alias("v"))
+    sinks.publish_by_key(spark, df, t, "k", parts=16, properties={"quality": "gold"})
+    before = files_of(spark, t)
+    keys = spark.createDataFrame([("3",), ("50",), ("50",), ("9999",), (None,)], "k string")
+    rows = spark.createDataFrame([("3", 100), ("3", 101), ("9999", 7), ("77", 5)], "k string, v long")
+    parts = sinks.publish_changes(spark, rows, keys, t)
+    assert 1 <= len(parts) <= 3
+    after = files_of(spark, t)
+    untouched = {f for f in before if int(f.split("=")[1].split("/")[0]) not in parts}
+    assert untouched and untouched <= after and not (before - untouched) & after
+    got = sorted((r.k, r.v) for r in spark.read.table(t).collect())
+    want = [(str(k), k % 7) for k in range(400) if k not in (3, 50)] + [("3", 100), ("3", 101), ("9999", 7)]
+    assert got == sorted(want)   # key 77 was not named as changed, key 50 is gone
+    assert sinks.publish_changes(spark, rows, keys.where("k = 'none'"), t) == []
+
+
+def test_partition_without_rows_is_dropped(spark):
+    t = name("bykey")
+    df = spark.range(3).select(F.col("id").alias("k"), F.lit(1).alias("v"))
+    sinks.publish_by_key(spark, df, t, "k", parts=64, path=scratch_path(spark, t))
+    sinks.publish_changes(spark, df.limit(0), df.where("k < 2").select("k"), t)
+    assert [r.k for r in spark.read.table(t).collect()] == [2]
+    assert len(files_of(spark, t)) == 1
+    sinks.save_table(spark.range(3), name("plain"))
+    with pytest.raises(ValueError):
+        plain = name("plain")
+        sinks.save_table(df, plain)
+        sinks.publish_changes(spark, df, df.select("k"), plain)
+
+
+def test_failed_refresh_leaves_the_table(spark):
+    t = name("bykey")
+    sinks.publish_by_key(spark, spark.range(50).select(F.col("id").alias("k"), F.col("id").alias("v")), t, "k")
+    bad = failing(spark, 20).select(F.col("id").alias("k"), F.col("id").alias("v"))
+    with pytest.raises(Exception, match="broken row"):
+        sinks.publish_changes(spark, bad, spark.range(20).select(F.col("id").alias("k")), t)
+    assert sorted(r.v for r in spark.read.table(t).collect()) == list(range(50))
+
+
+def test_product_demand_refresh_equals_full_run(spark):
+    from stockyard.plans import gold
+    orders = [(f"o{k}", "DELIVERED") for k in range(40)]
+    items = [(f"o{k % 40}", k // 40 + 1, f"p{k % 9}", 1.5 * k, 0.5) for k in range(120)]
+    products = [(f"p{k}", "cat", k, k, k, k, k, k) for k in range(9)]
+
+    def tables(o, i, p):
+        return (spark.createDataFrame(o, "order_id string, order_status string")
+                .withColumn("order_approved_at", F.lit("2024-01-01 10:00:00").cast("timestamp_ntz")),
+                spark.createDataFrame(i, "order_id string, order_item_id int, product_id string, price double, "
+                                         "freight_value double").withColumn("price", F.col("price").cast("decimal(10,2)"))
+                .withColumn("freight_value", F.col("freight_value").cast("decimal(10,2)")),
+                spark.createDataFrame(p, "product_id string, product_category_name string, product_name_lenght int, "
+                                         "product_description_lenght int, product_weight_g int, "
+                                         "product_length_cm int, product_height_cm int, product_width_cm int"))
+
+    t = name("demand")
+    old = tables(orders, items, products)
+    sinks.publish_by_key(spark, gold.conform(gold.product_demand_features(*old)), t, "order_id", parts=8)
+    orders[5] = ("o5", "CANCELED")           # gone
+    items[7] = ("o7", 1, "p7", 999.0, 1.0)   # changed
+    items.append(("o40", 1, "p1", 3.0, 1.0))
+    orders.append(("o40", "SHIPPED"))        # new
+    products[8] = ("p8", "new name", 1, 1, 1, 1, 1, 1)
+    now = tables(orders, items, products)
+    changed = tables([orders[5], orders[40]], [items[7], items[120]], [products[8]])
+    keys = gold.touched_orders(now[1], *changed)
+    assert {"o5", "o40", "o7", "o8", "o17"} <= {r.order_id for r in keys.collect()}
+    gold.refresh_product_demand(spark, t, keys, *now)
+    want = sorted(map(tuple, gold.conform(gold.product_demand_features(*now)).collect()), key=str)
+    assert sorted(map(tuple, spark.read.table(t).drop(sinks.KEY_PART).collect()), key=str) == want
+    with pytest.raises(ValueError):
+        gold.touched_orders(now[1])
