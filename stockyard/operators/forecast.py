@@ -58,19 +58,22 @@ def forecast_demand(daily: DataFrame, horizon: int = 28, value: str = "approved_
     t = F.datediff("event_date", F.lit(EPOCH).cast("date"))
     exact = isinstance(daily.schema[value].dataType, IntegralType)
     num = "decimal(38,0)" if exact else "double"
-    h = daily.select(K, "event_date", F.col(value).cast(num).alias("y"), t.cast(num).alias("t"),
+    # Rows are added up as longs (a sum past 64 bits fails, it does not wrap);
+    # only the one row of each SKU is decimal.
+    row = "bigint" if exact else "double"
+    h = daily.select(K, "event_date", F.col(value).cast(row).alias("y"), t.cast(row).alias("t"),
                      season_index("event_date", season).alias("at"))
     zero = F.lit(0).cast(num)
 
     def each(x):
-        return [F.coalesce(F.sum(F.when(F.col("at") == k, x)), zero).cast(num) for k in range(season)]
+        return [F.coalesce(F.sum(F.when(F.col("at") == k, x)), F.lit(0)).cast(num) for k in range(season)]
 
     fit = h.groupBy(K).agg(
         F.max("event_date").alias("last_date"), F.count(F.lit(1)).cast(num).alias("n"),
         F.sum("y").cast(num).alias("sy"), F.sum("t").cast(num).alias("st"),
         F.sum(F.col("t") * F.col("t")).cast(num).alias("stt"),
         F.sum(F.col("t") * F.col("y")).cast(num).alias("sty"),
-        F.array(*each(F.lit(1).cast(num))).alias("cs"), F.array(*each(F.col("y"))).alias("sys"),
+        F.array(*each(F.lit(1).cast(row))).alias("cs"), F.array(*each(F.col("y"))).alias("sys"),
         F.array(*each(F.col("t"))).alias("sts"))
     fit = fit.select(K, "last_date", "n", "sy", "st", "cs", "sys", "sts",
                      (F.col("n") * F.col("stt") - F.col("st") * F.col("st")).cast(num).alias("dd"),

@@ -209,6 +209,27 @@ def q_stream_bronze_silver_orders(spark, sf_dir):
     return read_refreshed(spark, sv).drop(*LINEAGE)
 
 
+@register("stream_inventory_daily", _O["inventory_daily"])
+def q_stream_inventory_daily(spark, sf_dir):
+    """Daily stock carried on over three arrivals of events, a tenth of which
+    come one arrival late; the series at the end."""
+    from ..streaming import stock
+    home, ckpt = scratch_path(spark, "stock"), scratch_path(spark, "ckpt-stock")
+    feeds = [(sales(spark, sf_dir), "sales_id", scratch_path(spark, "feed-sales")),
+             (acquisitions(spark, sf_dir), "acquisition_id", scratch_path(spark, "feed-acq"))]
+    lo, hi = (F.lit(x) for x in feeds[0][0].agg(F.min("event_ts"), F.max("event_ts")).first())
+    for arrival in range(3):
+        for rows, key, path in feeds:
+            span = (F.unix_micros(hi.cast("timestamp")) - F.unix_micros(lo.cast("timestamp"))) / 2
+            at = F.floor((F.unix_micros(F.col("event_ts").cast("timestamp"))
+                          - F.unix_micros(lo.cast("timestamp"))) / span)
+            at = F.least(F.greatest(at, F.lit(0)), F.lit(1)) + (F.pmod(F.xxhash64(key), F.lit(10)) == 0).cast("int")
+            rows.where(F.coalesce(at, F.lit(0)) == arrival).write.mode("append").parquet(path)
+        stock.carry_stock(stock.movement_stream(spark, feeds[0][2], feeds[1][2]), home, ckpt,
+                          PARAMS.initial_stock, ZONE).awaitTermination()
+    return stock.read_daily(spark, home)
+
+
 @register("bronze_lineage_check", """SELECT count(*) AS rows, true AS all_have_source_file,
   true AS all_have_ingestion_time, true AS all_have_processed_at FROM lineitem""")
 def q_bronze_lineage_check(spark, sf_dir):
