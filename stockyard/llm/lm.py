@@ -39,8 +39,11 @@ HEAD = SIZE * HEAD_CLASSES
 TAIL_CLASSES = 16
 CLASSES = HEAD_CLASSES + TAIL_CLASSES
 # Distinct words for each hashed row of the class weights (the word weights have
-# half as many rows); the fewest rows, and the most, which take 64 MB.
-WORDS_A_ROW, LEAST_ROWS, MOST_ROWS = 64, 1 << 15, 1 << 19
+# half as many rows); the fewest rows, and the most, which take 16 MB.
+WORDS_A_ROW, LEAST_ROWS, MOST_ROWS = 64, 1 << 15, 1 << 17
+# Training tasks at least, and bytes of texts that a task reads for each byte of
+# weights that it sends.
+LEAST_TASKS, READ_FOR_SENT = 8, 8
 ROUNDS = 2
 STEP = 0.8
 MINI = 16_384             # tokens of one gradient step
@@ -115,13 +118,14 @@ class Vocabulary:
         late = np.flatnonzero(ids < 0)
         rare: list[dict[bytes, int]] = [{} for _ in texts]
         owner = np.searchsorted(starts, late, side="right") - 1
-        numbers = []
-        for k, at in zip(owner.tolist(), late.tolist(), strict=True):
-            w = flat[at]
+        words = [flat[at] for at in late.tolist()]
+        for k, w in zip(owner.tolist(), words, strict=True):
             seen = rare[k]
             seen[w] = seen.get(w, 0) + 1
-            numbers.append((zlib.crc32(w) >> (32 - RARE_BITS)) * TAIL_CLASSES + tail_class(w))
-        ids[late] = np.array(numbers, dtype=np.int64) + self.n
+        crc = zlib.crc32
+        number = np.fromiter(map(crc, words), dtype=np.int64, count=len(words)) >> (32 - RARE_BITS)
+        ending = np.fromiter(map(crc, [w[-2:] for w in words]), dtype=np.int64, count=len(words))
+        ids[late] = number * TAIL_CLASSES + ending % TAIL_CLASSES + self.n
         return ids, np.array(starts, dtype=np.int64), rare
 
 
@@ -163,6 +167,14 @@ def softmax(z: np.ndarray) -> np.ndarray:
     return z
 
 
+def log_share(z: np.ndarray, own: np.ndarray) -> np.ndarray:
+    """Log of the softmax of each row at its own column."""
+    z -= z.max(axis=1, keepdims=True)
+    mine = z[np.arange(len(z)), own].astype(np.float64)
+    np.exp(z, out=z)
+    return mine - np.log(z.sum(axis=1, dtype=np.float64))
+
+
 def class_logits(v: Vocabulary, table: np.ndarray, rows: list[np.ndarray], s: slice) -> np.ndarray:
     z = np.take(table, rows[0][s], axis=0, mode="clip")
     for r in rows[1:]:
@@ -184,13 +196,11 @@ class Weights:
         for k in range(0, len(ids), MINI):
             s = slice(k, k + MINI)
             mine, cls = ids[s], all_cls[s]
-            p = softmax(class_logits(v, self.classes, rows, s))
-            p = p[np.arange(len(mine)), cls].astype(np.float64)
+            log_p = log_share(class_logits(v, self.classes, rows, s), cls)
             head = mine < min(HEAD, v.n)
             h = mine[head]
-            q = softmax(v.head[cls[head]] + self.words[word[s][head]])
-            p[head] *= q[np.arange(len(h)), h % SIZE]
-            got = np.log10(np.maximum(p, 1e-30))
+            log_p[head] += log_share(v.head[cls[head]] + self.words[word[s][head]], h % SIZE)
+            got = np.maximum(log_p / math.log(10), -30.0)
             got[~head] += v.log_c(mine[~head]) - v.norm[cls[~head] - HEAD_CLASSES]
             out[s] = got
         return out
@@ -298,22 +308,27 @@ def vocabulary(spark: SparkSession, counts: DataFrame, frequent: int = FREQUENT)
                       sum(r["v"] for r in sizes)), least
 
 
-def packed(ids: np.ndarray) -> bytes:
-    return pa.compress(ids.astype("<i4").tobytes(), codec="zstd", asbytes=True)
+def as_bytes(ids: np.ndarray, bounds: np.ndarray) -> pa.Array:
+    """The numbers of several texts (from one bound to the next) as binary cells."""
+    return pa.Array.from_buffers(pa.binary(), len(bounds) - 1, [
+        None, pa.py_buffer((bounds * 4).astype("<i4").tobytes()), pa.py_buffer(ids.astype("<i4").tobytes())])
 
 
-def runs_of(sizes: list[int], data: list[bytes]):
-    """Token numbers of several texts in a row, the first token of each text,
-    and how many texts; about ``SLICE_TOKENS`` at a time."""
+def runs_of(column: pa.Array):
+    """Token numbers of several texts in a row, and the first token of each
+    text, from the cells of :func:`as_bytes`; about ``SLICE_TOKENS`` at a time."""
+    if isinstance(column, pa.ChunkedArray):
+        column = column.combine_chunks()
+    if not len(column):
+        return
+    _, offsets, data = column.buffers()
+    bounds = np.frombuffer(offsets, "<i4")[column.offset:column.offset + len(column) + 1].astype(np.int64) // 4
+    flat = np.frombuffer(data, "<i4", int(bounds[-1]))
     k = 0
-    while k < len(sizes):
-        some, starts, held, first = [], [], 0, k
-        while k < len(sizes) and (not some or held + sizes[k] <= SLICE_TOKENS):
-            some.append(np.frombuffer(pa.decompress(data[k], 4 * sizes[k], codec="zstd", asbytes=True), "<i4"))
-            starts.append(held)
-            held += sizes[k]
-            k += 1
-        yield np.concatenate(some).astype(np.int64), np.array(starts, dtype=np.int64), k - first
+    while k < len(column):
+        to = max(k + 1, int(np.searchsorted(bounds, bounds[k] + SLICE_TOKENS, side="right")) - 1)
+        yield flat[bounds[k]:bounds[to]].astype(np.int64), bounds[k:to] - bounds[k]
+        k = to
 
 
 def encoded(spark: SparkSession, docs: DataFrame, held, vocab, id_col: str, text_col: str,
@@ -337,14 +352,14 @@ def encoded(spark: SparkSession, docs: DataFrame, held, vocab, id_col: str, text
             done = 0
             for texts in slices(utf8(part.column(4))):
                 ids, starts, rare = v.read(texts)
-                bounds = [*starts.tolist(), len(ids)]
+                bounds = np.append(starts, len(ids))
                 words = [(x.decode(), k) for r in rare for x, k in r.items()]
                 ends = np.cumsum([0, *map(len, rare)], dtype=np.int32)
                 yield pa.RecordBatch.from_arrays(
                     [*part.slice(done, len(texts)).columns[:4], pa.array(np.diff(bounds)),
                      pa.array(np.add.reduceat((ids < v.n).astype(np.int64), starts)),
                      pa.array(np.add.reduceat(v.log_c(ids), starts)),
-                     pa.array([packed(ids[a:b]) for a, b in zip(bounds, bounds[1:], strict=False)], pa.binary()),
+                     as_bytes(ids, bounds),
                      pa.ListArray.from_arrays(pa.array(ends), pa.StructArray.from_arrays(
                          [pa.array([a for a, _ in words], pa.string()),
                           pa.array([b for _, b in words], pa.int64())], names=["w", "n"]))],
@@ -358,6 +373,9 @@ def train_weights(spark: SparkSession, train: DataFrame, vocab, rounds: int = RO
     """Weights after ``rounds`` rounds, each over its own share of the texts
     (``lot``, ``n_tokens``, ``ids``)."""
     w = Weights(vocab.value)
+    read = 4 * (train.agg(F.sum("n_tokens")).first()[0] or 0) // rounds
+    tasks = max(LEAST_TASKS, read // (READ_FOR_SENT * (w.classes.nbytes + w.words.nbytes)))
+    few = train.coalesce(tasks)
     for k in range(rounds):
         start = spark.sparkContext.broadcast((w.classes, w.words))
         token = uuid.uuid4().hex
@@ -368,7 +386,7 @@ def train_weights(spark: SparkSession, train: DataFrame, vocab, rounds: int = RO
                 if trainer is None:
                     v = once(token, lambda: vocab.value)
                     trainer = Trainer(v, Weights(v, *start.value))
-                for ids, starts, _ in runs_of(part.column(0).to_pylist(), part.column(1).to_pylist()):
+                for ids, starts in runs_of(part.column(0)):
                     trainer.learn(ids, starts)
             if trainer is not None:
                 for which, b, x, n in trainer.message():
@@ -376,7 +394,7 @@ def train_weights(spark: SparkSession, train: DataFrame, vocab, rounds: int = RO
                         [pa.array([which]), pa.array([b]), pa.array([x], pa.binary()),
                          pa.array([n], pa.binary())], names=["which", "b", "x", "n"])
 
-        sent = train.where(F.col("lot") == k).select("n_tokens", "ids") \
+        sent = few.where(F.col("lot") == k).select("ids") \
             .mapInArrow(learn, "which long, b long, x binary, n binary").rdd
         # Added up in two steps, so that no task reads a message of every task.
         groups = math.isqrt(sent.getNumPartitions()) + 1
@@ -426,7 +444,7 @@ def score_texts(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id",
         weights = Weights(v, *model.value)
         for part in parts:
             scores = []
-            for ids, starts, _ in runs_of(part.column("n_tokens").to_pylist(), part.column("ids").to_pylist()):
+            for ids, starts in runs_of(part.column("ids")):
                 scores.append(np.add.reduceat(weights.log10_p(v, ids, starts), starts))
             yield pa.RecordBatch.from_arrays(
                 [*[part.column(c) for c in kept],
