@@ -61,6 +61,8 @@ class BpeModel:
                 or any(a["single_word"] or a["lstrip"] or a["rstrip"] for a in added)):
             raise ValueError("unsupported option in the tokenizer file")
         self.vocab: dict[str, int] = dict(m["vocab"])
+        if missing := set(byte_alphabet().values()) - set(self.vocab):
+            raise ValueError(f"the vocabulary lacks {len(missing)} of the 256 single bytes")
         self.special = {a["content"]: a["id"] for a in added}
         self.rank: dict[tuple[int, int], int] = {}
         made: dict[int, tuple[int, int, int]] = {}

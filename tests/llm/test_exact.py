@@ -76,6 +76,10 @@ def test_bpe_rejects_other_files(bpe_path):
     spec["pre_tokenizer"]["add_prefix_space"] = True
     with pytest.raises(ValueError):
         bpe.BpeModel(spec)
+    spec["pre_tokenizer"]["add_prefix_space"] = False
+    del spec["model"]["vocab"]["a"]
+    with pytest.raises(ValueError, match="single bytes"):
+        bpe.BpeModel(spec)
 
 
 # --- token counts --------------------------------------------------------
