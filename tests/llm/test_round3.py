@@ -11,7 +11,9 @@ import numpy as np
 import pyarrow as pa
 import pytest
 
-from stockyard.llm import ann, collocation, langid, lm, minhash, resample, suffix_dedup, words
+from stockyard.llm import (ann, collocation, langid, lm, minhash, resample, simhash, suffix_dedup, toxicity,
+                           urlfilter, words)
+from stockyard.llm.queries import URL_RULES
 
 
 def docs(spark, rows, schema="doc_id long, text string, lang string, a string, rank long, bucket int"):
@@ -472,3 +474,42 @@ def test_gradient_step_equals_plain_sums():
         want = -lm.STEP * g / np.sqrt(1e-2 + (g * g).sum())
         np.testing.assert_allclose(t.w.classes[r], want, atol=1e-5)
         assert t.seen[0][r] == sum((at == r).sum() for at in rows)
+
+
+# --- wholly repeated rows in the other operators ------------------------------
+
+def test_simhash_of_repeated_rows(spark):
+    rows = [(5, "one two three four five six")] * 4 + [(3, "ONE two three four five six"), (9, "other words here"), (9, "other words here")]
+    got = simhash.near_groups(spark, spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert Counter((r["id"], r["component_id"]) for r in got) == Counter({(5, 3): 4, (3, 3): 1, (9, 9): 2})
+    kept = simhash.keep_one(spark, spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert sorted(r.doc_id for r in kept) == [3, 9]
+
+
+def test_urls_repeated_and_very_long(spark):
+    long_path = "/de/" + "a" * 20_000 + "?" + "x=1&" * 5_000
+    rows = [(1, "http://shop.com" + long_path)] * 3 + [(2, "https://a.org/" + "b/" * 6_000)] + \
+        [(10 + k, f"http://h{k}.net/p{k}") for k in range(20)]
+    got = urlfilter.judge(spark, spark.createDataFrame(rows, "page_id long, url string"), URL_RULES).collect()
+    assert len(got) == len(rows)
+    same = [tuple(r)[:5] for r in got if r.page_id == 1]
+    assert len(same) == 3 and len(set(same)) == 1 and same[0][3:5] == ("com/de/", "block")
+    assert same[0][1] == "shop.com" and len(same[0][2]) == 20_004
+    assert [r.rule for r in got if r.page_id == 2] == ["org/"]
+
+
+def test_toxicity_of_repeated_rows(spark):
+    rng = random.Random(19)
+    word = lambda: "".join(rng.choices("abcdefgh", k=5))
+    rows, labels = [], []
+    for k in range(300):
+        bad = k % 2
+        rows.append((k, " ".join([word() for _ in range(20)] + ["zorkish grumble"] * bad)))
+        labels.append((k, bad))
+    rows += [rows[1]] * 3 + [rows[2]] * 3
+    got = toxicity.score_texts(spark, spark.createDataFrame(rows, "doc_id long, text string"),
+                               spark.createDataFrame(labels, "doc_id long, toxic int")).collect()
+    assert len(got) == len(rows)
+    for k in (1, 2):
+        assert len({(r.score, r.predicted) for r in got if r.doc_id == k}) == 1
+        assert sum(r.doc_id == k for r in got) == 4
