@@ -41,7 +41,7 @@ def op2_language_id(spark, sf_dir):
 def op3_bpe_encode_decode(spark, sf_dir):
     """Token ids of every document and their decoding, as digests."""
     return bpe.encode_texts(spark, table(spark, sf_dir, "documents"),
-                            public_tokenizers.path("byte_bpe_50k.json"))
+                            public_tokenizers.path("byte_bpe_50k.json"), caches=3)
 
 
 def op4_lm_scoring(spark, sf_dir):
