@@ -6,6 +6,10 @@ stays is a longest non-decreasing subsequence of the times; the rest is late. A
 running maximum would instead call every event late that follows one event
 stamped too far ahead.
 
+A SKU of at most so many events as one task holds is solved whole, by patience
+sorting, many SKUs in a batch; its rows are shuffled once. The rest is for SKUs
+with more.
+
 An event no earlier than all before it and no later than all after it lies on
 every longest subsequence, so it cuts the SKU's events in two: what lies between
 two such events is a segment of its own, found with prefix and suffix scans that
@@ -31,7 +35,8 @@ from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 from ..session import scratch_path, ship_package
-from .windows import even_buckets, running
+from . import windows
+from .windows import _filled, dealt, even_buckets, heavy_keys, of_keys, running
 
 K = "sku_id"
 # Events of a segment that one task solves.
@@ -40,58 +45,83 @@ HOUR = 3_600_000_000  # in microseconds
 NEAR_HOURS = 2
 
 
-def longest_in_order(t: np.ndarray) -> np.ndarray:
-    """True for the members of the longest non-decreasing subsequence that
-    ends last and whose steps back go to the latest possible place."""
+def _mark_longest(values: list, start: int, end: int, keep: list) -> None:
+    """Sets ``keep`` for the members of the longest non-decreasing subsequence
+    of a run of ``values`` that ends last and whose steps back go to the latest
+    possible place."""
     tails: list[int] = []  # the least end of a subsequence of each length
     tops: list[int] = []   # its place
-    back = np.full(len(t), -1, dtype=np.int64)
-    for i, v in enumerate(t.tolist()):
+    back: list[int] = []
+    for i in range(start, end):
+        v = values[i]
         k = bisect_right(tails, v)
-        if k:
-            back[i] = tops[k - 1]
+        back.append(tops[k - 1] if k else -1)
         if k == len(tails):
             tails.append(v)
             tops.append(i)
         else:
             tails[k], tops[k] = v, i
-    keep = np.zeros(len(t), dtype=bool)
     i = tops[-1] if tops else -1
     while i >= 0:
         keep[i] = True
-        i = int(back[i])
-    return keep
+        i = back[i - start]
+
+
+def longest_in_order(t: np.ndarray, starts=(0,)) -> np.ndarray:
+    """True for the members of the subsequence of :func:`_mark_longest`, in each
+    of the runs that begin at ``starts``."""
+    values, keep = t.tolist(), [False] * len(t)
+    for a, b in zip(starts, [*starts[1:], len(values)], strict=True):
+        _mark_longest(values, a, b, keep)
+    return np.array(keep, dtype=bool)
+
+
+KINDS = pa.array(["hour_slip", "near", "far"])
 
 
-def solve(t: np.ndarray, low: int | None, high: int | None) -> tuple[np.ndarray, list]:
-    """For the times of a segment, between the times that end it: which events
-    are late, and what kind of slip it looks like. ``hour_slip``: an hour more
-    or less puts it between its neighbours that stay; ``near``: within two
-    hours of them; ``far``: further off."""
-    keep = longest_in_order(t)
-    kinds: list = [None] * len(t)
-    places = np.flatnonzero(keep)
-    for i in np.flatnonzero(~keep).tolist():
-        at = int(np.searchsorted(places, i))
-        a = int(t[places[at - 1]]) if at else low
-        b = int(t[places[at]]) if at < len(places) else high
-        v = int(t[i])
+def solve(t: np.ndarray, starts: np.ndarray, low=None, high=None) -> tuple[np.ndarray, pa.Array]:
+    """For the times of runs that begin at ``starts``, between the times that
+    end each (Arrow arrays, NULL for none): which events are late, and what kind
+    of slip it looks like. ``hour_slip``: an hour more or less puts it between
+    its neighbours that stay; ``near``: within two hours of them; ``far``:
+    further off."""
+    keep = longest_in_order(t, starts.tolist())
+    late = np.flatnonzero(~keep)
+    run = np.searchsorted(starts, late, "right") - 1
+    ends = np.append(starts[1:], len(t))
+    place = np.arange(len(t))
+    before = np.maximum.accumulate(np.where(keep, place, -1))[late]
+    after = np.minimum.accumulate(np.where(keep, place, len(t))[::-1])[::-1][late]
 
-        def gap(x, a=a, b=b):
-            return max(0 if a is None else a - x, 0 if b is None else x - b, 0)
+    def bound(at, inside, outer):
+        """Times of the neighbours that stay, and where there are any."""
+        times, there = t[np.where(inside, at, 0)], inside
+        if outer is not None:
+            there = inside | np.asarray(outer.is_valid())[run]
+            times = np.where(inside, times, micros(outer)[run])
+        return times, there
 
-        kinds[i] = "hour_slip" if not (gap(v - HOUR) and gap(v + HOUR)) else \
-            "near" if gap(v) <= NEAR_HOURS * HOUR else "far"
-    return ~keep, kinds
+    a, any_a = bound(before, before >= starts[run], low)
+    b, any_b = bound(after, after < ends[run], high)
+    v = t[late]
+
+    def apart(x):
+        return np.maximum(np.where(any_a, a - x, 0), np.where(any_b, x - b, 0))
+
+    kind = np.where((apart(v - HOUR) <= 0) | (apart(v + HOUR) <= 0), 0,
+                    np.where(apart(v) <= NEAR_HOURS * HOUR, 1, 2))
+    kinds = np.full(len(t), -1)
+    kinds[late] = kind
+    return ~keep, KINDS.take(pa.array(kinds, mask=kinds < 0))
 
 
 def micros(column) -> np.ndarray:
     """Times of an Arrow column as microseconds (days for dates, times 86400
-    seconds)."""
+    seconds), 0 for NULL."""
     if pa.types.is_date(column.type):
-        return np.asarray(pc.cast(pc.cast(column, pa.int32()), pa.int64())) * 86_400_000_000
+        return np.asarray(pc.fill_null(pc.cast(pc.cast(column, pa.int32()), pa.int64()), 0)) * 86_400_000_000
     unit = pa.timestamp("us", tz=getattr(column.type, "tz", None))
-    return np.asarray(pc.cast(pc.cast(column, unit), pa.int64()))
+    return np.asarray(pc.fill_null(pc.cast(pc.cast(column, unit), pa.int64()), 0))
 
 
 def _surrounded(df: DataFrame, order: list, bucket, when: str) -> DataFrame:
@@ -133,45 +163,62 @@ def _written(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def _solved(loose: DataFrame, columns: list[str], when: str) -> DataFrame:
-    """Rows of whole segments, with ``is_late`` and ``late_kind``."""
-    src = loose.select(*columns, "__segment", "__seq", "__prev_max", "__next_min") \
-        .repartition(K, "__segment").sortWithinPartitions(K, "__segment", "__seq")
-    columns = [*columns, "__seq"]
-    out = T.StructType([*[src.schema[c] for c in columns], T.StructField("is_late", T.BooleanType()),
+def _changes(column: pa.Array) -> np.ndarray:
+    """The places from 1 on whose value differs from the one before."""
+    here, last = column.slice(1), column.slice(0, len(column) - 1)
+    other = pc.or_(pc.fill_null(pc.not_equal(here, last), False), pc.xor(here.is_null(), last.is_null()))
+    return np.flatnonzero(np.asarray(other)) + 1
+
+
+def _solved_runs(rows: DataFrame, keys: list[str], columns: list[str], when: str, ends: bool) -> DataFrame:
+    """``columns`` of ``rows``, which lie in runs of equal ``keys``, with
+    ``is_late`` and ``late_kind``. With ``ends``, the times around a run are the
+    ``__prev_max`` of its first row and the ``__next_min`` of its last."""
+    out = T.StructType([*[rows.schema[c] for c in columns], T.StructField("is_late", T.BooleanType()),
                         T.StructField("late_kind", T.StringType())])
 
     def run(parts):
-        held: list = []
-        last = None
+        held: list = []  # the run that may go on
         for part in parts:
             if not part.num_rows:
                 continue
-            names = list(zip(part.column(K).to_pylist(), part.column("__segment").to_pylist(), strict=True))
-            start = 0
-            for k, name in enumerate(names):
-                if name != last and (held or k > start):
-                    held.append(part.slice(start, k - start))
-                    yield finish(held)
-                    held, start = [], k
-                last = name
-            held.append(part.slice(start))
+            if held:
+                seam = pa.Table.from_batches([held[-1].slice(held[-1].num_rows - 1), part.slice(0, 1)])
+                new = any(len(_changes(seam.column(k).combine_chunks())) for k in keys)
+            starts = np.unique(np.concatenate([_changes(part.column(k)) for k in keys]))
+            if held and not new and not len(starts):
+                held.append(part)
+                continue
+            last = int(starts[-1]) if len(starts) else 0
+            done = pa.Table.from_batches([*held, part.slice(0, last)])
+            if done.num_rows:
+                yield finish(done)
+            held = [part.slice(last)]
         if held:
-            yield finish(held)
+            yield finish(pa.Table.from_batches(held))
+
+    def finish(table):
+        table = table.combine_chunks()
+        col = {c: table.column(c).combine_chunks() for c in {*keys, when}}
+        starts = np.unique(np.concatenate([[0], *[_changes(col[k]) for k in keys]])).astype(np.int64)
+        around = ()
+        if ends:
+            last = np.append(starts[1:], table.num_rows) - 1
+            around = [table.column(c).combine_chunks().take(pa.array(at))
+                      for c, at in (("__prev_max", starts), ("__next_min", last))]
+        late, kinds = solve(micros(col[when]), starts, *around)
+        table = table.select(columns).append_column("is_late", pa.array(late)) \
+            .append_column("late_kind", kinds)
+        return table.combine_chunks().to_batches()[0]
 
-    def finish(held):
-        table = pa.Table.from_batches(held).combine_chunks()
+    return rows.mapInArrow(run, out)
 
-        def end(c, k):
-            v = table.column(c).slice(k, 1)
-            return None if v[0].as_py() is None else int(micros(v)[0])
-        late, kinds = solve(micros(table.column(when)), end("__prev_max", 0),
-                            end("__next_min", table.num_rows - 1))
-        table = table.select(columns).append_column("is_late", pa.array(late)) \
-            .append_column("late_kind", pa.array(kinds, pa.string()))
-        return table.to_batches()[0]
 
-    return src.mapInArrow(run, out)
+def _solved(loose: DataFrame, columns: list[str], when: str) -> DataFrame:
+    """Rows of whole segments, with ``is_late`` and ``late_kind``."""
+    src = loose.select(*columns, "__segment", "__seq", "__prev_max", "__next_min") \
+        .repartition(K, "__segment").sortWithinPartitions(K, "__segment", "__seq")
+    return _solved_runs(src, [K, "__segment"], [*columns, "__seq"], when, ends=True)
 
 
 def _displaced(big: DataFrame, when: str) -> DataFrame:
@@ -267,12 +314,23 @@ def late_events(events: DataFrame, order: list, when: str = "event_ts",
 
     ``order`` is the order of arrival within a SKU; it must tell rows with
     different times apart. Rows without a time are not late and do not count.
-    Equal times are in order. A hot SKU is dealt to buckets of equal size by its
-    order of arrival. A segment that is still longer than ``segment_rows`` once
+    Equal times are in order. The rows are dealt by SKU; a SKU with too many of
+    them for that goes to buckets of equal size by its order of arrival. A segment that is still longer than ``segment_rows`` once
     no event is out of place by more than the number of late ones is solved in
     one task all the same."""
     ship_package(events.sparkSession)
-    columns = events.columns
-    judged = _judged(events.where(F.col(when).isNotNull()), columns, order, when, segment_rows)
-    return judged.drop("__seq").union(events.where(F.col(when).isNull()).select(
+    columns, timed = events.columns, events.where(F.col(when).isNotNull())
+    total, hot = heavy_keys(timed, K, min(segment_rows, 2 * windows.BUCKET_ROWS))
+    rest = timed if hot is None else of_keys(timed, K, hot, "left_anti")
+    out = _solved_runs(dealt(rest, total, K).sortWithinPartitions(K, *order), [K], columns, when, ends=False)
+    if hot is not None:
+        rows = of_keys(timed, K, hot, "left_semi")
+        out = out.union(_judged(rows.where(F.col(K).isNotNull()), columns, order, when, segment_rows)
+                        .select(*out.columns))
+        if not hot.where("__heavy IS NULL").isEmpty():  # any other name does, where it is alone
+            kind = rows.schema[K].dataType
+            named = rows.where(F.col(K).isNull()).withColumn(K, _filled(F.lit(None).cast(kind), kind))
+            out = out.union(_judged(named, columns, order, when, segment_rows)
+                            .withColumn(K, F.lit(None).cast(kind)).select(*out.columns))
+    return out.union(events.where(F.col(when).isNull()).select(
         *columns, F.lit(False), F.lit(None).cast("string")))

@@ -58,6 +58,44 @@ def even_buckets(df: DataFrame, keys: Sequence[str], order: Sequence,
     return spark.read.parquet(path), "__even"
 
 
+# Rows that a task sorts or groups; classes by which the rows of keys are counted.
+TASK_ROWS, KEY_CLASSES = 500_000, 4096
+
+
+def heavy_keys(df: DataFrame, key: str, limit: int) -> tuple[int, DataFrame | None]:
+    """The number of rows, and the keys (NULL counts as one) that more than
+    ``limit`` rows share, as a small table with the column ``__heavy``, or None.
+
+    Rows are counted by a hash of the key first, so that one row a class and
+    task is shuffled; only the keys of overfull classes are counted themselves."""
+    from ..session import scratch_path
+
+    kind = F.pmod(F.xxhash64(key), F.lit(KEY_CLASSES))
+    sizes = df.groupBy(kind.alias("k")).agg(F.count(F.lit(1)).alias("n")).collect()
+    total, full = sum(r["n"] for r in sizes), [r["k"] for r in sizes if r["n"] > limit]
+    if not full:
+        return total, None
+    path = scratch_path(df.sparkSession, "heavy")
+    df.where(kind.isin(full)).groupBy(F.col(key).alias("__heavy")).agg(F.count(F.lit(1)).alias("__n")) \
+        .where(F.col("__n") > limit).select("__heavy").write.parquet(path)
+    heavy = df.sparkSession.read.schema(df.select(F.col(key).alias("__heavy")).schema).parquet(path)
+    return total, None if heavy.isEmpty() else heavy
+
+
+def of_keys(df: DataFrame, key: str, heavy: DataFrame, how: str) -> DataFrame:
+    """The rows of the ``heavy`` keys (``left_semi``) or of the others (``left_anti``)."""
+    return df.join(F.broadcast(heavy), F.col(key).eqNullSafe(F.col("__heavy")), how)
+
+
+def dealt(df: DataFrame, rows: int, *keys: str) -> DataFrame:
+    """``df`` by ``keys`` in as many partitions as ``rows`` rows need, if these
+    are more than the session's shuffles have."""
+    parts = -(-rows // TASK_ROWS)
+    if parts <= int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")):
+        return df.repartition(*keys)
+    return df.repartition(parts, *keys)
+
+
 def _combine(op: str, offset: Column, inner: Column) -> Column:
     """max / min of the earlier buckets' value and the in-bucket value
     (``greatest`` / ``least`` skip NULLs, like the aggregates)."""

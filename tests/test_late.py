@@ -12,6 +12,7 @@ from stockyard.operators import events as EV
 from stockyard.operators import inventory as INV
 from stockyard.operators import late as LT
 from stockyard.operators import windows as W
+from stockyard.session import scratch_count
 
 T0 = dt.datetime(2024, 1, 1)
 SCHEMA = "sku_id long, sales_id long, event_ts timestamp_ntz, quantity int, status string"
@@ -134,6 +135,46 @@ def test_late_events_edge_cases(spark):
     assert [r.n for r in got if r.is_late] == [1]
 
 
+def test_skus_of_few_events_are_shuffled_once(spark, monkeypatch):
+    """However many SKUs there are, no row is written aside and the rows move
+    once; a SKU's run may lie in many Arrow batches."""
+    monkeypatch.setattr(W, "BUCKET_ROWS", 70)
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(key)
+    rng = random.Random(8)
+    rows = [(None if k % 40 == 0 else k % 40, k, T0 + dt.timedelta(minutes=k + rng.randint(-200, 200)), 1, None)
+            for k in range(2000)]
+    known = scratch_count()
+    df = LT.late_events(spark.createDataFrame(rows, SCHEMA), order())
+    assert scratch_count() == known
+    assert df._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning") == 1
+    for size in ("7", "64", before):
+        spark.conf.set(key, size)
+        try:
+            got = LT.late_events(spark.createDataFrame(rows, SCHEMA), order()).collect()
+        finally:
+            spark.conf.set(key, before)
+        assert Counter(tuple(r)[:5] for r in got) == Counter(rows)
+        assert {(r.sku_id, r.sales_id) for r in got if r.is_late} == plain_late(rows)
+
+
+def test_many_events_without_a_sku_stay(spark, monkeypatch):
+    rows = [(None if r[0] == 1 else r[0], *r[1:]) for r in disorder(900, 6)]
+    want = {tuple(r) for r in LT.late_events(spark.createDataFrame(rows, SCHEMA), order()).collect()}
+    monkeypatch.setattr(W, "BUCKET_ROWS", 70)
+    got = {tuple(r) for r in LT.late_events(spark.createDataFrame(rows, SCHEMA), order()).collect()}
+    assert got == want and len(got) == 900
+
+
+def test_heavy_keys(spark):
+    df = spark.createDataFrame([(str(k),) for k in range(500)] + [("x",)] * 60 + [(None,)] * 40, "k string")
+    total, heavy = W.heavy_keys(df, "k", 39)
+    assert total == 600 and {r[0] for r in heavy.collect()} == {"x", None}
+    assert W.of_keys(df, "k", heavy, "left_semi").count() == 100
+    assert W.of_keys(df, "k", heavy, "left_anti").count() == 500
+    assert W.heavy_keys(df, "k", 60) == (600, None)
+
+
 # --- copies ----------------------------------------------------------------
 
 def merged(spark, rows, cap=50):
