@@ -24,15 +24,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..session import ship_package
+from ..session import scratch_path, ship_package
 
 K = "sku_id"
 # 5 % level of the KPSS test for stationarity around a level.
 KPSS_LIMIT = 0.463
 # Share of the detrended variance from which a pattern counts as seasonal.
 SEASONAL_STRENGTH = 0.64
-# Fits of one order made in one go, in numbers held (series x parameters x length).
-_CELLS = 1 << 21
+# Fits of one order that go on side by side, in numbers held (fits x parameters
+# x length): as much as a core keeps in its cache.
+_CELLS = 1 << 17
 
 
 @dataclass(frozen=True)
@@ -88,86 +89,103 @@ def residuals(w: np.ndarray, from_: np.ndarray, x: np.ndarray, order: Order, m:
     """Residuals of series ``w`` (series x time, ending together) from place
     ``from_`` of each on, zero before, for parameters (series x sets x numbers)."""
     mean, ar, ma = unpacked(x, order, m)
-    y = w[:, None, :] - mean[..., None]
-    u = y.copy()
-    for lag, c in ar:
-        if lag < w.shape[1]:
-            u[..., lag:] -= c[..., None] * y[..., :-lag]
-    u *= np.arange(w.shape[1]) >= from_[:, None, None]
+    length = w.shape[1]
     if not ma:
+        y = w[:, None, :] - mean[..., None]
+        u = y.copy()
+        for lag, c in ar:
+            if lag < length:
+                u[..., lag:] -= c[..., None] * y[..., :-lag]
+        u *= np.arange(length) >= from_[:, None, None]
         return u
-    e = np.ascontiguousarray(np.moveaxis(u, -1, 0))
-    all_from = int(from_.max())
-    for t in range(int(from_.min()), w.shape[1]):
+    # Time comes first: a step reads and writes rows that lie together.
+    y = w.T[:, :, None] - mean
+    e, first = y.copy(), int(from_.min())
+    for lag, c in ar:
+        if lag < length:
+            e[lag:] -= c * y[:-lag]
+    e *= (np.arange(length)[:, None] >= from_)[..., None]
+    ma, part = [(lag, np.ascontiguousarray(c)) for lag, c in ma], np.empty(e.shape[1:])
+    for t in range(first, length):
+        now = e[t]
         for lag, c in ma:
-            if t >= all_from and lag <= t:
-                e[t] -= c * e[t - lag]
-            elif lag <= t:
-                e[t] -= np.where((t >= from_)[:, None], c * e[t - lag], 0.0)
+            if t - lag >= first:  # zero before
+                np.multiply(c, e[t - lag], out=part)
+                np.subtract(now, part, out=now)
     return np.moveaxis(e, 0, -1)
 
 
+# Series that one task fits.
+TASK_SERIES = 2500
 # Starting values of autoregressive and moving-average numbers. The sum of
 # squares may have several minima; the least of those found counts.
 STARTS = ((0.1, -0.05), (-0.5, 0.5))
 
 
 def fit(w: np.ndarray, from_: np.ndarray, order: Order, m: int, rounds: int = 60) -> tuple:
-    """Parameters and sum of squares of every series, at one order."""
-    best = None
-    for start in STARTS[:1 + (sum(order) > order[4])]:
-        x, sse = _fit_from(w, from_, order, m, rounds, start)
-        if best is None:
-            best = x, sse
-        else:
-            lower = sse < best[1]
-            best[0][lower], best[1][lower] = x[lower], sse[lower]
-    return best
-
-
-def _fit_from(w: np.ndarray, from_: np.ndarray, order: Order, m: int, rounds: int,
-              start: tuple[float, float]) -> tuple:
+    """Parameters and sum of squares of every series, at one order.
+
+    The fits of all series and starting values go through one set of places: a
+    fit that has ended makes room for the next, so the arrays stay full."""
     p, q, sp, sq, const = order
     n_par, (n, length) = p + q + sp + sq + const, w.shape
-    step = max(1, _CELLS // (length * (n_par + 1)))
-    if n > step:
-        parts = [_fit_from(w[k:k + step], from_[k:k + step], order, m, rounds, start) for k in range(0, n, step)]
-        return np.concatenate([a for a, _ in parts]), np.concatenate([b for _, b in parts])
-    x = np.full((n, n_par), start[0])
-    x[:, const + p + sp:] = start[1]
+    starts = STARTS[:1 + (sum(order) > const)]
+    mean = 0.0
     if const:
         live = np.arange(length) >= from_[:, None]
-        x[:, 0] = (w * live).sum(axis=1) / live.sum(axis=1)
-    e = residuals(w, from_, x[:, None, :], order, m)[:, 0]
-    sse = (e * e).sum(axis=1)
-    if not n_par:
-        return x, sse
-    damp, going = np.full(n, 1e-2), np.ones(n, dtype=bool)
-    h = 1e-6
-    for _ in range(rounds):
-        at = np.flatnonzero(going)
-        if not len(at):
-            break
+        mean = (w * live).sum(axis=1) / live.sum(axis=1)
+    x = np.empty((len(starts), n, n_par))
+    for at, (low, high) in zip(x, starts, strict=True):
+        at[:], at[:, const + p + sp:] = low, high
+        at[:, :const] = np.reshape(mean, (-1, 1))
+    x, series = x.reshape(len(starts) * n, n_par), np.tile(np.arange(n), len(starts))
+    sse, damp = np.empty(len(x)), np.full(len(x), 1e-2)
+    places, h = max(1, _CELLS // (length * (n_par + 1))), 1e-6
+
+    normal, slope = np.empty((len(x), n_par, n_par)), np.empty((len(x), n_par))
+
+    def squares(at, x):
+        e = residuals(w[series[at]], from_[series[at]], x[:, None, :], order, m)[:, 0]
+        return (e * e).sum(axis=1)
+
+    def slopes(at):
         sets = np.concatenate([x[at][:, None, :], x[at][:, None, :] + h * np.eye(n_par)], axis=1)
-        all_e = residuals(w[at], from_[at], sets, order, m)
+        all_e = residuals(w[series[at]], from_[series[at]], sets, order, m)
         base = all_e[:, 0]
         jac = (all_e[:, 1:] - base[:, None, :]) / h
-        normal, slope = jac @ jac.transpose(0, 2, 1), (jac @ base[..., None])[..., 0]
-        scale = np.einsum("skk->sk", normal) + 1e-9
-        moved = x[at] - np.linalg.solve(normal + (damp[at][:, None] * scale)[:, :, None]
-                                        * np.eye(n_par), slope[..., None])[..., 0]
+        normal[at], slope[at] = jac @ jac.transpose(0, 2, 1), (jac @ base[..., None])[..., 0]
+
+    todo = np.arange(len(x))
+    at, moves, left = todo[:0], np.ones(len(x), dtype=bool), np.full(len(x), rounds if n_par else 0)
+    while len(at) or len(todo):
+        new, todo = todo[:places - len(at)], todo[places - len(at):]
+        if len(new):
+            sse[new] = squares(new, x[new])
+            at = np.concatenate([at, new])
+        at = at[left[at] > 0]
+        if not len(at):
+            continue
+        left[at] -= 1
+        if moves[at].any():  # a step that was refused starts from the same place
+            slopes(at[moves[at]])
+        scale = np.einsum("skk->sk", normal[at]) + 1e-9
+        moved = x[at] - np.linalg.solve(normal[at] + (damp[at][:, None] * scale)[:, :, None]
+                                        * np.eye(n_par), slope[at][..., None])[..., 0]
         moved[:, const:] = np.clip(moved[:, const:], -4, 4)
-        new = residuals(w[at], from_[at], moved[:, None, :], order, m)[:, 0]
-        new_sse = (new * new).sum(axis=1)
+        new_sse = squares(at, moved)
         better = new_sse < sse[at]
         small = sse[at] - new_sse < 1e-9 * (sse[at] + 1e-300)
+        moves[at] = better
         x[at[better]], gone = moved[better], at[~better]
-        going[at[better & small]] = False
         sse[at[better]] = new_sse[better]
         damp[at[better]] = np.maximum(damp[at[better]] / 5, 1e-9)
         damp[gone] *= 8
-        going[gone[damp[gone] > 1e9]] = False
-    return x, sse
+        at = at[~(better & small) & (damp[at] <= 1e9)]
+    x, sse = x.reshape(len(starts), n, n_par), sse.reshape(len(starts), n)
+    best = np.zeros(n, dtype=int)
+    if len(starts) > 1:
+        best[sse[1] < sse[0]] = 1
+    return x[best, np.arange(n)], sse[best, np.arange(n)]
 
 
 def aic(sse: np.ndarray, count: np.ndarray, order: Order, level: np.ndarray) -> np.ndarray:
@@ -355,6 +373,13 @@ def forecast_arima(series: DataFrame, horizon: int = 28, value: str = "approved_
         F.col("event_date").cast("date").alias("t"),
         F.coalesce(F.col(value).cast("double"), F.lit(0.0)).alias("y")))).alias("s")) \
         .select(K, F.col("s.t")[F.size("s") - 1].alias("last"), F.col("s.y").alias("y"))
+    # The series are small and their fits long: tasks come by number of series,
+    # not by bytes.
+    path = scratch_path(series.sparkSession, "series")
+    rows.write.parquet(path)
+    rows = series.sparkSession.read.schema(rows.schema).parquet(path)
+    shuffles = int(series.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    rows = rows.repartition(max(shuffles, -(-rows.count() // TASK_SERIES)), K)
     out = T.StructType([series.schema[K], T.StructField("event_date", T.DateType()),
                         T.StructField("demand_prediction", T.DoubleType()),
                         T.StructField("model", T.StringType()), T.StructField("aic", T.DoubleType())])

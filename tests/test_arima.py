@@ -4,6 +4,7 @@ import datetime as dt
 from itertools import product
 
 import numpy as np
+from pyspark.sql import functions as F
 import pytest
 
 from stockyard.operators import arima as AR
@@ -176,3 +177,26 @@ def test_monthly_demand(spark):
     got = sorted(tuple(r) for r in AR.monthly_demand(df).collect())
     assert got == [(1, dt.date(2020, 1, 1), 5), (1, dt.date(2020, 2, 1), 0), (1, dt.date(2020, 3, 1), 0),
                    (1, dt.date(2020, 4, 1), 1)]
+
+
+def test_series_are_dealt_to_tasks_by_their_number(spark, monkeypatch):
+    """Many short series are few bytes, but no task fits more than a share of them."""
+    monkeypatch.setattr(AR, "TASK_SERIES", 20)
+    df = spark.createDataFrame([(k, dt.date(2020, 1, 1 + d), k % 7 + d) for k in range(400) for d in range(3)],
+                               "sku_id int, event_date date, approved_qty int")
+    got = AR.forecast_arima(df, horizon=1)
+    sizes = [r[1] for r in got.groupBy(F.spark_partition_id()).count().collect()]
+    assert sum(sizes) == 400 and max(sizes) <= 50 and len(sizes) >= 15
+
+
+def test_fits_do_not_depend_on_their_company(monkeypatch):
+    rng = np.random.default_rng(3)
+    w = rng.normal(size=(30, 60)).cumsum(axis=1)
+    from_ = rng.integers(2, 20, 30)
+    for order in ((0, 0, 0, 0, 0), (0, 0, 0, 0, 1), (2, 0, 0, 0, 1), (1, 1, 0, 0, 0), (1, 2, 1, 1, 0)):
+        x, sse = AR.fit(w, from_, order, 12)
+        monkeypatch.setattr(AR, "_CELLS", 60 * 6 * 4)
+        few, few_sse = AR.fit(w, from_, order, 12)
+        monkeypatch.undo()
+        np.testing.assert_allclose(few, x, rtol=1e-9)
+        np.testing.assert_allclose(few_sse, sse, rtol=1e-9)
