@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.ids import id_number
 from .late import late_events
-from .windows import even_buckets, running
+from .windows import by_key, even_buckets, running
 
 K = "sku_id"
 
@@ -16,22 +18,25 @@ def dedupe_events(sales: DataFrame, key: str = "sales_id") -> DataFrame:
     """One row per ``key``: the copy with the earliest time (NULL time
     last), then status (NULL last), quantity, SKU.
 
-    Ids that occur once pass through; only the rows of repeated ids are
-    compared. Counting the ids is a hash aggregate with a partial step, and
-    the smallest copy is an aggregate too, so an id with very many copies is
-    reduced inside each task. Rows with a NULL id are kept unchanged."""
+    The smallest copy is an aggregate with a partial step. Where the session's
+    shuffles have too few partitions for the rows, these are dealt by id to as
+    many as they need, but for ids with more copies than a task should hold:
+    those are reduced inside each task first. Rows with a NULL id are kept
+    unchanged."""
     others = [c for c in sales.columns if c != key]
-    repeated = sales.where(F.col(key).isNotNull()).groupBy(key) \
-        .agg(F.count(F.lit(1)).alias("__n")).where("__n > 1").select(key, F.lit(True).alias("__rep"))
-    marked = sales.join(repeated, key, "left")
     pick = F.struct(
         F.col("event_ts").isNull().alias("__ts_null"), F.col("event_ts").alias("__ts"),
         F.col("status").isNull().alias("__st_null"), F.col("status").alias("__st"),
         F.col("quantity").alias("__q"), F.col(K).alias("__k"),
         *[F.col(c).alias(c) for c in others])
-    best = marked.where("__rep").groupBy(key).agg(F.min(pick).alias("__best"))
-    return marked.where("__rep IS NULL").select(key, *others).unionByName(
-        best.select(key, *[F.col(f"__best.{c}").alias(c) for c in others]))
+
+    def smallest(rows):
+        return rows.groupBy(key).agg(F.min(pick).alias("__best")) \
+            .select(key, *[F.col(f"__best.{c}").alias(c) for c in others])
+
+    known, nameless = sales.where(F.col(key).isNotNull()), sales.where(F.col(key).isNull())
+    out = [smallest(rows) for rows in by_key(known, key)]
+    return reduce(DataFrame.unionByName, [*out, nameless.select(key, *others)])
 
 
 def merge_copies(sales: DataFrame, cap: int = 50, key: str = "sales_id") -> DataFrame:

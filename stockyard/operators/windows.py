@@ -96,6 +96,50 @@ def dealt(df: DataFrame, rows: int, *keys: str) -> DataFrame:
     return df.repartition(parts, *keys)
 
 
+def _few(spark, rows: int) -> bool:
+    return -(-rows // TASK_ROWS) <= int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+def by_key(df: DataFrame, key: str) -> list[DataFrame]:
+    """``df`` in parts to be grouped by ``key``, each key in one of them: as it
+    is, if the session's shuffles have partitions enough for its rows; else the
+    rows dealt to more, and those of heavy keys, if any, as they are."""
+    total, heavy = heavy_keys(df, key, TASK_ROWS)
+    if _few(df.sparkSession, total):
+        return [df]
+    if heavy is None:
+        return [dealt(df, total, key)]
+    return [dealt(of_keys(df, key, heavy, "left_anti"), total, key), of_keys(df, key, heavy, "left_semi")]
+
+
+def to_join(left: DataFrame, right: DataFrame, key: str,
+            sized_by: DataFrame | None = None) -> list[tuple[DataFrame, DataFrame]]:
+    """Pairs of parts of two tables to be joined on ``key``, each key in one of
+    them: the tables as they are, if the session's shuffles have partitions
+    enough for their rows; else both dealt to more, and the rows of the left
+    table's heavy keys, if any, as they are. ``sized_by`` holds the left rows or
+    more of them, where the left table is costly to count."""
+    total, heavy = heavy_keys(left if sized_by is None else sized_by, key, TASK_ROWS)
+    total += right.count()
+    if _few(left.sparkSession, total):
+        return [(left, right)]
+    if heavy is None:
+        return [(dealt(left, total, key), dealt(right, total, key))]
+    rest, hot = ([of_keys(t, key, heavy, how) for t in (left, right)] for how in ("left_anti", "left_semi"))
+    return [(dealt(rest[0], total, key), dealt(rest[1], total, key)), (hot[0], hot[1])]
+
+
+def to_group(df: DataFrame, sized_by: DataFrame, *keys: str) -> DataFrame:
+    """``df``, already dealt by some of ``keys``, to be grouped by all of them:
+    dealt by these too where the session asks for that and its shuffles have too
+    few partitions for the rows of ``sized_by``."""
+    spark = df.sparkSession
+    if spark.conf.get("spark.sql.requireAllClusterKeysForDistribution", "false") != "true":
+        return df
+    total = sized_by.count()
+    return df if _few(spark, total) else dealt(df, total, *keys)
+
+
 def _combine(op: str, offset: Column, inner: Column) -> Column:
     """max / min of the earlier buckets' value and the in-bucket value
     (``greatest`` / ``least`` skip NULLs, like the aggregates)."""

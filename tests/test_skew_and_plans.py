@@ -13,6 +13,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from stockyard.operators import events as EV
+from stockyard.operators import windows as W
 from stockyard.operators.aggregates import product_demand
 
 SF = "/root/testdata/sf0.001"
@@ -61,6 +62,22 @@ def test_dedupe_hot_id_and_partial_aggregate(spark):
     assert "partial_min" in plan or "partial_min" in d._jdf.queryExecution().toString()
 
 
+def test_dedupe_deals_by_number_of_rows(spark, monkeypatch):
+    t = dt.datetime(2024, 1, 1)
+    rows = [(1, "HOT", t + dt.timedelta(seconds=i * 7 % 900), i % 5 + 1, "placed") for i in range(700)]
+    rows += [(2, f"S{i % 2500}", t + dt.timedelta(seconds=i % 11), 1, None) for i in range(3000)]
+    rows += [(3, None, t, 1, "placed")] * 300
+    s = spark.createDataFrame(rows, "sku_id long, sales_id string, event_ts timestamp_ntz, quantity int, status string")
+    want = sorted(map(tuple, EV.dedupe_events(s).collect()), key=str)
+    monkeypatch.setattr(W, "TASK_ROWS", 100)
+    d = EV.dedupe_events(s)
+    assert sorted(map(tuple, d.collect()), key=str) == want and len(want) == 2801
+    plan = d._jdf.queryExecution().toString()
+    assert "hashpartitioning(sales_id" in plan and "REPARTITION_BY_NUM" in plan and "SortMergeJoin" not in plan
+    most = d.where("sales_id LIKE 'S%'").groupBy(F.spark_partition_id()).count().agg(F.max("count")).first()[0]
+    assert most <= 200
+
+
 def test_event_quality_bucketed_equals_plain(spark):
     rnd = random.Random(9)
     t = dt.datetime(2024, 1, 1)
