@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .. import config as C
 from .filters import filter_not_in
+from .windows import to_group, to_join
 
 PRODUCT_ATTRS = (
     "product_category_name", "product_name_lenght", "product_description_lenght",
@@ -41,7 +43,9 @@ def product_demand(orders: DataFrame, items: DataFrame, products: DataFrame,
     can hold most lines) sees one narrow row for each of these, and nothing is
     shuffled by the product's attributes. Products are reduced to one row per
     id and attribute values with its number of copies, by which sums and
-    counts are multiplied, as a join with each copy would. The status test is
+    counts are multiplied, as a join with each copy would. Where the session's
+    shuffles have too few partitions for the rows, both joins deal them to more
+    (``windows.to_join``). The status test is
     case- and blank-insensitive, so it works on raw (lower-case) and silver
     (upper-case) spellings.
     """
@@ -49,14 +53,19 @@ def product_demand(orders: DataFrame, items: DataFrame, products: DataFrame,
         .filter(F.col("order_approved_at").isNotNull()) \
         .select("order_id", "order_approved_at")
     i = items.select("order_id", "product_id", "order_item_id", "price", "freight_value")
-    bought = o.join(i, "order_id", "inner") \
-        .groupBy("order_id", "order_approved_at", "product_id").agg(
-            F.max("order_item_id").alias("quantity"),
-            F.sum("price").alias("total_price"),
-            F.sum("freight_value").alias("total_freight_value"),
-            F.count(F.lit(1)).alias("line_count"))
-    p = products.groupBy("product_id", *PRODUCT_ATTRS).agg(F.count(F.lit(1)).alias("__copies"))
+    line = ("order_id", "order_approved_at", "product_id")
+    bought = _all([to_group(a.join(b, "order_id", "inner"), i, *line).groupBy(*line).agg(
+        F.max("order_item_id").alias("quantity"),
+        F.sum("price").alias("total_price"),
+        F.sum("freight_value").alias("total_freight_value"),
+        F.count(F.lit(1)).alias("line_count")) for b, a in to_join(i, o, "order_id")])
     times = {c: bought.schema[c].dataType for c in ("total_price", "total_freight_value", "line_count")}
-    return bought.join(p, "product_id", "inner").select(
-        "order_id", "order_approved_at", "product_id", *PRODUCT_ATTRS, "quantity",
-        *[(F.col(c) * F.col("__copies")).cast(t).alias(c) for c, t in times.items()])
+    kinds = [(a, b.groupBy("product_id", *PRODUCT_ATTRS).agg(F.count(F.lit(1)).alias("__copies")))
+             for a, b in to_join(bought, products.select("product_id", *PRODUCT_ATTRS), "product_id", i)]
+    return _all([a.join(p, "product_id", "inner").select(
+        *line, *PRODUCT_ATTRS, "quantity",
+        *[(F.col(c) * F.col("__copies")).cast(t).alias(c) for c, t in times.items()]) for a, p in kinds])
+
+
+def _all(parts: list[DataFrame]) -> DataFrame:
+    return reduce(DataFrame.unionByName, parts)

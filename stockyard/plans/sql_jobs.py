@@ -11,11 +11,14 @@ null-aware anti join that always broadcasts the id list).
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import TimestampNTZType
 
 from .. import config as C
 from ..operators.aggregates import PRODUCT_ATTRS
+from ..operators.windows import to_group, to_join
 
 
 def _q(values) -> str:
@@ -25,23 +28,28 @@ def _q(values) -> str:
 def product_demand_sql(spark: SparkSession, orders: DataFrame, items: DataFrame,
                        products: DataFrame, excluded=C.EXCLUDED_ORDER_STATUSES) -> DataFrame:
     """Product demand with GROUP BY ALL: lines are added up per order and
-    product before they meet the product's attributes."""
-    return spark.sql(f"""
-        WITH bought AS (
-          SELECT order_id, order_approved_at, product_id, max(order_item_id) AS quantity,
-                 sum(price) AS price_sum, sum(freight_value) AS freight_sum, count(*) AS lines
-          FROM {{items}} JOIN {{orders}} USING (order_id)
+    product before they meet the product's attributes. The parts that are joined
+    come from ``windows.to_join``; most often there is one, the whole tables."""
+    bought = [spark.sql("""
+        SELECT order_id, order_approved_at, product_id, max(order_item_id) AS quantity,
+               sum(price) AS price_sum, sum(freight_value) AS freight_sum, count(*) AS lines
+        FROM {lines} GROUP BY ALL""", lines=to_group(spark.sql(f"""
+          SELECT * FROM {{items}} JOIN {{orders}} USING (order_id)
           WHERE order_approved_at IS NOT NULL
-            AND lower(trim(order_status)) NOT IN ({_q(v.lower() for v in excluded)})
-          GROUP BY ALL),
-        kinds AS (
+            AND lower(trim(order_status)) NOT IN ({_q(v.lower() for v in excluded)})""",
+          items=i, orders=o), items, "order_id", "order_approved_at", "product_id"))
+        for i, o in to_join(items, orders.where("order_approved_at IS NOT NULL"), "order_id")]
+    out = [spark.sql(f"""
+        WITH kinds AS (
           SELECT product_id, {', '.join(PRODUCT_ATTRS)}, count(*) AS copies
           FROM {{products}} GROUP BY ALL)
         SELECT order_id, order_approved_at, product_id, {', '.join(PRODUCT_ATTRS)}, quantity,
                CAST(price_sum * copies AS DECIMAL(20,2)) AS total_price,
                CAST(freight_sum * copies AS DECIMAL(20,2)) AS total_freight_value,
                lines * copies AS line_count
-        FROM bought JOIN kinds USING (product_id)""", orders=orders, items=items, products=products)
+        FROM {{bought}} JOIN kinds USING (product_id)""", bought=b, products=p)
+        for b, p in to_join(reduce(DataFrame.unionByName, bought), products, "product_id", items)]
+    return reduce(DataFrame.unionByName, out)
 
 
 def _local_date(df: DataFrame, zone: str) -> str:

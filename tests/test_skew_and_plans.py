@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from stockyard.operators import events as EV
 from stockyard.operators import windows as W
 from stockyard.operators.aggregates import product_demand
+from stockyard.plans.sql_jobs import product_demand_sql
 
 SF = "/root/testdata/sf0.001"
 
@@ -48,6 +49,46 @@ def test_product_demand_hot_product_and_order(spark):
     assert got == want
 
 
+@pytest.mark.parametrize("all_keys", ["true", "false"])
+@pytest.mark.parametrize("job", ["operator", "sql"])
+def test_product_demand_deals_by_number_of_rows(spark, monkeypatch, job, all_keys):
+    """With fewer rows a task than the session's shuffles give, no task of the
+    joins holds more; a product and an order with very many lines are whole."""
+    rnd = random.Random(2)
+    items = [("o1" if k % 9 == 0 else f"o{rnd.randint(1, 800)}", k % 7 + 1, "p1" if k % 4 == 0 else
+              f"p{rnd.randint(1, 300)}", Decimal(rnd.randint(1, 999)) / 100, Decimal(rnd.randint(0, 99)) / 100)
+             for k in range(4000)] + [(None, 1, "p2", Decimal(1), Decimal(1)), ("o2", 1, None, Decimal(1), Decimal(1))]
+    orders = [(f"o{k}", "DELIVERED" if k % 5 else "CANCELED", dt.datetime(2024, 1, 1 + k % 28) if k % 11 else None)
+              for k in range(1, 801)] + [("o7", "DELIVERED", dt.datetime(2024, 5, 1)), (None, "DELIVERED", None)]
+    prods = [(f"p{k}", "c", k, k, k, k, k, k) for k in range(1, 301)] + [("p3", "c", 3, 3, 3, 3, 3, 3), ("p4", "d", *[4] * 6)]
+    tables = (spark.createDataFrame(orders, "order_id string, order_status string, order_approved_at timestamp_ntz"),
+              spark.createDataFrame(items, "order_id string, order_item_id int, product_id string, "
+                                           "price decimal(10,2), freight_value decimal(10,2)"),
+              spark.createDataFrame(prods, "product_id string, product_category_name string, product_name_lenght int, "
+                                           "product_description_lenght int, product_weight_g int, "
+                                           "product_length_cm int, product_height_cm int, product_width_cm int"))
+
+    def run():
+        return product_demand_sql(spark, *tables) if job == "sql" else product_demand(*tables)
+
+    want = sorted(map(tuple, run().collect()), key=str)
+    keys = {"spark.sql.requireAllClusterKeysForDistribution": all_keys, "spark.sql.autoBroadcastJoinThreshold": "-1"}
+    before = {k: spark.conf.get(k) for k in keys}
+    monkeypatch.setattr(W, "TASK_ROWS", 200)
+    try:
+        for k, v in keys.items():
+            spark.conf.set(k, v)
+        got = run()
+        assert sorted(map(tuple, got.collect()), key=str) == want
+        assert got.schema == run().schema
+        dealt = re.findall(r"hashpartitioning\((order_id|product_id)#\d+L?, (\d+)\), REPARTITION_BY_NUM",
+                           got._jdf.queryExecution().executedPlan().toString())
+        assert {k for k, _ in dealt} == {"order_id", "product_id"} and all(int(n) >= 20 for _, n in dealt)
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+
+
 def test_dedupe_hot_id_and_partial_aggregate(spark):
     t = dt.datetime(2024, 1, 1)
     rows = [(1, "HOT", t + dt.timedelta(seconds=i * 7 % 1000), i % 5 + 1, "placed") for i in range(2000)]
