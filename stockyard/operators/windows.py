@@ -20,6 +20,7 @@ rows per key are bounded (daily or weekly series).
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -129,6 +130,12 @@ def to_join(left: DataFrame, right: DataFrame, key: str,
     return [(dealt(rest[0], total, key), dealt(rest[1], total, key)), (hot[0], hot[1])]
 
 
+def narrowed(df: DataFrame, keys: DataFrame, key: str, how: str) -> DataFrame:
+    """The rows of ``df`` whose ``key`` is among ``keys`` (``left_semi``) or not
+    (``left_anti``), both dealt to as many partitions as they need."""
+    return reduce(DataFrame.unionByName, [a.join(b.select(key), key, how) for a, b in to_join(df, keys, key)])
+
+
 def to_group(df: DataFrame, sized_by: DataFrame, *keys: str) -> DataFrame:
     """``df``, already dealt by some of ``keys``, to be grouped by all of them:
     dealt by these too where the session asks for that and its shuffles have too

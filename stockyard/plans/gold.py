@@ -6,6 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.aggregates import count_by, product_demand
+from ..operators.windows import narrowed
+from ..session import written
 from ..sinks import publish_changes
 
 # Column types of the typed product-demand feature table.
@@ -63,9 +65,12 @@ def touched_orders(items: DataFrame, orders: DataFrame | None = None,
 def refresh_product_demand(spark: SparkSession, table: str, keys: DataFrame, orders: DataFrame,
                            items: DataFrame, products: DataFrame) -> list[int]:
     """Recompute the product demand of the orders in ``keys`` alone and replace
-    their partitions of the published table; returns these."""
+    their partitions of the published table; returns these. The keys and the
+    rows that they select are written aside once, and counted there."""
+    keys = written(keys.select("order_id"), "touched")
+
     def only(df):
-        return df.join(keys.select("order_id"), "order_id", "left_semi")
+        return written(narrowed(df, keys, "order_id", "left_semi"), "touched-rows")
 
     rows = conform(product_demand_features(only(orders), only(items), products))
     return publish_changes(spark, rows, keys, table)

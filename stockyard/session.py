@@ -87,6 +87,13 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return path
 
 
+def written(df, name: str):
+    """``df`` written once under the shared checkpoint folder and read back."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 _SCRATCH: list[str] = []
 
 

@@ -13,7 +13,8 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import scratch_path
+from ..operators.windows import narrowed
+from ..session import scratch_path, written
 
 SAVE_MODES = ("overwrite", "append")
 WRITE_MODES = ("none", "table", "view")
@@ -233,9 +234,9 @@ def publish_changes(spark: SparkSession, rows: DataFrame, keys: DataFrame, table
     touched = sorted(r[0] for r in keys.select(KEY_PART).distinct().collect())  # at most `parts`
     if not touched:
         return []
-    same = held.where(F.col(KEY_PART).isin(touched)).join(keys.select(key), key, "left_anti")
-    new = rows.withColumn(key, F.col(key).cast(kind)).withColumn(KEY_PART, key_part(key, parts)) \
-        .join(keys.select(key), key, "left_semi")
+    same = narrowed(held.where(F.col(KEY_PART).isin(touched)), keys, key, "left_anti")
+    rows = written(rows.withColumn(key, F.col(key).cast(kind)).withColumn(KEY_PART, key_part(key, parts)), "rows")
+    new = narrowed(rows, keys, key, "left_semi")
     path = scratch_path(spark, "changes")
     same.select(*held.columns).unionByName(new.select(*held.columns)) \
         .repartition(KEY_PART).write.parquet(path)

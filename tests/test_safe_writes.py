@@ -177,3 +177,32 @@ def test_product_demand_refresh_equals_full_run(spark):
     assert sorted(map(tuple, spark.read.table(t).drop(sinks.KEY_PART).collect()), key=str) == want
     with pytest.raises(ValueError):
         gold.touched_orders(now[1])
+
+
+def test_changes_are_dealt_by_number_of_rows(spark, monkeypatch):
+    """Narrowing to the changed keys deals large tables to more tasks than the
+    session's shuffles have; the rows are those of a plain join, NULLs too."""
+    from stockyard.operators import windows as W
+    rows = spark.createDataFrame([(None if k % 50 == 0 else 1 if k % 3 == 0 else k, k) for k in range(3000)], "k long, v long")
+    keys = spark.createDataFrame([(k,) for k in [1, None, *range(2, 3000, 7)]], "k long")
+    want = {how: sorted(map(tuple, rows.join(keys, "k", how).collect()), key=str) for how in ("left_semi", "left_anti")}
+    monkeypatch.setattr(W, "TASK_ROWS", 100)
+    for how, w in want.items():
+        got = W.narrowed(rows, keys, "k", how)
+        assert sorted(map(tuple, got.collect()), key=str) == w
+        assert "REPARTITION_BY_NUM" in got._jdf.queryExecution().toString()
+
+
+def test_refresh_counts_rows_for_its_tasks(spark, monkeypatch):
+    from stockyard.operators import windows as W
+    sizes, real = [], W.dealt
+    monkeypatch.setattr(W, "dealt", lambda df, rows, *keys: sizes.append((rows, *keys)) or real(df, rows, *keys))
+    monkeypatch.setattr(W, "TASK_ROWS", 10)
+    rows = spark.range(300).select(F.col("id").cast("string").alias("k"), F.col("id").alias("v"))
+    table = f"dealt_{uuid.uuid4().hex[:8]}"
+    sinks.publish_by_key(spark, rows, table, "k", parts=4)
+    changed = rows.where("v % 2 = 0")
+    sinks.publish_changes(spark, changed.withColumn("v", F.col("v") + 1000), changed.select("k"), table)
+    got = {(r.k, r.v) for r in spark.table(table).collect()}
+    assert got == {(str(k), k + 1000 * (k % 2 == 0)) for k in range(300)}
+    assert len(sizes) >= 4 and all(s[1:] == ("k",) for s in sizes)
