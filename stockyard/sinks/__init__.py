@@ -13,6 +13,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..operators import windows
 from ..operators.windows import narrowed
 from ..session import scratch_path, written
 
@@ -238,8 +239,16 @@ def publish_changes(spark: SparkSession, rows: DataFrame, keys: DataFrame, table
     rows = written(rows.withColumn(key, F.col(key).cast(kind)).withColumn(KEY_PART, key_part(key, parts)), "rows")
     new = narrowed(rows, keys, key, "left_semi")
     path = scratch_path(spark, "changes")
-    same.select(*held.columns).unionByName(new.select(*held.columns)) \
-        .repartition(KEY_PART).write.parquet(path)
+    both = same.select(*held.columns).unionByName(new.select(*held.columns))
+    total = held.where(F.col(KEY_PART).isin(touched)).count() + rows.count()
+    share = -(-total // (len(touched) * windows.TASK_ROWS))  # tasks that share a partition
+    if share * len(touched) > int(spark.conf.get("spark.sql.shuffle.partitions")):
+        # Finer shares than tasks, so that these get about as many rows each.
+        finer = F.pmod(F.xxhash64(F.lit(KEY_PART), F.col(key).cast("string")), F.lit(4 * share))
+        both = both.repartition(share * len(touched), F.col(KEY_PART), finer)
+    else:
+        both = both.repartition(KEY_PART)
+    both.write.parquet(path)
     staged = spark.read.schema(held.schema).parquet(path)
     left = {r[0] for r in staged.select(KEY_PART).distinct().collect()}
     location = table_location(spark, table)
