@@ -88,17 +88,36 @@ def of_keys(df: DataFrame, key: str, heavy: DataFrame, how: str) -> DataFrame:
     return df.join(F.broadcast(heavy), F.col(key).eqNullSafe(F.col("__heavy")), how)
 
 
+def tasks_kept(spark) -> int:
+    """The tasks that a shuffle of the session has for any number of bytes: its
+    partitions, but where adaptive execution merges those up to a number of bytes,
+    which may be millions of short rows, at most as many as it keeps to use all
+    cores; one, if it need not."""
+    from ..session import _context
+
+    def on(name: str) -> bool:
+        return spark.conf.get(f"spark.sql.adaptive.{name}", "true") == "true"
+
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    if not (on("enabled") and on("coalescePartitions.enabled")):
+        return parts
+    sc = _context(spark)
+    if sc is None or not on("coalescePartitions.parallelismFirst"):
+        return 1
+    return min(parts, sc.defaultParallelism)
+
+
+def few(spark, rows: int) -> bool:
+    """Whether the session's own shuffles give no task more rows than it should hold."""
+    return -(-rows // TASK_ROWS) <= tasks_kept(spark)
+
+
 def dealt(df: DataFrame, rows: int, *keys: str) -> DataFrame:
     """``df`` by ``keys`` in as many partitions as ``rows`` rows need, if these
-    are more than the session's shuffles have."""
-    parts = -(-rows // TASK_ROWS)
-    if parts <= int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")):
+    are more than the session's shuffles keep."""
+    if few(df.sparkSession, rows):
         return df.repartition(*keys)
-    return df.repartition(parts, *keys)
-
-
-def _few(spark, rows: int) -> bool:
-    return -(-rows // TASK_ROWS) <= int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return df.repartition(-(-rows // TASK_ROWS), *keys)
 
 
 def by_key(df: DataFrame, key: str) -> list[DataFrame]:
@@ -106,7 +125,7 @@ def by_key(df: DataFrame, key: str) -> list[DataFrame]:
     is, if the session's shuffles have partitions enough for its rows; else the
     rows dealt to more, and those of heavy keys, if any, as they are."""
     total, heavy = heavy_keys(df, key, TASK_ROWS)
-    if _few(df.sparkSession, total):
+    if few(df.sparkSession, total):
         return [df]
     if heavy is None:
         return [dealt(df, total, key)]
@@ -122,7 +141,7 @@ def to_join(left: DataFrame, right: DataFrame, key: str,
     more of them, where the left table is costly to count."""
     total, heavy = heavy_keys(left if sized_by is None else sized_by, key, TASK_ROWS)
     total += right.count()
-    if _few(left.sparkSession, total):
+    if few(left.sparkSession, total):
         return [(left, right)]
     if heavy is None:
         return [(dealt(left, total, key), dealt(right, total, key))]
@@ -144,7 +163,7 @@ def to_group(df: DataFrame, sized_by: DataFrame, *keys: str) -> DataFrame:
     if spark.conf.get("spark.sql.requireAllClusterKeysForDistribution", "false") != "true":
         return df
     total = sized_by.count()
-    return df if _few(spark, total) else dealt(df, total, *keys)
+    return df if few(spark, total) else dealt(df, total, *keys)
 
 
 def _combine(op: str, offset: Column, inner: Column) -> Column:

@@ -242,7 +242,7 @@ def publish_changes(spark: SparkSession, rows: DataFrame, keys: DataFrame, table
     both = same.select(*held.columns).unionByName(new.select(*held.columns))
     total = held.where(F.col(KEY_PART).isin(touched)).count() + rows.count()
     share = -(-total // (len(touched) * windows.TASK_ROWS))  # tasks that share a partition
-    if share * len(touched) > int(spark.conf.get("spark.sql.shuffle.partitions")):
+    if share > 1 or not windows.few(spark, total):
         # Finer shares than tasks, so that these get about as many rows each.
         finer = F.pmod(F.xxhash64(F.lit(KEY_PART), F.col(key).cast("string")), F.lit(4 * share))
         both = both.repartition(share * len(touched), F.col(KEY_PART), finer)

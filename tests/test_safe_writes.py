@@ -206,3 +206,19 @@ def test_refresh_counts_rows_for_its_tasks(spark, monkeypatch):
     got = {(r.k, r.v) for r in spark.table(table).collect()}
     assert got == {(str(k), k + 1000 * (k % 2 == 0)) for k in range(300)}
     assert len(sizes) >= 4 and all(s[1:] == ("k",) for s in sizes)
+
+
+def test_one_large_partition_is_staged_by_several_tasks(spark, monkeypatch):
+    """A changed partition of more rows than a task should hold goes to several
+    tasks, however many the session's shuffles have."""
+    from stockyard.operators import windows as W
+    monkeypatch.setattr(W, "TASK_ROWS", 100)
+    rows = spark.range(800).select(F.col("id").cast("string").alias("k"), F.col("id").alias("v"))
+    table = f"one_part_{uuid.uuid4().hex[:8]}"
+    sinks.publish_by_key(spark, rows, table, "k", parts=1)
+    paths, real = [], sinks.scratch_path
+    monkeypatch.setattr(sinks, "scratch_path", lambda s, name: paths.append((name, real(s, name))) or paths[-1][1])
+    sinks.publish_changes(spark, rows.where("v < 8").withColumn("v", F.col("v") + 1000), rows.where("v < 8").select("k"), table)
+    assert {(r.k, r.v) for r in spark.table(table).collect()} == {(str(k), k + 1000 * (k < 8)) for k in range(800)}
+    staged = spark.read.parquet(dict(paths)["changes"])
+    assert staged.count() == 800 and staged.select("_metadata.file_path").distinct().count() > 1

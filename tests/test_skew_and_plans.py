@@ -89,6 +89,45 @@ def test_product_demand_deals_by_number_of_rows(spark, monkeypatch, job, all_key
             spark.conf.set(k, v)
 
 
+@pytest.mark.parametrize("job", ["operator", "sql"])
+def test_product_demand_deals_where_tasks_are_merged(spark, monkeypatch, job):
+    """A session with partitions enough, which adaptive execution merges by bytes
+    to fewer tasks than the rows need, deals the rows all the same; one that
+    merges none is left as it is."""
+    items = spark.createDataFrame([(k % 900, k % 7 + 1, k % 301, Decimal(k % 50), Decimal(1)) for k in range(4000)],
+                                  "order_id long, order_item_id int, product_id long, "
+                                  "price decimal(10,2), freight_value decimal(10,2)")
+    orders = spark.createDataFrame([(k, "DELIVERED" if k % 5 else "CANCELED", dt.datetime(2024, 1, 1 + k % 28))
+                                    for k in range(800)], "order_id long, order_status string, order_approved_at timestamp_ntz")
+    prods = spark.createDataFrame([(k, "c", *[k] * 6) for k in range(300)],
+                                  "product_id long, product_category_name string, product_name_lenght int, "
+                                  "product_description_lenght int, product_weight_g int, "
+                                  "product_length_cm int, product_height_cm int, product_width_cm int")
+
+    def run():
+        return (product_demand_sql if job == "sql" else lambda _, *t: product_demand(*t))(spark, orders, items, prods)
+
+    want = sorted(map(tuple, run().collect()), key=str)
+    merge = "spark.sql.adaptive.coalescePartitions.enabled"
+    keys = {"spark.sql.shuffle.partitions": "200", "spark.sql.autoBroadcastJoinThreshold": "-1", merge: "true"}
+    before = {k: spark.conf.get(k) for k in keys}
+    monkeypatch.setattr(W, "TASK_ROWS", 200)
+    try:
+        for k, v in keys.items():
+            spark.conf.set(k, v)
+        got = run()
+        assert sorted(map(tuple, got.collect()), key=str) == want
+        dealt = re.findall(r"hashpartitioning\((order_id|product_id)#\d+L?, (\d+)\), REPARTITION_BY_NUM", _plan(got))
+        assert {k for k, _ in dealt} == {"order_id", "product_id"} and all(int(n) >= 20 for _, n in dealt)
+        rows = W.dealt(items, items.count(), "order_id").groupBy(F.spark_partition_id()).count()
+        assert rows.agg(F.max("count")).first()[0] <= 400
+        spark.conf.set(merge, "false")
+        assert "REPARTITION_BY_NUM" not in _plan(run())
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+
+
 def test_dedupe_hot_id_and_partial_aggregate(spark):
     t = dt.datetime(2024, 1, 1)
     rows = [(1, "HOT", t + dt.timedelta(seconds=i * 7 % 1000), i % 5 + 1, "placed") for i in range(2000)]
